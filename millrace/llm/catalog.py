@@ -1,10 +1,12 @@
 """The queries of this subpackage and the SQL that states their results, where SQL can."""
 
-from . import exact_dedup
+from . import exact_dedup, secret_scan
 
 QUERIES = {
+    "op1_secret_scan": secret_scan.op1_secret_scan,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
 }
 ORACLES = {
+    "op1_secret_scan": secret_scan.ORACLE,
     "op4_exact_dedup": exact_dedup.ORACLE,
 }
