@@ -1,9 +1,10 @@
 """The queries of this subpackage and the SQL that states their results, where SQL can."""
 
-from . import exact_dedup, secret_scan
+from . import bpe, exact_dedup, secret_scan
 
 QUERIES = {
     "op1_secret_scan": secret_scan.op1_secret_scan,
+    "op3_bpe": bpe.op3_bpe,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
 }
 ORACLES = {
