@@ -1,11 +1,15 @@
 """The queries of this subpackage and the SQL that states their results, where SQL can."""
 
-from . import bpe, exact_dedup, secret_scan
+from . import bpe, exact_dedup, media, packed_ids, packing, quality, secret_scan
 
 QUERIES = {
     "op1_secret_scan": secret_scan.op1_secret_scan,
+    "op2_token_output": packed_ids.op2_token_output,
     "op3_bpe": bpe.op3_bpe,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+    "op6_gif": media.op6_gif,
+    "op8_best_fit": packing.op8_best_fit,
+    "op10_quality": quality.op10_quality,
 }
 ORACLES = {
     "op1_secret_scan": secret_scan.ORACLE,
