@@ -70,7 +70,8 @@ def exact_groups(docs: DataFrame, memtable_rows: int = 65536, digest_bytes: int
     wanted = hits.select(F.col("doc_id").alias("hit_id"), F.col("sha").alias("hit_sha"), "digest", (F.col("row") == F.col("keep_row")).alias("stays")).groupBy("hit_id", "hit_sha", "digest").agg(F.max("stays").alias("stays"))
     hit_texts = written(texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("sha") == F.col("hit_sha"))).select("doc_id", "sha", "digest", "stays", "norm"), "hits")
     keepers = hit_texts.where("stays").select(F.col("digest").alias("k_digest"), F.col("norm").alias("k_norm"), F.col("sha").alias("k_sha")).dropDuplicates(["k_digest", "k_sha"])
-    unlike = written(hit_texts.join(keepers, (F.col("digest") == F.col("k_digest")) & (F.col("norm") != F.col("k_norm"))).select("digest").distinct(), "unlike")
+    # distinct only after the write, so that a hot digest's partition of this join can be split
+    unlike = written(hit_texts.join(keepers, (F.col("digest") == F.col("k_digest")) & (F.col("norm") != F.col("k_norm"))).select("digest"), "unlike").distinct()
     result = placed.select("doc_id", "row", "sha", "digest", "keep_id", "keep_row", "n")
     if not unlike.isEmpty():
         # different texts under one digest: their rows are grouped by the text itself
