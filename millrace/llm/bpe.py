@@ -17,21 +17,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import documents, keyed_texts
-from .fast_encode import Encoder, batches
+from .fast_encode import Encoder, batches, byte_letters
 
 NONE = np.int64(1) << 60
 #: Pieces of up to so many bytes share arrays of trees.
 SHARED = 128
 
 
-def byte_letters() -> dict[str, int]:
-    """The letter that stands for each byte in the vocabulary file: printable Latin-1 as itself, the others from U+0100 on."""
-    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
-    letters = {chr(b): b for b in own}
-    letters |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in own)}
-    return letters
-
-
 class SegmentTreeBPE(Encoder):
     """encode() as of Encoder, with merges of its own; decode(ids) -> text."""
 

@@ -3,19 +3,37 @@
 A vocabulary that keeps white space splits a text before a space, and around a newline, that stands between two
 characters other than white space; one that drops white space splits there anyhow. Pieces are encoded on their
 own. So a text is cut there, each distinct cut is encoded once by the library, and ids are put together by
-table. Texts with two white-space characters in a row, with other white space or control characters, or with what may be
-a special token go to the library whole.
+table. Cuts of ASCII and Latin-1 letters, where the split rules' classes are plain, go to the library's model piece by
+piece; other cuts go through its whole chain. Texts with two white-space characters in a row, with other white
+space or control characters, or with what may be a special token go to the library whole.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from itertools import chain, repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Distinct cuts kept by a worker; then its table starts anew. About 250 MB.
+#: Distinct cuts kept by a worker, about 250 MB; then those that came up once are forgotten, and more where that isn't enough.
 MAX_CUTS = 1_000_000
+_PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+").fullmatch
+_WORD = r"[A-Za-zÀ-ÖØ-öø-ÿ]+"
+_MARKS = r"[^\sA-Za-z0-9À-ÖØ-öø-ÿ]+"
+# fixed values: the split rules of the two kinds of vocabulary, for cuts that _PLAIN takes
+_KEEPING = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?{_WORD}| ?[0-9]+| ?{_MARKS}").findall
+_DROPPING = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|{_WORD}|[0-9]|{_MARKS}").findall
+
+
+def byte_letters() -> dict[str, int]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable Latin-1 as itself, the others from U+0100 on."""
+    own = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+    letters = {chr(b): b for b in own}
+    letters |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in own)}
+    return letters
 
 
 class Encoder:
@@ -33,10 +51,10 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        # what stands between cuts that are encoded together, and its one id
         self.keeps_space = bool(self._whole(["\n"])[0])
-        self.part = "\n" if self.keeps_space else " 7 "
-        (self.part_id,) = self._whole([self.part])[0]
+        self.letters = {b: c for c, b in byte_letters().items()}
+        self.model = self.tokenizer.model
+        self.pieces: dict[str, tuple[int, ...]] = {}
 
     def _clear(self) -> None:
         self.number: dict[str, int] = {}
@@ -44,6 +62,18 @@ class Encoder:
         self.used = 0
         self.starts = np.empty(1 << 14, np.int64)
         self.lengths = np.empty(1 << 14, np.int64)
+        self.uses = np.zeros(1 << 14, np.int64)
+
+    def _prune(self) -> None:
+        uses = self.uses[: len(self.number)]
+        least = max(2, int(np.partition(uses, len(uses) // 2)[len(uses) // 2]) + 1)
+        kept = np.flatnonzero(uses >= least)
+        names = list(self.number)
+        starts, lengths, flat = self.starts[kept], self.lengths[kept], self.flat
+        self._clear()
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        self._add([names[i] for i in kept.tolist()], flat[np.repeat(starts - (ends - lengths), lengths) + np.arange(total)], lengths)
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
         """Ids of texts of any kind."""
@@ -51,16 +81,34 @@ class Encoder:
 
     def _cut_ids(self, cuts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of cuts one after another, how many each has. No cut has a newline or stands next to more white space."""
-        ids = np.array(self._whole([self.part.join(cuts) + self.part])[0], np.uint32)
-        ends = np.flatnonzero(ids == self.part_id)
-        if len(ends) != len(cuts):
-            raise AssertionError("cuts and their ids are out of step")
-        return ids[ids != self.part_id], np.diff(ends, prepend=-1) - 1
+        tokenize, letters, known = self.model.tokenize, self.letters, self.pieces
+        if len(known) > self.max_cuts // 4:
+            known.clear()
+        flat: list[list[int]] = []
+        odd = []
+        for i, cut in enumerate(cuts):
+            if _PLAIN(cut.lstrip(" ")):
+                pieces = _KEEPING(cut) if self.keeps_space else _DROPPING(cut.lower())
+                ids = []
+                for p in pieces:
+                    own = known.get(p)
+                    if own is None:
+                        own = known[p] = tuple([t.id for t in tokenize(p.encode().decode("latin-1").translate(letters))])
+                    ids += own
+            else:
+                ids = []
+                odd.append(i)
+            flat.append(ids)
+        for i, ids in zip(odd, self._whole([cuts[i] for i in odd])):
+            flat[i] = ids
+        lengths = np.fromiter(map(len, flat), np.int64, len(flat))
+        return np.fromiter(chain.from_iterable(flat), np.uint32, int(lengths.sum())), lengths
 
     def _add(self, keys: list[str], flat: np.ndarray, lengths: np.ndarray) -> None:
         n = len(self.number)
         while n + len(keys) > len(self.starts):
             self.starts, self.lengths = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.lengths, 2 * len(self.lengths))
+            self.uses = np.concatenate([self.uses, np.zeros_like(self.uses)])
         while self.used + len(flat) > len(self.flat):
             self.flat = np.resize(self.flat, 2 * len(self.flat))
         self.flat[self.used : self.used + len(flat)] = flat
@@ -78,35 +126,34 @@ class Encoder:
                 keys = [k for k in keys if k != "\x00"]
             texts = [k[1:] if k[0] == "\x01" else " " + k for k in keys]
         else:
-            alone = [k for k in keys if "7" in k]
-            for k, ids in zip(alone, self._whole(alone)):
-                self._add([k], np.array(ids, np.uint32), np.array([len(ids)]))
-            texts = keys = [k for k in keys if "7" not in k] if alone else keys
+            texts = keys
         for at in range(0, len(keys), 2048):
             self._add(keys[at : at + 2048], *self._cut_ids(texts[at : at + 2048]))
 
-    def _cuts(self, text: str) -> list[str] | None:
-        """None: the library must see the text whole."""
+    def _marked(self, text: str) -> str | None:
+        """The text so that cuts stand between spaces. None: the library must see the text whole."""
         flat = text.replace("\n", " ")
         if not flat or "  " in flat or flat[0] == " " or flat[-1] == " " or "<|" in flat or not flat.isprintable():
             return None
-        return ("\x01" + text.replace("\n", " \x00 \x01")).split(" ") if self.keeps_space else flat.split(" ")
+        return "\x01" + text.replace("\n", " \x00 \x01") if self.keeps_space else flat
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.number) > self.max_cuts:
-            self._clear()
-        cuts = [self._cuts(t) for t in texts]
-        whole = [i for i, own in enumerate(cuts) if own is None]
-        for i in whole:
-            cuts[i] = []
-        counts = np.fromiter(map(len, cuts), np.int64, len(cuts))
-        flat_cuts = list(chain.from_iterable(cuts))
-        at = np.fromiter(map(self.number.get, flat_cuts, repeat(-1)), np.int64, len(flat_cuts))
+            self._prune()
+        marked = [self._marked(t) for t in texts]
+        whole = [i for i, t in enumerate(marked) if t is None]
+        split = pc.split_pattern(pa.array(marked, pa.large_string()), " ")
+        counts = pc.fill_null(pc.list_value_length(split), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        coded = split.flatten().dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        at = np.fromiter(map(self.number.get, names, repeat(-1)), np.int64, len(names))
         unknown = np.flatnonzero(at < 0)
         if len(unknown):
-            new = [flat_cuts[i] for i in unknown.tolist()]
-            self._learn(list(dict.fromkeys(new)))
+            new = [names[i] for i in unknown.tolist()]
+            self._learn(new)
             at[unknown] = np.fromiter(map(self.number.__getitem__, new), np.int64, len(new))
+        self.uses[at] += 1
+        at = at[coded.indices.to_numpy()]
         lengths = self.lengths[at]
         ends = np.cumsum(lengths)
         total = int(ends[-1]) if len(ends) else 0
@@ -132,7 +179,7 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def batches(texts: list[str], most: int = 4_000_000):
+def batches(texts: list[str], most: int = 16_000_000):
     """Consecutive (from, to) of so many characters together at most, or of one text."""
     at, held = 0, 0
     for i, t in enumerate(texts):
