@@ -25,7 +25,7 @@ from .fast_encode import batches, encoder
 
 CAPACITY = 2048
 #: Parts that the pieces of one length are ranked in.
-SALTS = 64
+SALTS = 32
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
