@@ -155,62 +155,57 @@ def _spans(text: Column, rule: Rule, order: int) -> Column:
     return F.transform(placed["found"], lambda x: F.struct(x["start"].alias("start"), F.lit(order).alias("order"), F.lit(rule.kind).alias("kind"), x["end"].alias("end")))
 
 
-def secret_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """One row per row of docs: doc_id, found: array of (start, order, kind, end) by start, then kind as listed.
-
-    Positions are code points, ends exclusive. A null or empty text has no spans. A null doc_id is kept; its
-    postings are those of all rows without doc_id, which only makes it a candidate more often. Repeated rows
-    give repeated results. Other columns, whatever their names, are not read.
-    """
+def with_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """docs with _found: array of (start, order, kind, end) by start, then kind as listed."""
     spark = docs.sparkSession
     queries = {r.kind: trigram_query(r.pattern) for r in rules}
     indexed = {k: q for k, q in queries.items() if TRUE != q}
-    texts = keyed_texts(docs)
+    text = F.coalesce(F.col("text"), F.lit(""))
     if indexed:
         postings = trigram_index(docs, sorted({t for q in indexed.values() for c in q for t in c}))
-        cand = written(candidates(spark, postings, indexed), "candidates").withColumnRenamed("doc_id", "c_id")
+        cand = written(candidates(spark, postings, indexed).toDF("_c_id", "_kinds"), "candidates")
         drop(postings)
-        texts = texts.join(cand, F.col("doc_id").eqNullSafe(F.col("c_id")), "left").select("doc_id", "text", "kinds")
+        docs = docs.join(cand, F.col("doc_id").cast("long").eqNullSafe(F.col("_c_id")), "left").drop("_c_id")
     else:
-        texts = texts.withColumn("kinds", F.array().cast("array<string>"))
+        docs = docs.withColumn("_kinds", F.array().cast("array<string>"))
     none = F.array().cast("array<struct<start:int,order:int,kind:string,end:int>>")
     parts = []
     for i, r in enumerate(rules):
-        sought = F.array_contains("kinds", r.kind) if r.kind in indexed else F.col("text").rlike(r.pattern)
-        parts.append(F.when(sought, _spans(F.col("text"), r, i)).otherwise(none))
-    return texts.select("doc_id", F.array_sort(F.concat(*parts)).alias("found"))
+        sought = F.array_contains("_kinds", r.kind) if r.kind in indexed else text.rlike(r.pattern)
+        parts.append(F.when(sought, _spans(text, r, i)).otherwise(none))
+    return docs.withColumn("_found", F.array_sort(F.concat(*parts))).drop("_kinds")
+
+
+def secret_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """One row per row of docs: doc_id, found: array of (start, order, kind, end) by start, then kind as listed.
+
+    Positions are code points, ends exclusive. A null or empty text has no spans. A null doc_id is kept; its
+    postings are those of all rows without doc_id, which only makes it a candidate more often. Repeated rows
+    give repeated results. Other columns, whatever their names, are not read.
+    """
+    return with_spans(docs.select("doc_id", "text"), rules).select("doc_id", F.col("_found").alias("found"))
 
 
 def redacted(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "<{}>") -> DataFrame:
-    """docs with every span in its text replaced by its kind's mark; all columns are kept, n_chars (if there) is set anew.
+    """docs with every span in its text replaced by its kind's mark; all rows and columns stay, n_chars (if there) is set anew.
 
-    Overlapping spans are replaced once, under the first one's kind. A doc_id that comes with several texts
-    takes the spans of the same text only.
+    Overlapping spans are replaced together, under the first one's kind. A null text stays null.
     """
-    found = secret_spans(docs, rules).where(F.size("found") > 0)
-    found = written(found.groupBy("doc_id").agg(F.collect_set("found").alias("_all")), "secrets").withColumnRenamed("doc_id", "_found_id")
     text = F.coalesce(F.col("text"), F.lit(""))
     cut = F.aggregate(
-        F.col("_spans"),
+        F.col("_found"),
         F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         lambda a, x: F.when(x["start"] < a["at"], F.struct(F.greatest(a["at"], x["end"]).alias("at"), a["out"].alias("out"))).otherwise(
             F.struct(x["end"].alias("at"), F.concat(a["out"], F.substring(text, a["at"] + 1, x["start"] - a["at"]), F.format_string(mark.replace("{}", "%s"), x["kind"])).alias("out"))
         ),
         lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.char_length(text))),
     )
-    joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col("_found_id")), "left")
-    out = joined.withColumn("_spans", F.when(F.size("_all") == 1, F.col("_all")[0]))
-    new = F.when(F.col("_spans").isNotNull(), cut).otherwise(F.col("text"))
-    out = out.withColumn("_new", new)
-    columns = []
-    for name, kind in docs.dtypes:
-        if name == "text":
-            columns.append(F.col("_new").alias("text"))
-        elif name == "n_chars":
-            columns.append(F.when(F.col("_spans").isNotNull(), F.char_length("_new").cast(kind)).otherwise(F.col("n_chars")).alias("n_chars"))
-        else:
-            columns.append(F.col(name))
-    return out.select(*columns)
+    out = with_spans(docs, rules)
+    hit = F.size("_found") > 0
+    out = out.withColumn("text", F.when(hit, cut).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(hit, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return out.select(*docs.columns)
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
