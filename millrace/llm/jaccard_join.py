@@ -9,8 +9,9 @@
    share keeps the prefix filter exact). Light sets enumerate the pairs of their prefix (two sets that link share two members
    of it); heavy sets post their prefix to inverted lists. The boundary minimises the estimated cost of both.
 4. A list needs no pairs among members that are in one component already. In a few rounds each member is compared with pivots of
-   its lists; components grow; then all pairs of a list whose ends are still in different components are
-   compared, once each. So no link that joins components is missed and groups of copies don't become all their pairs.
+   its lists; components grow; then members outside a list's main component are held against all members of their lists: shared
+   signatures are counted for each pair, and those pairs are compared whose count leaves a link possible. So no
+   link that joins components is missed and groups of copies don't become all their pairs.
 
 Sets hold 48-bit hashes of shingles: the count of a pair is off by one with a chance of about 1e-9.
 """
@@ -84,11 +85,12 @@ def _decoded(data: bytes) -> np.ndarray:
     return np.cumsum(np.concatenate([first, steps.astype(np.uint64)]), dtype=np.uint64)
 
 
-def shared_shingles(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def shared_members(docs: DataFrame, members_of, percent: int) -> DataFrame:
     """One row per row of docs: row (a number of its own), doc_id, n (set size), shared, values, key.
 
-    shared: how many of its shingles another row has too. values: those, sorted, where shared is at least percent of n, else
-    null. key: a digest of the set where all of it is shared.
+    members_of(text): the sorted distinct 64-bit hashes of a text's set. shared: how many of them another row has too.
+    values: those, sorted, where shared is at least percent of n, and not 0, else null. key: a digest of the set where all of it
+    is shared.
     """
     buckets = max(64, slices(docs.sparkSession))
 
@@ -121,7 +123,7 @@ def shared_shingles(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         weight = 0
         for pdf in parts:
             for doc_id, missing, text in zip(pdf["doc_id"].fillna(0).astype("int64"), pdf["doc_id"].isna(), pdf["text"]):
-                own = shingles(text, words)
+                own = members_of(text)
                 held.append((_NO_ID if missing else doc_id, own))
                 weight += len(own)
                 if len(held) == BLOCK_DOCS or weight >= BLOCK_SHINGLES:
@@ -162,7 +164,7 @@ def shared_shingles(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         values = values[order]
         counts = np.bincount(local, minlength=n)
         ends = np.cumsum(counts)
-        keep = (counts * 100 >= sizes * percent) & (sizes > 0)
+        keep = (counts * 100 >= sizes * percent) & (counts > 0)
         own = [values[e - c : e].astype("<u8").tobytes() if k else None for e, c, k in zip(ends.tolist(), counts.tolist(), keep.tolist())]
         key = [hashlib.md5(v).hexdigest() if v is not None and c == s else None for v, c, s in zip(own, counts.tolist(), sizes.tolist())]
         row = (part << 36) + int(head["first"]) + np.arange(n)
@@ -295,11 +297,13 @@ def link_components(reps: DataFrame, lists: DataFrame, percent: int = PERCENT, r
     labels = written(lists.select("row").distinct().select("row", F.col("row").alias("label")), "labels")
 
     def labelled() -> DataFrame:
-        return written(lists.join(labels, "row").select("token", "row", "n", "label"), "labelled")
+        return written(lists.join(labels, "row").select("token", "row", "n", "weight", "label"), "labelled")
 
     for k in range(rounds):
         rows = labelled()
-        pivots = rows.groupBy("token").agg(F.min(F.struct(F.xxhash64("row", F.lit(k)).alias("h"), "row", "n", "label")).alias("p"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+        # first the member whose lists are the longest, which stands in the middle of its group, then any
+        order = F.xxhash64("row", F.lit(k)) if k else -F.col("weight")
+        pivots = rows.groupBy("token").agg(F.min(F.struct(order.alias("h"), "row", "n", "label")).alias("p"), F.min("label").alias("lo"), F.max("label").alias("hi"))
         pivots = written(pivots.where("lo < hi").select(F.col("token").alias("_t"), F.col("p.row").alias("b"), F.col("p.n").alias("nb"), F.col("p.label").alias("lb")), "pivots")
         if pivots.isEmpty():
             return labels
@@ -318,27 +322,41 @@ def link_components(reps: DataFrame, lists: DataFrame, percent: int = PERCENT, r
     if main.isEmpty():
         return labels
     open_rows = written(rows.join(main, F.col("token") == F.col("_t")).drop("_t"), "open")
-    members = open_rows.withColumn("_chunk", F.pmod(F.xxhash64("row"), "_chunks")).groupBy("token", "_chunk").agg(F.collect_list(F.struct("row", "n", "label")).alias("members"))
-    members = written(members.select(F.col("token").alias("_t"), "members"), "members")
-    fringe = open_rows.where("label <> _main").select("token", "row", "n", "label")
-    asked = fringe.join(members, F.col("token") == F.col("_t")).select("row", "n", "label", "members").repartition(slices(reps.sparkSession), "row").sortWithinPartitions("row")
-
-    def distinct_pairs(parts):
-        now, seen = None, set()
+    members = open_rows.withColumn("_chunk", F.pmod(F.xxhash64("row"), "_chunks")).groupBy("token", "_chunk").agg(F.collect_list("row").alias("rows"), F.collect_list(F.col("n").cast("int")).alias("sizes"))
+    members = written(members.select(F.col("token").alias("_t"), "rows", "sizes"), "members")
+    # a row that is outside in one list meets the members of all its lists, so that what it shares with each is counted whole
+    outside = written(open_rows.where("label <> _main").select("row").distinct(), "outside")
+    fringe = written(open_rows.select("token", "row", "n").join(outside, "row", "left_semi"), "fringe")
+    asked = fringe.join(members, F.col("token") == F.col("_t")).select("row", "n", "rows", "sizes").repartition(slices(reps.sparkSession), "row").sortWithinPartitions("row")
+
+    def candidates(row: int, n: int, rows: list, sizes: list) -> pd.DataFrame:
+        """Members whose overlap with row may be enough. Beyond what prefixes share, two sets share less than need members."""
+        others, first, shared = np.unique(np.concatenate(rows), return_index=True, return_counts=True)
+        size = np.concatenate(sizes)[first].astype(np.int64)
+        need = -(-np.maximum(size, n) * percent // 100)
+        overlap = -(-(size + n) * percent // (100 + percent))
+        able = (others != row) & (np.minimum(size, n) * 100 >= np.maximum(size, n) * percent) & (shared + need - 1 >= overlap)
+        return pd.DataFrame({"a": row, "b": others[able]})
+
+    def meet(parts):
+        now, rows, sizes, n = None, [], [], 0
         for pdf in parts:
             out = []
-            for row, n, label, members in zip(pdf["row"], pdf["n"], pdf["label"], pdf["members"]):
+            for row, n_, r, s in zip(pdf["row"], pdf["n"], pdf["rows"], pdf["sizes"]):
                 if row != now:
-                    now, seen = row, set()
-                for m in members:
-                    b, nb, lb = m["row"], m["n"], m["label"]
-                    if lb != label and b not in seen and min(n, nb) * 100 >= max(n, nb) * percent:
-                        seen.add(b)
-                        out.append((row, label, b, lb))
-            yield pd.DataFrame(out, columns=["a", "la", "b", "lb"])
+                    if rows:
+                        out.append(candidates(now, n, rows, sizes))
+                    now, n, rows, sizes = row, n_, [], []
+                rows.append(r)
+                sizes.append(s)
+            if out:
+                yield pd.concat(out)
+        if rows:
+            yield candidates(now, n, rows, sizes)
 
-    pairs = asked.mapInPandas(distinct_pairs, "a long, la long, b long, lb long")
-    return _merged(labels, written(_linked(pairs, reps, percent), "links"))
+    met = asked.mapInPandas(meet, "a long, b long")
+    pairs = met.join(labels.toDF("_ra", "la"), F.col("a") == F.col("_ra")).join(labels.toDF("_rb", "lb"), F.col("b") == F.col("_rb")).where("la <> lb")
+    return _merged(labels, written(_linked(pairs.select("a", "la", "b", "lb"), reps, percent), "links"))
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, light: int | None = None, rounds: int = ROUNDS) -> DataFrame:
@@ -350,7 +368,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     id, unless no member has one; repeated rows link like any equal ones. An empty table gives an empty result. Only doc_id and text are
     read of docs. light: the boundary of light sets; chosen by cost where None.
     """
-    sets = shared_shingles(docs, words, percent)
+    sets = shared_members(docs, lambda text: shingles(text, words), percent)
     able = sets.where(F.col("values").isNotNull())
     classes = able.where(F.col("key").isNotNull()).groupBy("key", "n").agg(F.min("row").alias("rep"), F.count(F.lit(1)).alias("m")).where("m > 1")
     classes = written(classes.select(F.col("key").alias("_k"), F.col("n").alias("_n"), "rep"), "classes")
@@ -360,8 +378,10 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     if light is None:
         light = boundary(reps, shared_levels, percent)
     signed = written(signatures(reps, shared_levels, light, percent), "signed")
-    often = written(signed.groupBy("token").count().where("count > 1").select("token"), "often")
-    lists = written(signed.join(often, "token", "left_semi"), "lists")
+    often = written(signed.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select(F.col("token").alias("_t"), "m"), "often")
+    lists = written(signed.join(often, F.col("token") == F.col("_t")).drop("_t"), "lists")
+    weights = lists.groupBy("row").agg(F.sum("m").alias("weight")).withColumnRenamed("row", "_r")
+    lists = written(lists.join(weights, F.col("row") == F.col("_r")).select("token", "row", "n", "weight"), "lists")
     drop(signed)
     labels = link_components(reps, lists, percent, rounds)
     # row -> representative -> component; classes of one row and rows without links are their own
