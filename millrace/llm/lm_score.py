@@ -132,12 +132,12 @@ class Model:
             for bit in (0, 1):
                 stack.append((kids[at][bit], [*path, (number, bit)]))
             number += 1
-        self.length = np.array([len(paths[s]) for s in range(SYMBOLS)])
-        self.path_start = np.cumsum(self.length) - self.length
-        flat = [x for s in range(SYMBOLS) for x in paths[s]]
-        self.path_node = np.array([n for n, _ in flat])
-        self.path_bit = np.array([b for _, b in flat], np.float32)
-        self.path_gate = np.array([min(d, GATES - 1) for s in range(SYMBOLS) for d in range(len(paths[s]))])
+        self.length = np.array([len(paths[s]) for s in range(SYMBOLS)], np.int32)
+        self.path_start = (np.cumsum(self.length) - self.length).astype(np.int32)
+        # each step of the paths, end to end: node, gate, bit and whether it counts; behind them steps that only fill a lane
+        steps = [n | min(d, GATES - 1) << 6 | bit << 8 | 1 << 9 for s in range(SYMBOLS) for d, (n, bit) in enumerate(paths[s])]
+        self.filler = len(steps)
+        self.steps = np.array(steps + [0] * LANE, np.int16)
         self.ones = np.zeros((SYMBOLS, SYMBOLS))  # symbols that go right at a node
         self.all = np.zeros((SYMBOLS, SYMBOLS))
         for s in range(SYMBOLS):
@@ -157,64 +157,62 @@ class Model:
         symbols = self.symbol[raw]
         symbols[ends] = END
         length = self.length[symbols]
-        last = np.cumsum(length)
-        first = last - length
-        total = int(last[-1])
-        of_text = np.repeat(np.arange(len(texts)), ends - starts + 1)
-        begun = first[starts]  # decision at which each text starts
-        sizes = last[ends] - begun
+        of_text = np.repeat(np.arange(len(texts), dtype=np.int32), ends - starts + 1)
+        sizes = np.bincount(of_text, weights=length, minlength=len(texts)).astype(np.int64)
         lanes = -(-sizes // LANE)
-        lane_of = np.cumsum(lanes) - lanes
-        # decisions in rows of LANE, padded
-        owner = np.repeat(np.arange(len(raw)), length)
-        step = np.arange(total) - np.repeat(first - self.path_start[symbols], length)
-        node = self.path_node[step]
-        inputs = [t[np.repeat(slot * SYMBOLS, length) + node] for t, slot in zip(self.tables, contexts(raw, starts))]
-        text_of = np.repeat(np.arange(len(texts)), sizes)
-        at = np.arange(total) + np.repeat(lane_of * LANE - begun, sizes)
+        # a place behind each text fills its last lane
+        length = np.insert(length, ends + 1, (lanes * LANE - sizes).astype(np.int32))
+        begins = np.insert(self.path_start[symbols], ends + 1, np.int32(self.filler))
+        shift = begins - (np.cumsum(length, dtype=np.int64) - length).astype(np.int32)
         rows = int(lanes.sum())
-
-        def laid(values: np.ndarray, kind) -> np.ndarray:
-            out = np.zeros(rows * LANE, kind)
-            out[at] = values
-            return out.reshape(rows, LANE)
-
-        x = [laid(v, np.int8) for v in inputs]
-        bit, gate, real = laid(self.path_bit[step], np.float32), laid(self.path_gate[step], np.int8), laid(np.ones(total, np.float32), np.float32)
-        cost = self._mix(x, bit, gate, real)
+        step = self.steps[np.repeat(shift, length) + np.arange(rows * LANE, dtype=np.int32)]
+        node = (step & 63).astype(np.int32)
+        x = [t[np.repeat(np.insert(slot, ends + 1, 0).astype(np.int32) * np.int32(SYMBOLS), length) + node].reshape(rows, LANE) for t, slot in zip(self.tables, contexts(raw, starts))]
+        step = step.reshape(rows, LANE)
+        cost = self._mix(x, step)
         out = np.bincount(np.repeat(np.arange(len(texts)), lanes), weights=cost, minlength=len(texts))
         rare = (symbols == ESCAPE).nonzero()[0]
         return out + np.bincount(of_text[rare], weights=self.escape_bits[raw[rare]], minlength=len(texts))
 
     @staticmethod
-    def _mix(x: list[np.ndarray], bit: np.ndarray, gate: np.ndarray, real: np.ndarray) -> np.ndarray:
-        rows, k = bit.shape[0], len(x)
+    def _mix(x: list[np.ndarray], step: np.ndarray) -> np.ndarray:
+        rows, k = len(step), len(x)
         weights = np.empty((k, rows * GATES), np.float32)
         weights[:] = np.array(FIRST_WEIGHT, np.float32)[:, None]
         refined = np.tile((1 / (1 + np.exp(-(np.arange(BUCKETS) - BUCKETS / 2 + 0.5)))).astype(np.float32), rows)
         cost = np.zeros(rows)
-        base = np.arange(rows)[:, None]
+        cells, buckets = np.arange(rows, dtype=np.int32)[:, None] * np.int32(GATES), np.arange(rows, dtype=np.int32)[:, None] * np.int32(BUCKETS)
+        half, one = np.float32(0.5), np.float32(1)
         for a in range(0, LANE, GROUP):
-            live = rows if a == 0 else int(np.count_nonzero(real[:, a]))
-            if not live:
+            told = step[:, a : a + GROUP]
+            pick = np.flatnonzero(told[:, 0] >> 9)
+            if not len(pick):
                 break
-            pick = slice(None) if live == rows else np.flatnonzero(real[:, a])
-            s = [v[pick, a : a + GROUP].astype(np.float32) * np.float32(1 / STEP) for v in x]
-            y, r = bit[pick, a : a + GROUP], real[pick, a : a + GROUP]
-            cell = base[pick] * GATES + gate[pick, a : a + GROUP]
-            w = [weights[i][cell] for i in range(k)]
-            dot = np.clip(sum(wi * si for wi, si in zip(w, s)), -7.9, 7.9)
-            p = 1 / (1 + np.exp(-dot))
-            bucket = base[pick] * BUCKETS + (dot + BUCKETS / 2).astype(np.int64)
-            q = refined[bucket]
-            final = np.where(y > 0, 0.5 * (p + q), 1 - 0.5 * (p + q))
-            cost[pick] -= (np.log2(final) * r).sum(axis=1)
-            wrong = (y - p) * r * np.float32(RATE)
+            whole = len(pick) == rows
+            of = (lambda v: v) if whole else (lambda v: v[pick])
+            told = of(told)
+            s = [of(v[:, a : a + GROUP]).astype(np.float32) * np.float32(1 / STEP) for v in x]
+            y, real = (told >> 8 & 1).astype(np.float32), (told >> 9).astype(np.float32)
+            cell = of(cells) + (told >> 6 & 3)
+            dot = weights[0].take(cell)
+            dot *= s[0]
+            for i in range(1, k):
+                dot += weights[i].take(cell) * s[i]
+            np.clip(dot, -7.9, 7.9, out=dot)
+            p = one / (one + np.exp(-dot))
+            bucket = of(buckets) + (dot + np.float32(BUCKETS / 2)).astype(np.int32)
+            q = refined.take(bucket)
+            final = half * (p + q)
+            final = np.where(y > 0, final, one - final)
+            spent = (np.log2(final) * real).sum(axis=1, dtype=np.float64)
+            cost[slice(None) if whole else pick] -= spent
+            wrong = (y - p) * real * np.float32(RATE)
             flat = cell.ravel()
             for i in range(k):
                 weights[i] += np.bincount(flat, weights=(wrong * s[i]).ravel(), minlength=rows * GATES)
-            drift = np.bincount(bucket.ravel(), weights=((y - q) * r).ravel(), minlength=rows * BUCKETS)
-            refined = np.clip(refined + np.float32(REFINE) * drift.astype(np.float32) / 4, 0.001, 0.999).astype(np.float32)
+            drift = np.bincount(bucket.ravel(), weights=((y - q) * real).ravel(), minlength=rows * BUCKETS)
+            refined += (np.float32(REFINE / 4) * drift).astype(np.float32)
+            np.clip(refined, 0.001, 0.999, out=refined)
         return cost
 
 
@@ -245,11 +243,14 @@ def train(docs: DataFrame) -> Model:
             symbols = own.symbol[raw]
             symbols[ends] = END
             for total, slot in zip(sums, contexts(raw, starts)):
-                np.add.at(total, slot * SYMBOLS + symbols, 1)
+                at = (slot * SYMBOLS + symbols).astype(np.int32)
+                at.sort()
+                first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+                total[at[first]] += np.diff(np.append(first, len(at))).astype(np.uint32)
 
         for pdf in parts:
             learnt = [t for d, t in zip(pdf["doc_id"].astype("Int64"), pdf["text"]) if trains(d)]
-            for a, b in batches(learnt, 4_000_000):
+            for a, b in batches(learnt, 500_000):
                 add([t.encode() for t in learnt[a:b]])
                 some = True
         if some:
@@ -326,7 +327,7 @@ def scores(docs: DataFrame, model: Model | None = None) -> DataFrame:
         for pdf in parts:
             texts = [t.encode() for t in pdf["text"]]
             ids = pdf["doc_id"].astype("Int64").tolist()
-            bits = np.concatenate([held.value.bits(texts[a:b]) for a, b in batches(texts, 250_000)]) if texts else []
+            bits = np.concatenate([held.value.bits(texts[a:b]) for a, b in batches(texts, 150_000)]) if texts else []
             for doc_id, raw, cost in zip(ids, texts, bits):
                 own = raw.lower().split()
                 own.append(b"\n")
