@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import documents, keyed_texts
-from .fast_encode import Encoder, batches, byte_letters
+from .fast_encode import Encoder, batches, byte_letters, gathered
 
 NONE = np.int64(1) << 60
 #: Pieces of up to so many bytes share arrays of trees.
@@ -203,7 +203,7 @@ def encoded(docs: DataFrame, path: str, schema: str, row) -> DataFrame:
 
     def encode(parts):
         own = coder(path)
-        for pdf in parts:
+        for pdf in gathered(parts):
             texts = pdf["text"].tolist()
             out = []
             for a, b in batches(texts):

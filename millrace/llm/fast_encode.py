@@ -169,6 +169,21 @@ class Encoder:
         return ids, np.concatenate([[0], np.cumsum(sizes)])
 
 
+def gathered(parts, most: int = 12_000_000):
+    """The pandas frames of parts put together until they hold so many characters of text: the more texts, the more cuts are alike."""
+    import pandas as pd
+
+    held, size = [], 0
+    for pdf in parts:
+        held.append(pdf)
+        size += int(pdf["text"].str.len().sum())
+        if size >= most:
+            yield pd.concat(held, ignore_index=True)
+            held, size = [], 0
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
 _ENCODERS: dict[str, Encoder] = {}
 
 

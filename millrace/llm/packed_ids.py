@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import documents, keyed_texts, new_path, slices, written
-from .fast_encode import batches, encoder
+from .fast_encode import batches, encoder, gathered
 
 BLOCK = 512
 PERCENTILE = 95
@@ -175,7 +175,7 @@ def write_token_files(docs: DataFrame, path: str, uri: str, end_id: int | None =
             rows.append((part, len(rows), name, sum(len(h[0]) for h in held), len(ids), len(data)))
             held.clear()
 
-        for pdf in parts:
+        for pdf in gathered(parts):
             texts = pdf["text"].tolist()
             doc_ids = pdf["doc_id"].fillna(NO_ID).to_numpy(np.int64) if pdf["doc_id"].isna().any() else pdf["doc_id"].to_numpy(np.int64)
             for a, b in batches(texts):

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import documents, keyed_texts, written
-from .fast_encode import batches, encoder
+from .fast_encode import batches, encoder, gathered
 
 CAPACITY = 2048
 #: Parts that the pieces of one length are ranked in.
@@ -35,7 +35,7 @@ def cut_into_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id
 
     def cut(parts):
         own = encoder(path)
-        for pdf in parts:
+        for pdf in gathered(parts):
             texts = pdf["text"].tolist()
             for a, b in batches(texts):
                 ids, ends = own.encode(texts[a:b])
