@@ -1,4 +1,632 @@
-"""The queries of the engine by name, each with the SQL that states its result."""
+"""The queries of the engine by name, each with the SQL that states its result.
+
+The given tables hold no companies, so each query derives its input from their columns; what is derived is written once,
+in SQL that both engines read.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from millrace.functions import lexicon as lx
+from millrace.functions import text as tx
+from millrace.functions import url as ux
+from millrace.operators import discovery, export, pages, report, resolve
+from millrace.plans import schemas
+from millrace.plans.storage import written
+from millrace.sources import bindings, dump, profiles
 
 QUERIES: dict = {}
 ORACLES: dict = {}
+
+
+def query(name: str, oracle: str | None = None):
+    def put(f):
+        QUERIES[name] = f
+        if oracle:
+            ORACLES[name] = oracle
+        return f
+
+    return put
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def derived(spark: SparkSession, sf_dir: str, name: str, columns: str, where: str | None = None) -> DataFrame:
+    """columns: a list of SQL expressions with names; read by both engines."""
+    df = table(spark, sf_dir, name)
+    df = df.where(where) if where else df
+    view = f"_millrace_{name}_{abs(hash((sf_dir, columns)))}"
+    df.createOrReplaceTempView(view)
+    return spark.sql(f"SELECT {columns} FROM {view}")
+
+
+# --- URLs ---------------------------------------------------------------------------------------------------
+
+# DuckDB's way to take a URL apart
+_P = r"^(?:([a-zA-Z][a-zA-Z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?"
+_SPLIT = f"regexp_extract(url, '{_P}', 1) AS sch, regexp_extract(url, '{_P}', 2) AS net, regexp_extract(url, '{_P}', 3) AS pth, regexp_extract(url, '{_P}', 4) AS qry"
+_HOST = r"lower(regexp_replace(regexp_replace(net, '^.*@', ''), ':\d*$', ''))"
+
+
+@query("url_host", rf"SELECT page_id, regexp_replace({_HOST}, '^www\.', '') AS domain FROM (SELECT page_id, {_SPLIT} FROM pages)")
+def url_host(spark, d):
+    return table(spark, d, "pages").select("page_id", ux.website_domain(F.col("url")).alias("domain"))
+
+
+_KEPT = f"list_filter(string_split(qry, '&'), lambda x: x <> '' AND NOT regexp_matches(split_part(x, '=', 1), '(?i)^(utm_[a-z]+|{'|'.join(lx.TRACKING_NAMES)})$'))"
+
+
+@query("url_strip_tracking", f"""SELECT page_id, sch || '://' || net || pth || CASE WHEN len(k) > 0 THEN '?' || array_to_string(k, '&') ELSE '' END AS clean
+FROM (SELECT page_id, sch, net, pth, {_KEPT} AS k FROM (SELECT page_id, {_SPLIT} FROM pages))""")
+def url_strip_tracking(spark, d):
+    return table(spark, d, "pages").select("page_id", ux.strip_tracking(F.col("url")).alias("clean"))
+
+
+@query("url_page_key", f"""SELECT page_id, lower(net) || CASE WHEN regexp_replace(pth, '/+$', '') = '' THEN '/' ELSE regexp_replace(pth, '/+$', '') END || CASE WHEN len(k) > 0 THEN '?' || array_to_string(list_sort(k), '&') ELSE '' END AS key
+FROM (SELECT page_id, net, pth, {_KEPT} AS k FROM (SELECT page_id, {_SPLIT} FROM pages))""")
+def url_page_key(spark, d):
+    return table(spark, d, "pages").select("page_id", "url").withColumn("p", ux.detect_ats(F.col("url"))).select("page_id", ux.page_key(F.col("url"), F.col("p")).alias("key"))
+
+
+@query("linkedin_url", """SELECT s_suppkey AS id, CASE WHEN slug <> '' AND slug NOT LIKE '%/%' AND slug NOT LIKE '% %' THEN 'https://www.linkedin.com/company/' || lower(slug) END AS url
+FROM (SELECT s_suppkey, CASE s_suppkey % 4 WHEN 0 THEN 'Acme-' || s_suppkey WHEN 1 THEN 'Co' || s_suppkey WHEN 2 THEN 'not a slug' ELSE 'a/b' END AS slug FROM supplier)""")
+def linkedin_url(spark, d):
+    v = "CASE s_suppkey % 4 WHEN 0 THEN concat('https://de.LinkedIn.com/company/Acme-', s_suppkey, '/about') WHEN 1 THEN concat('/Co', s_suppkey, '/') WHEN 2 THEN 'not a slug' ELSE 'a/b' END AS v"
+    return derived(spark, d, "supplier", f"s_suppkey AS id, {v}").select("id", ux.linkedin_company_url(F.col("v")).alias("url"))
+
+
+# URLs of many kinds, picked by the supplier's number
+URL_KINDS = """CASE s_suppkey % 16
+ WHEN 0 THEN concat('https://acme', s_suppkey, '.wd5.myworkdayjobs.com/en-US/Careers', s_suppkey, '/login?redirect=x')
+ WHEN 1 THEN concat('https://boards.greenhouse.io/acme', s_suppkey, '/jobs/4')
+ WHEN 2 THEN concat('https://boards.greenhouse.io/embed/job_board/js?for=acme', s_suppkey)
+ WHEN 3 THEN concat('https://jobs.lever.co/Acme', s_suppkey, '/abc')
+ WHEN 4 THEN concat('https://career5.successfactors.eu/career?company=acme', s_suppkey, '&site=1')
+ WHEN 5 THEN concat('https://acme', s_suppkey, '.taleo.net/careersection/2/jobsearch.ftl?lang=en')
+ WHEN 6 THEN concat('https://fa.oraclecloud.com/hcmUI/CandidateExperience/en/sites/CX_', s_suppkey, '/jobs?keyword=x')
+ WHEN 7 THEN concat('https://careers.acme', s_suppkey, '.com/hcmUI/CandidateExperience/en/sites/CX')
+ WHEN 8 THEN concat('https://jobs.sap.com/search/?q=', s_suppkey)
+ WHEN 9 THEN concat('https://workforcenow.adp.com/recruitment/rec.html?cid=', s_suppkey, '&utm_source=a')
+ WHEN 10 THEN concat('https://www.acme', s_suppkey, '.com/careers/')
+ WHEN 11 THEN concat('https://www.acme', s_suppkey, '.co.uk/a/work-with-us?gclid=1&b=2')
+ WHEN 12 THEN concat('https://news.acme', s_suppkey, '.com/acme-to-create-many-new-jobs-here')
+ WHEN 13 THEN concat('https://cdn.acme', s_suppkey, '.com/static/app.JS')
+ WHEN 14 THEN concat('https://talent.acme', s_suppkey, '.com/talent-services/login')
+ ELSE concat('https://acme', s_suppkey, '.org/about/vacancies/12') END AS url"""
+_URLS = f"(SELECT id, url, {_SPLIT} FROM (SELECT s_suppkey AS id, {URL_KINDS} FROM supplier))"
+
+
+def _urls(spark, d):
+    return derived(spark, d, "supplier", f"s_suppkey AS id, {URL_KINDS}")
+
+
+def _rule(hosts: str, pattern: str) -> str:
+    parts = ["true" if h == "*" else f"h = '{h[1:]}'" if h[0] == "=" else f"(h = '{h}' OR ends_with(h, '.{h}'))" for h in hosts.split()]
+    return f"h <> '' AND ({' OR '.join(parts)})" + (f" AND regexp_matches(pth, '{pattern}')" if pattern else "")
+
+
+_ATS = "CASE " + " ".join(f"WHEN {_rule(h, p)} THEN '{n}'" for n, h, p in lx.PROVIDERS) + " END"
+_FOUND = f"(SELECT *, {_ATS} AS provider FROM (SELECT *, {_HOST} AS h FROM {_URLS}))"
+_SEGMENTS = "list_filter(string_split(pth, '/'), lambda s: s <> '')"
+_SHARED = "(" + ", ".join(f"'{p}'" for p in lx.SHARED_HOST_PROVIDERS) + ")"
+_NOT_PORTAL = ("(?i)(" + "|".join(lx.NOT_PORTAL_PARTS) + ")").replace("'", "''")
+_IS_NOT_PORTAL = f"(regexp_matches(net || pth || '?' || qry, '{_NOT_PORTAL}') OR len(list_filter(string_split(pth, '/'), lambda s: len(regexp_split_to_array(s, '[-_]')) >= {lx.ARTICLE_WORDS})) > 0)"
+_PARAM = lambda n: f"regexp_extract(qry, '(?:^|&){n}=([^&]+)', 1)"
+_CLEAN = f"""CASE
+ WHEN provider = 'Workday' THEN sch || '://' || net || '/' || array_to_string({_SEGMENTS}[1:(CASE WHEN regexp_matches({_SEGMENTS}[1], '(?i)^[a-z]{{2}}(-[a-z]{{2}})?$') THEN 2 ELSE 1 END)], '/')
+ WHEN provider = 'SuccessFactors' AND pth LIKE '%/career' THEN sch || '://' || net || pth || '?company=' || {_PARAM("company")}
+ WHEN provider = 'Oracle Recruiting Cloud' THEN sch || '://' || net || regexp_extract(pth, '(?i)^(/hcmUI/CandidateExperience/[^/]+/sites/[^/]+)', 1)
+ WHEN provider = 'Greenhouse' AND {_PARAM("for")} <> '' THEN 'https://boards.greenhouse.io/' || {_PARAM("for")}
+ WHEN provider IN {_SHARED} THEN sch || '://' || net || '/' || {_SEGMENTS}[1]
+ WHEN provider IS NOT NULL AND {_IS_NOT_PORTAL} THEN sch || '://' || net || '/'
+ ELSE sch || '://' || net || pth || CASE WHEN len({_KEPT}) > 0 THEN '?' || array_to_string({_KEPT}, '&') ELSE '' END END"""
+
+
+@query("ats_detect", f"SELECT id, provider FROM {_FOUND}")
+def ats_detect(spark, d):
+    return _urls(spark, d).select("id", ux.detect_ats(F.col("url")).alias("provider"))
+
+
+@query("ats_clean", f"SELECT id, {_CLEAN} AS clean FROM {_FOUND}")
+def ats_clean(spark, d):
+    return _urls(spark, d).withColumn("p", ux.detect_ats(F.col("url"))).select("id", ux.clean_ats_url(F.col("url"), F.col("p")).alias("clean"))
+
+
+@query("ats_tenant", rf"""SELECT id, CASE WHEN provider IN {_SHARED} THEN provider || ':' || lower(regexp_replace(clean, '^https?://[^/]*/', '')) WHEN provider IS NOT NULL THEN provider || ':' || h END AS tenant
+FROM (SELECT *, {_CLEAN} AS clean FROM {_FOUND})""")
+def ats_tenant(spark, d):
+    return _urls(spark, d).withColumn("p", ux.detect_ats(F.col("url"))).select("id", ux.ats_tenant(F.col("url"), F.col("p")).alias("tenant"))
+
+
+@query("ats_counts", f"SELECT coalesce(provider, '(none)') AS provider, count(*) AS n FROM {_FOUND} GROUP BY 1")
+def ats_counts(spark, d):
+    return _urls(spark, d).select(F.coalesce(ux.detect_ats(F.col("url")), F.lit("(none)")).alias("provider")).groupBy("provider").agg(F.count(F.lit(1)).alias("n"))
+
+
+_ASSET = r"(?i)\.(" + "|".join(lx.ASSET_ENDINGS) + ")$"
+
+
+@query("url_is_asset", f"SELECT id, regexp_matches(pth, '{_ASSET}') AS asset FROM {_URLS}")
+def url_is_asset(spark, d):
+    return _urls(spark, d).select("id", ux.is_asset(F.col("url")).alias("asset"))
+
+
+@query("url_article_slug", f"SELECT id, len(list_filter(string_split(pth, '/'), lambda s: len(regexp_split_to_array(s, '[-_]')) >= {lx.ARTICLE_WORDS})) > 0 AS article FROM {_URLS}")
+def url_article_slug(spark, d):
+    return _urls(spark, d).select("id", ux.is_article(F.col("url")).alias("article"))
+
+
+@query("url_non_portal", f"SELECT id, {_IS_NOT_PORTAL} AS not_portal FROM {_URLS}")
+def url_non_portal(spark, d):
+    return _urls(spark, d).select("id", ux.is_not_portal(F.col("url")).alias("not_portal"))
+
+
+_TOKENS = f"list_distinct(list_concat(regexp_split_to_array({_HOST}, '[./]'), list_concat(list_filter(string_split(lower(pth), '/'), lambda s: s <> ''), list_filter(flatten(list_transform(list_filter(string_split(lower(pth), '/'), lambda s: s <> ''), lambda s: regexp_split_to_array(s, '[-_]'))), lambda s: s NOT IN ('talent')))))"
+_CAREER = "[" + ", ".join(f"'{w}'" for w in lx.CAREER_URL_WORDS) + "]"
+
+
+@query("url_tokens", f"SELECT id, array_to_string(list_sort({_TOKENS}), ' ') AS tokens FROM {_URLS}")
+def url_tokens(spark, d):
+    return _urls(spark, d).select("id", F.array_join(F.array_sort(F.array_distinct(ux.url_tokens(ux.host(F.col("url")), ux.path(F.col("url"))))), " ").alias("tokens"))
+
+
+@query("career_url", f"SELECT id, list_has_any({_TOKENS}, {_CAREER}) AS career FROM {_URLS}")
+def career_url(spark, d):
+    return _urls(spark, d).select("id", ux.has_career_url(ux.host(F.col("url")), ux.path(F.col("url"))).alias("career"))
+
+
+_TWO = "(" + ", ".join(f"'{s}'" for s in lx.TWO_LABEL_SUFFIXES) + ")"
+_LABELS = "string_split(h, '.')"
+
+
+@query("registrable_domain", f"SELECT id, array_to_string({_LABELS}[-(CASE WHEN array_to_string({_LABELS}[-2:], '.') IN {_TWO} THEN 3 ELSE 2 END):], '.') AS domain FROM {_FOUND}")
+def registrable_domain(spark, d):
+    return _urls(spark, d).select("id", ux.registrable_domain(ux.host(F.col("url"))).alias("domain"))
+
+
+@query("third_party_hosts", """SELECT s_suppkey AS id, s_suppkey % 6 IN (0, 1, 3, 4) AS third_party FROM supplier""")
+def third_party_hosts(spark, d):
+    v = "CASE s_suppkey % 6 WHEN 0 THEN 'https://www.indeed.co.uk/a' WHEN 1 THEN 'https://x.com/acme' WHEN 2 THEN 'https://xerox.com/' WHEN 3 THEN 'https://play.google.com/store' WHEN 4 THEN 'https://acme.myworkday.com/' ELSE 'https://www.google.com/' END AS url"
+    return derived(spark, d, "supplier", f"s_suppkey AS id, {v}").select("id", ux.is_third_party(F.col("url")).alias("third_party"))
+
+
+# --- pages --------------------------------------------------------------------------------------------------
+
+_HREFS = r"""(SELECT page_id, url AS page_url, u.href AS href, u.txt AS txt, u.pos AS pos FROM (SELECT page_id, url, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1) AS h, regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2) AS t FROM pages),
+ unnest(list_transform(range(1, len(h) + 1), lambda i: {'href': h[i], 'txt': t[i], 'pos': i - 1})) AS x(u))"""
+
+
+def _links(spark, d):
+    return pages.parsed(table(spark, d, "pages").select("page_id", "url", "html")).select("page_id", F.explode("links").alias("l")).select("page_id", "l.*")
+
+
+@query("link_extract", f"SELECT page_id, CAST(pos AS INTEGER) AS pos, regexp_extract(page_url, '^(https?://[^/?#]*)', 1) || href AS link, txt AS text FROM {_HREFS}")
+def link_extract(spark, d):
+    return _links(spark, d).where("kind = 'a'").select("page_id", "pos", F.col("url").alias("link"), "text")
+
+
+@query("title_extract", """SELECT page_id, trim(replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&quot;', '"'), '&amp;', '&')) AS title FROM pages""")
+def title_extract(spark, d):
+    return pages.parsed(table(spark, d, "pages").select("page_id", "url", "html")).select("page_id", "title")
+
+
+@query("link_kind_counts", f"SELECT page_id, 'a' AS kind, count(*) AS n FROM {_HREFS} GROUP BY page_id")
+def link_kind_counts(spark, d):
+    return _links(spark, d).groupBy("page_id", "kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("link_hosts", rf"SELECT regexp_replace(lower(regexp_extract(page_url, '^https?://([^/?#]*)', 1)), '^www\.', '') AS host, count(*) AS links FROM {_HREFS} GROUP BY 1")
+def link_hosts(spark, d):
+    return _links(spark, d).groupBy(ux.website_domain(F.col("url")).alias("host")).agg(F.count(F.lit(1)).alias("links"))
+
+
+# three links for each customer; the score's parts are plain to see
+LINK3 = """CASE k WHEN 0 THEN 'Careers' WHEN 1 THEN 'Jobs in India' ELSE 'About us' END AS text,
+ CASE k WHEN 0 THEN concat('https://www.acme', c_custkey, '.com/about/us/more') WHEN 1 THEN concat('https://jobs.acme', c_custkey, '.com/jobs') ELSE concat('https://www.acme', c_custkey, '.com/a', c_custkey % 3) END AS url"""
+
+
+@query("link_score_top1", """WITH s AS (SELECT c_custkey, k, CASE k WHEN 0 THEN 6 WHEN 1 THEN 9 ELSE 1 END AS score FROM customer, (SELECT unnest([0, 1, 2]) AS k))
+SELECT c_custkey, k AS pos, score FROM (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY score DESC, k) AS r FROM s) WHERE r = 1""")
+def link_score_top1(spark, d):
+    # Jobs in India: text 4, URL 4, host label 2, region -2, short path 1
+    links = derived(spark, d, "customer", "c_custkey, explode(array(0, 1, 2)) AS k").createOrReplaceTempView("_millrace_link3")
+    links = spark.sql(f"SELECT c_custkey, k, 'a' AS kind, {LINK3} FROM _millrace_link3")
+    facts = pages.url_facts(links.select("url").distinct())
+    scored = links.join(facts, "url").withColumn("score", pages.link_score())
+    best = scored.groupBy("c_custkey").agg(F.max(F.struct("score", (-F.col("k")).alias("k"))).alias("b"))
+    return best.select("c_custkey", (-F.col("b.k")).alias("pos"), "b.score")
+
+
+@query("scope_caps", """SELECT l_orderkey, l_linenumber, l_returnflag FROM (SELECT l_orderkey, l_linenumber, l_returnflag, row_number() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY l_linenumber, l_partkey, l_suppkey) AS r FROM lineitem)
+WHERE r <= CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END""")
+def scope_caps(spark, d):
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", F.struct("l_linenumber", "l_partkey", "l_suppkey").alias("o"))
+    return export.capped(rows, ["l_orderkey"], "o", {"A": 1, "N": 2, "R": 3}, "l_returnflag").select("l_orderkey", "l_linenumber", "l_returnflag")
+
+
+@query("scope_overflow", """SELECT l_returnflag AS scope, count(*) AS over FROM (SELECT l_returnflag, row_number() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY l_linenumber) AS r FROM lineitem)
+WHERE r > CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END GROUP BY 1""")
+def scope_overflow(spark, d):
+    # counted, so no ranks are needed
+    n = table(spark, d, "lineitem").groupBy("l_orderkey", "l_returnflag").agg(F.count(F.lit(1)).alias("n"))
+    cap = F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2).otherwise(3)
+    return n.groupBy(F.col("l_returnflag").alias("scope")).agg(F.sum(F.greatest(F.col("n") - cap, F.lit(0))).alias("over")).where("over > 0")
+
+
+@query("best_ats_link", """SELECT l_orderkey, l_partkey AS best FROM (SELECT l_orderkey, l_partkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_returnflag = 'R', l_linestatus = 'O', l_quantity > 25, l_discount > 0.05, l_tax > 0.04, l_linenumber, l_partkey) AS r FROM lineitem) WHERE r = 1""")
+def best_ats_link(spark, d):
+    key = F.struct(F.col("l_returnflag") == "R", F.col("l_linestatus") == "O", F.col("l_quantity") > 25, F.col("l_discount") > 0.05, F.col("l_tax") > 0.04, "l_linenumber", "l_partkey")
+    return table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.min_by("l_partkey", key).alias("best"))
+
+
+# --- names and texts ----------------------------------------------------------------------------------------
+
+REGION_INPUT = "n_nationkey AS id, CASE n_nationkey % 5 WHEN 0 THEN concat('Jobs in India and Japan ', n_nationkey) WHEN 1 THEN 'Careers, Latin America' WHEN 2 THEN 'Indiana office' ELSE 'Careers' END AS txt, CASE n_nationkey % 4 WHEN 3 THEN '/en/united-kingdom/jobs' ELSE '/en/uk' END AS pth"
+
+
+@query("region_of", f"SELECT id, CASE WHEN txt LIKE 'Jobs in India%' THEN 'India' WHEN txt LIKE '%Latin America' THEN 'Latin America' WHEN pth LIKE '%united-kingdom%' THEN 'United Kingdom' END AS region FROM (SELECT {REGION_INPUT} FROM nation)")
+def region_of(spark, d):
+    return derived(spark, d, "nation", REGION_INPUT).select("id", tx.region_of(F.col("txt"), F.col("pth")).alias("region"))
+
+
+NAMES = "p_partkey AS id, concat(p_name, CASE p_partkey % 3 WHEN 0 THEN ' Group plc' WHEN 1 THEN ' & Co.' ELSE ' of the GmbH' END) AS name"
+_SUFFIXES = "(" + ", ".join(f"'{s}'" for s in lx.NAME_SUFFIXES) + ")"
+_NAME = f"list_filter(regexp_extract_all(lower(name), '[a-z0-9]+'), lambda t: t NOT IN {_SUFFIXES} AND len(t) >= 2)"
+
+
+@query("name_tokens", f"SELECT id, array_to_string({_NAME}, ' ') AS tokens FROM (SELECT {NAMES} FROM part)")
+def name_tokens(spark, d):
+    return derived(spark, d, "part", NAMES).select("id", F.array_join(tx.name_tokens(F.col("name")), " ").alias("tokens"))
+
+
+@query("name_match", f"SELECT id, id % 2 = 0 AND len(array_to_string({_NAME}, '')) >= 3 AS matches FROM (SELECT {NAMES} FROM part)")
+def name_match(spark, d):
+    target = "CASE WHEN p_partkey % 2 = 0 THEN concat('https://www.', replace(p_name, ' ', '-'), '.com/') ELSE 'https://general-electric.com' END AS target"
+    return derived(spark, d, "part", f"{NAMES}, {target}").select("id", tx.name_matches(F.col("name"), F.col("target")).alias("matches"))
+
+
+ORGS = """p_partkey AS id, concat(p_name, CASE p_partkey % 7 WHEN 0 THEN ' University Hospital' WHEN 1 THEN ' Clinic' WHEN 2 THEN ' City Council' WHEN 3 THEN ' Army' ELSE ' Ltd' END) AS name,
+ CASE p_partkey % 5 WHEN 0 THEN 'publishing; Higher Education' WHEN 1 THEN 'computer science; retail' WHEN 2 THEN 'computer hardware' WHEN 3 THEN 'Internet' ELSE 'internet of things; cloud services' END AS industry"""
+
+
+@query("org_type", rf"""SELECT id, CASE WHEN regexp_matches(name, '(?i)universit|college|school') OR industry ILIKE '%higher education%' THEN 'education' WHEN regexp_matches(name, '(?i)hospitals?\b|clinic\b') THEN 'healthcare'
+ WHEN regexp_matches(name, '(?i)\barmy\b|council\b') THEN 'public body' ELSE 'company' END AS organization_type FROM (SELECT {ORGS} FROM part)""")
+def org_type(spark, d):
+    return derived(spark, d, "part", ORGS).select("id", tx.organization_type(F.col("name"), F.col("industry")).alias("organization_type"))
+
+
+@query("sector", f"SELECT id, CASE WHEN id % 5 IN (2, 3, 4) THEN 'it' ELSE '' END AS sector FROM (SELECT {ORGS} FROM part)")
+def sector(spark, d):
+    return derived(spark, d, "part", ORGS).select("id", tx.sector(F.col("industry")).alias("sector"))
+
+
+SIZES = "p_partkey AS id, CASE p_size % 4 WHEN 0 THEN concat(p_size, '-', p_size + 9) WHEN 1 THEN '10,001+' WHEN 2 THEN concat(' ', p_size * 100, '+') ELSE 'unknown' END AS size"
+
+
+@query("band_lower_bound", rf"SELECT id, TRY_CAST(replace(regexp_extract(size, '^\s*([\d,]+)', 1), ',', '') AS BIGINT) AS low FROM (SELECT {SIZES} FROM part)")
+def band_lower_bound(spark, d):
+    return derived(spark, d, "part", SIZES).select("id", tx.band_lower_bound(F.col("size")).alias("low"))
+
+
+@query("nice_name", """SELECT id, array_to_string(list_transform(string_split(name, ' '), lambda w: CASE WHEN w IN ('ibm', 'plc') THEN upper(w) WHEN w = 'of' THEN w WHEN w = 'l&t' THEN 'L&T' WHEN w = 'coca-cola' THEN 'Coca-Cola' ELSE upper(w[1]) || w[2:] END), ' ') AS name
+FROM (SELECT p_partkey AS id, concat(p_name, CASE p_partkey % 4 WHEN 0 THEN ' l&t plc' WHEN 1 THEN ' bank of coca-cola' WHEN 2 THEN ' ibm' ELSE '' END) AS name FROM part)""")
+def nice_name(spark, d):
+    v = "p_partkey AS id, concat(p_name, CASE p_partkey % 4 WHEN 0 THEN ' l&t plc' WHEN 1 THEN ' bank of coca-cola' WHEN 2 THEN ' ibm' ELSE '' END) AS name"
+    return derived(spark, d, "part", v).select("id", tx.nice_name(F.col("name")).alias("name"))
+
+
+PLACES = "n_nationkey AS id, CASE n_nationkey % 6 WHEN 0 THEN 'Bengaluru, Karnataka' WHEN 1 THEN 'Austin, Texas, US' WHEN 2 THEN 'Berlin, DE' WHEN 3 THEN concat('Somewhere, ', lower(n_name)) WHEN 4 THEN 'Gary, IN' ELSE 'Atlantis' END AS hq, n_name"
+
+
+@query("country_from", f"SELECT id, CASE id % 6 WHEN 0 THEN 'India' WHEN 3 THEN n_name WHEN 5 THEN NULL ELSE 'United States' END AS country FROM (SELECT {PLACES} FROM nation)")
+def country_from(spark, d):
+    # state codes come before country codes, so DE and IN are read as states
+    known = F.create_map(F.lower("n_name"), F.col("n_name"))
+    return derived(spark, d, "nation", PLACES).select("id", tx.country_from(F.col("hq"), known).alias("country"))
+
+
+@query("employee_band", r"""SELECT id, CASE id % 4 WHEN 0 THEN '1,001-5,000' WHEN 1 THEN '10,001+' WHEN 2 THEN 'about ' || (id + 5) END AS band, CASE id % 4 WHEN 0 THEN 1001 WHEN 1 THEN 10001 WHEN 2 THEN id + 5 END AS least FROM (SELECT s_suppkey AS id FROM supplier)""")
+def employee_band(spark, d):
+    v = "s_suppkey AS id, CASE s_suppkey % 4 WHEN 0 THEN '1,001-5,000 employees' WHEN 1 THEN '10,001+ employees' WHEN 2 THEN concat('about ', s_suppkey + 5) ELSE 'none' END AS t"
+    return derived(spark, d, "supplier", v).select("id", tx.employee_band(F.col("t")).alias("b")).select("id", "b.band", "b.least")
+
+
+@query("props_json", "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
+def props_json(spark, d):
+    return table(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").cast("bigint").alias("k"))
+
+
+@query("confidence_score", """SELECT l_returnflag, l_linestatus, count(*) AS n, max(least(100, CASE WHEN l_returnflag = 'A' THEN 30 ELSE 0 END + CASE WHEN l_returnflag = 'R' THEN 20 ELSE 0 END + CASE WHEN l_linestatus = 'F' THEN 20 ELSE 0 END + CASE WHEN l_discount > 0.05 THEN 20 ELSE 0 END + CASE WHEN l_tax > 0.04 THEN 15 ELSE 0 END + CASE WHEN l_quantity > 25 THEN 15 ELSE 0 END)) AS best,
+ sum(least(100, CASE WHEN l_returnflag = 'A' THEN 30 ELSE 0 END + CASE WHEN l_returnflag = 'R' THEN 20 ELSE 0 END + CASE WHEN l_linestatus = 'F' THEN 20 ELSE 0 END + CASE WHEN l_discount > 0.05 THEN 20 ELSE 0 END + CASE WHEN l_tax > 0.04 THEN 15 ELSE 0 END + CASE WHEN l_quantity > 25 THEN 15 ELSE 0 END)) AS total FROM lineitem GROUP BY 1, 2""")
+def confidence_score(spark, d):
+    on = {"linked_from_official_site": F.col("l_returnflag") == "A", "found_by_probe": F.col("l_returnflag") == "R", "on_company_domain": F.col("l_linestatus") == "F", "ats_detected": F.col("l_discount") > 0.05, "name_match": F.col("l_tax") > 0.04, "job_content": F.col("l_quantity") > 25}
+    score = tx.confidence_hundredths(on)
+    return table(spark, d, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(F.count(F.lit(1)).alias("n"), F.max(score).alias("best"), F.sum(score).alias("total"))
+
+
+# --- sources and ingest -------------------------------------------------------------------------------------
+
+DUMP = """c_custkey AS id, lower(c_name) AS name, CASE c_custkey % 5 WHEN 0 THEN '1001 - 5000' WHEN 1 THEN '10001+' WHEN 2 THEN '51-200' WHEN 3 THEN '5001-10000' ELSE '' END AS size,
+ concat('Nation ', c_nationkey) AS country, lower(c_mktsegment) AS industry, concat('www.c', c_custkey, '.com') AS website, CAST(NULL AS VARCHAR(10)) AS linkedin_url"""
+_DUMP = f"(SELECT {DUMP} FROM customer)"
+_KEPT_ROWS = f"(SELECT * FROM {_DUMP} WHERE replace(size, ' ', '') IN ('1001-5000', '5001-10000', '10001+') AND lower(country) IN ('nation 1', 'nation 2', 'nation 3'))"
+
+
+def _dump(spark, d):
+    return dump.normalized(derived(spark, d, "customer", DUMP))
+
+
+@query("pdl_filter", rf"SELECT CAST(id AS VARCHAR) AS source_id, upper(name[1]) || name[2:] AS name, CAST(regexp_extract(size, '^(\d+)', 1) AS BIGINT) AS employee_count, 'https://' || website AS website, country, industry FROM {_KEPT_ROWS}")
+def pdl_filter(spark, d):
+    return dump.records(dump.kept(_dump(spark, d), ["NATION 1", "nation 2 ", "Nation 3"])).select("source_id", "name", "employee_count", "website", "country", "industry")
+
+
+@query("pdl_scan_summary", f"SELECT lower(country) AS country, count(*) AS rows FROM {_KEPT_ROWS} GROUP BY 1 UNION ALL SELECT NULL, count(*) FROM {_DUMP}")
+def pdl_scan_summary(spark, d):
+    rows = _dump(spark, d)
+    return dump.scan_summary(rows, dump.kept(rows, ["nation 1", "nation 2", "nation 3"]))
+
+
+RECORDS = """c_custkey AS ordinal, 'src' AS source, concat('id', c_custkey) AS source_id, CASE WHEN c_custkey % 11 = 0 THEN '  ' ELSE c_name END AS name,
+ CASE WHEN c_custkey % 7 = 0 THEN NULL WHEN c_custkey % 97 = 0 THEN 3000000 ELSE CAST(floor(c_acctbal) AS BIGINT) END AS employee_count,
+ CASE WHEN c_custkey % 5 = 0 THEN '2020-01-01' END AS dissolved"""
+_REASON = """CASE WHEN trim(name) = '' THEN 'missing_name' WHEN employee_count IS NULL THEN 'missing_employee_count' WHEN employee_count <= 1000 THEN 'below_employee_threshold'
+ WHEN employee_count > 2500000 THEN 'implausible_employee_count' WHEN dissolved IS NOT NULL THEN 'dissolved' END"""
+
+
+@query("reject_reason", f"SELECT source_id, {_REASON} AS reason FROM (SELECT {RECORDS} FROM customer)")
+def reject_reason(spark, d):
+    return derived(spark, d, "customer", RECORDS).select("source_id", resolve.reject_reason().alias("reason"))
+
+
+@query("outcome_counts", f"SELECT coalesce(reason, 'accepted') AS outcome, count(*) AS n FROM (SELECT {_REASON} AS reason FROM (SELECT {RECORDS} FROM customer)) GROUP BY 1")
+def outcome_counts(spark, d):
+    rows = derived(spark, d, "customer", RECORDS).select(F.coalesce(resolve.reject_reason(), F.lit("accepted")).alias("outcome"))
+    return rows.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("max_per_item_bands", "SELECT 'Q' || o_custkey AS item, CAST(max(trunc(o_totalprice)) AS BIGINT) AS employees FROM orders WHERE o_totalprice > 1000 GROUP BY 1")
+def max_per_item_bands(spark, d):
+    rows = derived(spark, d, "orders", "struct(concat('http://e/Q', o_custkey) AS value) AS item, struct(CAST(o_totalprice AS STRING) AS value) AS employees, o_totalprice AS n")
+    found = None
+    for low, high in bindings.employee_bands(1000):
+        own = rows.where(F.col("n") > low)
+        part = bindings.listed(own.where(F.col("n") <= high) if high else own)
+        found = part if found is None else found.unionByName(part)
+    return found.groupBy("item").agg(F.max("employees").alias("employees"))
+
+
+DETAILS = """concat('http://e/Q', o_custkey) AS item, o_orderkey AS pos, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderstatus END AS country, o_orderpriority AS industry"""
+
+
+@query("collect_distinct_first", """WITH r AS (SELECT 'Q' || o_custkey AS item, o_orderkey AS pos, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderstatus END AS country, o_orderpriority AS industry FROM orders),
+i AS (SELECT item, string_agg(industry, '; ' ORDER BY p) AS industry FROM (SELECT item, industry, min(pos) AS p FROM r GROUP BY 1, 2) GROUP BY 1)
+SELECT r.item AS source_id, arg_min(r.country, r.pos) FILTER (r.country IS NOT NULL) AS country, any_value(i.industry) AS industry FROM r JOIN i USING (item) GROUP BY 1""")
+def collect_distinct_first(spark, d):
+    cell = lambda c: F.struct(F.col(c).cast("string").alias("value"))
+    rows = derived(spark, d, "orders", DETAILS)
+    none = F.struct(F.lit(None).cast("string").alias("value"))
+    rows = rows.select("pos", cell("item").alias("item"), none.alias("itemLabel"), none.alias("website"), cell("country").alias("countryLabel"), cell("industry").alias("industryLabel"), none.alias("linkedin"), none.alias("parent"), none.alias("parentLabel"), none.alias("dissolved"))
+    return bindings.grouped_details(rows).select("source_id", "country", "industry")
+
+
+@query("complete_batch_left", "SELECT c_custkey AS id, count(o_orderkey) AS details, count(o_orderkey) = 0 AS missing FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1")
+def complete_batch_left(spark, d):
+    found = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("id")).agg(F.count(F.lit(1)).alias("details"))
+    out = table(spark, d, "customer").select(F.col("c_custkey").alias("id")).join(found, "id", "left")
+    return out.select("id", F.coalesce("details", F.lit(0)).alias("details"), F.col("details").isNull().alias("missing"))
+
+
+# known companies from customers, a batch of records from suppliers
+COMPANIES = """c_custkey + 1 AS id, c_name AS name, CAST(2000 AS BIGINT) AS employee_count, CASE WHEN c_custkey % 3 = 0 THEN concat('https://www.linkedin.com/company/c', c_custkey) END AS linkedin_url,
+ concat('https://c', c_custkey % 900, '.com') AS website, concat('c', c_custkey % 900, '.com') AS website_domain, CAST(NULL AS VARCHAR(10)) AS country, CAST(NULL AS VARCHAR(10)) AS industry,
+ CASE WHEN c_custkey % 10 = 9 THEN 'excluded' ELSE 'pending' END AS status, CASE WHEN c_custkey % 10 = 9 THEN 'dissolved' END AS status_reason"""
+SOURCES = "c_custkey + 1 AS company_id, 'a' AS source, concat('k', c_custkey) AS source_id, '{}' AS raw"
+BATCH = """s_suppkey AS ordinal, CASE WHEN s_suppkey % 4 = 0 THEN 'a' ELSE 'b' END AS source, concat('k', s_suppkey) AS source_id, s_name AS name, CAST(1500 + s_suppkey AS BIGINT) AS employee_count,
+ CASE WHEN s_suppkey % 4 = 1 THEN concat('c', s_suppkey - s_suppkey % 3) END AS linkedin_url, CASE WHEN s_suppkey % 4 IN (2, 3) THEN concat('https://www.c', s_suppkey + 700, '.com/x') END AS website,
+ 'Norway' AS country, CAST(NULL AS VARCHAR(10)) AS industry, CAST(NULL AS VARCHAR(10)) AS dissolved, '{}' AS raw"""
+_OUTCOME = f"""WITH c AS (SELECT {COMPANIES} FROM customer), s AS (SELECT {SOURCES} FROM customer),
+b AS (SELECT *, CASE WHEN linkedin_url IS NOT NULL THEN 'https://www.linkedin.com/company/' || linkedin_url END AS lurl, replace(replace(website, 'https://www.', ''), '/x', '') AS dom FROM (SELECT {BATCH} FROM supplier)),
+d AS (SELECT website_domain, count(*) AS n, min(id) AS id FROM c WHERE status <> 'excluded' AND linkedin_url IS NULL GROUP BY 1),
+l AS (SELECT linkedin_url AS lurl, min(id) AS id FROM c WHERE linkedin_url IS NOT NULL GROUP BY 1),
+m AS (SELECT b.*, s.company_id AS by_source, l.id AS by_url, CASE WHEN d.n = 1 THEN d.id END AS by_domain FROM b LEFT JOIN s ON s.source = b.source AND s.source_id = b.source_id LEFT JOIN l ON l.lurl = b.lurl LEFT JOIN d ON d.website_domain = b.dom)"""
+
+
+def _state(spark, d):
+    state = schemas.empty_state(spark)
+    like = lambda df, name: state[name].unionByName(df, allowMissingColumns=True)
+    state["companies"] = like(derived(spark, d, "customer", COMPANIES), "companies")
+    state["sources"] = like(derived(spark, d, "customer", SOURCES), "sources")
+    return state
+
+
+def _batch(spark, d):
+    rows = derived(spark, d, "supplier", BATCH)
+    return resolve.prepared(spark.createDataFrame([], schemas.RECORD).unionByName(rows, allowMissingColumns=True), 1000)
+
+
+@query("resolve_source_id", f"{_OUTCOME} SELECT source_id, CAST(by_source AS BIGINT) AS company_id FROM m WHERE by_source IS NOT NULL")
+def resolve_source_id(spark, d):
+    return resolve.match(_batch(spark, d), _state(spark, d), True).where("outcome = 'updated'").select("source_id", "company_id")
+
+
+@query("resolve_key_merge", f"{_OUTCOME} SELECT source_id, by_url AS company_id FROM m WHERE by_source IS NULL AND by_url IS NOT NULL")
+def resolve_key_merge(spark, d):
+    return resolve.match(_batch(spark, d), _state(spark, d), True).where("matched_on = 'linkedin_url'").select("source_id", "company_id")
+
+
+@query("resolve_unique_domain", f"{_OUTCOME} SELECT source_id, by_domain AS company_id FROM m WHERE by_source IS NULL AND by_url IS NULL AND by_domain IS NOT NULL")
+def resolve_unique_domain(spark, d):
+    return resolve.match(_batch(spark, d), _state(spark, d), True).where("matched_on = 'website_domain'").select("source_id", "company_id")
+
+
+@query("possible_duplicates", "SELECT c_custkey AS company_id, 'n' || c_nationkey AS domain, (SELECT count(*) FROM customer o WHERE o.c_nationkey = c.c_nationkey AND o.c_custkey < c.c_custkey) AS others FROM customer c WHERE c_custkey % 10 = 0 AND others > 0")
+def possible_duplicates(spark, d):
+    c = derived(spark, d, "customer", "c_custkey AS id, concat('n', c_nationkey) AS website_domain")
+    new = c.where("id % 10 = 0").select(F.col("id").alias("company_id"), "website_domain", F.lit("inserted").alias("outcome"))
+    return resolve.possible_duplicates(new, c).select("company_id", "domain", F.size("other_company_ids").cast("long").alias("others"))
+
+
+@query("parent_link", "SELECT s_suppkey AS child_company_id, CASE WHEN s_nationkey % 3 <> 0 THEN s_nationkey + 1000 END AS parent_company_id FROM supplier")
+def parent_link(spark, d):
+    rel = derived(spark, d, "supplier", "s_suppkey AS child_company_id, CAST(5 AS BIGINT) AS parent_company_id, 'n' AS parent_source, concat('n', s_nationkey) AS parent_source_id, 'x' AS parent_name")
+    known = derived(spark, d, "nation", "n_nationkey + 1000 AS company_id, 'n' AS source, concat('n', n_nationkey) AS source_id", "n_nationkey % 3 <> 0")
+    return resolve.link_parents(rel, known).select("child_company_id", "parent_company_id")
+
+
+@query("upsert_last_wins", """WITH o AS (SELECT o_custkey AS k, max(o_orderkey) AS last FROM orders GROUP BY 1)
+SELECT CASE WHEN k IS NULL THEN c_custkey ELSE k END AS source_id, CASE WHEN k IS NULL THEN 'old' ELSE 'new' || last END AS raw FROM (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0) c FULL JOIN o ON k = c_custkey""")
+def upsert_last_wins(spark, d):
+    old = derived(spark, d, "customer", "c_custkey AS source_id, 'old' AS raw", "c_custkey % 2 = 0")
+    new = derived(spark, d, "orders", "o_custkey AS source_id, concat('new', o_orderkey) AS raw, o_orderkey AS ordinal")
+    return resolve.upserted(old, new, ["source_id"])
+
+
+@query("delete_non_manual_insert", """SELECT o_orderkey AS id, o_orderstatus AS via FROM orders WHERE o_orderstatus = 'P' OR o_custkey % 2 = 1 UNION ALL SELECT 1000000 + c_custkey, 'new' FROM customer WHERE c_custkey % 2 = 0""")
+def delete_non_manual_insert(spark, d):
+    old = derived(spark, d, "orders", "o_orderkey AS id, o_custkey, o_orderstatus AS via")
+    new = derived(spark, d, "customer", "1000000 + c_custkey AS id, c_custkey AS o_custkey, 'new' AS via", "c_custkey % 2 = 0")
+    gone = old.where("via <> 'P'").join(new.select("o_custkey"), "o_custkey", "left_semi").select("id")
+    return old.join(gone, "id", "left_anti").select("id", "via").unionByName(new.select("id", "via"))
+
+
+# --- export and report --------------------------------------------------------------------------------------
+
+EXPORT_COMPANIES = """c_custkey AS id, c_name AS name, CAST(floor(c_acctbal) AS BIGINT) AS employee_count, CAST(NULL AS VARCHAR(9)) AS linkedin_url, CAST(NULL AS VARCHAR(9)) AS website, CAST(NULL AS VARCHAR(9)) AS website_domain,
+ concat('Nation ', c_nationkey) AS country, CASE WHEN c_mktsegment = 'MACHINERY' THEN 'computer hardware' ELSE lower(c_mktsegment) END AS industry, CASE WHEN c_custkey % 9 = 0 THEN 'excluded' ELSE 'discovered' END AS status, CAST(NULL AS VARCHAR(9)) AS status_reason"""
+EXPORT_PORTALS = """o_orderkey AS id, o_custkey AS company_id, concat('https://p', o_orderkey, '.com') AS career_page_url, CASE WHEN o_orderkey % 4 = 0 THEN concat('https://ats', o_orderkey, '.com') END AS final_ats_url,
+ CAST(NULL AS VARCHAR(9)) AS ats_provider, CASE WHEN o_orderstatus = 'F' THEN 'global' ELSE 'regional' END AS scope, CAST(NULL AS VARCHAR(9)) AS region, 'unverified' AS verification_status, CAST(0.5 AS DOUBLE) AS confidence,
+ CASE o_orderkey % 5 WHEN 0 THEN 'manual' WHEN 1 THEN NULL ELSE 'homepage_link' END AS discovered_via"""
+EXPORT_PARENTS = "c_custkey AS child_company_id, CASE WHEN c_custkey % 2 = 0 THEN c_custkey + 1 END AS parent_company_id, 's' AS parent_source, concat('p', c_custkey) AS parent_source_id, CASE WHEN c_custkey % 4 = 1 THEN 'Named' END AS parent_name"
+_EXPORT = f"""WITH c AS (SELECT {EXPORT_COMPANIES} FROM customer), p AS (SELECT {EXPORT_PORTALS} FROM orders), r AS (SELECT {EXPORT_PARENTS} FROM customer WHERE c_custkey % 3 = 0),
+n AS (SELECT r.child_company_id AS id, string_agg(coalesce(o.name, r.parent_name, r.parent_source_id), '; ' ORDER BY r.parent_source_id) AS parents FROM r LEFT JOIN c o ON o.id = r.parent_company_id GROUP BY 1),
+e AS (SELECT c.id AS company_id, c.name AS company_name, c.employee_count, c.country, c.industry, CASE WHEN c.industry = 'computer hardware' THEN 'it' ELSE '' END AS sector, n.parents AS parent_companies, c.status AS pipeline_status, p.id AS portal_id, p.career_page_url, p.scope AS portal_scope, p.final_ats_url, p.discovered_via
+ FROM c LEFT JOIN p ON p.company_id = c.id AND (c.status <> 'excluded' OR p.discovered_via = 'manual') LEFT JOIN n ON n.id = c.id)"""
+
+
+def _export_state(spark, d):
+    state = schemas.empty_state(spark)
+    like = lambda df, name: state[name].unionByName(df, allowMissingColumns=True)
+    return state | {"companies": like(derived(spark, d, "customer", EXPORT_COMPANIES), "companies"), "portals": like(derived(spark, d, "orders", EXPORT_PORTALS), "portals"), "relationships": like(derived(spark, d, "customer", EXPORT_PARENTS, "c_custkey % 3 = 0"), "relationships")}
+
+
+@query("export_portals", f"{_EXPORT} SELECT company_id, company_name, employee_count, country, industry, sector, parent_companies, pipeline_status, career_page_url, portal_scope, final_ats_url, discovered_via FROM e ORDER BY employee_count DESC, company_id, portal_id")
+def export_portals(spark, d):
+    rows = export.order_export(export.export_portals(_export_state(spark, d)))
+    return rows.select("company_id", "company_name", "employee_count", "country", "industry", "sector", "parent_companies", "pipeline_status", "career_page_url", "portal_scope", "final_ats_url", "discovered_via")
+
+
+@query("export_filtered", f"{_EXPORT} SELECT company_id, company_name, portal_id FROM e WHERE sector = 'it' AND country IN ('Nation 1', 'Nation 7')")
+def export_filtered(spark, d):
+    return export.export_portals(_export_state(spark, d), countries=["nation 1", " NATION 7"], types=["company"], sectors=["IT"]).select("company_id", "company_name", "portal_id")
+
+
+@query("export_per_company", f"""{_EXPORT}, m AS (SELECT *, row_number() OVER (PARTITION BY company_id ORDER BY coalesce(portal_scope, '') <> 'global', portal_id) AS r FROM e),
+o AS (SELECT company_id, string_agg(coalesce(final_ats_url, career_page_url), ' | ' ORDER BY portal_id) AS others FROM m WHERE r > 1 AND career_page_url IS NOT NULL GROUP BY 1)
+SELECT m.company_id, company_name, employee_count, country, sector, parent_companies, pipeline_status, career_page_url, final_ats_url, coalesce(others, '') AS other_career_pages FROM m LEFT JOIN o USING (company_id) WHERE r = 1""")
+def export_per_company(spark, d):
+    rows = export.per_company(export.export_portals(_export_state(spark, d)))
+    return rows.select("company_id", "company_name", "employee_count", "country", "sector", "parent_companies", "pipeline_status", "career_page_url", "final_ats_url", "other_career_pages")
+
+
+@query("countries_count", f"SELECT coalesce(country, '(unknown)') AS country, count(*) AS n FROM (SELECT {EXPORT_COMPANIES} FROM customer) WHERE status <> 'excluded' GROUP BY 1")
+def countries_count(spark, d):
+    return export.countries(_export_state(spark, d)["companies"])
+
+
+@query("distinct_countries", "SELECT DISTINCT r_name AS country FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name IS NOT NULL")
+def distinct_countries(spark, d):
+    # a region is a row of a table of fixed size, so it may be broadcast
+    named = table(spark, d, "nation").join(F.broadcast(table(spark, d, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    return named.where("r_name IS NOT NULL").select(F.col("r_name").alias("country")).distinct()
+
+
+@query("work_selection_topk", f"SELECT id, employee_count FROM (SELECT {EXPORT_COMPANIES} FROM customer) WHERE status IN ('discovered') AND lower(country) IN ('nation 1', 'nation 2') ORDER BY employee_count DESC, id LIMIT 25")
+def work_selection_topk(spark, d):
+    return export.selected(_export_state(spark, d)["companies"], ["discovered"], 25, names=["Nation 1", "nation 2"]).select("id", "employee_count")
+
+
+@query("orphans_anti", "SELECT c_custkey AS id FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_custkey % 4 <> 0)")
+def orphans_anti(spark, d):
+    return report.orphans(_export_state(spark, d)["companies"], derived(spark, d, "orders", "o_custkey AS company_id", "o_custkey % 4 <> 0")).select("id")
+
+
+@query("portal_less_anti", f"SELECT id FROM (SELECT {EXPORT_COMPANIES} FROM customer) c WHERE status IN ('discovered', 'verified') AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.id AND o.o_orderkey % 8 = 0)")
+def portal_less_anti(spark, d):
+    state = _export_state(spark, d)
+    return report.portal_less(state["companies"], state["portals"].where("id % 8 = 0")).select("id")
+
+
+RUN_EVENTS = "user_id AS run_id, event_id AS company_id, 'ingest' AS stage, CASE WHEN event_type = 'error' THEN 'rejected' ELSE event_type END AS event, props AS detail"
+
+
+@query("run_reconciliation", """WITH r AS (SELECT user_id AS id, count(*) AS seen, count(*) FILTER (event_type = 'error') AS logged FROM events GROUP BY 1)
+SELECT id, CAST(seen AS BIGINT) AS accounted, logged, CASE WHEN id % 7 = 0 THEN 'unfinished' WHEN id % 5 = 0 THEN 'counts' ELSE '' END AS fault FROM r""")
+def run_reconciliation(spark, d):
+    events = derived(spark, d, "events", RUN_EVENTS)
+    runs = events.groupBy(F.col("run_id").alias("id")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("event") == "rejected").alias("rejected"))
+    runs = runs.select("id", F.lit("x").alias("source"), (F.col("id") % 7 != 0).alias("finished"), (F.col("n") + F.when(F.col("id") % 5 == 0, 1).otherwise(0)).alias("seen"), (F.col("n") - F.col("rejected")).alias("inserted"), F.lit(0).cast("long").alias("updated"), F.lit(0).cast("long").alias("merged"), "rejected")
+    return report.run_checks(runs, events).select("id", "accounted", "logged", F.array_join("faults", " ").alias("fault"))
+
+
+@query("status_unknown_diff", "SELECT o_orderstatus AS status, count(*) AS n FROM orders WHERE o_orderstatus NOT IN ('O', 'F') GROUP BY 1")
+def status_unknown_diff(spark, d):
+    by = table(spark, d, "orders").groupBy(F.col("o_orderstatus").alias("status")).agg(F.count(F.lit(1)).alias("n"))
+    return by.where(~F.col("status").isin("O", "F"))
+
+
+@query("status_counts", f"SELECT status, count(*) AS n FROM (SELECT {EXPORT_COMPANIES} FROM customer) GROUP BY 1")
+def status_counts(spark, d):
+    return _export_state(spark, d)["companies"].groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- what SQL can't say: sequential or recursive ------------------------------------------------------------
+
+
+@query("resolve_ingest", f"""{_OUTCOME} SELECT CASE WHEN by_source IS NOT NULL THEN 'updated' WHEN by_url IS NOT NULL THEN 'merged' WHEN by_domain IS NOT NULL THEN 'merged' ELSE 'inserted' END AS outcome, count(*) AS n FROM m GROUP BY 1""")
+def resolve_ingest(spark, d):
+    """The whole ingest by joins: counts of the run."""
+    rows = spark.createDataFrame([], schemas.RECORD).unionByName(derived(spark, d, "supplier", BATCH), allowMissingColumns=True)
+    state = _state(spark, d)
+    state = {k: written(v, k) for k, v in state.items()}
+    after = resolve.ingest(state, rows, "b", 1000, True, path="relational")
+    counts = F.explode(F.create_map(*(x for o in ("inserted", "updated", "merged") for x in (F.lit(o), F.col(o))))).alias("outcome", "n")
+    return after["runs"].select(counts).where("n > 0")
+
+
+@query("resolve_fold")
+def resolve_fold(spark, d):
+    """The same batch, and each record once more under another id, folded in order."""
+    rows = derived(spark, d, "supplier", BATCH)
+    again = rows.withColumns({"ordinal": F.col("ordinal") + 1_000_000, "source": F.lit("c")})
+    rows = spark.createDataFrame([], schemas.RECORD).unionByName(rows.unionByName(again), allowMissingColumns=True)
+    state = {k: written(v, k) for k, v in _state(spark, d).items()}
+    return resolve.ingest(state, rows, "b", 1000, True, path="fold")["companies"].select("id", "name", "employee_count", "linkedin_url", "website_domain", "status")
+
+
+def page_fetches(spark, d):
+    """The pages table as a snapshot of fetches."""
+    return table(spark, d, "pages").select(F.regexp_replace("url", "#.*$", "").alias("requested_url"), F.regexp_replace("url", "#.*$", "").alias("final_url"), F.lit(200).alias("status"), F.lit("text/html").alias("content_type"), F.col("html").alias("body"), F.lit(None).cast("string").alias("error_reason")).dropDuplicates(["requested_url"])
+
+
+@query("discovery_outcomes")
+def discovery_outcomes(spark, d):
+    sites = page_fetches(spark, d)
+    companies = sites.select(F.xxhash64("requested_url").alias("id"), ux.website_domain(F.col("requested_url")).alias("name"), F.col("requested_url").alias("website"))
+    outcomes, _ = discovery.discover(companies, sites)
+    return outcomes.groupBy("status", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("parse_company_text")
+def parse_company_text(spark, d):
+    text = "CASE s_suppkey % 3 WHEN 0 THEN concat('{\"url\": \"https://www.linkedin.com/company/c', s_suppkey, '\", \"sections\": {\"about\": \"Industry\\\\nIT Services\\\\nCompany size\\\\n1,001-5,000 employees\"}}') WHEN 1 THEN concat('Website\nhttps://c', s_suppkey, '.com\nIndustry\nBanking\nSize: 10,001+') ELSE concat('{\"staffCount\": ', s_suppkey, ', \"name\": \"C\"}') END AS text"
+    return profiles.parsed_answers(derived(spark, d, "supplier", f"s_suppkey AS id, {text}")).select("id", "answer.*")
+
+
+@query("report_checks")
+def report_checks(spark, d):
+    return report.report(_export_state(spark, d))

@@ -1,0 +1,103 @@
+"""Bulk company files: comma or pipe separated, JSON lines or a JSON array, plain, gzipped or zipped."""
+
+from __future__ import annotations
+
+import io
+import zipfile
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from millrace import MIN_EMPLOYEES
+from millrace.functions import lexicon as lx
+from millrace.functions.text import band_lower_bound, nice_name, nice_place
+from millrace.functions.url import stripped
+
+COLUMNS = ["id", "name", "size", "industry", "locality", "region", "country", "founded", "website", "linkedin_url", "employee_estimate"]
+BANDS = [b for b in lx.SIZE_BANDS]
+
+
+def _unzipped(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of the largest file in a zip archive. One archive is one task: zip can't be split."""
+
+    def lines(parts):
+        import pandas as pd
+
+        for pdf in parts:
+            for content in pdf["content"]:
+                archive = zipfile.ZipFile(io.BytesIO(content))
+                members = [m for m in archive.infolist() if not m.is_dir() and not m.filename.startswith("__MACOSX")]
+                if not members:
+                    raise ValueError("the archive holds no file")
+                with archive.open(max(members, key=lambda m: m.file_size)) as f:
+                    held = []
+                    for line in io.TextIOWrapper(f, "utf-8", "replace"):
+                        held.append(line.rstrip("\r\n"))
+                        if len(held) == 10_000:
+                            yield pd.DataFrame({"value": held})
+                            held = []
+                    yield pd.DataFrame({"value": held})
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(lines, "value string")
+
+
+def read_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The file's rows as strings, column names trimmed and in lower case. The first line tells the layout.
+
+    Short rows end in nulls, further cells are dropped; JSON lines that can't be read are passed over.
+    """
+    zipped = path.lower().endswith(".zip")
+    lines = _unzipped(spark, path) if zipped else spark.read.text(path)
+    first = (lines.first() or [""])[0].lstrip("\ufeff").strip()
+    if first[:1] in ("{", "["):
+        whole = first[:1] == "["
+        trimmed = lines.select(F.regexp_replace("value", r",\s*$", "").alias("value")).rdd.map(lambda r: r[0]) if not whole or zipped else path
+        rows = spark.read.json(trimmed, multiLine=whole and not zipped, primitivesAsString=True)
+        if "_corrupt_record" in rows.columns:
+            rows = rows.cache().where("_corrupt_record IS NULL").drop("_corrupt_record")
+    else:
+        sep = "|" if first.count("|") > first.count(",") else ","
+        rows = spark.read.csv(lines.rdd.map(lambda r: r[0]) if zipped else path, sep=sep, header=True, quote='"', escape='"', multiLine=not zipped)
+    return rows.toDF(*(c.lstrip("\ufeff").strip().lower() or f"_c{i}" for i, c in enumerate(rows.columns)))
+
+
+def normalized(rows: DataFrame) -> DataFrame:
+    """One layout for both versions of the file: the columns of COLUMNS, trimmed; missing ones are null."""
+    names = {lx.COLUMN_ALIASES.get(c, c): c for c in rows.columns}
+    out = rows.select(*(stripped(F.col(f"`{names[c]}`").cast("string")).alias(c) if c in names else F.lit(None).cast("string").alias(c) for c in COLUMNS))
+    return out.withColumn("size", F.lower(F.regexp_replace(F.coalesce("size", F.lit("")), r"(?U)\s+", "")))
+
+
+def bands_above(min_employees: int) -> list[str]:
+    return [b for b in BANDS if int(b.split("-")[0].rstrip("+")) > min_employees]
+
+
+def kept(rows: DataFrame, countries: list[str] | None = None, min_employees: int = MIN_EMPLOYEES) -> DataFrame:
+    """Rows of the countries (any case; none: all) whose size band begins above min_employees."""
+    wanted = [c.strip().lower() for c in countries or [] if c.strip()]
+    out = rows.where(F.col("size").isin(bands_above(min_employees)))
+    return out.where(F.lower(stripped(F.coalesce("country", F.lit("")))).isin(wanted)) if wanted else out
+
+
+def scan_summary(rows: DataFrame, kept_rows: DataFrame) -> DataFrame:
+    """country, kept; the row with a null country has how many rows were read."""
+    by_country = kept_rows.groupBy(F.lower(F.coalesce("country", F.lit(""))).alias("country")).agg(F.count(F.lit(1)).alias("rows"))
+    return by_country.unionByName(rows.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(None).cast("string").alias("country"), "rows"))
+
+
+def records(rows: DataFrame, source: str = "pdl") -> DataFrame:
+    """Kept rows as records (schema RECORD). Their ordinals follow the order of the file's parts."""
+    blank = lambda c: F.nullif(F.coalesce(F.col(c), F.lit("")), F.lit(""))
+    schemed = lambda c, prefix: F.when(F.contains(c, F.lit("://")), c).otherwise(F.concat(F.lit(prefix), c))
+    website = schemed(blank("website"), "https://")
+    linkedin = F.when(F.contains(blank("linkedin_url"), F.lit("://")), blank("linkedin_url")).otherwise(F.concat(F.lit("https://www."), F.regexp_replace(blank("linkedin_url"), r"^www\.", "")))
+    low = band_lower_bound(F.col("size"))
+    digits = F.regexp_replace(F.coalesce("employee_estimate", F.lit("")), ",", "")
+    estimate = F.when(digits.rlike("^[0-9]+$"), digits.try_cast("bigint"))
+    raw = F.to_json(F.struct(*(blank(c).alias(c) for c in COLUMNS)))
+    return rows.select(
+        F.monotonically_increasing_id().alias("ordinal"), F.lit(source).alias("source"), F.coalesce(blank("id"), linkedin, website, blank("name"), F.lit("")).alias("source_id"),
+        nice_name(blank("name")).alias("name"), F.greatest(low, estimate).alias("employee_count"), linkedin.alias("linkedin_url"), website.alias("website"),
+        nice_place(blank("country")).alias("country"), blank("industry").alias("industry"),
+        F.array().cast("array<struct<source_id:string,name:string>>").alias("parents"), F.lit(None).cast("string").alias("dissolved"), raw.alias("raw"),
+    )
