@@ -39,7 +39,7 @@ MANY = 0xFFFF
 SKETCH_BITS = 22
 #: Sets beyond this are always heavy.
 LIGHT_MOST = 48
-ROUNDS, CANDIDATES = 3, 3
+ROUNDS, CANDIDATES, BEST = 3, 3, 16
 CHUNK = 1024
 
 _M1, _M2, _M3 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
@@ -314,8 +314,15 @@ def link_components(reps: DataFrame, lists: DataFrame, percent: int = PERCENT, r
         links = written(_linked(pairs, reps, percent), "links")
         drop(rows)
         labels = _merged(labels, links)
-    # the rest, exhaustively: pairs of a list that lie in different components have an end outside its most frequent one
-    rows = labelled()
+    # then the best of all that are left, and at last all
+    for most in (BEST, None):
+        labels = _rest(written(lists.join(labels, "row").select("token", "row", "n", "label"), "labelled"), labels, reps, percent, most)
+    return labels
+
+
+def _rest(rows: DataFrame, labels: DataFrame, reps: DataFrame, percent: int, most: int | None) -> DataFrame:
+    """labels after pairs of rows in different components are compared: for each row outside the main component of a list the most
+    that share the most signatures with it, or all that may link."""
     shares = rows.groupBy("token", "label").agg(F.count(F.lit(1)).alias("m"))
     main = shares.groupBy("token").agg(F.max(F.struct("m", "label")).alias("top"), F.sum("m").alias("size"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
     main = written(main.select(F.col("token").alias("_t"), F.col("top.label").alias("_main"), F.ceil(F.col("size") / CHUNK).alias("_chunks")), "main")
@@ -336,7 +343,10 @@ def link_components(reps: DataFrame, lists: DataFrame, percent: int = PERCENT, r
         need = -(-np.maximum(size, n) * percent // 100)
         overlap = -(-(size + n) * percent // (100 + percent))
         able = (others != row) & (np.minimum(size, n) * 100 >= np.maximum(size, n) * percent) & (shared + need - 1 >= overlap)
-        return pd.DataFrame({"a": row, "b": others[able]})
+        others, shared = others[able], shared[able]
+        if most is not None and len(others) > most:
+            others = others[np.argsort(-shared, kind="stable")[:most]]
+        return pd.DataFrame({"a": row, "b": others})
 
     def meet(parts):
         now, rows, sizes, n = None, [], [], 0
