@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import heapq
 import zlib
+from collections import defaultdict
 
 import numpy as np
 import pandas as pd
@@ -44,6 +45,17 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
+_POWERS: list[np.ndarray] = [np.zeros(0, np.uint64), np.zeros(0, np.uint64)]
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of _K and of its inverse modulo 2**64; kept, as every batch needs them."""
+    if len(_POWERS[0]) < n:
+        with np.errstate(over="ignore"):
+            _POWERS[:] = [np.cumprod(np.full(2 * n, k), dtype=np.uint64) for k in (_K, np.uint64(pow(int(_K), -1, 1 << 64)))]
+    return _POWERS[0][:n], _POWERS[1][:n]
+
+
 def contexts(raw: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
     """For each place (bytes of texts, each followed by one place for its end) the slot of its context by each predictor.
 
@@ -67,8 +79,7 @@ def contexts(raw: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
     with np.errstate(over="ignore"):
         four = (last + np.uint64(1)) * _K >> np.uint64(64 - 17)
         # hash of the bytes since the last white space: differences of running sums of bytes times powers
-        powers = np.cumprod(np.full(n, _K), dtype=np.uint64)
-        inverse = np.cumprod(np.full(n, np.uint64(pow(int(_K), -1, 1 << 64))), dtype=np.uint64)
+        powers, inverse = _powers(n)
         sums = np.cumsum((wide + np.uint64(1)) * powers, dtype=np.uint64)
         before = np.concatenate([np.zeros(1, np.uint64), sums[:-1]])
         word = np.zeros(n, np.int64)
@@ -250,7 +261,7 @@ def train(docs: DataFrame) -> Model:
 
         for pdf in parts:
             learnt = [t for d, t in zip(pdf["doc_id"].astype("Int64"), pdf["text"]) if trains(d)]
-            for a, b in batches(learnt, 500_000):
+            for a, b in batches(learnt, 120_000):
                 add([t.encode() for t in learnt[a:b]])
                 some = True
         if some:
@@ -298,7 +309,8 @@ def scores(docs: DataFrame, model: Model | None = None) -> DataFrame:
         from pyspark import TaskContext
 
         part, block = TaskContext.get().partitionId(), 0
-        number: dict[bytes, int] = {}
+        number: dict[bytes, int] = defaultdict()
+        number.default_factory = number.__len__
         heads, kinds, counts, learnt, weight = [], [], [], [], 0
 
         def flush():
@@ -332,7 +344,7 @@ def scores(docs: DataFrame, model: Model | None = None) -> DataFrame:
                 own = raw.lower().split()
                 own.append(b"\n")
                 learn = trains(doc_id)
-                at = np.array([number.setdefault(t, len(number)) for t in own])
+                at = np.fromiter(map(number.__getitem__, own), np.int64, len(own))
                 kind, count = np.unique(at, return_counts=True)
                 heads.append((_NO_ID if doc_id is pd.NA else doc_id, not learn, len(own), cost, len(kind)))
                 kinds.append(kind)
