@@ -4,9 +4,10 @@ A document's suffixes are kept only at minimisers: of each WINDOW consecutive GR
 of equals). Any LEAST words in a row hold a whole window, so a repeated passage of that length has the same minimisers
 wherever it stands. Minimisers that no other document has are dropped; the suffixes of the others are range-sorted by
 what follows, then by what precedes (words as 32-bit hashes, compared word by word), and neighbours are compared: the length they
-share to the right and to the left gives a repeat. Where neighbours can't settle it (they are of the same document, stand
-in different partitions, or share the right with one and the left with another suffix), the possible windows of LEAST
-words around the minimiser are looked up by their hash, which is exact. Found spans are united for each document.
+share to the right and to the left gives a repeat. A second order, by what precedes first, gives the most that any other shares
+to the left. Where neighbours can't settle it (they are of the same document, stand in different tasks, or another
+suffix shares more to the left than the one that shares the most to the right), the windows of LEAST words around the minimiser
+that are still open are looked up by their hash, which is exact. Found spans are united for each document.
 """
 
 from __future__ import annotations
@@ -97,6 +98,76 @@ def _rows(column: pd.Series, width: int) -> np.ndarray:
     return np.frombuffer(data, ">u4").reshape(len(column), width)
 
 
+_NO_ID = -(1 << 63)
+#: With the suffix: what it shares to the right and left with the one before and the one behind it in order, as far as those are of
+#: other documents; and whether both neighbours could be told.
+RIGHT = SUFFIX + ", l1 int, r1 int, l2 int, r2 int, sure boolean"
+#: low..high: how many words before the minimiser a window may begin that is still open.
+JUDGED = "doc_id long, place long, anchor long, l1 int, r1 int, l2 int, r2 int, low int, high int"
+
+
+def _in_order(rows: DataFrame, keys: list[str], judge, schema: str) -> DataFrame:
+    """rows sorted by anchor and keys over all tasks, each task's run of them given to judge(frame).
+
+    doc_id and place stand last in the order, so equal suffixes can be split between tasks. Frames overlap by a row on either side, so
+    that every row has its neighbours but at the ends of a task's run; there edges tells that there is none.
+    """
+    order = ["anchor", *keys, "doc_id", "place"]
+    ranked = rows.repartitionByRange(slices(rows.sparkSession), *order).sortWithinPartitions(*order)
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def run(parts):
+        held, done = None, 0  # the last rows: the first of them may be done, the last one waits for its next
+        for pdf in parts:
+            pdf["doc_id"] = pdf["doc_id"].astype("Int64")
+            frame = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+            if len(frame) - done > 1:
+                yield judge(frame).iloc[done:-1][names]
+                held, done = frame.tail(2), 1
+            elif len(frame):
+                held = frame
+        if held is not None:
+            yield judge(held).iloc[done:][names]
+
+    return ranked.mapInPandas(run, schema)
+
+
+def _pairs(frame: pd.DataFrame, column: str, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each row and the next: what column shares, whether the minimiser is the same, whether the document is another one."""
+    anchor, ids = frame["anchor"].to_numpy(), frame["doc_id"].fillna(_NO_ID).to_numpy(np.int64)
+    values = _rows(frame[column], width)
+    return _common(values[1:], values[:-1]), anchor[1:] == anchor[:-1], ids[1:] != ids[:-1]
+
+
+def _by_right(frame: pd.DataFrame) -> pd.DataFrame:
+    right, same, other = _pairs(frame, "after", LEAST)
+    left, _, _ = _pairs(frame, "before", BEFORE)
+    near = same & other
+    right, left = np.where(near, right, 0), np.where(near, left, 0)
+    none = np.zeros(1, np.int64)
+    # a neighbour of the same document hides what lies behind it; at the ends of a run there may be one that isn't seen
+    told = ~same | other
+    end = np.zeros(1, bool)
+    return frame.assign(l1=np.concatenate([none, left]), r1=np.concatenate([none, right]), l2=np.concatenate([left, none]), r2=np.concatenate([right, none]), sure=np.concatenate([end, told]) & np.concatenate([told, end]))
+
+
+def _by_left(frame: pd.DataFrame) -> pd.DataFrame:
+    left, same, other = _pairs(frame, "before", BEFORE)
+    near = np.where(same & other, left, 0)
+    told, end, none = ~same | other, np.zeros(1, bool), np.zeros(1, np.int64)
+    most = np.maximum(np.concatenate([none, near]), np.concatenate([near, none]))
+    lead = (frame["before"].str.len() // 4).to_numpy()
+    most = np.where(np.concatenate([end, told]) & np.concatenate([told, end]), most, lead)
+    l1, r1, l2, r2 = (frame[c].to_numpy(np.int64) for c in ("l1", "r1", "l2", "r2"))
+    right = np.maximum(r1, r2)
+    # with the neighbour that shares the most to the right all windows up to what it shares to the left are settled
+    settled = np.maximum(np.where(r1 == right, l1, 0), np.where(r2 == right, l2, 0))
+    sure = frame["sure"].to_numpy(bool)
+    # without sure neighbours any window is open
+    low = np.where(sure, np.maximum(settled + 1, LEAST - right), 0)
+    return frame.assign(low=low, high=np.minimum(most, lead))
+
+
 def repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """One row for each maximal span of words of a document all of whose windows of least words another document has too:
     doc_id, start (word number), n_words.
@@ -109,47 +180,21 @@ def repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
         raise ValueError("the minimisers are laid out for passages of LEAST words")
     spark = docs.sparkSession
     found = written(suffixes(docs), "suffixes")
-    order = ["anchor", "after", "before", "doc_id", "place"]
-    # doc_id stands last, so equal suffixes can be split between tasks
-    ranked = found.repartitionByRange(slices(spark), *order).sortWithinPartitions(*order)
-
-    def compare(parts):
-        last = None
-        for pdf in parts:
-            pdf["doc_id"] = pdf["doc_id"].astype("Int64")
-            whole = pdf if last is None else pd.concat([last, pdf], ignore_index=True)
-            last = pdf.tail(1)
-            if not len(whole):
-                continue
-            ids = whole["doc_id"].fillna(-(1 << 63)).to_numpy(np.int64)
-            anchor = whole["anchor"].to_numpy()
-            after, before = _rows(whole["after"], LEAST), _rows(whole["before"], BEFORE)
-            near = (anchor[1:] == anchor[:-1]) & (ids[1:] != ids[:-1])
-            right = np.where(near, _common(after[1:], after[:-1]), 0)
-            left = np.where(near, _common(before[1:], before[:-1]), 0)
-            for shift in (0, 1):  # each row with its next, then with the one before
-                rows = np.flatnonzero(left + right >= LEAST) + shift
-                if len(rows):
-                    at = rows - shift
-                    yield pd.DataFrame({"doc_id": whole["doc_id"].to_numpy()[rows], "place": whole["place"].to_numpy()[rows], "left": left[at], "right": right[at]})
-
-    spans = written(ranked.mapInPandas(compare, "doc_id long, place long, left long, right long"), "spans")
-    best = spans.groupBy("doc_id", "place").agg(F.max(F.when(F.col("right") == LEAST, F.col("left"))).alias("full"), F.max(F.struct("left", "right")).alias("one"))
-    best = written(best.select(F.col("doc_id").alias("_id"), F.col("place").alias("_place"), F.coalesce("full", F.lit(-1)).alias("_full")), "best")
-    # what is settled: all words after are shared, and all words before that a window may hold
-    joined = found.join(best, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("place") == F.col("_place")), "left")
-    open_ = joined.where(F.coalesce("_full", F.lit(-1)) < BEFORE).select("anchor").distinct()
-    # all suffixes of such a minimiser, as what is settled for one may be what another looks for
-    rest = found.join(written(open_, "open"), "anchor", "left_semi").select("doc_id", "place", "after", "before")
+    judged = written(_in_order(written(_in_order(found, ["after", "before"], _by_right, RIGHT), "right"), ["before", "after"], _by_left, JUDGED), "judged")
+    spans = judged.select("doc_id", "place", F.explode(F.array(*(F.struct(F.col(f"l{i}").alias("l"), F.col(f"r{i}").alias("r")) for i in (1, 2)))).alias("s")).where(F.col("s.l") + F.col("s.r") >= LEAST)
+    by_neighbour = spans.select("doc_id", (F.col("place") - F.col("s.l")).alias("start"), (F.col("place") + F.col("s.r")).alias("stop"))
+    # what is open for one suffix is looked up for all of its minimiser, as what is settled for one may be what another looks for
+    open_ = written(judged.where("low <= high").groupBy("anchor").agg(F.min("low").alias("low"), F.max("high").alias("high")).withColumnRenamed("anchor", "_a"), "open")
+    rest = found.join(open_, F.col("anchor") == F.col("_a")).select("doc_id", "place", "after", "before", "low", "high")
 
     def windows(parts):
         for pdf in parts:
             pdf["doc_id"] = pdf["doc_id"].astype("Int64")
             rows, starts, hashes = [], [], []
-            for i, (place, after, before) in enumerate(zip(pdf["place"], pdf["after"], pdf["before"])):
-                words = np.frombuffer(before, ">u4")[::-1].astype(np.uint64)
-                lead = len(words)
-                words = np.concatenate([words, np.frombuffer(after, ">u4").astype(np.uint64)])
+            for i, (place, after, before, low, high) in enumerate(zip(pdf["place"], pdf["after"], pdf["before"], pdf["low"], pdf["high"])):
+                # windows that begin low to high words before the minimiser
+                lead = min(len(before) // 4, high)
+                words = np.concatenate([np.frombuffer(before, ">u4", lead)[::-1], np.frombuffer(after, ">u4")]).astype(np.uint64)[: lead + LEAST - low]
                 own = _rolled(words, LEAST)
                 rows.append(np.full(len(own), i))
                 starts.append(place - lead + np.arange(len(own)))
@@ -159,11 +204,10 @@ def repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
                 yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy()[at], "start": np.concatenate(starts), "window": np.concatenate(hashes).astype(np.int64)})
 
     asked = written(rest.mapInPandas(windows, "doc_id long, start long, window long"), "windows")
-    key = F.coalesce("doc_id", F.lit(-(1 << 63)))
+    key = F.coalesce("doc_id", F.lit(_NO_ID))
     twice = asked.groupBy("window").agg(F.min(key).alias("lo"), F.max(key).alias("hi")).where("lo < hi")
     twice = written(twice.select(F.col("window").alias("_w")), "twice")
     by_window = asked.join(twice, F.col("window") == F.col("_w")).select("doc_id", "start", (F.col("start") + LEAST).alias("stop"))
-    by_neighbour = spans.select("doc_id", (F.col("place") - F.col("left")).alias("start"), (F.col("place") + F.col("right")).alias("stop"))
     every = by_neighbour.unionByName(by_window).distinct().repartition(slices(spark), "doc_id").sortWithinPartitions("doc_id", "start", "stop")
 
     def unite(parts):
