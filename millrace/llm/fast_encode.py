@@ -194,6 +194,14 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def forget() -> None:
+    """Give back this worker's tables, for tasks of other operators that need the memory."""
+    import pyarrow
+
+    _ENCODERS.clear()
+    pyarrow.default_memory_pool().release_unused()
+
+
 def batches(texts: list[str], most: int = 16_000_000):
     """Consecutive (from, to) of so many characters together at most, or of one text."""
     at, held = 0, 0

@@ -27,13 +27,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import documents, drop, keyed_texts, slices, written
+from .fast_encode import forget
 from .graph import components
 
 WORDS = 5
 PERCENT = 75
 BITS = 48
 #: A block ends with so many documents or shingles; local numbers of documents are 16 bits wide.
-BLOCK_DOCS, BLOCK_SHINGLES = 4096, 2_000_000
+BLOCK_DOCS, BLOCK_SHINGLES = 2048, 1_000_000
 MANY = 0xFFFF
 #: Counters of the frequency sketch: 4 MB when broadcast, whatever the input.
 SKETCH_BITS = 22
@@ -92,11 +93,12 @@ def shared_members(docs: DataFrame, members_of, percent: int) -> DataFrame:
     values: those, sorted, where shared is at least percent of n, and not 0, else null. key: a digest of the set where all of it
     is shared.
     """
-    buckets = max(64, slices(docs.sparkSession))
+    buckets = max(64, 2 * slices(docs.sparkSession))
 
     def send(parts):
         from pyspark import TaskContext
 
+        forget()
         part, block, first, held = TaskContext.get().partitionId(), 0, 0, []
 
         def flush():
@@ -136,6 +138,7 @@ def shared_members(docs: DataFrame, members_of, percent: int) -> DataFrame:
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
         if pdf["bucket"].iloc[0] < 0:  # what a block tells of itself
             return pdf[["block", "docs", "first", "head", "values", "local"]]
+        forget()
         values = [_decoded(v) for v in pdf["values"]]
         every = np.concatenate(values)
         order = np.argsort(every, kind="stable")
@@ -272,6 +275,7 @@ def _linked(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     both = pairs.join(own.toDF("_a", "na", "va"), F.col("a") == F.col("_a")).join(own.toDF("_b", "nb", "vb"), F.col("b") == F.col("_b"))
 
     def verify(parts):
+        forget()
         for pdf in parts:
             keep = np.zeros(len(pdf), bool)
             for i, (na, nb, va, vb) in enumerate(zip(pdf["na"], pdf["nb"], pdf["va"], pdf["vb"])):
