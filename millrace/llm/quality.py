@@ -1,13 +1,17 @@
 """Quality votes of nearest labelled neighbours in a latent-semantic space.
 
 Terms are pairs of neighbouring characters by class (letters of a kind, capitals, digits, each punctuation mark, kinds of other
-bytes). Term weights of a bounded sample of labelled rows, log tf times idf, give the latent space by a truncated
-singular value decomposition. The sample's unit vectors are broadcast; every document's cosines with all of them are exact,
-computed in blocks, and the K nearest vote with weights that rise with similarity.
+bytes), weighted by log tf times idf, and two shares that tell repetition: of words that follow themselves, and of word pairs
+that came up before. Weights of a bounded sample of labelled rows give the latent space by a truncated singular value
+decomposition. The sample's unit vectors are broadcast; every document's cosines with all of them are exact,
+computed in blocks, and the K nearest vote with weights that rise with similarity. The share of label 1 among all
+training labels votes too, with a weight that falls with the text's length, as short texts tell little.
 """
 
 from __future__ import annotations
 
+from operator import eq
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +22,10 @@ from .fast_encode import batches
 
 CLASSES = 64
 TERMS = CLASSES * CLASSES
+#: Columns behind the terms: shares in thousandths. Their weight beside the terms' unit vector.
+SHARES, SHARE_WEIGHT = 2, 1.5
+#: The labels' share votes as much as so many neighbours of a text of one term.
+PRIOR_VOTES = 300
 #: Bound of the labelled sample: so many rows of each label, those with the smallest hashes of doc_id.
 SAMPLE = 1500
 DIMENSIONS = 64
@@ -43,14 +51,21 @@ _CLASS_OF = _classes()
 
 
 def term_counts(texts: list[str]) -> np.ndarray:
-    """How often each pair of classes occurs in each text: float32, a row for each text."""
+    """How often each pair of classes occurs in each text, then the shares in thousandths: float32, a row for each text."""
     raw = [t.encode() for t in texts]
     sizes = np.fromiter(map(len, raw), np.int64, len(raw))
     kinds = _CLASS_OF[np.frombuffer(b"".join(raw), np.uint8)]
     owner = np.repeat(np.arange(len(raw)), sizes)
     codes = owner[:-1] * TERMS + kinds[:-1] * CLASSES + kinds[1:] if len(kinds) > 1 else np.zeros(0, np.int64)
     codes = codes[owner[:-1] == owner[1:]] if len(kinds) > 1 else codes
-    return np.bincount(codes, minlength=len(raw) * TERMS).reshape(len(raw), TERMS).astype(np.float32)
+    counts = np.bincount(codes, minlength=len(raw) * TERMS).reshape(len(raw), TERMS)
+    shares = np.zeros((len(raw), SHARES))
+    for i, r in enumerate(raw):
+        words = r.split()
+        if len(words) > 1:
+            pairs = len(words) - 1
+            shares[i] = sum(map(eq, words, words[1:])) / pairs, 1 - len(set(zip(words, words[1:]))) / pairs
+    return np.concatenate([counts, np.rint(1000 * shares)], axis=1).astype(np.float32)
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -61,38 +76,45 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 class Votes:
     """The fitted space and its labelled vectors: bounded by SAMPLE, TERMS and DIMENSIONS."""
 
-    def __init__(self, counts: np.ndarray, labels: np.ndarray, dimensions: int = DIMENSIONS, neighbours: int = NEIGHBOURS):
+    def __init__(self, counts: np.ndarray, labels: np.ndarray, prior: float = 0.5, dimensions: int = DIMENSIONS, neighbours: int = NEIGHBOURS):
         self.labels = labels.astype(np.float32)
         self.neighbours = min(neighbours, len(labels))
-        self.prior = float(labels.mean()) if len(labels) else 0.5
-        seen = (counts > 0).sum(axis=0)
+        self.prior = prior
+        seen = (counts[:, :TERMS] > 0).sum(axis=0)
         self.idf = np.log((1 + len(labels)) / (1 + seen)).astype(np.float32) + 1
-        weighted = _unit(np.log1p(counts) * self.idf)
+        weighted = self._weighted(counts)
         k = min(dimensions, *weighted.shape) if len(labels) else 0
         # randomised range finder with a fixed seed
         rng = np.random.default_rng(7)
-        basis = rng.standard_normal((TERMS, min(k + 16, TERMS))).astype(np.float32)
+        basis = rng.standard_normal((weighted.shape[1], min(k + 16, weighted.shape[1]))).astype(np.float32)
         for _ in range(4):
             basis = np.linalg.qr(weighted.T @ (weighted @ basis))[0] if k else basis
         if k:
             _, _, right = np.linalg.svd(weighted @ basis, full_matrices=False)
             self.axes = np.ascontiguousarray((basis @ right[:k].T).astype(np.float32))
         else:
-            self.axes = np.zeros((TERMS, 1), np.float32)
+            self.axes = np.zeros((weighted.shape[1], 1), np.float32)
         self.vectors = _unit(weighted @ self.axes)
 
+    def _weighted(self, counts: np.ndarray) -> np.ndarray:
+        terms = _unit(np.log1p(counts[:, :TERMS]) * self.idf)
+        return np.concatenate([terms, counts[:, TERMS:] * np.float32(SHARE_WEIGHT / 1000)], axis=1)
+
     def scores(self, texts: list[str]) -> np.ndarray:
-        """0 to 1 for each text; a text without any term gets the share of label 1 in the sample."""
-        rows = _unit((np.log1p(term_counts(texts)) * self.idf) @ self.axes)
+        """0 to 1 for each text; a text without any term gets the labels' share."""
         out = np.full(len(texts), self.prior)
-        if not self.neighbours:
+        if not self.neighbours or not texts:
             return out
-        cosines = rows @ self.vectors.T
+        counts = term_counts(texts)
+        cosines = _unit(self._weighted(counts) @ self.axes) @ self.vectors.T
         near = np.argpartition(-cosines, self.neighbours - 1, axis=1)[:, : self.neighbours]
         weights = np.maximum(np.take_along_axis(cosines, near, axis=1), 0) ** SHARPNESS
-        total = weights.sum(axis=1)
-        known = total > 0
-        out[known] = (weights * self.labels[near]).sum(axis=1)[known] / total[known]
+        most = weights.max(axis=1)
+        known = most > 0
+        weights[known] /= most[known, None]
+        own = PRIOR_VOTES / np.maximum(1, counts[:, :TERMS].sum(axis=1))
+        score = ((weights * self.labels[near]).sum(axis=1) + own * self.prior) / (weights.sum(axis=1) + own)
+        out[known] = score[known]
         return np.clip(out, 0, 1)
 
 
@@ -110,6 +132,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Votes:
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("q")).where("doc_id IS NOT NULL AND q IS NOT NULL")
     known = known.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.when(F.avg("q") >= 0.5, 1).otherwise(0).alias("label"))
     # only labels whose document is there, so that the bound is reached where it can be
+    share = known.agg(F.avg("label").alias("share")).first()["share"]
     known = known.join(docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi")
     key = F.xxhash64("doc_id")
     rows = [r for label in (0, 1) for r in known.where(F.col("label") == label).orderBy(key, "doc_id").limit(sample).collect()]
@@ -125,8 +148,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Votes:
     # 2 * sample rows at most, so the join may broadcast them and the driver may hold their counts
     found = keyed_texts(docs).join(F.broadcast(wanted), "doc_id").mapInPandas(count, "doc_id long, label int, counts binary").toPandas()
     found = found.drop_duplicates("doc_id").sort_values("doc_id")
-    counts = np.stack([np.frombuffer(c, np.uint16) for c in found["counts"]]).astype(np.float32) if len(found) else np.zeros((0, TERMS), np.float32)
-    return Votes(counts, found["label"].to_numpy(np.float32))
+    counts = np.stack([np.frombuffer(c, np.uint16) for c in found["counts"]]).astype(np.float32) if len(found) else np.zeros((0, TERMS + SHARES), np.float32)
+    return Votes(counts, found["label"].to_numpy(np.float32), 0.5 if share is None else share)
 
 
 def scored(docs: DataFrame, votes: Votes) -> DataFrame:

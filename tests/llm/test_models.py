@@ -99,28 +99,31 @@ def test_quality_held_out(spark):
 def test_votes_against_brute_force(real):
     random.seed(1)
     texts = [t or "" for _, t in real[:80]]
-    votes = quality.Votes(quality.term_counts(texts), np.array([i % 3 > 0 for i in range(80)], np.float32), 8, 5)
+    votes = quality.Votes(quality.term_counts(texts), np.array([i % 3 > 0 for i in range(80)], np.float32), 0.7, 8, 5)
     rows = []
-    for t in texts[:20] + [""]:
-        v = np.log1p(quality.term_counts([t])[0]) * votes.idf @ votes.axes
+    for t in texts[:20] + ["", "a b"]:
+        counts = quality.term_counts([t])
+        v = votes._weighted(counts)[0] @ votes.axes
         n = np.linalg.norm(v)
         if n == 0:
-            rows.append(votes.prior)
+            rows.append(0.7)
             continue
         cos = votes.vectors @ (v / n)
         near = np.argsort(-cos)[:5]
         w = np.maximum(cos[near], 0) ** quality.SHARPNESS
-        rows.append((w * votes.labels[near]).sum() / w.sum())
-    assert np.allclose(votes.scores(texts[:20] + [""]), rows, atol=1e-4)
+        w, own = w / w.max(), quality.PRIOR_VOTES / counts[0, : quality.TERMS].sum()
+        rows.append(((w * votes.labels[near]).sum() + own * 0.7) / (w.sum() + own))
+    assert np.allclose(votes.scores(texts[:20] + ["", "a b"]), rows, atol=1e-3)
 
 
 def test_term_counts():
-    counts = quality.term_counts(["ab!!", "", "a"])
-    assert counts.sum(axis=1).tolist() == [3, 0, 0]
+    counts = quality.term_counts(["ab!!", "", "a", "x x x y", "p q p q p q"])
+    assert counts[:, : quality.TERMS].sum(axis=1).tolist() == [3, 0, 0, 6, 10]
+    assert counts[:, quality.TERMS :].tolist() == [[0, 0], [0, 0], [0, 0], [667, 333], [0, 600]]
 
 
 def test_quality_of_odd_tables(spark, docs_of):
-    docs = docs_of([(i, "good words here") for i in range(30)] + [(100 + i, "BAD!! $$$ %%%") for i in range(30)] + [(None, "good words"), (7, None), (8, "")])
+    docs = docs_of([(i, "good words here " + " ".join(f"and{k}" for k in range(99))) for i in range(30)] + [(100 + i, "BAD!! $$$ %%% " * 40) for i in range(30)] + [(None, "good words"), (7, None), (8, "")])
     labels = spark.createDataFrame([(i, 1) for i in range(30)] + [(100 + i, 0) for i in range(30)] + [(None, 1), (5, None), (999, 0), (3, 1)], "doc_id long, quality int")
     votes = quality.fit(docs, labels)
     got = quality.scored(docs, votes).collect()
