@@ -59,11 +59,12 @@ def _anchors(text: str) -> np.ndarray:
     return np.unique(minimisers(word_hashes(text))[1])
 
 
-SUFFIX = "doc_id long, place long, anchor long, after binary, before binary"
+#: runs: first and last places, one pair after another, at which the document has this very suffix: texts of repeated words have many.
+SUFFIX = "doc_id long, runs array<long>, anchor long, after binary, before binary"
 
 
 def suffixes(docs: DataFrame) -> DataFrame:
-    """The suffixes at minimisers that another document has too: doc_id, place (word number), anchor, after, before."""
+    """The suffixes at minimisers that another document has too: doc_id, runs (of word numbers), anchor, after, before."""
     shared = shared_members(docs, _anchors, 0).where(F.col("values").isNotNull()).select("doc_id", "values")
     shared = written(shared.groupBy("doc_id").agg(F.collect_set("values").alias("_values")).withColumnRenamed("doc_id", "_id"), "anchors")
     texts = keyed_texts(docs).join(shared, F.col("doc_id").eqNullSafe(F.col("_id"))).select("doc_id", "text", "_values")
@@ -79,10 +80,16 @@ def suffixes(docs: DataFrame) -> DataFrame:
                 at = np.minimum(np.searchsorted(known, short), len(known) - 1)
                 raw = (words >> np.uint64(32)).astype(">u4")
                 back = raw[::-1]
+                found: dict[tuple, list[int]] = {}
                 for place, gram in zip(places[known[at] == short].tolist(), grams[known[at] == short].astype(np.int64).tolist()):
                     i = len(words) - place
-                    rows.append((doc_id, place, gram, raw[place : place + LEAST].tobytes(), back[i : i + BEFORE].tobytes()))
-            yield pd.DataFrame(rows, columns=["doc_id", "place", "anchor", "after", "before"]).astype({"doc_id": "Int64"})
+                    runs = found.setdefault((gram, raw[place : place + LEAST].tobytes(), back[i : i + BEFORE].tobytes()), [])
+                    if runs and runs[-1] == place - 1:
+                        runs[-1] = place
+                    else:
+                        runs += (place, place)
+                rows += [(doc_id, runs, *key) for key, runs in found.items()]
+            yield pd.DataFrame(rows, columns=["doc_id", "runs", "anchor", "after", "before"]).astype({"doc_id": "Int64"})
 
     return texts.mapInPandas(cut, SUFFIX)
 
@@ -103,16 +110,16 @@ _NO_ID = -(1 << 63)
 #: other documents; and whether both neighbours could be told.
 RIGHT = SUFFIX + ", l1 int, r1 int, l2 int, r2 int, sure boolean"
 #: low..high: how many words before the minimiser a window may begin that is still open.
-JUDGED = "doc_id long, place long, anchor long, l1 int, r1 int, l2 int, r2 int, low int, high int"
+JUDGED = "doc_id long, runs array<long>, anchor long, l1 int, r1 int, l2 int, r2 int, low int, high int"
 
 
 def _in_order(rows: DataFrame, keys: list[str], judge, schema: str) -> DataFrame:
     """rows sorted by anchor and keys over all tasks, each task's run of them given to judge(frame).
 
-    doc_id and place stand last in the order, so equal suffixes can be split between tasks. Frames overlap by a row on either side, so
+    doc_id stands last in the order, so equal suffixes can be split between tasks. Frames overlap by a row on either side, so
     that every row has its neighbours but at the ends of a task's run; there edges tells that there is none.
     """
-    order = ["anchor", *keys, "doc_id", "place"]
+    order = ["anchor", *keys, "doc_id"]
     ranked = rows.repartitionByRange(slices(rows.sparkSession), *order).sortWithinPartitions(*order)
     names = [c.split()[0] for c in schema.split(", ")]
 
@@ -181,33 +188,36 @@ def repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
     spark = docs.sparkSession
     found = written(suffixes(docs), "suffixes")
     judged = written(_in_order(written(_in_order(found, ["after", "before"], _by_right, RIGHT), "right"), ["before", "after"], _by_left, JUDGED), "judged")
-    spans = judged.select("doc_id", "place", F.explode(F.array(*(F.struct(F.col(f"l{i}").alias("l"), F.col(f"r{i}").alias("r")) for i in (1, 2)))).alias("s")).where(F.col("s.l") + F.col("s.r") >= LEAST)
-    by_neighbour = spans.select("doc_id", (F.col("place") - F.col("s.l")).alias("start"), (F.col("place") + F.col("s.r")).alias("stop"))
+    run = F.explode(F.transform(F.sequence(F.lit(0), (F.size("runs") / 2 - 1).cast("int")), lambda i: F.struct(F.element_at("runs", 2 * i + 1).alias("first"), F.element_at("runs", 2 * i + 2).alias("last"))))
+    spans = judged.select("doc_id", "runs", F.explode(F.array(*(F.struct(F.col(f"l{i}").alias("l"), F.col(f"r{i}").alias("r")) for i in (1, 2)))).alias("s")).where(F.col("s.l") + F.col("s.r") >= LEAST)
+    spans = spans.select("doc_id", "s", run.alias("p"))
+    by_neighbour = spans.select("doc_id", (F.col("p.first") - F.col("s.l")).alias("start"), (F.col("p.last") + F.col("s.r")).alias("stop"))
     # what is open for one suffix is looked up for all of its minimiser, as what is settled for one may be what another looks for
     open_ = written(judged.where("low <= high").groupBy("anchor").agg(F.min("low").alias("low"), F.max("high").alias("high")).withColumnRenamed("anchor", "_a"), "open")
-    rest = found.join(open_, F.col("anchor") == F.col("_a")).select("doc_id", "place", "after", "before", "low", "high")
+    rest = found.join(open_, F.col("anchor") == F.col("_a")).select("doc_id", "runs", "after", "before", "low", "high")
 
     def windows(parts):
         for pdf in parts:
             pdf["doc_id"] = pdf["doc_id"].astype("Int64")
             rows, starts, hashes = [], [], []
-            for i, (place, after, before, low, high) in enumerate(zip(pdf["place"], pdf["after"], pdf["before"], pdf["low"], pdf["high"])):
+            for i, (runs, after, before, low, high) in enumerate(zip(pdf["runs"], pdf["after"], pdf["before"], pdf["low"], pdf["high"])):
                 # windows that begin low to high words before the minimiser
                 lead = min(len(before) // 4, high)
                 words = np.concatenate([np.frombuffer(before, ">u4", lead)[::-1], np.frombuffer(after, ">u4")]).astype(np.uint64)[: lead + LEAST - low]
                 own = _rolled(words, LEAST)
-                rows.append(np.full(len(own), i))
-                starts.append(place - lead + np.arange(len(own)))
-                hashes.append(own)
+                for first, last in np.reshape(runs, (-1, 2)).tolist():
+                    rows.append(np.full(len(own), i))
+                    starts.append(np.array([[first - lead], [last - lead]]) + np.arange(len(own)))
+                    hashes.append(own)
             if rows:
-                at = np.concatenate(rows)
-                yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy()[at], "start": np.concatenate(starts), "window": np.concatenate(hashes).astype(np.int64)})
+                at, (first, last) = np.concatenate(rows), np.concatenate(starts, axis=1)
+                yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy()[at], "first": first, "last": last, "window": np.concatenate(hashes).astype(np.int64)})
 
-    asked = written(rest.mapInPandas(windows, "doc_id long, start long, window long"), "windows")
+    asked = written(rest.mapInPandas(windows, "doc_id long, first long, last long, window long"), "windows")
     key = F.coalesce("doc_id", F.lit(_NO_ID))
     twice = asked.groupBy("window").agg(F.min(key).alias("lo"), F.max(key).alias("hi")).where("lo < hi")
     twice = written(twice.select(F.col("window").alias("_w")), "twice")
-    by_window = asked.join(twice, F.col("window") == F.col("_w")).select("doc_id", "start", (F.col("start") + LEAST).alias("stop"))
+    by_window = asked.join(twice, F.col("window") == F.col("_w")).select("doc_id", F.col("first").alias("start"), (F.col("last") + LEAST).alias("stop"))
     every = by_neighbour.unionByName(by_window).distinct().repartition(slices(spark), "doc_id").sortWithinPartitions("doc_id", "start", "stop")
 
     def unite(parts):
