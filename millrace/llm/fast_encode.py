@@ -187,10 +187,11 @@ def gathered(parts, most: int = 12_000_000):
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, max_cuts: int = MAX_CUTS) -> Encoder:
     """This worker's encoder for a vocabulary file; its table serves later tasks too."""
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
+    _ENCODERS[path].max_cuts = max_cuts
     return _ENCODERS[path]
 
 

@@ -26,6 +26,8 @@ from .fast_encode import batches, encoder, gathered
 CAPACITY = 2048
 #: Parts that the pieces of one length are ranked in.
 SALTS = 32
+#: Of the encoder's table and of the texts encoded together: less than by default, as packing comes last in a pipeline.
+MAX_CUTS, GATHERED = 400_000, 4_000_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -34,8 +36,8 @@ def cut_into_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id
     """doc_id, piece, start, length, ids_crc32 of every document's ids and end_id, cut only where longer than capacity."""
 
     def cut(parts):
-        own = encoder(path)
-        for pdf in gathered(parts):
+        own = encoder(path, MAX_CUTS)
+        for pdf in gathered(parts, GATHERED):
             texts = pdf["text"].tolist()
             for a, b in batches(texts):
                 ids, ends = own.encode(texts[a:b])
