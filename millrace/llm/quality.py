@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents, keyed_texts
-from .fast_encode import batches
+from .fast_encode import batches, forget
 
 CLASSES = 64
 TERMS = CLASSES * CLASSES
@@ -157,6 +157,7 @@ def scored(docs: DataFrame, votes: Votes) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(votes)
 
     def score(parts):
+        forget()
         for pdf in parts:
             texts = pdf["text"].tolist()
             out = [shared.value.scores(texts[i : min(b, i + 128)]) for a, b in batches(texts, 1_000_000) for i in range(a, b, 128)]
@@ -171,6 +172,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFra
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
+        forget()
         texts = texts.fillna("").tolist()
         out = [shared.value.scores(texts[i : min(b, i + 128)]) for a, b in batches(texts, 1_000_000) for i in range(a, b, 128)]
         return pd.Series(np.concatenate(out) if out else np.zeros(0))
