@@ -27,7 +27,7 @@ CAPACITY = 2048
 #: Parts that the pieces of one length are ranked in.
 SALTS = 32
 #: Of the encoder's table and of the texts encoded together: less than by default, as packing comes last in a pipeline.
-MAX_CUTS, GATHERED = 300_000, 3_000_000
+MAX_CUTS, GATHERED = 400_000, 5_000_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
