@@ -189,7 +189,8 @@ class Model:
     def _mix(x: list[np.ndarray], step: np.ndarray) -> np.ndarray:
         rows, k = len(step), len(x)
         weights = np.empty((k, rows * GATES), np.float32)
-        weights[:] = np.array(FIRST_WEIGHT, np.float32)[:, None]
+        # weights of inputs in steps, which saves scaling the inputs
+        weights[:] = np.array(FIRST_WEIGHT, np.float32)[:, None] / STEP
         refined = np.tile((1 / (1 + np.exp(-(np.arange(BUCKETS) - BUCKETS / 2 + 0.5)))).astype(np.float32), rows)
         cost = np.zeros(rows)
         cells, buckets = np.arange(rows, dtype=np.int32)[:, None] * np.int32(GATES), np.arange(rows, dtype=np.int32)[:, None] * np.int32(BUCKETS)
@@ -202,7 +203,7 @@ class Model:
             whole = len(pick) == rows
             of = (lambda v: v) if whole else (lambda v: v[pick])
             told = of(told)
-            s = [of(v[:, a : a + GROUP]).astype(np.float32) * np.float32(1 / STEP) for v in x]
+            s = [of(v[:, a : a + GROUP]).astype(np.float32) for v in x]
             y, real = (told >> 8 & 1).astype(np.float32), (told >> 9).astype(np.float32)
             cell = of(cells) + (told >> 6 & 3)
             dot = weights[0].take(cell)
@@ -213,11 +214,19 @@ class Model:
             p = one / (one + np.exp(-dot))
             bucket = of(buckets) + (dot + np.float32(BUCKETS / 2)).astype(np.int32)
             q = refined.take(bucket)
-            final = half * (p + q)
-            final = np.where(y > 0, final, one - final)
-            spent = (np.log2(final) * real).sum(axis=1, dtype=np.float64)
+            # the chance of what came: of 1, or what is left of 1
+            final = p + q
+            final *= half
+            final += y
+            final -= one
+            np.abs(final, out=final)
+            np.log2(final, out=final)
+            final *= real
+            spent = final.sum(axis=1, dtype=np.float64)
             cost[slice(None) if whole else pick] -= spent
-            wrong = (y - p) * real * np.float32(RATE)
+            wrong = y - p
+            wrong *= real
+            wrong *= np.float32(RATE / STEP**2)
             flat = cell.ravel()
             for i in range(k):
                 weights[i] += np.bincount(flat, weights=(wrong * s[i]).ravel(), minlength=rows * GATES)
