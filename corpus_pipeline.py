@@ -30,8 +30,8 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents with their places in sequences."""
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    """Pieces of all documents with their places in sequences. By then executors hold what earlier stages left, so encoders get less memory."""
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), max_cuts=100_000, gathered_chars=1_500_000)
 
 
 STAGES = [

@@ -197,10 +197,14 @@ def encoder(path: str, max_cuts: int = MAX_CUTS) -> Encoder:
 
 def forget() -> None:
     """Give back this worker's tables, for tasks of other operators that need the memory."""
-    import pyarrow
+    import ctypes
 
     _ENCODERS.clear()
-    pyarrow.default_memory_pool().release_unused()
+    pa.default_memory_pool().release_unused()
+    try:  # what the C library keeps of freed memory
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
 
 
 def batches(texts: list[str], most: int = 16_000_000):

@@ -26,18 +26,18 @@ from .fast_encode import batches, encoder, gathered
 CAPACITY = 2048
 #: Parts that the pieces of one length are ranked in.
 SALTS = 32
-#: Of the encoder's table and of the texts encoded together: less than by default, as packing comes last in a pipeline.
+#: Cuts in the encoder's table and characters encoded together; where memory is short, less of both costs only time.
 MAX_CUTS, GATHERED = 400_000, 5_000_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def cut_into_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0) -> DataFrame:
+def cut_into_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0, max_cuts: int = MAX_CUTS, gathered_chars: int = GATHERED) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every document's ids and end_id, cut only where longer than capacity."""
 
     def cut(parts):
-        own = encoder(path, MAX_CUTS)
-        for pdf in gathered(parts, GATHERED):
+        own = encoder(path, max_cuts)
+        for pdf in gathered(parts, gathered_chars):
             texts = pdf["text"].tolist()
             for a, b in batches(texts):
                 ids, ends = own.encode(texts[a:b])
@@ -133,9 +133,12 @@ def packed(pieces: DataFrame, capacity: int = CAPACITY, salts: int = SALTS) -> D
     return out.select(*pieces.columns, (F.col("_run.sequence") + F.col("_rank") - F.col("_run.first")).alias("sequence_id"), F.col("_run.offset").alias("offset"))
 
 
-def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
-    """Pieces of all documents with their places. A null or empty text is one piece of one id (the end). Only doc_id and text are read."""
-    return packed(written(cut_into_pieces(docs, path, capacity), "pieces"), capacity)
+def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, **memory: int) -> DataFrame:
+    """Pieces of all documents with their places. A null or empty text is one piece of one id (the end). Only doc_id and text are read.
+
+    memory: max_cuts and gathered_chars of cut_into_pieces().
+    """
+    return packed(written(cut_into_pieces(docs, path, capacity, **memory), "pieces"), capacity)
 
 
 def op8_best_fit(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
