@@ -333,44 +333,44 @@ def _rest(rows: DataFrame, labels: DataFrame, reps: DataFrame, percent: int, mos
     if main.isEmpty():
         return labels
     open_rows = written(rows.join(main, F.col("token") == F.col("_t")).drop("_t"), "open")
-    members = open_rows.withColumn("_chunk", F.pmod(F.xxhash64("row"), "_chunks")).groupBy("token", "_chunk").agg(F.collect_list("row").alias("rows"), F.collect_list(F.col("n").cast("int")).alias("sizes"))
-    members = written(members.select(F.col("token").alias("_t"), "rows", "sizes"), "members")
+    members = open_rows.withColumn("_chunk", F.pmod(F.xxhash64("row"), "_chunks")).groupBy("token", "_chunk").agg(F.collect_list("row").alias("rows"), F.collect_list(F.col("n").cast("int")).alias("sizes"), F.collect_list("label").alias("labels"))
+    members = written(members.select(F.col("token").alias("_t"), "rows", "sizes", "labels"), "members")
     # a row that is outside in one list meets the members of all its lists, so that what it shares with each is counted whole
     outside = written(open_rows.where("label <> _main").select("row").distinct(), "outside")
-    fringe = written(open_rows.select("token", "row", "n").join(outside, "row", "left_semi"), "fringe")
-    asked = fringe.join(members, F.col("token") == F.col("_t")).select("row", "n", "rows", "sizes").repartition(slices(reps.sparkSession), "row").sortWithinPartitions("row")
-
-    def candidates(row: int, n: int, rows: list, sizes: list) -> pd.DataFrame:
-        """Members whose overlap with row may be enough. Beyond what prefixes share, two sets share less than need members."""
-        others, first, shared = np.unique(np.concatenate(rows), return_index=True, return_counts=True)
-        size = np.concatenate(sizes)[first].astype(np.int64)
+    fringe = written(open_rows.select("token", "row", "n", "label").join(outside, "row", "left_semi"), "fringe")
+    asked = fringe.join(members, F.col("token") == F.col("_t")).select("row", "n", "label", "rows", "sizes", "labels").repartition(slices(reps.sparkSession), "row").sortWithinPartitions("row")
+
+    def candidates(row: int, n: int, label: int, lists: list[tuple]) -> pd.DataFrame:
+        """Members of other components whose overlap with row may be enough. Beyond what prefixes share, two sets share less than need members."""
+        rows, sizes, labels = (np.concatenate(x) for x in zip(*lists))
+        others, first, shared = np.unique(rows, return_index=True, return_counts=True)
+        size, of = sizes[first].astype(np.int64), labels[first]
         need = -(-np.maximum(size, n) * percent // 100)
         overlap = -(-(size + n) * percent // (100 + percent))
-        able = (others != row) & (np.minimum(size, n) * 100 >= np.maximum(size, n) * percent) & (shared + need - 1 >= overlap)
-        others, shared = others[able], shared[able]
+        able = (of != label) & (np.minimum(size, n) * 100 >= np.maximum(size, n) * percent) & (shared + need - 1 >= overlap)
+        others, of, shared = others[able], of[able], shared[able]
         if most is not None and len(others) > most:
-            others = others[np.argsort(-shared, kind="stable")[:most]]
-        return pd.DataFrame({"a": row, "b": others})
+            best = np.argsort(-shared, kind="stable")[:most]
+            others, of = others[best], of[best]
+        return pd.DataFrame({"a": row, "la": label, "b": others, "lb": of})
 
     def meet(parts):
-        now, rows, sizes, n = None, [], [], 0
+        now, lists = None, []
         for pdf in parts:
             out = []
-            for row, n_, r, s in zip(pdf["row"], pdf["n"], pdf["rows"], pdf["sizes"]):
-                if row != now:
-                    if rows:
-                        out.append(candidates(now, n, rows, sizes))
-                    now, n, rows, sizes = row, n_, [], []
-                rows.append(r)
-                sizes.append(s)
+            for row, n, label, *own in zip(*(pdf[c] for c in ("row", "n", "label", "rows", "sizes", "labels"))):
+                if now is None or row != now[0]:
+                    if lists:
+                        out.append(candidates(*now, lists))
+                    now, lists = (row, n, label), []
+                lists.append(own)
             if out:
                 yield pd.concat(out)
-        if rows:
-            yield candidates(now, n, rows, sizes)
+        if lists:
+            yield candidates(*now, lists)
 
-    met = asked.mapInPandas(meet, "a long, b long")
-    pairs = met.join(labels.toDF("_ra", "la"), F.col("a") == F.col("_ra")).join(labels.toDF("_rb", "lb"), F.col("b") == F.col("_rb")).where("la <> lb")
-    return _merged(labels, written(_linked(pairs.select("a", "la", "b", "lb"), reps, percent), "links"))
+    pairs = asked.mapInPandas(meet, "a long, la long, b long, lb long")
+    return _merged(labels, written(_linked(pairs, reps, percent), "links"))
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, light: int | None = None, rounds: int = ROUNDS) -> DataFrame:
