@@ -170,8 +170,8 @@ def _by_left(frame: pd.DataFrame) -> pd.DataFrame:
     # with the neighbour that shares the most to the right all windows up to what it shares to the left are settled
     settled = np.maximum(np.where(r1 == right, l1, 0), np.where(r2 == right, l2, 0))
     sure = frame["sure"].to_numpy(bool)
-    # without sure neighbours any window is open
-    low = np.where(sure, np.maximum(settled + 1, LEAST - right), 0)
+    # without sure neighbours any window is open that isn't settled
+    low = np.where(sure, np.maximum(settled + 1, LEAST - right), np.where(right == LEAST, settled + 1, 0))
     return frame.assign(low=low, high=np.minimum(most, lead))
 
 
