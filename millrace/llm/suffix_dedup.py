@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, keyed_texts, slices, written
+from .common import documents, drop, keyed_texts, slices, written
 from .jaccard_join import _M3, BITS, _mixed, shared_members
 
 LEAST = 50
@@ -110,7 +110,8 @@ _NO_ID = -(1 << 63)
 #: other documents; and whether both neighbours could be told.
 RIGHT = SUFFIX + ", l1 int, r1 int, l2 int, r2 int, sure boolean"
 #: low..high: how many words before the minimiser a window may begin that is still open.
-JUDGED = "doc_id long, runs array<long>, anchor long, l1 int, r1 int, l2 int, r2 int, low int, high int"
+#: left, right: the most that another suffix may share with this one.
+JUDGED = SUFFIX + ", l1 int, r1 int, l2 int, r2 int, low int, high int, left int, right int"
 
 
 def _in_order(rows: DataFrame, keys: list[str], judge, schema: str) -> DataFrame:
@@ -172,7 +173,8 @@ def _by_left(frame: pd.DataFrame) -> pd.DataFrame:
     sure = frame["sure"].to_numpy(bool)
     # without sure neighbours any window is open that isn't settled
     low = np.where(sure, np.maximum(settled + 1, LEAST - right), np.where(right == LEAST, settled + 1, 0))
-    return frame.assign(low=low, high=np.minimum(most, lead))
+    most = np.minimum(most, lead)
+    return frame.assign(low=low, high=most, left=most, right=np.where(sure, right, LEAST))
 
 
 def repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
@@ -187,14 +189,18 @@ def repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
         raise ValueError("the minimisers are laid out for passages of LEAST words")
     spark = docs.sparkSession
     found = written(suffixes(docs), "suffixes")
-    judged = written(_in_order(written(_in_order(found, ["after", "before"], _by_right, RIGHT), "right"), ["before", "after"], _by_left, JUDGED), "judged")
+    ranked = written(_in_order(found, ["after", "before"], _by_right, RIGHT), "right")
+    drop(found)
+    judged = written(_in_order(ranked, ["before", "after"], _by_left, JUDGED), "judged")
+    drop(ranked)
     run = F.explode(F.transform(F.sequence(F.lit(0), (F.size("runs") / 2 - 1).cast("int")), lambda i: F.struct(F.element_at("runs", 2 * i + 1).alias("first"), F.element_at("runs", 2 * i + 2).alias("last"))))
     spans = judged.select("doc_id", "runs", F.explode(F.array(*(F.struct(F.col(f"l{i}").alias("l"), F.col(f"r{i}").alias("r")) for i in (1, 2)))).alias("s")).where(F.col("s.l") + F.col("s.r") >= LEAST)
     spans = spans.select("doc_id", "s", run.alias("p"))
     by_neighbour = spans.select("doc_id", (F.col("p.first") - F.col("s.l")).alias("start"), (F.col("p.last") + F.col("s.r")).alias("stop"))
-    # what is open for one suffix is looked up for all of its minimiser, as what is settled for one may be what another looks for
-    open_ = written(judged.where("low <= high").groupBy("anchor").agg(F.min("low").alias("low"), F.max("high").alias("high")).withColumnRenamed("anchor", "_a"), "open")
-    rest = found.join(open_, F.col("anchor") == F.col("_a")).select("doc_id", "runs", "after", "before", "low", "high")
+    # what is open for one suffix is looked up for all of its minimiser, as what is settled for one may be what another looks for; but a
+    # suffix has no part in windows that reach further than what it may share
+    open_ = written(judged.where("low <= high").groupBy("anchor").agg(F.min("low").alias("lowest"), F.max("high").alias("highest")).withColumnRenamed("anchor", "_a"), "open")
+    rest = judged.join(open_, F.col("anchor") == F.col("_a")).select("doc_id", "runs", "after", "before", F.greatest(F.col("lowest"), LEAST - F.col("right")).alias("low"), F.least("highest", "left").alias("high")).where("low <= high")
 
     def windows(parts):
         for pdf in parts:
