@@ -3,14 +3,16 @@
 The model codes a text's bytes, then an end, by binary decisions. Symbols are the 62 most frequent bytes of the training texts,
 the end and an escape; each symbol is a leaf of a Huffman tree over them, and a decision is a bit at an inner node. (A byte
 behind the escape costs its share among such bytes.) Three predictors give each node a chance of 1: by the last two
-bytes, by a hash of the last four, and by a hash of the word so far. Their tables come from counts over all training texts
-and are of fixed size, so they can be broadcast. A mixer adds up the stretched chances with weights from the set that the node's depth
+bytes, by the last four, and by the word so far. Every context of the training texts has counts of its own, so they grow with
+the texts and are nowhere together: contexts, told apart by CONTEXT_BITS bits of hash, are dealt by hash to buckets.
+A block of texts asks for each distinct pair of context and symbol once, and the bucket answers with the chances along the
+symbol's path. A mixer adds up the stretched chances with weights from the set that the node's depth
 selects, learns those weights online while it reads (GROUP decisions at a step), and a final table of corrections
 by stretched chance, learnt online too, refines the result. Each stretch of LANE decisions starts with the initial weights,
 so that many stretches are mixed side by side.
 
-The base counts tokens over all training texts: tasks send each block's distinct tokens, by hash, to the buckets of
-their hash, which answer with the counts.
+The base counts tokens over all training texts in the same way: tasks send each block's distinct tokens, by hash, to the
+buckets of their hash, which answer with the counts.
 """
 
 from __future__ import annotations
@@ -30,16 +32,18 @@ from .jaccard_join import _coded, _decoded
 
 SYMBOLS = 64
 END, ESCAPE = 62, 63
-#: Places of the context tables: of each predictor so many contexts of SYMBOLS counters.
-SLOTS = (1 << 16, 1 << 17, 1 << 17)
-CHUNK = 1 << 17
+#: Contexts are told apart by so many bits of hash, those of all predictors together: of a billion one in 70,000 meets another.
+CONTEXT_BITS = 46
+#: Contexts whose chances a bucket works out at a time.
+CHUNK = 4096
 LANE, GROUP = 2048, 32
 GATES, BUCKETS = 4, 16
 RATE, REFINE = 0.02, 0.08
 FIRST_WEIGHT = (0.35, 0.45, 0.35)
 STEP = 16  # stretched chances are kept in steps of 1 / STEP
 HOLD_OUT = 5
-BLOCK_DOCS, BLOCK_TOKENS = 4096, 3_000_000
+#: A block ends with so many documents or bytes.
+BLOCK_DOCS, BLOCK_BYTES = 16384, 6_000_000
 _K = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -57,7 +61,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def contexts(raw: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
-    """For each place (bytes of texts, each followed by one place for its end) the slot of its context by each predictor.
+    """For each place (bytes of texts, each followed by one place for its end) the hash of its context by each predictor.
 
     raw: uint8, the end's place holds 0; starts: where each text starts.
     """
@@ -76,8 +80,11 @@ def contexts(raw: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
         last |= b << np.uint64(8 * (back - 1))
         if back == 2:
             two = last.copy()
+    drop = np.uint64(64 - CONTEXT_BITS)
     with np.errstate(over="ignore"):
-        four = (last + np.uint64(1)) * _K >> np.uint64(64 - 17)
+        # the predictor's number stands above the bytes
+        two = (two + np.uint64(1 << 40)) * _K >> drop
+        four = (last + np.uint64(2 << 40)) * _K >> drop
         # hash of the bytes since the last white space: differences of running sums of bytes times powers
         powers, inverse = _powers(n)
         sums = np.cumsum((wide + np.uint64(1)) * powers, dtype=np.uint64)
@@ -89,7 +96,8 @@ def contexts(raw: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
         word[starts] = starts
         word = np.maximum.accumulate(word)
         so_far = (before - before[word]) * inverse[word]
-        so_far = ((so_far ^ so_far >> np.uint64(29)) + np.uint64(7)) * _K >> np.uint64(64 - 17)
+        so_far = ((so_far ^ so_far >> np.uint64(29)) + np.uint64(7)) * _K
+        so_far = (so_far ^ so_far >> np.uint64(32)) * _K >> drop
     return [two.astype(np.int64), four.astype(np.int64), so_far.astype(np.int64)]
 
 
@@ -106,10 +114,22 @@ def trains(doc_id) -> bool:
     return doc_id is None or doc_id is pd.NA or zlib.crc32(str(doc_id).encode()) % HOLD_OUT != 1
 
 
+class Table:
+    """Stretched chances of sorted contexts: at context * SYMBOLS + node. Contexts that aren't there have even ones."""
+
+    def __init__(self, known: np.ndarray, levels: np.ndarray):
+        self.known, self.levels = np.append(known, np.int64(1 << 62)), np.vstack([levels, np.zeros((1, SYMBOLS), np.int8)])
+
+    def __getitem__(self, at):
+        own, node = np.divmod(at, SYMBOLS)
+        place = np.searchsorted(self.known, own)
+        return np.where(self.known[place] == own, self.levels[place, node], np.int8(0))
+
+
 class Model:
-    """Tables of fixed size: codes of the symbols, stretched chances of every context's nodes."""
+    """Codes of the symbols; and where they are kept together, the tables of the predictors."""
 
-    def __init__(self, byte_counts: np.ndarray, texts: int, tables: list[np.ndarray] | None = None):
+    def __init__(self, byte_counts: np.ndarray, texts: int, tables: list[Table] | None = None):
         order = np.argsort(-byte_counts, kind="stable")
         self.symbol = np.full(256, ESCAPE, np.int64)
         self.symbol[order[:END]] = np.arange(END)
@@ -162,11 +182,40 @@ class Model:
         p = (ones + 0.2) / (every + 0.4)
         return np.clip(np.rint(np.log(p / (1 - p)) * STEP), -127, 127).astype(np.int8)
 
-    def bits(self, texts: list[bytes]) -> np.ndarray:
-        """Bits that each text and its end take."""
+    def coded(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """As _joined(), and the symbols of all places."""
         raw, starts, ends = _joined(texts)
         symbols = self.symbol[raw]
         symbols[ends] = END
+        return raw, starts, ends, symbols
+
+    def pairs(self, texts: list[bytes]) -> np.ndarray:
+        """context * SYMBOLS + symbol: a row for each predictor, a column for each place."""
+        raw, starts, _, symbols = self.coded(texts)
+        return np.stack(contexts(raw, starts)) * SYMBOLS + symbols
+
+    def path_levels(self, pairs: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Stretched chances along the paths of sorted distinct pairs, end to end; counts: of training texts."""
+        own, symbols = pairs // SYMBOLS, pairs % SYMBOLS
+        fresh = np.flatnonzero(np.diff(own, prepend=-1))
+        number = np.cumsum(np.diff(own, prepend=-1) != 0) - 1
+        cuts, out = [*fresh[::CHUNK].tolist(), len(pairs)], [np.zeros(0, np.int8)]
+        for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+            there = number[a:b] - k * CHUNK
+            dense = np.zeros((int(there[-1]) + 1, SYMBOLS))
+            dense[there, symbols[a:b]] = counts[a:b]
+            out.append(self.stretched(dense).ravel()[self.walk(symbols[a:b], there * SYMBOLS)])
+        return np.concatenate(out)
+
+    def walk(self, symbols: np.ndarray, base: np.ndarray) -> np.ndarray:
+        """base + node for each step of the symbols' paths."""
+        length = self.length[symbols]
+        step = self.steps[_spans(self.path_start[symbols], length)]
+        return np.repeat(base, length) + (step & 63)
+
+    def bits(self, texts: list[bytes], levels: np.ndarray | None = None, at: np.ndarray | None = None) -> np.ndarray:
+        """Bits that each text and its end take. levels, at: chances along paths, and where those of each predictor and place start; without them the tables are used."""
+        raw, starts, ends, symbols = self.coded(texts)
         length = self.length[symbols]
         of_text = np.repeat(np.arange(len(texts), dtype=np.int32), ends - starts + 1)
         sizes = np.bincount(of_text, weights=length, minlength=len(texts)).astype(np.int64)
@@ -178,7 +227,10 @@ class Model:
         rows = int(lanes.sum())
         step = self.steps[np.repeat(shift, length) + np.arange(rows * LANE, dtype=np.int32)]
         node = (step & 63).astype(np.int32)
-        x = [t[np.repeat(np.insert(slot, ends + 1, 0).astype(np.int32) * np.int32(SYMBOLS), length) + node].reshape(rows, LANE) for t, slot in zip(self.tables, contexts(raw, starts))]
+        if levels is None:
+            x = [t[np.repeat(np.insert(slot, ends + 1, 0) * SYMBOLS, length) + node].reshape(rows, LANE) for t, slot in zip(self.tables, contexts(raw, starts))]
+        else:
+            x = [levels[_spans(np.insert(own, ends + 1, 0), length)].reshape(rows, LANE) for own in at]
         step = step.reshape(rows, LANE)
         cost = self._mix(x, step)
         out = np.bincount(np.repeat(np.arange(len(texts)), lanes), weights=cost, minlength=len(texts))
@@ -236,10 +288,15 @@ class Model:
         return cost
 
 
-def train(docs: DataFrame) -> Model:
-    """From all training texts. Nothing that is collected grows with the input: byte counts and tables of fixed size."""
-    spark = docs.sparkSession
-    texts = keyed_texts(docs)
+def _spans(begins: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """begins[i], begins[i] + 1, ... of each i as many as length says."""
+    ends = np.cumsum(length, dtype=np.int64)
+    shift = (begins - (ends - length)).astype(np.int32)
+    return np.repeat(shift, length) + np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)
+
+
+def alphabet(docs: DataFrame) -> Model:
+    """The codes of the symbols from all training texts, without tables. 257 numbers are collected."""
 
     def bytes_of(parts):
         total, n = np.zeros(256, np.int64), 0
@@ -250,55 +307,44 @@ def train(docs: DataFrame) -> Model:
                     n += 1
         yield pd.DataFrame({"byte": np.arange(257), "n": [*total, n]})
 
-    found = dict(texts.mapInPandas(bytes_of, "byte int, n long").groupBy("byte").agg(F.sum("n").alias("n")).collect())
-    model = Model(np.array([found.get(b, 0) for b in range(256)], np.float64), found.get(256, 0))
-    held = spark.sparkContext.broadcast(model)
+    found = dict(keyed_texts(docs).mapInPandas(bytes_of, "byte int, n long").groupBy("byte").agg(F.sum("n").alias("n")).collect())
+    return Model(np.array([found.get(b, 0) for b in range(256)], np.float64), found.get(256, 0))
 
-    def count(parts):
-        own, sums = held.value, [np.zeros(s * SYMBOLS, np.uint32) for s in SLOTS]
-        some = False
-
-        def add(texts: list[bytes]) -> None:
-            raw, starts, ends = _joined(texts)
-            symbols = own.symbol[raw]
-            symbols[ends] = END
-            for total, slot in zip(sums, contexts(raw, starts)):
-                at = (slot * SYMBOLS + symbols).astype(np.int32)
-                at.sort()
-                first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-                total[at[first]] += np.diff(np.append(first, len(at))).astype(np.uint32)
 
+def train(docs: DataFrame) -> Model:
+    """A model to keep, with the tables of all contexts of the training texts: they are collected, SYMBOLS + 8 bytes for each. scores() of
+    a table by itself doesn't need it."""
+    spark = docs.sparkSession
+    model = alphabet(docs)
+    held, buckets = spark.sparkContext.broadcast(model), max(64, slices(spark))
+
+    def count(parts):
         for pdf in parts:
             learnt = [t for d, t in zip(pdf["doc_id"].astype("Int64"), pdf["text"]) if trains(d)]
             for a, b in batches(learnt, 120_000):
-                add([t.encode() for t in learnt[a:b]])
-                some = True
-        if some:
-            for k, total in enumerate(sums):
-                for at in range(0, len(total), CHUNK):
-                    there = np.flatnonzero(total[at : at + CHUNK])
-                    if len(there):
-                        yield pd.DataFrame({"predictor": [k], "at": [at], "places": [there.astype("<u4").tobytes()], "counts": [total[at + there].astype("<u4").tobytes()]})
+                for k, own in enumerate(held.value.pairs([t.encode() for t in learnt[a:b]])):
+                    pairs, n = np.unique(own, return_counts=True)
+                    bucket = (pairs // SYMBOLS * buckets) >> CONTEXT_BITS
+                    cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
+                    yield pd.DataFrame({"predictor": k, "bucket": bucket[cuts], "pairs": [x.tobytes() for x in np.split(pairs, cuts[1:])], "counts": [x.tobytes() for x in np.split(n, cuts[1:])]})
 
     def stretch(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(CHUNK)
-        for p, c in zip(pdf["places"], pdf["counts"]):
-            total[np.frombuffer(p, "<u4")] += np.frombuffer(c, "<u4")
-        levels = held.value.stretched(total.reshape(-1, SYMBOLS))
-        return pd.DataFrame({"predictor": [pdf["predictor"].iloc[0]], "at": [pdf["at"].iloc[0]], "levels": [zlib.compress(levels.tobytes(), 1)]})
-
-    parts = texts.mapInPandas(count, "predictor int, at long, places binary, counts binary")
-    summed = parts.groupBy("predictor", "at").applyInPandas(stretch, "predictor int, at long, levels binary")
-    tables = [np.zeros(s * SYMBOLS, np.int8) for s in SLOTS]
-    for r in summed.collect():  # sum(SLOTS) * SYMBOLS bytes at most, before compression
-        tables[r["predictor"]][r["at"] : r["at"] + CHUNK] = np.frombuffer(zlib.decompress(r["levels"]), np.int8)
-    model.tables = tables
+        pairs, place = np.unique(np.frombuffer(b"".join(pdf["pairs"]), "<i8"), return_inverse=True)
+        known, number = np.unique(pairs // SYMBOLS, return_inverse=True)
+        dense = np.zeros((len(known), SYMBOLS))
+        dense[number, pairs % SYMBOLS] = np.bincount(place, weights=np.frombuffer(b"".join(pdf["counts"]), "<i8"))
+        return pd.DataFrame({"predictor": pdf["predictor"].iloc[:1], "bucket": pdf["bucket"].iloc[:1], "known": [known.tobytes()], "levels": [held.value.stretched(dense).tobytes()]})
+
+    parts = keyed_texts(docs).mapInPandas(count, "predictor int, bucket long, pairs binary, counts binary")
+    rows = sorted(parts.groupBy("predictor", "bucket").applyInPandas(stretch, "predictor int, bucket long, known binary, levels binary").collect())
+    of = lambda k, name: b"".join(r[name] for r in rows if r["predictor"] == k)
+    model.tables = [Table(np.frombuffer(of(k, "known"), "<i8"), np.frombuffer(of(k, "levels"), np.int8).reshape(-1, SYMBOLS)) for k in range(len(FIRST_WEIGHT))]
     held.unpersist()
     return model
 
 
 _NO_ID = -(1 << 63)
-_HEAD = np.dtype([("doc_id", "<i8"), ("held_out", "?"), ("tokens", "<i8"), ("bits", "<f8"), ("kinds", "<u4")])
+_HEAD = np.dtype([("doc_id", "<i8"), ("held_out", "?"), ("tokens", "<i8"), ("size", "<i8"), ("kinds", "<u4")])
 
 
 def scores(docs: DataFrame, model: Model | None = None) -> DataFrame:
@@ -306,12 +352,13 @@ def scores(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
     A null or empty text is its end alone. Rows without doc_id are learnt from and scored; repeated rows count as often as they
     occur. Without any training text every count is 0 and all chances are even. An empty table gives an empty
-    result. Only doc_id and text are read of docs. Tokens are told apart by 64-bit hashes.
+    result. Only doc_id and text are read of docs. Tokens are told apart by 56-bit hashes, contexts by CONTEXT_BITS bits. Without a
+    model the contexts of all training texts are the model's, however many.
     """
     from xxhash import xxh3_64_intdigest
 
     spark = docs.sparkSession
-    held = spark.sparkContext.broadcast(model or train(docs))
+    held = spark.sparkContext.broadcast(model or alphabet(docs))
     buckets = max(64, slices(spark))
 
     def send(parts):
@@ -320,7 +367,7 @@ def scores(docs: DataFrame, model: Model | None = None) -> DataFrame:
         part, block = TaskContext.get().partitionId(), 0
         number: dict[bytes, int] = defaultdict()
         number.default_factory = number.__len__
-        heads, kinds, counts, learnt, weight = [], [], [], [], 0
+        heads, kinds, counts, learnt, whole, weight = [], [], [], [], [], 0
 
         def flush():
             # \n: the end, which no token can be
@@ -335,32 +382,55 @@ def scores(docs: DataFrame, model: Model | None = None) -> DataFrame:
             head = zlib.compress(np.array(heads, _HEAD).tobytes(), 1)
             body = zlib.compress(back[flat_kinds].astype("<u4").tobytes(), 1) , zlib.compress(flat_counts.astype("<u4").tobytes(), 1)
             name = part << 20 | block
-            rows = [(-1 - name, name, 0, head, *body)]
+            rows = [(-1 - name, name, 0, head, *body, zlib.compress(b"".join(whole), 1))]
             cuts = np.searchsorted(words, np.array([-(-(b << 56) // buckets) for b in range(1, buckets)], np.uint64))
             for b, (w, s, at) in enumerate(zip(np.split(words, cuts), np.split(sums, cuts), np.concatenate([[0], cuts]))):
                 if len(w):
-                    rows.append((b, name, at, None, _coded(w), zlib.compress(s.astype("<u4").tobytes(), 1)))
-            for x in (heads, kinds, counts, learnt):
+                    rows.append((b, name, at, None, _coded(w), zlib.compress(s.astype("<u4").tobytes(), 1), None))
+            if held.value.tables is None:
+                rows += asked(name)
+            for x in (heads, kinds, counts, learnt, whole):
                 x.clear()
             number.clear()
-            return pd.DataFrame(rows, columns=["bucket", "block", "at", "head", "a", "b"])
+            return pd.DataFrame(rows, columns=["bucket", "block", "at", "head", "a", "b", "c"])
+
+        def asked(name: int) -> list[tuple]:
+            """The block's distinct pairs: contexts, how many symbols each has less one and which, counts in training texts."""
+            parts, rows = [], []
+            for a, b in batches(whole, 150_000):
+                trained = np.repeat(learnt[a:b], [len(t) + 1 for t in whole[a:b]])
+                parts.append(held.value.pairs(whole[a:b]) << 1 | trained)
+            for k in range(len(FIRST_WEIGHT)):
+                keys = np.concatenate([x[k] for x in parts])
+                keys.sort()
+                first = np.flatnonzero(np.concatenate([[True], keys[1:] >> 1 != keys[:-1] >> 1]))
+                times = np.add.reduceat(keys & 1, first)
+                pairs = keys[first] >> 1
+                own = pairs // SYMBOLS
+                cuts = np.searchsorted(own, [-(-(b << CONTEXT_BITS) // buckets) for b in range(1, buckets)])
+                for b, (o, p, n) in enumerate(zip(np.split(own, cuts), np.split(pairs, cuts), np.split(times, cuts))):
+                    if len(o):
+                        fresh = np.flatnonzero(np.diff(o, prepend=-1))
+                        per = np.diff(np.append(fresh, len(o))) - 1
+                        told = per.astype(np.uint8).tobytes() + (p % SYMBOLS).astype(np.uint8).tobytes()
+                        rows.append((b, name, k * buckets + b, None, _coded(o[fresh].astype(np.uint64)), zlib.compress(n.astype("<u4").tobytes(), 1), zlib.compress(told, 1)))
+            return rows
 
         for pdf in parts:
-            texts = [t.encode() for t in pdf["text"]]
-            ids = pdf["doc_id"].astype("Int64").tolist()
-            bits = np.concatenate([held.value.bits(texts[a:b]) for a, b in batches(texts, 150_000)]) if texts else []
-            for doc_id, raw, cost in zip(ids, texts, bits):
+            for doc_id, text in zip(pdf["doc_id"].astype("Int64").tolist(), pdf["text"]):
+                raw = text.encode()
                 own = raw.lower().split()
                 own.append(b"\n")
                 learn = trains(doc_id)
                 at = np.fromiter(map(number.__getitem__, own), np.int64, len(own))
                 kind, count = np.unique(at, return_counts=True)
-                heads.append((_NO_ID if doc_id is pd.NA else doc_id, not learn, len(own), cost, len(kind)))
+                heads.append((_NO_ID if doc_id is pd.NA else doc_id, not learn, len(own), len(raw), len(kind)))
                 kinds.append(kind)
                 counts.append(count)
                 learnt.append(learn)
-                weight += len(own)
-                if len(heads) == BLOCK_DOCS or weight >= BLOCK_TOKENS:
+                whole.append(raw)
+                weight += len(raw) + 1
+                if len(heads) == BLOCK_DOCS or weight >= BLOCK_BYTES:
                     yield flush()
                     block, weight = block + 1, 0
         if heads:
@@ -368,35 +438,82 @@ def scores(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
         if pdf["bucket"].iloc[0] < 0:
-            return pdf[["block", "at", "head", "a", "b"]].assign(tokens=0, types=0)
+            return pdf[["block", "at", "head", "a", "b", "c"]].assign(tokens=0, types=0)
+        of_tokens = pdf["c"].isna()
+        out = []
+        if not of_tokens.all():
+            out.append(chances(pdf[~of_tokens]))
+        if of_tokens.any():
+            out.append(totals(pdf[of_tokens]))
+        return pd.concat(out)
+
+    def chances(pdf: pd.DataFrame) -> pd.DataFrame:
+        own = held.value
+        keys = []
+        counts = [np.frombuffer(zlib.decompress(b), "<u4") for b in pdf["b"]]
+        for a, b, c in zip(pdf["a"], counts, pdf["c"]):
+            told = np.frombuffer(zlib.decompress(c), np.uint8).astype(np.int64)
+            n = len(told) - len(b)
+            keys.append(np.repeat(_decoded(a).astype(np.int64), told[:n] + 1) * SYMBOLS + told[n:])
+        pairs, place = np.unique(np.concatenate(keys), return_inverse=True)
+        levels = own.path_levels(pairs, np.bincount(place, weights=np.concatenate(counts), minlength=len(pairs)))
+        length = own.length[pairs % SYMBOLS]
+        starts = np.cumsum(length) - length
+        back, at = [], 0
+        for k in keys:
+            mine = place[at : at + len(k)]
+            at += len(k)
+            back.append(zlib.compress(levels[_spans(starts[mine], length[mine])].tobytes(), 1))
+        return pd.DataFrame({"block": pdf["block"], "at": pdf["at"], "head": None, "a": None, "b": None, "c": back, "tokens": 0, "types": 0})
+
+    def totals(pdf: pd.DataFrame) -> pd.DataFrame:
         words = [_decoded(a) for a in pdf["a"]]
         every = np.concatenate(words)
         counts = np.concatenate([np.frombuffer(zlib.decompress(b), "<u4") for b in pdf["b"]]).astype(np.int64)
         kinds, place = np.unique(every, return_inverse=True)
         sums = np.bincount(place, weights=counts, minlength=len(kinds)).astype(np.int64)
         back = np.split(sums[place].astype("<i8"), np.cumsum([len(w) for w in words])[:-1])
-        out = pd.DataFrame({"block": pdf["block"], "at": pdf["at"], "head": None, "a": None, "b": [zlib.compress(x.tobytes(), 1) for x in back], "tokens": 0, "types": 0})
+        out = pd.DataFrame({"block": pdf["block"], "at": pdf["at"], "head": None, "a": None, "b": [zlib.compress(x.tobytes(), 1) for x in back], "c": None, "tokens": 0, "types": 0})
         # the bucket's totals ride on its first row
         out.loc[out.index[0], ["tokens", "types"]] = [int(sums.sum()), int((sums > 0).sum())]
         return out
 
+    def cost(whole: bytes, sizes: np.ndarray, answers: pd.DataFrame) -> np.ndarray:
+        own, ends = held.value, np.cumsum(sizes).tolist()
+        texts = [whole[e - n : e] for e, n in zip(ends, sizes.tolist())]
+        cuts = list(batches(texts, 150_000))
+        if own.tables is not None:
+            return np.concatenate([own.bits(texts[a:b]) for a, b in cuts])
+        levels = np.frombuffer(b"".join([*map(zlib.decompress, answers["c"]), bytes(LANE)]), np.int8)
+        keys, base = [own.pairs(texts[a:b]) for a, b in cuts], 0
+        for k in range(len(FIRST_WEIGHT)):
+            pairs, place = np.unique(np.concatenate([x[k] for x in keys]), return_inverse=True)
+            length = own.length[pairs % SYMBOLS]
+            at = base + (np.cumsum(length, dtype=np.int64) - length)
+            base += int(length.sum())
+            # from here on the predictor's row says where its chances start
+            for x, part in zip(keys, np.split(at[place], np.cumsum([x.shape[1] for x in keys])[:-1])):
+                x[k] = part
+        return np.concatenate([own.bits(texts[a:b], levels, x) for (a, b), x in zip(cuts, keys)])
+
     def gather(pdf: pd.DataFrame) -> pd.DataFrame:
         told = pdf[pdf["head"].notna()].iloc[0]
         heads = np.frombuffer(zlib.decompress(told["head"]), _HEAD)
         kinds = np.frombuffer(zlib.decompress(told["a"]), "<u4").astype(np.int64)
         counts = np.frombuffer(zlib.decompress(told["b"]), "<u4").astype(np.int64)
-        answers = pdf[pdf["head"].isna()].sort_values("at")
+        answers = pdf[pdf["head"].isna() & pdf["c"].isna()].sort_values("at")
         c = np.concatenate([np.frombuffer(zlib.decompress(b), "<i8") for b in answers["b"]])[kinds]
         owner = np.repeat(np.arange(len(heads)), heads["kinds"])
         logs = np.bincount(owner, weights=np.log10(c + 0.5) * counts, minlength=len(heads))
         known = np.bincount(owner, weights=(c > 0) * counts, minlength=len(heads)).astype(np.int64)
+        bits = cost(zlib.decompress(told["c"]), heads["size"], pdf[pdf["head"].isna() & pdf["c"].notna()].sort_values("at"))
         ids = pd.array(heads["doc_id"].copy(), "Int64")
         ids[heads["doc_id"] == _NO_ID] = pd.NA
-        out = pd.DataFrame({"doc_id": ids, "held_out": heads["held_out"], "n_tokens": heads["tokens"], "n_known": known, "logs": logs, "bits": heads["bits"], "tokens": 0, "types": 0})
+        out = pd.DataFrame({"doc_id": ids, "held_out": heads["held_out"], "n_tokens": heads["tokens"], "n_known": known, "logs": logs, "bits": bits, "tokens": 0, "types": 0})
         out.loc[0, ["tokens", "types"]] = [int(pdf["tokens"].sum()), int(pdf["types"].sum())]
         return out
 
-    shape = "block long, at long, head binary, a binary, b binary"
+    shape = "block long, at long, head binary, a binary, b binary, c binary"
     sent = keyed_texts(docs).mapInPandas(send, f"bucket long, {shape}")
     told = sent.groupBy("bucket").applyInPandas(answer, f"{shape}, tokens long, types long")
     rows = written(told.groupBy("block").applyInPandas(gather, "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, bits double, tokens long, types long"), "scores")

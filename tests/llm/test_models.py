@@ -84,6 +84,21 @@ def test_mixing_against_a_plain_loop(docs_of, real):
     assert abs(sum(2.0 ** -model.length) - 1) < 1e-9  # a full code
 
 
+def test_every_context_has_counts_of_its_own(docs_of, real):
+    text = b"".join(b"%d-%d " % (i, i * i) for i in range(40_000))
+    raw = np.frombuffer(text + b"\0", np.uint8)
+    told = lm_score.contexts(raw, np.array([0]))
+    words = text.split(b" ")
+    exact = [{text[max(0, k - 2) : k] for k in range(len(raw))}, {text[max(0, k - 4) : k] for k in range(len(raw))}, {w[:k] for w in words for k in range(len(w) + 1)}]
+    assert [len(set(t.tolist())) for t in told] == [len(e) for e in exact]
+    # contexts dealt to buckets score as the model that keeps them together
+    rows = real[:60] + [(5000, None), (5001, "naïve 字 " * 50)]
+    model = lm_score.train(docs_of(rows))
+    assert sum(len(t.known) - 1 for t in model.tables) == len({(k, c) for i, t in rows if lm_score.trains(i) for k, own in enumerate(lm_score.contexts(np.frombuffer((t or "").encode() + b"\0", np.uint8), np.array([0]))) for c in own.tolist()})
+    dealt, kept = ({r["doc_id"]: r["bits"] for r in lm_score.scores(docs_of(rows).repartition(3), m).collect()} for m in (None, model))
+    assert dealt.keys() == kept.keys() and np.allclose([dealt[i] for i in kept], list(kept.values()), rtol=1e-4)
+
+
 def test_quality_held_out(spark):
     import duckdb
 
