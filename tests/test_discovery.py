@@ -166,3 +166,22 @@ def test_read_html():
     title, text, links = pages.read_html("https://a.com/x/", "<title> T </title><body>one <b>two</b><script>no</script><a href='y'><i>in</i> <b>bold</b></a><a href='#t'>t</a><a href='mailto:a'>m</a><a href=/z aria-label=Z></a><iframe src='//b.com/f'></iframe><form action='?q=1'></form><a href='http://[x'>bad</a></body>")
     assert (title, text) == ("T", "one two in bold t m bad")
     assert links == [(0, "https://a.com/x/y", "in bold", "a"), (1, "https://a.com/z", "Z", "a"), (2, "https://b.com/f", "", "iframe"), (3, "https://a.com/x/?q=1", "", "form")]
+
+
+def test_sitemaps_that_robots_declares(spark):
+    """They are read in place of /sitemap.xml; a robots.txt without any, or that isn't there, leaves that."""
+    job = lambda n: page(f"Careers at {n}", "<p>Open roles</p>")
+    urls = lambda *x: "".join(f"<loc>{u}</loc>" for u in x)
+    web = {
+        "https://sigma.com/": page("Sigma"), "https://sigma.com/robots.txt": "User-agent: *\r\nDisallow: /x\r\n SiteMap : https://cdn.sigma.net/map%5F1.xml # ours\r\n#Sitemap: https://sigma.com/no.xml",
+        "https://cdn.sigma.net/map_1.xml": "<sitemapindex>" + urls("https://cdn.sigma.net/pages.xml"), "https://cdn.sigma.net/pages.xml": urls("https://sigma.com/en/careers-at-sigma"), "https://sigma.com/en/careers-at-sigma": job("Sigma"),
+        "https://sigma.com/sitemap.xml": urls("https://sigma.com/old/careers-of-old"), "https://sigma.com/old/careers-of-old": job("Old"),
+        "https://tau.com/": page("Tau"), "https://tau.com/robots.txt": "User-agent: *\nDisallow:", "https://tau.com/sitemap.xml": urls("https://tau.com/en/careers-at-tau"), "https://tau.com/en/careers-at-tau": job("Tau"),
+        "https://phi.com/": page("Phi"), "https://phi.com/robots.txt": (404, "Sitemap: https://phi.com/m.xml"), "https://phi.com/m.xml": urls("https://phi.com/en/careers-at-phi"), "https://phi.com/en/careers-at-phi": job("Phi"),
+    }
+    rows = [(u, u, *(w if isinstance(w, tuple) else (200, w))) for u, w in web.items()]
+    kind = lambda u: "text/plain" if u.endswith("txt") else "application/xml" if u.endswith("xml") else "text/html"
+    companies = spark.createDataFrame([(i, n, f"https://{n.lower()}.com/") for i, n in enumerate(["Sigma", "Tau", "Phi"])], "id long, name string, website string")
+    outcomes, found = discovery.discover(companies, spark.createDataFrame([(u, f, s, kind(u), b, None) for u, f, s, b in rows], schemas.FETCHES))
+    assert {r["company_id"]: (r["career_page_url"], r["discovered_via"]) for r in found.collect()} == {0: ("https://sigma.com/en/careers-at-sigma", "sitemap"), 1: ("https://tau.com/en/careers-at-tau", "sitemap")}
+    assert {r["company_id"]: r["status"] for r in outcomes.collect()} == {0: "discovered", 1: "discovered", 2: "no_portal_found"}
