@@ -325,13 +325,19 @@ def link_components(reps: DataFrame, lists: DataFrame, percent: int = PERCENT, r
 
 
 def _rest(rows: DataFrame, labels: DataFrame, reps: DataFrame, percent: int, most: int | None) -> DataFrame:
-    """labels after pairs of rows in different components are compared: for each row outside the main component of a list the most
-    that share the most signatures with it, or all that may link."""
+    """labels after pairs of rows in different components are compared."""
+    pairs = _open_pairs(rows, reps, percent, most)
+    return labels if pairs is None else _merged(labels, written(_linked(pairs, reps, percent), "links"))
+
+
+def _open_pairs(rows: DataFrame, reps: DataFrame, percent: int, most: int | None) -> DataFrame | None:
+    """Pairs (a, la, b, lb) of rows under different labels: for each row outside the main label of a list the most that share the
+    most signatures with it, or all that may link. A pair may come from both sides. None: no list has two labels."""
     shares = rows.groupBy("token", "label").agg(F.count(F.lit(1)).alias("m"))
     main = shares.groupBy("token").agg(F.max(F.struct("m", "label")).alias("top"), F.sum("m").alias("size"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
     main = written(main.select(F.col("token").alias("_t"), F.col("top.label").alias("_main"), F.ceil(F.col("size") / CHUNK).alias("_chunks")), "main")
     if main.isEmpty():
-        return labels
+        return None
     open_rows = written(rows.join(main, F.col("token") == F.col("_t")).drop("_t"), "open")
     members = open_rows.withColumn("_chunk", F.pmod(F.xxhash64("row"), "_chunks")).groupBy("token", "_chunk").agg(F.collect_list("row").alias("rows"), F.collect_list(F.col("n").cast("int")).alias("sizes"), F.collect_list("label").alias("labels"))
     members = written(members.select(F.col("token").alias("_t"), "rows", "sizes", "labels"), "members")
@@ -369,19 +375,11 @@ def _rest(rows: DataFrame, labels: DataFrame, reps: DataFrame, percent: int, mos
         if lists:
             yield candidates(*now, lists)
 
-    pairs = asked.mapInPandas(meet, "a long, la long, b long, lb long")
-    return _merged(labels, written(_linked(pairs, reps, percent), "links"))
+    return asked.mapInPandas(meet, "a long, la long, b long, lb long")
 
 
-def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, light: int | None = None, rounds: int = ROUNDS) -> DataFrame:
-    """One row per row of docs: doc_id, n_shingles, component_id.
-
-    Two rows link when the Jaccard similarity of their shingle sets is percent or more; component_id is the smallest doc_id
-    that links lead to, the row's own included. A text with fewer words than a shingle is one shingle; one without words, or a
-    null text, has an empty set and links with nothing. Null doc_ids take part and never give the component its
-    id, unless no member has one; repeated rows link like any equal ones. An empty table gives an empty result. Only doc_id and text are
-    read of docs. light: the boundary of light sets; chosen by cost where None.
-    """
+def _prepared(docs: DataFrame, words: int, percent: int, light: int | None) -> tuple[DataFrame, ...]:
+    """sets, those that may link, rows of classes of equal sets with their representative, the representatives, and their lists."""
     sets = shared_members(docs, lambda text: shingles(text, words), percent)
     able = sets.where(F.col("values").isNotNull())
     classes = able.where(F.col("key").isNotNull()).groupBy("key", "n").agg(F.min("row").alias("rep"), F.count(F.lit(1)).alias("m")).where("m > 1")
@@ -397,6 +395,43 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     weights = lists.groupBy("row").agg(F.sum("m").alias("weight")).withColumnRenamed("row", "_r")
     lists = written(lists.join(weights, F.col("row") == F.col("_r")).select("token", "row", "n", "weight"), "lists")
     drop(signed)
+    return sets, able, members, reps, lists
+
+
+def jaccard_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, light: int | None = None) -> DataFrame:
+    """One row per row of docs: doc_id, n_shingles, n_links: with how many other rows it links.
+
+    Rows, links and light are those of jaccard_components(). Here every pair of different sets that may link is compared, also inside a component; so the
+    work grows with the square of a group of near copies that differ. Equal sets are compared once, as a class.
+    """
+    sets, able, members, reps, lists = _prepared(docs, words, percent, light)
+    pairs = _open_pairs(lists.select("token", "row", "n", F.col("row").alias("label")), reps, percent, None)
+    if pairs is None:
+        pairs = docs.sparkSession.createDataFrame([], "a long, la long, b long, lb long")
+    low, high = F.least("a", "b"), F.greatest("a", "b")
+    pairs = pairs.select(low.alias("a"), low.alias("la"), high.alias("b"), high.alias("lb")).distinct()
+    links = written(_linked(pairs, reps, percent), "links")
+    sizes = written(members.groupBy("rep").agg(F.count(F.lit(1)).alias("m")), "sizes")
+    both = links.unionByName(links.select(F.col("lb").alias("la"), F.col("la").alias("lb")))
+    size = F.coalesce("m", F.lit(1))
+    others = both.join(sizes, F.col("lb") == F.col("rep"), "left").groupBy(F.col("la").alias("_a")).agg(F.sum(size).alias("others"))
+    placed = able.select("row").join(members, "row", "left").select(F.col("row").alias("_row"), F.coalesce("rep", "row").alias("_rep"))
+    placed = placed.join(sizes, F.col("_rep") == F.col("rep"), "left").join(others, F.col("_rep") == F.col("_a"), "left")
+    placed = placed.select("_row", (size - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    out = sets.select("row", "doc_id", "n").join(placed, F.col("row") == F.col("_row"), "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, light: int | None = None, rounds: int = ROUNDS) -> DataFrame:
+    """One row per row of docs: doc_id, n_shingles, component_id.
+
+    Two rows link when the Jaccard similarity of their shingle sets is percent or more; component_id is the smallest doc_id
+    that links lead to, the row's own included. A text with fewer words than a shingle is one shingle; one without words, or a
+    null text, has an empty set and links with nothing. Null doc_ids take part and never give the component its
+    id, unless no member has one; repeated rows link like any equal ones. An empty table gives an empty result. Only doc_id and text are
+    read of docs. light: the boundary of light sets; chosen by cost where None.
+    """
+    sets, able, members, reps, lists = _prepared(docs, words, percent, light)
     labels = link_components(reps, lists, percent, rounds)
     # row -> representative -> component; classes of one row and rows without links are their own
     placed = able.select("row", "doc_id").join(members, "row", "left").select("row", "doc_id", F.coalesce("rep", "row").alias("rep"))

@@ -82,6 +82,23 @@ def test_jaccard_components(docs_of, light, rounds):
     assert sorted(map(tuple, got), key=repr) == brute_components(rows)
 
 
+@pytest.mark.parametrize("light", [None, 0])
+def test_links_of_every_document(docs_of, monkeypatch, light):
+    near = [" ".join("own" + str(i) if k == 5 * i else f"n{k}" for k in range(100)) for i in range(15)]
+    rows = variants() + EDGES + [(200 + i, t) for i, t in enumerate([*near, near[0], near[0]])]
+    sets = []
+    for _, t in rows:
+        w = (t or "").encode().lower().split()
+        sets.append({tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set())
+    link = lambda a, b: bool(a & b) and 100 * len(a & b) >= 75 * len(a | b)
+    want = [(i, len(own), sum(link(own, x) for x in sets) - bool(own)) for (i, _), own in zip(rows, sets)]
+    monkeypatch.setattr(jj, "CHUNK", 2)
+    got = jj.jaccard_links(docs_of(rows).repartition(3), light=light).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+    assert all(n == 16 for i, _, n in want if i is not None and i >= 200)  # each with all others, not only as a tree
+    assert jj.jaccard_links(docs_of([])).collect() == []
+
+
 def test_small_blocks_and_other_thresholds(docs_of, monkeypatch):
     rows = variants(7)
     monkeypatch.setattr(jj, "BLOCK_DOCS", 5)
