@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace import MIN_EMPLOYEES
@@ -190,6 +190,13 @@ def possible_duplicates(placed: DataFrame, companies: DataFrame) -> DataFrame:
     return new.join(others, "domain").where("other < company_id").groupBy("company_id", "domain").agg(F.sort_array(F.collect_list("other")).alias("other_company_ids"))
 
 
+def earlier_companies(companies: DataFrame) -> DataFrame:
+    """For each company with a domain that an earlier one has: company_id, domain, others (how many earlier ones). By one window, without pairs."""
+    rank = F.row_number().over(Window.partitionBy("website_domain").orderBy("id"))
+    ranked = companies.where("website_domain IS NOT NULL").select(F.col("id").alias("company_id"), F.col("website_domain").alias("domain"), (rank - 1).cast("long").alias("others"))
+    return ranked.where("others > 0")
+
+
 def upserted(old: DataFrame, new: DataFrame, keys: list[str], keep: list[str] = []) -> DataFrame:  # noqa: B006
     """old and new rows, one for each key: the last new row by ordinal wins, but columns in keep stay as they were."""
     last = new.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in new.columns if c != "ordinal"]), "ordinal").alias("_r"), *(F.min_by(c, "ordinal").alias(f"_first_{c}") for c in keep))

@@ -471,6 +471,12 @@ def possible_duplicates(spark, d):
     return resolve.possible_duplicates(new, c).select("company_id", "domain", F.size("other_company_ids").cast("long").alias("others"))
 
 
+@query("possible_duplicates_every", "SELECT company_id, domain, others FROM (SELECT c_custkey AS company_id, 'n' || c_nationkey AS domain, count(*) OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS others FROM customer) WHERE others > 0")
+def possible_duplicates_every(spark, d):
+    """Every customer taken as new."""
+    return resolve.earlier_companies(derived(spark, d, "customer", "c_custkey AS id, concat('n', c_nationkey) AS website_domain"))
+
+
 @query("parent_link", "SELECT s_suppkey AS child_company_id, CASE WHEN s_nationkey % 3 <> 0 THEN s_nationkey + 1000 END AS parent_company_id FROM supplier")
 def parent_link(spark, d):
     rel = derived(spark, d, "supplier", "s_suppkey AS child_company_id, CAST(5 AS BIGINT) AS parent_company_id, 'n' AS parent_source, concat('n', s_nationkey) AS parent_source_id, 'x' AS parent_name")
