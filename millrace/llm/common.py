@@ -25,6 +25,33 @@ def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def whole_ids(column) -> "pd.array":
+    """A column of ids as strings (null: none) as nullable whole numbers; as longs they would reach pandas as floats beside a null."""
+    import numpy as np
+    import pandas as pd
+
+    none = column.isna().to_numpy()
+    return pd.arrays.IntegerArray(column.where(~none, "0").to_numpy().astype(np.int64), none)
+
+
+def mapped(df: DataFrame, work, schema: str) -> DataFrame:
+    """df.mapInPandas(work, schema), where doc_id keeps every digit: work finds it as Int64."""
+
+    def run(parts):
+        return work(pdf.assign(doc_id=whole_ids(pdf["doc_id"])) for pdf in parts)
+
+    return df.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(run, schema)
+
+
+def fresh(columns: list[str], name: str) -> str:
+    """name, or name with a number, that no column has in any case."""
+    taken, out, n = {c.lower() for c in columns}, name, 0
+    while out.lower() in taken:
+        n += 1
+        out = f"{name}{n}"
+    return out
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: what spark.checkpoint.dir names.
 

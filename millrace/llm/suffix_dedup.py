@@ -3,11 +3,11 @@
 A document's suffixes are kept only at minimisers: of each WINDOW consecutive GRAM-word hashes the smallest (the leftmost
 of equals). Any LEAST words in a row hold a whole window, so a repeated passage of that length has the same minimisers
 wherever it stands. Minimisers that no other document has are dropped; the suffixes of the others are range-sorted by
-what follows, then by what precedes (words as 32-bit hashes, compared word by word), and neighbours are compared: the length they
-share to the right and to the left gives a repeat. A second order, by what precedes first, gives the most that any other shares
-to the left. Where neighbours can't settle it (they are of the same document, stand in different tasks, or another
-suffix shares more to the left than the one that shares the most to the right), the windows of LEAST words around the minimiser
-that are still open are looked up by their hash, which is exact. Found spans are united for each document.
+what follows, then by what precedes (words as 32-bit hashes, compared word by word), equal ones being one row however many documents
+have them, and neighbours are compared: the length they share to the right and to the left gives a repeat. A second order, by what
+precedes first, gives the most that any other shares to the left, and further repeats. Only where neighbours in neither order settle
+it (another suffix may share more to the left than the one that shares the most to the right), the windows of LEAST words around
+the minimiser that are still open are looked up by their hash, which is exact. Found spans are united for each document.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, drop, keyed_texts, slices, written
+from .common import documents, keyed_texts, mapped, slices, written
 from .jaccard_join import _M3, BITS, _mixed, shared_members
 
 LEAST = 50
@@ -72,7 +72,7 @@ def suffixes(docs: DataFrame) -> DataFrame:
     def cut(parts):
         for pdf in parts:
             rows = []
-            for doc_id, text, values in zip(pdf["doc_id"].astype("Int64"), pdf["text"], pdf["_values"]):
+            for doc_id, text, values in zip(pdf["doc_id"], pdf["text"], pdf["_values"]):
                 known = np.unique(np.concatenate([np.frombuffer(v, "<u8") for v in values]))
                 words = word_hashes(text)
                 places, grams = minimisers(words)
@@ -91,7 +91,7 @@ def suffixes(docs: DataFrame) -> DataFrame:
                 rows += [(doc_id, runs, *key) for key, runs in found.items()]
             yield pd.DataFrame(rows, columns=["doc_id", "runs", "anchor", "after", "before"]).astype({"doc_id": "Int64"})
 
-    return texts.mapInPandas(cut, SUFFIX)
+    return mapped(texts, cut, SUFFIX)
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -105,76 +105,110 @@ def _rows(column: pd.Series, width: int) -> np.ndarray:
     return np.frombuffer(data, ">u4").reshape(len(column), width)
 
 
-_NO_ID = -(1 << 63)
-#: With the suffix: what it shares to the right and left with the one before and the one behind it in order, as far as those are of
-#: other documents; and whether both neighbours could be told.
-RIGHT = SUFFIX + ", l1 int, r1 int, l2 int, r2 int, sure boolean"
-#: low..high: how many words before the minimiser a window may begin that is still open.
-#: left, right: the most that another suffix may share with this one.
-JUDGED = SUFFIX + ", l1 int, r1 int, l2 int, r2 int, low int, high int, left int, right int"
+#: A distinct suffix is a kind: its documents' least and greatest number (_key), and a hash that tells it from others of its minimiser.
+KIND = "anchor long, kind long, after binary, before binary, lo long, hi long"
+#: What a kind shares to the left and right with the one before and the one behind it in an order, as far as they have another
+#: document, and whether that could be told; part and edge: where the task's run begins (1) and ends (2).
+RIGHT = KIND + ", l1 int, r1 int, t1 boolean, l2 int, r2 int, t2 boolean, part long, edge int"
+LEFT = KIND + ", l1 int, r1 int, t1 boolean, l2 int, r2 int, t2 boolean, l3 int, r3 int, t3 boolean, l4 int, r4 int, t4 boolean, part long, edge int"
 
 
-def _in_order(rows: DataFrame, keys: list[str], judge, schema: str) -> DataFrame:
-    """rows sorted by anchor and keys over all tasks, each task's run of them given to judge(frame).
+def _key(doc_id) -> F.Column:
+    """A number for each document, rows without doc_id being one; only compared for being equal."""
+    return F.when(F.col(doc_id).isNull(), F.lit(0)).otherwise(F.xxhash64(doc_id))
 
-    doc_id stands last in the order, so equal suffixes can be split between tasks. Frames overlap by a row on either side, so
-    that every row has its neighbours but at the ends of a task's run; there edges tells that there is none.
+
+def _shared(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each row and the next: words shared to the left and right where they have different documents, and whether no such one may lie behind."""
+    anchor, lo, hi = (frame[c].to_numpy(np.int64) for c in ("anchor", "lo", "hi"))
+    same = anchor[1:] == anchor[:-1]
+    other = (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1]) | (lo[1:] != hi[1:])
+    near = same & other
+    left, right = (np.where(near, _common(v[1:], v[:-1]), 0) for v in (_rows(frame["before"], BEFORE), _rows(frame["after"], LEAST)))
+    return left, right, ~same | other
+
+
+def _in_order(rows: DataFrame, keys: list[str], schema: str) -> DataFrame:
+    """rows sorted by anchor and keys over all tasks, each with what it shares with its neighbours: the last six columns before part.
+
+    Frames overlap by a row, so every row has its neighbours but at the ends of a task's run: there the rows of all tasks
+    that stand at ends (two of each task) are compared once more, in order of tasks.
     """
-    order = ["anchor", *keys, "doc_id"]
+    order = ["anchor", *keys]
     ranked = rows.repartitionByRange(slices(rows.sparkSession), *order).sortWithinPartitions(*order)
     names = [c.split()[0] for c in schema.split(", ")]
+    at = names.index("part")
+    prev, next_ = names[at - 6 : at - 3], names[at - 3 : at]
+
+    def judged(frame: pd.DataFrame) -> pd.DataFrame:
+        for names_, cut in ((prev, slice(1, None)), (next_, slice(None, -1))):
+            for name, own in zip(names_, _shared(frame)):
+                column = np.zeros(len(frame), own.dtype)
+                column[cut] = own
+                frame[name] = column
+        return frame
 
     def run(parts):
-        held, done = None, 0  # the last rows: the first of them may be done, the last one waits for its next
+        from pyspark import TaskContext
+
+        part, held, done, edge = TaskContext.get().partitionId(), None, 0, 1  # the last rows: the first of them may be done, the last one waits for its next
         for pdf in parts:
-            pdf["doc_id"] = pdf["doc_id"].astype("Int64")
             frame = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
             if len(frame) - done > 1:
-                yield judge(frame).iloc[done:-1][names]
-                held, done = frame.tail(2), 1
+                out = judged(frame.copy()).iloc[done:-1].assign(part=part, edge=0)
+                out.iloc[0, out.columns.get_loc("edge")] = edge
+                yield out[names]
+                held, done, edge = frame.tail(2), 1, 0
             elif len(frame):
                 held = frame
         if held is not None:
-            yield judge(held).iloc[done:][names]
+            yield judged(held.copy()).iloc[done:].assign(part=part, edge=edge + 2)[names]
 
-    return ranked.mapInPandas(run, schema)
+    found = written(ranked.mapInPandas(run, schema), "order")
 
-
-def _pairs(frame: pd.DataFrame, column: str, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each row and the next: what column shares, whether the minimiser is the same, whether the document is another one."""
-    anchor, ids = frame["anchor"].to_numpy(), frame["doc_id"].fillna(_NO_ID).to_numpy(np.int64)
-    values = _rows(frame[column], width)
-    return _common(values[1:], values[:-1]), anchor[1:] == anchor[:-1], ids[1:] != ids[:-1]
-
-
-def _by_right(frame: pd.DataFrame) -> pd.DataFrame:
-    right, same, other = _pairs(frame, "after", LEAST)
-    left, _, _ = _pairs(frame, "before", BEFORE)
-    near = same & other
-    right, left = np.where(near, right, 0), np.where(near, left, 0)
-    none = np.zeros(1, np.int64)
-    # a neighbour of the same document hides what lies behind it; at the ends of a run there may be one that isn't seen
-    told = ~same | other
-    end = np.zeros(1, bool)
-    return frame.assign(l1=np.concatenate([none, left]), r1=np.concatenate([none, right]), l2=np.concatenate([left, none]), r2=np.concatenate([right, none]), sure=np.concatenate([end, told]) & np.concatenate([told, end]))
-
-
-def _by_left(frame: pd.DataFrame) -> pd.DataFrame:
-    left, same, other = _pairs(frame, "before", BEFORE)
-    near = np.where(same & other, left, 0)
-    told, end, none = ~same | other, np.zeros(1, bool), np.zeros(1, np.int64)
-    most = np.maximum(np.concatenate([none, near]), np.concatenate([near, none]))
-    lead = (frame["before"].str.len() // 4).to_numpy()
-    most = np.where(np.concatenate([end, told]) & np.concatenate([told, end]), most, lead)
-    l1, r1, l2, r2 = (frame[c].to_numpy(np.int64) for c in ("l1", "r1", "l2", "r2"))
-    right = np.maximum(r1, r2)
-    # with the neighbour that shares the most to the right all windows up to what it shares to the left are settled
-    settled = np.maximum(np.where(r1 == right, l1, 0), np.where(r2 == right, l2, 0))
-    sure = frame["sure"].to_numpy(bool)
-    # without sure neighbours any window is open that isn't settled
-    low = np.where(sure, np.maximum(settled + 1, LEAST - right), np.where(right == LEAST, settled + 1, 0))
-    most = np.minimum(most, lead)
-    return frame.assign(low=low, high=most, left=most, right=np.where(sure, right, LEAST))
+    def meet(parts):
+        last = None
+        for pdf in parts:
+            frame = pdf if last is None else pd.concat([last, pdf], ignore_index=True)
+            left, right, told = _shared(frame)
+            meets = np.flatnonzero(frame["part"].to_numpy()[1:] != frame["part"].to_numpy()[:-1])
+            own = frame[["anchor", "kind"]]
+            for rows_, side in ((meets + 1, 0), (meets, 1)):
+                yield own.iloc[rows_].assign(side=side, _l=left[meets], _r=right[meets], _t=told[meets])
+            last = frame.tail(1)
+
+    ends = found.where("edge > 0").select("anchor", "kind", "after", "before", "lo", "hi", "part", "edge")
+    patches = ends.repartition(1).sortWithinPartitions("part", "edge").mapInPandas(meet, "anchor long, kind long, side int, _l int, _r int, _t boolean")
+    patches = written(patches, "ends")
+    for side, own in enumerate((prev, next_)):
+        patch = patches.where(F.col("side") == side).drop("side").withColumnsRenamed({"anchor": "_a", "kind": "_k"})
+        found = found.join(patch, (F.col("anchor") == F.col("_a")) & (F.col("kind") == F.col("_k")), "left").withColumns({c: F.coalesce(p, c) for c, p in zip(own, ("_l", "_r", "_t"))}).select(*names)
+    return found
+
+
+def _open(judged: DataFrame) -> DataFrame:
+    """With low and high: how many words before the minimiser a window may begin that neighbours don't settle; left and right: the most
+    that any other may share; own: what documents of the same kind share."""
+    lead, tail = (F.length("before") / 4).cast("int"), (F.length("after") / 4).cast("int")
+    many = F.col("lo") != F.col("hi")
+    left = F.when(F.col("t3") & F.col("t4"), F.greatest("l3", "l4")).otherwise(lead)
+    right = F.when(F.col("t1") & F.col("t2"), F.greatest("r1", "r2")).otherwise(tail)
+    out = judged.withColumns({"left": F.when(many, lead).otherwise(left), "right": F.when(many, tail).otherwise(right), "l0": F.when(many, lead).otherwise(0), "r0": F.when(many, tail).otherwise(0)})
+    low, high = F.greatest(LEAST - F.col("right"), F.lit(0)), F.col("left")
+    # what a neighbour shares settles windows from LEAST - r to l: the open range shrinks from both ends
+    for _ in range(2):
+        for i in range(5):
+            l, r = F.col(f"l{i}"), F.col(f"r{i}")  # noqa: E741
+            low = F.when((LEAST - r <= low) & (low <= l), l + 1).otherwise(low)
+        out = out.withColumn("low", low)
+        low = F.col("low")
+    for _ in range(2):
+        for i in range(5):
+            l, r = F.col(f"l{i}"), F.col(f"r{i}")  # noqa: E741
+            high = F.when((LEAST - r <= high) & (high <= l), LEAST - r - 1).otherwise(high)
+        out = out.withColumn("high", high)
+        high = F.col("high")
+    return out
 
 
 def repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
@@ -183,54 +217,55 @@ def repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
 
     Words are compared by hashes, ASCII letters in lower case. Texts with fewer words, empty or null ones have no row; nor have
     documents without repeats. Equal documents repeat each other. Rows without doc_id, or repeated rows, count as one document, of
-    which each text is looked at. An empty table gives an empty result. Only doc_id and text are read of docs.
+    which each text is looked at. An empty table gives an empty result. Only doc_id and text are read of docs, whatever the others' names.
     """
     if least != LEAST:
         raise ValueError("the minimisers are laid out for passages of LEAST words")
     spark = docs.sparkSession
-    found = written(suffixes(docs), "suffixes")
-    ranked = written(_in_order(found, ["after", "before"], _by_right, RIGHT), "right")
-    drop(found)
-    judged = written(_in_order(ranked, ["before", "after"], _by_left, JUDGED), "judged")
-    drop(ranked)
-    run = F.explode(F.transform(F.sequence(F.lit(0), (F.size("runs") / 2 - 1).cast("int")), lambda i: F.struct(F.element_at("runs", 2 * i + 1).alias("first"), F.element_at("runs", 2 * i + 2).alias("last"))))
-    spans = judged.select("doc_id", "runs", F.explode(F.array(*(F.struct(F.col(f"l{i}").alias("l"), F.col(f"r{i}").alias("r")) for i in (1, 2)))).alias("s")).where(F.col("s.l") + F.col("s.r") >= LEAST)
-    spans = spans.select("doc_id", "s", run.alias("p"))
-    by_neighbour = spans.select("doc_id", (F.col("p.first") - F.col("s.l")).alias("start"), (F.col("p.last") + F.col("s.r")).alias("stop"))
-    # what is open for one suffix is looked up for all of its minimiser, as what is settled for one may be what another looks for; but a
-    # suffix has no part in windows that reach further than what it may share
+    found = written(suffixes(docs).withColumn("kind", F.xxhash64("after", "before")), "suffixes")
+    # equal suffixes of however many documents are one row from here on
+    kinds = found.groupBy("anchor", "after", "before").agg(F.min(_key("doc_id")).alias("lo"), F.max(_key("doc_id")).alias("hi"))
+    kinds = written(kinds.select("anchor", F.xxhash64("after", "before").alias("kind"), "after", "before", "lo", "hi"), "kinds")
+    ranked = written(_in_order(kinds, ["after", "before"], RIGHT).drop("part", "edge"), "right")
+    judged = written(_open(_in_order(ranked, ["before", "after"], LEFT)), "judged")
+    pairs = F.array(*(F.struct(F.col(f"l{i}").alias("l"), F.col(f"r{i}").alias("r")) for i in range(5)))
+    spans = judged.select("anchor", "kind", F.explode(F.array_distinct(F.filter(pairs, lambda p: p["l"] + p["r"] >= LEAST))).alias("s")).select("anchor", "kind", "s.l", "s.r")
+    # what is open for one kind is looked up for all of its minimiser that may share it
     open_ = written(judged.where("low <= high").groupBy("anchor").agg(F.min("low").alias("lowest"), F.max("high").alias("highest")).withColumnRenamed("anchor", "_a"), "open")
-    rest = judged.join(open_, F.col("anchor") == F.col("_a")).select("doc_id", "runs", "after", "before", F.greatest(F.col("lowest"), LEAST - F.col("right")).alias("low"), F.least("highest", "left").alias("high")).where("low <= high")
+    rest = judged.join(open_, F.col("anchor") == F.col("_a")).select("anchor", "kind", "after", "before", "lo", "hi", "low", "high", F.greatest(F.col("lowest"), LEAST - F.col("right")).alias("first"), F.least("highest", "left").alias("last")).where("first <= last")
 
     def windows(parts):
         for pdf in parts:
-            pdf["doc_id"] = pdf["doc_id"].astype("Int64")
-            rows, starts, hashes = [], [], []
-            for i, (runs, after, before, low, high) in enumerate(zip(pdf["runs"], pdf["after"], pdf["before"], pdf["low"], pdf["high"])):
-                # windows that begin low to high words before the minimiser
-                lead = min(len(before) // 4, high)
-                words = np.concatenate([np.frombuffer(before, ">u4", lead)[::-1], np.frombuffer(after, ">u4")]).astype(np.uint64)[: lead + LEAST - low]
+            rows, begins, hashes, asks = [], [], [], []
+            for i, (after, before, low, high, first, last) in enumerate(zip(*(pdf[c] for c in ("after", "before", "low", "high", "first", "last")))):
+                # windows that begin first to last words before the minimiser
+                lead = min(len(before) // 4, last)
+                words = np.concatenate([np.frombuffer(before, ">u4", lead)[::-1], np.frombuffer(after, ">u4")]).astype(np.uint64)[: lead + LEAST - first]
                 own = _rolled(words, LEAST)
-                for first, last in np.reshape(runs, (-1, 2)).tolist():
-                    rows.append(np.full(len(own), i))
-                    starts.append(np.array([[first - lead], [last - lead]]) + np.arange(len(own)))
-                    hashes.append(own)
+                begin = lead - np.arange(len(own))
+                rows.append(np.full(len(own), i))
+                begins.append(begin)
+                hashes.append(own)
+                asks.append((low <= begin) & (begin <= high))
             if rows:
-                at, (first, last) = np.concatenate(rows), np.concatenate(starts, axis=1)
-                yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy()[at], "first": first, "last": last, "window": np.concatenate(hashes).astype(np.int64)})
-
-    asked = written(rest.mapInPandas(windows, "doc_id long, first long, last long, window long"), "windows")
-    key = F.coalesce("doc_id", F.lit(_NO_ID))
-    twice = asked.groupBy("window").agg(F.min(key).alias("lo"), F.max(key).alias("hi")).where("lo < hi")
-    twice = written(twice.select(F.col("window").alias("_w")), "twice")
-    by_window = asked.join(twice, F.col("window") == F.col("_w")).select("doc_id", F.col("first").alias("start"), (F.col("last") + LEAST).alias("stop"))
-    every = by_neighbour.unionByName(by_window).distinct().repartition(slices(spark), "doc_id").sortWithinPartitions("doc_id", "start", "stop")
+                at = np.concatenate(rows)
+                yield pdf.iloc[at][["anchor", "kind", "lo", "hi"]].assign(l=np.concatenate(begins), window=np.concatenate(hashes).astype(np.int64), asks=np.concatenate(asks))
+
+    asked = written(rest.mapInPandas(windows, "anchor long, kind long, lo long, hi long, l int, window long, asks boolean"), "windows")
+    twice = asked.groupBy("window").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("asks").alias("asks")).where("lo < hi AND asks")
+    twice = twice.select(F.col("window").alias("_w"))
+    by_window = asked.where("asks").join(twice, F.col("window") == F.col("_w")).select("anchor", "kind", "l", (LEAST - F.col("l")).alias("r"))
+    spans = written(spans.unionByName(by_window).groupBy("anchor", "kind").agg(F.collect_set(F.struct("l", "r")).alias("spans")).withColumnsRenamed({"anchor": "_a", "kind": "_k"}), "spans")
+    run = F.transform(F.sequence(F.lit(0), (F.size("runs") / 2 - 1).cast("int")), lambda i: F.struct(F.element_at("runs", 2 * i + 1).alias("first"), F.element_at("runs", 2 * i + 2).alias("last")))
+    placed = found.select("doc_id", "anchor", "kind", "runs").join(spans, (F.col("anchor") == F.col("_a")) & (F.col("kind") == F.col("_k"))).select("doc_id", "spans", F.explode(run).alias("p")).select("doc_id", "p", F.explode("spans").alias("s"))
+    every = placed.select("doc_id", (F.col("p.first") - F.col("s.l")).alias("start"), (F.col("p.last") + F.col("s.r")).alias("stop"))
+    every = every.distinct().repartition(slices(spark), "doc_id").sortWithinPartitions("doc_id", "start", "stop")
 
     def unite(parts):
         held = None
         for pdf in parts:
             out = []
-            for doc_id, start, stop in zip(pdf["doc_id"].astype("Int64"), pdf["start"], pdf["stop"]):
+            for doc_id, start, stop in zip(pdf["doc_id"], pdf["start"], pdf["stop"]):
                 same = held is not None and (held[0] is doc_id or (held[0] is not pd.NA and doc_id is not pd.NA and held[0] == doc_id))
                 # windows that all repeat form one span where they follow each other word by word
                 if same and start <= held[2] - LEAST + 1:
@@ -243,7 +278,7 @@ def repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
         if held is not None:
             yield pd.DataFrame([(held[0], held[1], held[2] - held[1])], columns=["doc_id", "start", "n_words"]).astype({"doc_id": "Int64"})
 
-    return every.mapInPandas(unite, "doc_id long, start long, n_words long")
+    return mapped(every, unite, "doc_id long, start long, n_words long")
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
