@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import documents, keyed_texts
+from .common import documents, keyed_texts, mapped
 from .fast_encode import Encoder, batches, byte_letters, gathered
 
 NONE = np.int64(1) << 60
@@ -212,7 +212,7 @@ def encoded(docs: DataFrame, path: str, schema: str, row) -> DataFrame:
             yield pd.concat([pdf[["doc_id"]].reset_index(drop=True), pd.DataFrame(out, columns=names)], axis=1) if out else pd.DataFrame({"doc_id": [], **{n: [] for n in names}})
 
     names = [x.split()[0] for x in schema.split(",")]
-    return keyed_texts(docs).mapInPandas(encode, f"doc_id long, {schema}")
+    return mapped(keyed_texts(docs), encode, f"doc_id long, {schema}")
 
 
 def token_ids(docs: DataFrame, path: str) -> DataFrame:
@@ -228,7 +228,7 @@ def texts_of(rows: DataFrame, path: str) -> DataFrame:
         for pdf in parts:
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "text": [own.decode([] if ids is None else list(ids)) for ids in pdf["ids"]]})
 
-    return rows.select("doc_id", "ids").mapInPandas(decode, "doc_id long, text string")
+    return mapped(rows.select("doc_id", "ids"), decode, "doc_id long, text string")
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:

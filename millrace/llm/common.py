@@ -52,6 +52,11 @@ def fresh(columns: list[str], name: str) -> str:
     return out
 
 
+def text_bytes(docs: DataFrame, text_col: str = "text") -> int:
+    """Bytes of all texts, by which buckets are counted."""
+    return docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: what spark.checkpoint.dir names.
 
@@ -90,3 +95,30 @@ def drop(df: DataFrame) -> None:
 
 def slices(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def added_up(rows: DataFrame, finish) -> DataFrame:
+    """rows (part, places: sorted distinct uint32, counts: uint64; one for each task and part, none of them empty) -> part, told: finish(places, counts) of all rows of a part.
+
+    They are added up in two steps, over groups of tasks and then over these, so that no step holds a row of every task.
+    """
+    import numpy as np
+    import pandas as pd
+
+    def both(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        own = [np.frombuffer(p, "<u4") for p in pdf["places"]]
+        total = np.zeros(1 + max(int(p[-1]) for p in own), "<u8")
+        for p, c in zip(own, pdf["counts"]):
+            total[p] += np.frombuffer(c, "<u8")
+        places = np.flatnonzero(total)
+        return places.astype("<u4"), total[places]
+
+    def some(pdf: pd.DataFrame) -> pd.DataFrame:
+        places, counts = both(pdf)
+        return pd.DataFrame({"part": pdf["part"].iloc[:1], "places": [places.tobytes()], "counts": [counts.tobytes()]})
+
+    def all_(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"part": pdf["part"].iloc[:1], "told": [finish(*both(pdf))]})
+
+    first = rows.withColumn("_some", F.spark_partition_id() % 256).groupBy("part", "_some").applyInPandas(some, "part long, places binary, counts binary")
+    return first.groupBy("part").applyInPandas(all_, "part long, told binary")

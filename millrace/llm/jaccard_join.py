@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, drop, keyed_texts, slices, written
+from .common import added_up, documents, drop, fresh, keyed_texts, mapped, slices, text_bytes, written
 from .fast_encode import forget
 from .graph import components
 
@@ -36,6 +36,8 @@ BITS = 48
 #: A block ends with so many documents or shingles; local numbers of documents are 16 bits wide.
 BLOCK_DOCS, BLOCK_SHINGLES = 2048, 1_000_000
 MANY = 0xFFFF
+#: Bytes of text for each bucket of shingles: about twice as many bytes reach it, however much text there is.
+BUCKET_BYTES = 16_000_000
 #: Counters of the frequency sketch: 4 MB when broadcast, whatever the input.
 SKETCH_BITS = 22
 #: Sets beyond this are always heavy.
@@ -93,7 +95,7 @@ def shared_members(docs: DataFrame, members_of, percent: int) -> DataFrame:
     values: those, sorted, where shared is at least percent of n, and not 0, else null. key: a digest of the set where all of it
     is shared.
     """
-    buckets = max(64, 2 * slices(docs.sparkSession))
+    buckets = max(64, 2 * slices(docs.sparkSession), -(-text_bytes(docs) // BUCKET_BYTES))
 
     def send(parts):
         from pyspark import TaskContext
@@ -124,7 +126,7 @@ def shared_members(docs: DataFrame, members_of, percent: int) -> DataFrame:
 
         weight = 0
         for pdf in parts:
-            for doc_id, missing, text in zip(pdf["doc_id"].fillna(0).astype("int64"), pdf["doc_id"].isna(), pdf["text"]):
+            for doc_id, missing, text in zip(pdf["doc_id"].fillna(0).to_numpy(np.int64).tolist(), pdf["doc_id"].isna(), pdf["text"]):
                 own = members_of(text)
                 held.append((_NO_ID if missing else doc_id, own))
                 weight += len(own)
@@ -175,7 +177,7 @@ def shared_members(docs: DataFrame, members_of, percent: int) -> DataFrame:
         doc_id[ids == _NO_ID] = pd.NA
         return pd.DataFrame({"row": row, "doc_id": doc_id, "n": sizes, "shared": counts, "values": own, "key": key})
 
-    sent = keyed_texts(docs).mapInPandas(send, "bucket long, block long, docs long, first long, head binary, values binary, local binary")
+    sent = mapped(keyed_texts(docs), send, "bucket long, block long, docs long, first long, head binary, values binary, local binary")
     told = sent.groupBy("bucket").applyInPandas(answer, "block long, docs long, first long, head binary, values binary, local binary")
     return written(told.groupBy("block").applyInPandas(gather, "row long, doc_id long, n long, shared long, values binary, key string"), "sets")
 
@@ -198,18 +200,14 @@ def frequency_sketch(sets: DataFrame) -> np.ndarray:
             for i in range(0, 1 << SKETCH_BITS, chunk):
                 at = np.flatnonzero(total[i : i + chunk])
                 if len(at):
-                    yield pd.DataFrame({"part": [i], "places": [at.astype("<u2").tobytes()], "counts": [total[i + at].astype("<u4").tobytes()]})
+                    yield pd.DataFrame({"part": [i], "places": [at.astype("<u4").tobytes()], "counts": [total[i + at].astype("<u8").tobytes()]})
 
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(chunk)
-        for p, c in zip(pdf["places"], pdf["counts"]):
-            total[np.frombuffer(p, "<u2")] += np.frombuffer(c, "<u4")
-        return pd.DataFrame({"part": [pdf["part"].iloc[0]], "levels": [np.minimum(255, 8 * np.log2(total + 1)).astype(np.uint8).tobytes()]})
+    def levels(places: np.ndarray, counts: np.ndarray) -> bytes:
+        return np.minimum(255, 8 * np.log2(np.bincount(places, weights=counts, minlength=chunk) + 1)).astype(np.uint8).tobytes()
 
     out = np.zeros(1 << SKETCH_BITS, np.uint8)
-    summed = sets.select("values").mapInPandas(count, "part long, places binary, counts binary").groupBy("part").applyInPandas(add, "part long, levels binary")
-    for r in summed.collect():  # 64 rows of 64 KB at most
-        out[r["part"] : r["part"] + chunk] = np.frombuffer(r["levels"], np.uint8)
+    for r in added_up(sets.select("values").mapInPandas(count, "part long, places binary, counts binary"), levels).collect():  # 64 rows of 64 KB at most
+        out[r["part"] : r["part"] + chunk] = np.frombuffer(r["told"], np.uint8)
     return out
 
 
@@ -444,11 +442,14 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
 
 
 def drop_near_copies(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The rows of docs that name their component, with all their columns. Rows without doc_id stay."""
+    """The rows of docs that name their component, with all their columns, whatever their names. Rows without doc_id, and texts without words,
+    stay; rows repeated with their doc_id stay or go together. An empty table gives an empty result."""
     found = jaccard_components(docs, words, percent)
-    gone = written(found.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    own = fresh(docs.columns, "_gone")
+    gone = written(found.where("component_id <> doc_id").select(F.col("doc_id").alias(own)).distinct(), "gone")
+    return docs.join(gone, F.col("doc_id") == F.col(own), "left_anti")
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """jaccard_components() of all documents; nulls, empty texts, repeated rows, empty tables and clashing columns as said there."""
     return jaccard_components(documents(spark, sf_dir))

@@ -2,53 +2,59 @@
 
 The model codes a text's bytes, then an end, by binary decisions. Symbols are the 62 most frequent bytes of the training texts,
 the end and an escape; each symbol is a leaf of a Huffman tree over them, and a decision is a bit at an inner node. (A byte
-behind the escape costs its share among such bytes.) Three predictors give each node a chance of 1: by the last two
-bytes, by the last four, and by the word so far. Every context of the training texts has counts of its own, so they grow with
-the texts and are nowhere together: contexts, told apart by CONTEXT_BITS bits of hash, are dealt by hash to buckets.
-A block of texts asks for each distinct pair of context and symbol once, and the bucket answers with the chances along the
-symbol's path. A mixer adds up the stretched chances with weights from the set that the node's depth
-selects, learns those weights online while it reads (GROUP decisions at a step), and a final table of corrections
-by stretched chance, learnt online too, refines the result. Each stretch of LANE decisions starts with the initial weights,
-so that many stretches are mixed side by side.
-
-The base counts tokens over all training texts in the same way: tasks send each block's distinct tokens, by hash, to the
-buckets of their hash, which answer with the counts.
+behind the escape costs its share among such bytes after the byte before it.) Three predictors give each node a chance of 1: by
+the last two symbols, by the last three (tables with a place for each context there can be), and by the word so far. The
+last has counts for every beginning of every word of the training texts, however many: they grow with the texts, stay dealt to
+buckets by hash of the context, and a word's row of chances is worked out once, for the vocabulary, not for each place.
+
+A mixer adds up the stretched chances with weights from the set that the node's depth selects, learns those weights online
+while it reads, and a final table of corrections by stretched chance, learnt online too, refines the result. Weights and corrections
+last from a text's first decision to its last. They learn from a group of decisions at a step, of GROUP decisions at first and
+of a share of what has been read later on, at a rate that falls alike; texts are mixed side by side.
+
+A word is what lies between white space, with the white space (or the end) that closes it. Tasks count words by blocks; the
+vocabulary has one row for each word, with the base's count of it in lower case. Each block of texts then asks for its distinct
+words by hash, and buckets answer with counts and chances.
 """
 
 from __future__ import annotations
 
 import heapq
+import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, keyed_texts, slices, written
+from .common import added_up, documents, keyed_texts, mapped, slices, written
 from .fast_encode import batches
 from .jaccard_join import _coded, _decoded
 
 SYMBOLS = 64
 END, ESCAPE = 62, 63
-#: Contexts are told apart by so many bits of hash, those of all predictors together: of a billion one in 70,000 meets another.
-CONTEXT_BITS = 46
+#: Beginnings of words are told apart by so many bits of hash.
+CONTEXT_BITS = 56
 #: Contexts whose chances a bucket works out at a time.
 CHUNK = 4096
-LANE, GROUP = 2048, 32
+#: Decisions of the first groups; a later group has 1 / SHARE of the decisions before it.
+GROUP, SHARE = 32, 64
 GATES, BUCKETS = 4, 16
 RATE, REFINE = 0.02, 0.08
 FIRST_WEIGHT = (0.35, 0.45, 0.35)
 STEP = 16  # stretched chances are kept in steps of 1 / STEP
 HOLD_OUT = 5
-#: A block ends with so many documents or bytes.
-BLOCK_DOCS, BLOCK_BYTES = 16384, 6_000_000
+#: A block of texts ends with so many documents or bytes, one of the vocabulary with so many bytes of words; words that a task counts together.
+BLOCK_DOCS, BLOCK_BYTES, WORD_BYTES, COUNTED = 16384, 6_000_000, 1_000_000, 300_000
+#: Bytes of text for each bucket: about as many bytes of what is asked and answered.
+BUCKET_BYTES = 48_000_000
+#: Bytes of texts that are mixed side by side.
+MIXED_BYTES = 1_000_000
 _K = np.uint64(0x9E3779B97F4A7C15)
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
-
-
+_SPACES = frozenset(b" \t\n\x0b\x0c\r")
+_KEYS = re.compile(rb"[^ \t-\r]*[ \t-\r]?").findall
 _POWERS: list[np.ndarray] = [np.zeros(0, np.uint64), np.zeros(0, np.uint64)]
 
 
@@ -60,53 +66,17 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0][:n], _POWERS[1][:n]
 
 
-def contexts(raw: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
-    """For each place (bytes of texts, each followed by one place for its end) the hash of its context by each predictor.
+def keys_of(raw: bytes) -> list[bytes]:
+    """The text's words in order, each with the white-space byte behind it; the last one, closed by the end, has none. They add up to the text."""
+    found = _KEYS(raw)
+    if raw and raw[-1] not in _SPACES:
+        found.pop()
+    return found
 
-    raw: uint8, the end's place holds 0; starts: where each text starts.
-    """
-    n = len(raw)
-    first = np.zeros(n, np.int64)
-    first[starts] = starts
-    first = np.maximum.accumulate(first)
-    place = np.arange(n) - first
-    wide = raw.astype(np.uint64)
-    last = np.zeros(n, np.uint64)
-    two = np.zeros(n, np.uint64)
-    for back in range(1, 5):
-        b = np.zeros(n, np.uint64)
-        b[back:] = wide[:-back]
-        b[place < back] = 0
-        last |= b << np.uint64(8 * (back - 1))
-        if back == 2:
-            two = last.copy()
-    drop = np.uint64(64 - CONTEXT_BITS)
-    with np.errstate(over="ignore"):
-        # the predictor's number stands above the bytes
-        two = (two + np.uint64(1 << 40)) * _K >> drop
-        four = (last + np.uint64(2 << 40)) * _K >> drop
-        # hash of the bytes since the last white space: differences of running sums of bytes times powers
-        powers, inverse = _powers(n)
-        sums = np.cumsum((wide + np.uint64(1)) * powers, dtype=np.uint64)
-        before = np.concatenate([np.zeros(1, np.uint64), sums[:-1]])
-        word = np.zeros(n, np.int64)
-        opens = np.flatnonzero(_SPACE[raw]) + 1
-        opens = opens[opens < n]
-        word[opens] = opens
-        word[starts] = starts
-        word = np.maximum.accumulate(word)
-        so_far = (before - before[word]) * inverse[word]
-        so_far = ((so_far ^ so_far >> np.uint64(29)) + np.uint64(7)) * _K
-        so_far = (so_far ^ so_far >> np.uint64(32)) * _K >> drop
-    return [two.astype(np.int64), four.astype(np.int64), so_far.astype(np.int64)]
-
-
-def _joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes of the texts with a place for each end; starts; ends."""
-    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    raw = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8)
-    ends = np.cumsum(sizes + 1) - 1
-    return raw, ends - sizes, ends
+
+def is_word(key: bytes) -> bool:
+    """Whether there is more than the white space that closes it."""
+    return len(key) > 1 or (len(key) == 1 and key[0] not in _SPACES)
 
 
 def trains(doc_id) -> bool:
@@ -114,33 +84,42 @@ def trains(doc_id) -> bool:
     return doc_id is None or doc_id is pd.NA or zlib.crc32(str(doc_id).encode()) % HOLD_OUT != 1
 
 
-class Table:
-    """Stretched chances of sorted contexts: at context * SYMBOLS + node. Contexts that aren't there have even ones."""
+def _spans(begins: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """begins[i], begins[i] + 1, ... of each i as many as length says."""
+    ends = np.cumsum(length, dtype=np.int64)
+    shift = begins - (ends - length)
+    return np.repeat(shift, length) + np.arange(ends[-1] if len(ends) else 0)
 
-    def __init__(self, known: np.ndarray, levels: np.ndarray):
-        self.known, self.levels = np.append(known, np.int64(1 << 62)), np.vstack([levels, np.zeros((1, SYMBOLS), np.int8)])
 
-    def __getitem__(self, at):
-        own, node = np.divmod(at, SYMBOLS)
-        place = np.searchsorted(self.known, own)
-        return np.where(self.known[place] == own, self.levels[place, node], np.int8(0))
+def groups_of(decisions: int):
+    """(first, number) of the groups in which a text of so many decisions is learnt from."""
+    at = 0
+    while at < decisions:
+        n = max(GROUP, at // SHARE)
+        yield at, n
+        at += n
 
 
 class Model:
-    """Codes of the symbols; and where they are kept together, the tables of the predictors."""
+    """Codes of the symbols, and the tables of the predictors by the last two and three symbols. Its size is the same for every corpus."""
 
-    def __init__(self, byte_counts: np.ndarray, texts: int, tables: list[Table] | None = None):
-        order = np.argsort(-byte_counts, kind="stable")
+    def __init__(self, pairs: np.ndarray, texts: int):
+        """pairs: how often a byte (column) comes after another (row; at a text's start after byte 0); texts: how many."""
+        counts = pairs.sum(axis=0)
+        order = np.argsort(-counts, kind="stable")
         self.symbol = np.full(256, ESCAPE, np.int64)
         self.symbol[order[:END]] = np.arange(END)
-        rest = np.where(self.symbol == ESCAPE, byte_counts + 1.0, 0)
+        rare = self.symbol == ESCAPE
+        share = np.where(rare, counts + 1.0, 0)
+        share /= share.sum()
+        own = np.where(rare, pairs + share, 0)
         with np.errstate(divide="ignore"):
-            self.escape_bits = np.where(rest > 0, -np.log2(rest / rest.sum()), 0)
+            self.escape_bits = np.where(rare, -np.log2(own / own.sum(axis=1, keepdims=True)), 0).astype(np.float32)
         weights = np.zeros(SYMBOLS)
-        weights[:END] = byte_counts[order[:END]]
-        weights[END], weights[ESCAPE] = texts, byte_counts[order[END:]].sum()
+        weights[:END] = counts[order[:END]]
+        weights[END], weights[ESCAPE] = texts, counts[order[END:]].sum()
         self._tree(weights + 0.5)
-        self.tables = tables
+        self.two, self.three = np.zeros(SYMBOLS**3, np.int8), np.zeros(SYMBOLS**4, np.int8)
 
     def _tree(self, weights: np.ndarray) -> None:
         """A Huffman tree: nodes are numbered from the root on, all symbols' paths end to end in two arrays."""
@@ -154,7 +133,7 @@ class Model:
             heapq.heappush(heap, (a[0] + b[0], fresh, ()))
             fresh += 1
         paths: dict[int, list] = {}
-        number, stack, self.below = 0, [(heap[0][1], [])], []
+        number, stack = 0, [(heap[0][1], [])]
         while stack:
             at, path = stack.pop(0)
             if at < SYMBOLS:
@@ -163,12 +142,10 @@ class Model:
             for bit in (0, 1):
                 stack.append((kids[at][bit], [*path, (number, bit)]))
             number += 1
-        self.length = np.array([len(paths[s]) for s in range(SYMBOLS)], np.int32)
-        self.path_start = (np.cumsum(self.length) - self.length).astype(np.int32)
-        # each step of the paths, end to end: node, gate, bit and whether it counts; behind them steps that only fill a lane
-        steps = [n | min(d, GATES - 1) << 6 | bit << 8 | 1 << 9 for s in range(SYMBOLS) for d, (n, bit) in enumerate(paths[s])]
-        self.filler = len(steps)
-        self.steps = np.array(steps + [0] * LANE, np.int16)
+        self.length = np.array([len(paths[s]) for s in range(SYMBOLS)], np.int64)
+        self.path_start = np.cumsum(self.length) - self.length
+        # each step of the paths, end to end: node, gate and bit
+        self.steps = np.array([n | min(d, GATES - 1) << 6 | bit << 8 for s in range(SYMBOLS) for d, (n, bit) in enumerate(paths[s])], np.int16)
         self.ones = np.zeros((SYMBOLS, SYMBOLS))  # symbols that go right at a node
         self.all = np.zeros((SYMBOLS, SYMBOLS))
         for s in range(SYMBOLS):
@@ -182,17 +159,46 @@ class Model:
         p = (ones + 0.2) / (every + 0.4)
         return np.clip(np.rint(np.log(p / (1 - p)) * STEP), -127, 127).astype(np.int8)
 
-    def coded(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """As _joined(), and the symbols of all places."""
-        raw, starts, ends = _joined(texts)
+    def symbols(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Bytes of the texts with a place for each end, the symbols there, where texts start, where they end."""
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        raw = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8)
+        ends = np.cumsum(sizes + 1) - 1
         symbols = self.symbol[raw]
         symbols[ends] = END
-        return raw, starts, ends, symbols
+        return raw, symbols, ends - sizes, ends
 
-    def pairs(self, texts: list[bytes]) -> np.ndarray:
-        """context * SYMBOLS + symbol: a row for each predictor, a column for each place."""
-        raw, starts, _, symbols = self.coded(texts)
-        return np.stack(contexts(raw, starts)) * SYMBOLS + symbols
+    @staticmethod
+    def last_three(symbols: np.ndarray) -> np.ndarray:
+        """The three symbols before each place as a number, the nearest one lowest; before a text stand ends."""
+        out = np.zeros(len(symbols), np.int64)
+        # what stands before a text is the end of the one before; behind that everything counts as an end
+        padded = np.concatenate([[END, END, END], symbols])
+        first, second, third = padded[2:-1], padded[1:-2], padded[:-3]
+        second = np.where(first == END, END, second)
+        third = np.where(second == END, END, third)
+        np.add(first, second << 6, out=out)
+        return out + (third << 12)
+
+    def words(self, keys: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of words end to end: context * SYMBOLS + symbol for each place, steps of each place, places of each word."""
+        closed = [k if k and k[-1] in _SPACES else k + b"\0" for k in keys]
+        sizes = np.fromiter(map(len, closed), np.int64, len(closed))
+        raw = np.frombuffer(b"".join(closed), np.uint8)
+        ends = np.cumsum(sizes) - 1
+        symbols = self.symbol[raw]
+        open_ = np.fromiter((not k or k[-1] not in _SPACES for k in keys), bool, len(keys))
+        symbols[ends[open_]] = END
+        starts = np.repeat(ends + 1 - sizes, sizes)
+        with np.errstate(over="ignore"):
+            # hash of the word so far: differences of running sums of bytes times powers
+            powers, inverse = _powers(len(raw))
+            sums = np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers, dtype=np.uint64)
+            before = np.concatenate([np.zeros(1, np.uint64), sums[:-1]]) if len(sums) else sums
+            so_far = (before - before[starts]) * inverse[starts]
+            so_far = ((so_far ^ so_far >> np.uint64(29)) + np.uint64(7)) * _K
+            so_far = (so_far ^ so_far >> np.uint64(32)) * _K >> np.uint64(64 - CONTEXT_BITS)
+        return so_far.astype(np.int64) * SYMBOLS + symbols, self.length[symbols], sizes
 
     def path_levels(self, pairs: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Stretched chances along the paths of sorted distinct pairs, end to end; counts: of training texts."""
@@ -204,327 +210,371 @@ class Model:
             there = number[a:b] - k * CHUNK
             dense = np.zeros((int(there[-1]) + 1, SYMBOLS))
             dense[there, symbols[a:b]] = counts[a:b]
-            out.append(self.stretched(dense).ravel()[self.walk(symbols[a:b], there * SYMBOLS)])
+            length = self.length[symbols[a:b]]
+            node = self.steps[_spans(self.path_start[symbols[a:b]], length)] & 63
+            out.append(self.stretched(dense).ravel()[np.repeat(there * SYMBOLS, length) + node])
         return np.concatenate(out)
 
-    def walk(self, symbols: np.ndarray, base: np.ndarray) -> np.ndarray:
-        """base + node for each step of the symbols' paths."""
+    def bits(self, texts: list[bytes], by_word: np.ndarray) -> np.ndarray:
+        """Bits that each text and its end take. by_word: the word predictor's chances for all decisions, end to end."""
+        raw, symbols, starts, ends = self.symbols(texts)
         length = self.length[symbols]
         step = self.steps[_spans(self.path_start[symbols], length)]
-        return np.repeat(base, length) + (step & 63)
-
-    def bits(self, texts: list[bytes], levels: np.ndarray | None = None, at: np.ndarray | None = None) -> np.ndarray:
-        """Bits that each text and its end take. levels, at: chances along paths, and where those of each predictor and place start; without them the tables are used."""
-        raw, starts, ends, symbols = self.coded(texts)
-        length = self.length[symbols]
-        of_text = np.repeat(np.arange(len(texts), dtype=np.int32), ends - starts + 1)
-        sizes = np.bincount(of_text, weights=length, minlength=len(texts)).astype(np.int64)
-        lanes = -(-sizes // LANE)
-        # a place behind each text fills its last lane
-        length = np.insert(length, ends + 1, (lanes * LANE - sizes).astype(np.int32))
-        begins = np.insert(self.path_start[symbols], ends + 1, np.int32(self.filler))
-        shift = begins - (np.cumsum(length, dtype=np.int64) - length).astype(np.int32)
-        rows = int(lanes.sum())
-        step = self.steps[np.repeat(shift, length) + np.arange(rows * LANE, dtype=np.int32)]
+        sizes = np.add.reduceat(length, starts)
+        last = self.last_three(symbols)
         node = (step & 63).astype(np.int32)
-        if levels is None:
-            x = [t[np.repeat(np.insert(slot, ends + 1, 0) * SYMBOLS, length) + node].reshape(rows, LANE) for t, slot in zip(self.tables, contexts(raw, starts))]
-        else:
-            x = [levels[_spans(np.insert(own, ends + 1, 0), length)].reshape(rows, LANE) for own in at]
-        step = step.reshape(rows, LANE)
-        cost = self._mix(x, step)
-        out = np.bincount(np.repeat(np.arange(len(texts)), lanes), weights=cost, minlength=len(texts))
-        rare = (symbols == ESCAPE).nonzero()[0]
-        return out + np.bincount(of_text[rare], weights=self.escape_bits[raw[rare]], minlength=len(texts))
-
-    @staticmethod
-    def _mix(x: list[np.ndarray], step: np.ndarray) -> np.ndarray:
-        rows, k = len(step), len(x)
-        weights = np.empty((k, rows * GATES), np.float32)
-        # weights of inputs in steps, which saves scaling the inputs
-        weights[:] = np.array(FIRST_WEIGHT, np.float32)[:, None] / STEP
-        refined = np.tile((1 / (1 + np.exp(-(np.arange(BUCKETS) - BUCKETS / 2 + 0.5)))).astype(np.float32), rows)
-        cost = np.zeros(rows)
-        cells, buckets = np.arange(rows, dtype=np.int32)[:, None] * np.int32(GATES), np.arange(rows, dtype=np.int32)[:, None] * np.int32(BUCKETS)
-        half, one = np.float32(0.5), np.float32(1)
-        for a in range(0, LANE, GROUP):
-            told = step[:, a : a + GROUP]
-            pick = np.flatnonzero(told[:, 0] >> 9)
-            if not len(pick):
-                break
-            whole = len(pick) == rows
-            of = (lambda v: v) if whole else (lambda v: v[pick])
-            told = of(told)
-            s = [of(v[:, a : a + GROUP]).astype(np.float32) for v in x]
-            y, real = (told >> 8 & 1).astype(np.float32), (told >> 9).astype(np.float32)
-            cell = of(cells) + (told >> 6 & 3)
-            dot = weights[0].take(cell)
-            dot *= s[0]
-            for i in range(1, k):
-                dot += weights[i].take(cell) * s[i]
-            np.clip(dot, -7.9, 7.9, out=dot)
-            p = one / (one + np.exp(-dot))
-            bucket = of(buckets) + (dot + np.float32(BUCKETS / 2)).astype(np.int32)
-            q = refined.take(bucket)
-            # the chance of what came: of 1, or what is left of 1
-            final = p + q
-            final *= half
-            final += y
-            final -= one
-            np.abs(final, out=final)
-            np.log2(final, out=final)
+        x = [table[np.repeat((c * SYMBOLS).astype(np.int32), length) + node] for table, c in ((self.two, last & 4095), (self.three, last))]
+        out = mixed([*x, by_word], step, sizes)
+        rare = np.flatnonzero(symbols == ESCAPE)
+        before = np.where(np.isin(rare, starts), 0, raw[rare - 1])
+        owner = np.searchsorted(ends, rare)
+        return out + np.bincount(owner, weights=self.escape_bits[before, raw[rare]], minlength=len(texts))
+
+
+def mixed(x: list[np.ndarray], step: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Bits of texts whose decisions (so many of each) stand end to end in x and step."""
+    order = np.argsort(-sizes, kind="stable")
+    begins, left, rows, k = (np.cumsum(sizes) - sizes)[order], sizes[order], len(sizes), len(x)
+    longest = int(left[0]) if rows else 0
+    spare = max((n for _, n in groups_of(longest)), default=0)
+    x, step = [np.concatenate([v, np.zeros(spare, np.int8)]) for v in x], np.concatenate([step, np.zeros(spare, np.int16)])
+    weights = np.empty((k, rows * GATES), np.float32)
+    # weights of inputs in steps, which saves scaling the inputs
+    weights[:] = np.array(FIRST_WEIGHT, np.float32)[:, None] / STEP
+    refined = np.tile((1 / (1 + np.exp(-(np.arange(BUCKETS) - BUCKETS / 2 + 0.5)))).astype(np.float32), rows)
+    cost = np.zeros(rows)
+    cells, buckets = np.arange(rows, dtype=np.int32)[:, None] * np.int32(GATES), np.arange(rows, dtype=np.int32)[:, None] * np.int32(BUCKETS)
+    half, one, down = np.float32(0.5), np.float32(1), -left
+    for a, n in groups_of(longest):
+        active = int(np.searchsorted(down, -a))  # texts that go on beyond a
+        at = begins[:active, None] + np.arange(a, a + n)
+        told = step.take(at)
+        s = [v.take(at).astype(np.float32) for v in x]
+        y = (told >> 8 & 1).astype(np.float32)
+        real = None if left[active - 1] >= a + n else (np.arange(a, a + n) < left[:active, None]).astype(np.float32)
+        cell = cells[:active] + (told >> 6 & 3)
+        dot = weights[0].take(cell)
+        dot *= s[0]
+        for i in range(1, k):
+            dot += weights[i].take(cell) * s[i]
+        np.clip(dot, -7.9, 7.9, out=dot)
+        p = one / (one + np.exp(-dot))
+        bucket = buckets[:active] + (dot + np.float32(BUCKETS / 2)).astype(np.int32)
+        q = refined.take(bucket)
+        # the chance of what came: of 1, or what is left of 1
+        final = p + q
+        final *= half
+        final += y
+        final -= one
+        np.abs(final, out=final)
+        np.log2(final, out=final)
+        wrong, off = y - p, y - q
+        if real is not None:
             final *= real
-            spent = final.sum(axis=1, dtype=np.float64)
-            cost[slice(None) if whole else pick] -= spent
-            wrong = y - p
             wrong *= real
-            wrong *= np.float32(RATE / STEP**2)
-            flat = cell.ravel()
-            for i in range(k):
-                weights[i] += np.bincount(flat, weights=(wrong * s[i]).ravel(), minlength=rows * GATES)
-            drift = np.bincount(bucket.ravel(), weights=((y - q) * real).ravel(), minlength=rows * BUCKETS)
-            refined += (np.float32(REFINE / 4) * drift).astype(np.float32)
-            np.clip(refined, 0.001, 0.999, out=refined)
-        return cost
+            off *= real
+        cost[:active] -= final.sum(axis=1, dtype=np.float64)
+        slower = GROUP / n
+        wrong *= np.float32(RATE / STEP**2 * slower)
+        flat = cell.ravel()
+        for i in range(k):
+            weights[i, : active * GATES] += np.bincount(flat, weights=(wrong * s[i]).ravel(), minlength=active * GATES)
+        drift = np.bincount(bucket.ravel(), weights=off.ravel(), minlength=active * BUCKETS)
+        refined[: active * BUCKETS] += (np.float32(REFINE / 4 * slower) * drift).astype(np.float32)
+        np.clip(refined, 0.001, 0.999, out=refined)
+    out = np.empty(rows)
+    out[order] = cost
+    return out
 
 
-def _spans(begins: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """begins[i], begins[i] + 1, ... of each i as many as length says."""
-    ends = np.cumsum(length, dtype=np.int64)
-    shift = (begins - (ends - length)).astype(np.int32)
-    return np.repeat(shift, length) + np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)
+def _learnt(pdf: pd.DataFrame, every: bool) -> list[bytes]:
+    return [t.encode() for d, t in zip(pdf["doc_id"].tolist(), pdf["text"]) if every or trains(d)]
 
 
-def alphabet(docs: DataFrame) -> Model:
-    """The codes of the symbols from all training texts, without tables. 257 numbers are collected."""
+def alphabet(docs: DataFrame, every: bool = False) -> tuple[Model, int, int]:
+    """The symbols' codes from the training texts (every: all texts), how many these are, and the bytes of all texts. At most 65,538 numbers are collected."""
 
-    def bytes_of(parts):
-        total, n = np.zeros(256, np.int64), 0
+    def count(parts):
+        total, texts, size = np.zeros(1 << 16, np.int64), 0, 0
         for pdf in parts:
-            for doc_id, text in zip(pdf["doc_id"].astype("Int64"), pdf["text"]):
-                if trains(doc_id):
-                    total += np.bincount(np.frombuffer(text.encode(), np.uint8), minlength=256)
-                    n += 1
-        yield pd.DataFrame({"byte": np.arange(257), "n": [*total, n]})
+            size += sum(map(len, pdf["text"]))
+            own = _learnt(pdf, every)
+            texts += len(own)
+            for a, b in batches(own, 2_000_000):
+                # a byte 0 before each text; what comes after one's end isn't counted
+                raw = np.frombuffer(b"\0" + b"\0".join(own[a:b]), np.uint8).astype(np.uint16)
+                starts = np.cumsum(np.fromiter(map(len, own[a:b]), np.int64, b - a) + 1)[:-1]
+                codes = np.delete(raw[:-1] << 8 | raw[1:], starts - 1)
+                total += np.bincount(codes, minlength=1 << 16)
+        at = np.flatnonzero(total)
+        yield pd.DataFrame({"code": [*at, 1 << 16, 1 + (1 << 16)], "n": [*total[at], texts, size]})
+
+    found = dict(mapped(keyed_texts(docs), count, "code int, n long").groupBy("code").agg(F.sum("n").alias("n")).collect())
+    pairs = np.array([found.get(c, 0) for c in range(1 << 16)], np.float64).reshape(256, 256)
+    return Model(pairs, found.get(1 << 16, 0)), found.get(1 << 16, 0), found.get(1 + (1 << 16), 0)
+
+
+def learn_tables(docs: DataFrame, model: Model, every: bool = False) -> None:
+    """Fills the model's tables by the last two and three symbols from the training texts. SYMBOLS + 1 rows of 256 KB at most are collected."""
+    held = docs.sparkSession.sparkContext.broadcast(model)
+    part = SYMBOLS**3
 
-    found = dict(keyed_texts(docs).mapInPandas(bytes_of, "byte int, n long").groupBy("byte").agg(F.sum("n").alias("n")).collect())
-    return Model(np.array([found.get(b, 0) for b in range(256)], np.float64), found.get(256, 0))
+    def count(parts):
+        total = np.zeros(SYMBOLS**4, np.int32)
+        for pdf in parts:
+            own = _learnt(pdf, every)
+            for a, b in batches(own, 2_000_000):
+                _, symbols, _, _ = held.value.symbols(own[a:b])
+                np.add.at(total, held.value.last_three(symbols) * SYMBOLS + symbols, 1)
+        by_last = total.reshape(SYMBOLS, part)
+        for i, own in enumerate([*by_last, by_last.sum(axis=0)]):
+            at = np.flatnonzero(own)
+            if len(at):
+                yield pd.DataFrame({"part": [i], "places": [at.astype("<u4").tobytes()], "counts": [own[at].astype("<u8").tobytes()]})
+
+    def levels(places: np.ndarray, counts: np.ndarray) -> bytes:
+        dense = np.bincount(places, weights=counts, minlength=part).reshape(-1, SYMBOLS)
+        return zlib.compress(held.value.stretched(dense).tobytes(), 1)
+
+    for r in added_up(mapped(keyed_texts(docs), count, "part long, places binary, counts binary"), levels).collect():
+        own = np.frombuffer(zlib.decompress(r["told"]), np.int8)
+        if r["part"] == SYMBOLS:
+            model.two[:] = own
+        else:
+            model.three[r["part"] * part : (r["part"] + 1) * part] = own
+    held.unpersist()
 
 
-def train(docs: DataFrame) -> Model:
-    """A model to keep, with the tables of all contexts of the training texts: they are collected, SYMBOLS + 8 bytes for each. scores() of
-    a table by itself doesn't need it."""
-    spark = docs.sparkSession
-    model = alphabet(docs)
-    held, buckets = spark.sparkContext.broadcast(model), max(64, slices(spark))
+def vocabulary(docs: DataFrame, every: bool | None = None) -> DataFrame:
+    """key, n: every word of docs as keys_of() gives them, and how often training texts have it (every: True: all are such, False: none)."""
 
     def count(parts):
+        learnt, others = Counter(), set()
+
+        def told():
+            others.difference_update(learnt)
+            return pd.DataFrame({"key": [*learnt, *others], "n": [*learnt.values(), *[0] * len(others)]})
+
         for pdf in parts:
-            learnt = [t for d, t in zip(pdf["doc_id"].astype("Int64"), pdf["text"]) if trains(d)]
-            for a, b in batches(learnt, 120_000):
-                for k, own in enumerate(held.value.pairs([t.encode() for t in learnt[a:b]])):
-                    pairs, n = np.unique(own, return_counts=True)
-                    bucket = (pairs // SYMBOLS * buckets) >> CONTEXT_BITS
-                    cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
-                    yield pd.DataFrame({"predictor": k, "bucket": bucket[cuts], "pairs": [x.tobytes() for x in np.split(pairs, cuts[1:])], "counts": [x.tobytes() for x in np.split(n, cuts[1:])]})
-
-    def stretch(pdf: pd.DataFrame) -> pd.DataFrame:
-        pairs, place = np.unique(np.frombuffer(b"".join(pdf["pairs"]), "<i8"), return_inverse=True)
-        known, number = np.unique(pairs // SYMBOLS, return_inverse=True)
-        dense = np.zeros((len(known), SYMBOLS))
-        dense[number, pairs % SYMBOLS] = np.bincount(place, weights=np.frombuffer(b"".join(pdf["counts"]), "<i8"))
-        return pd.DataFrame({"predictor": pdf["predictor"].iloc[:1], "bucket": pdf["bucket"].iloc[:1], "known": [known.tobytes()], "levels": [held.value.stretched(dense).tobytes()]})
-
-    parts = keyed_texts(docs).mapInPandas(count, "predictor int, bucket long, pairs binary, counts binary")
-    rows = sorted(parts.groupBy("predictor", "bucket").applyInPandas(stretch, "predictor int, bucket long, known binary, levels binary").collect())
-    of = lambda k, name: b"".join(r[name] for r in rows if r["predictor"] == k)
-    model.tables = [Table(np.frombuffer(of(k, "known"), "<i8"), np.frombuffer(of(k, "levels"), np.int8).reshape(-1, SYMBOLS)) for k in range(len(FIRST_WEIGHT))]
-    held.unpersist()
-    return model
+            for doc_id, text in zip(pdf["doc_id"].tolist(), pdf["text"]):
+                (learnt if (trains(doc_id) if every is None else every) else others).update(keys_of(text.encode()))
+                if len(learnt) + len(others) > COUNTED:
+                    yield told()
+                    learnt, others = Counter(), set()
+        if learnt or others:
+            yield told()
+
+    return mapped(keyed_texts(docs), count, "key binary, n long").groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def with_base_counts(words: DataFrame) -> tuple[DataFrame, int, int]:
+    """key, n, c: how often training texts have the word in any case; all words there, distinct ones (ends not counted)."""
+    capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    low = F.translate(F.regexp_replace(F.decode("key", "ISO-8859-1"), r"[\x20\x09-\x0D]$", ""), capitals, capitals.lower())
+    # of one word at most the ways to write it in capitals, each with six kinds of white space or none
+    out = written(words.withColumn("low", low).withColumn("c", F.sum("n").over(Window.partitionBy("low"))).withColumn("first", F.row_number().over(Window.partitionBy("low").orderBy("key")) == 1), "vocabulary")
+    total = out.where("low <> ''").agg(F.sum("n").alias("n"), F.count_if(F.col("first") & (F.col("c") > 0)).alias("v")).first()
+    return out.select("key", "n", "c"), total["n"] or 0, total["v"] or 0
+
+
+def _key_hashes(keys) -> np.ndarray:
+    from xxhash import xxh3_64_intdigest
+
+    return np.fromiter(map(xxh3_64_intdigest, keys), np.uint64, len(keys))
+
+
+def _dealt(values: np.ndarray, bits: int, buckets: int) -> list[int]:
+    """Where sorted values of so many bits are cut into buckets."""
+    return np.searchsorted(values, np.array([-(-(b << bits) // buckets) for b in range(1, buckets)], values.dtype)).tolist()
 
 
-_NO_ID = -(1 << 63)
-_HEAD = np.dtype([("doc_id", "<i8"), ("held_out", "?"), ("tokens", "<i8"), ("size", "<i8"), ("kinds", "<u4")])
+ROW = "bucket long, block long, a binary, b binary, c binary, d binary"
+_COLUMNS = ["bucket", "block", "a", "b", "c", "d"]
 
 
-def scores(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """One row per row of docs: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits (the total by the model, of the text and its end).
+def word_levels(words: DataFrame, held, buckets: int) -> DataFrame:
+    """Rows (ROW, block -1) for each bucket of words' hashes: hashes, counts c, decisions of each word, chances along them.
+
+    Each block of words asks for the distinct pairs of beginning and next symbol in it, telling how often training texts have them; the
+    bucket of a beginning adds these up over all blocks and answers with chances.
+    """
+
+    def ask(parts):
+        from pyspark import TaskContext
+
+        part, block, keys, n, c, size = TaskContext.get().partitionId(), 0, [], [], [], 0
+
+        def flush():
+            name = part << 20 | block
+            pairs, _, sizes = held.value.words(keys)
+            order = np.argsort(pairs, kind="stable")
+            ranked = pairs[order]
+            fresh = np.flatnonzero(np.diff(ranked, prepend=-1))
+            sums = np.add.reduceat(np.repeat(n, sizes)[order], fresh)
+            ranked = ranked[fresh]
+            head = np.fromiter(map(len, keys), "<u4", len(keys)).tobytes()
+            rows = [(-1 - name, name, head, zlib.compress(b"".join(keys), 1), None, np.array(c, "<i8").tobytes())]
+            own = ranked // SYMBOLS
+            cuts = _dealt(own, CONTEXT_BITS, buckets)
+            for b, (p, s) in enumerate(zip(np.split(ranked, cuts), np.split(sums, cuts))):
+                if len(p):
+                    rows.append((b, name, _coded(p.astype(np.uint64)), zlib.compress(s.astype("<i8").tobytes(), 1), None, None))
+            return pd.DataFrame(rows, columns=_COLUMNS)
+
+        for pdf in parts:
+            for key, many, count in zip(pdf["key"], pdf["n"], pdf["c"]):
+                keys.append(bytes(key))
+                n.append(many)
+                c.append(count)
+                size += len(keys[-1]) + 1
+                if size >= WORD_BYTES:
+                    yield flush()
+                    block, keys, n, c, size = block + 1, [], [], [], 0
+        if keys:
+            yield flush()
+
+    def chances(pdf: pd.DataFrame) -> pd.DataFrame:
+        if pdf["bucket"].iloc[0] < 0:
+            return pdf
+        keys = [_decoded(a).astype(np.int64) for a in pdf["a"]]
+        counts = np.concatenate([np.frombuffer(zlib.decompress(b), "<i8") for b in pdf["b"]])
+        pairs, place = np.unique(np.concatenate(keys), return_inverse=True)
+        levels = held.value.path_levels(pairs, np.bincount(place, weights=counts, minlength=len(pairs)))
+        length = held.value.length[pairs % SYMBOLS]
+        starts, back, at = np.cumsum(length) - length, [], 0
+        for k in keys:
+            mine = place[at : at + len(k)]
+            at += len(k)
+            back.append(zlib.compress(levels[_spans(starts[mine], length[mine])].tobytes(), 1))
+        return pd.DataFrame({"bucket": pdf["bucket"], "block": pdf["block"], "a": None, "b": None, "c": back, "d": None})
+
+    def gather(pdf: pd.DataFrame) -> pd.DataFrame:
+        told = pdf[pdf["bucket"] < 0].iloc[0]
+        ends = np.cumsum(np.frombuffer(told["a"], "<u4").astype(np.int64))
+        blob = zlib.decompress(told["b"])
+        keys = [blob[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+        levels = np.frombuffer(b"".join(map(zlib.decompress, pdf[pdf["bucket"] >= 0].sort_values("bucket")["c"])), np.int8)
+        pairs, length, sizes = held.value.words(keys)
+        known, place = np.unique(pairs, return_inverse=True)
+        own = held.value.length[known % SYMBOLS]
+        starts = np.cumsum(own) - own
+        flat = levels[_spans(starts[place], length)]
+        decisions = np.add.reduceat(length, np.cumsum(sizes) - sizes)
+        hashes = _key_hashes(keys)
+        order = np.argsort(hashes, kind="stable")
+        hashes, c, first, decisions = hashes[order], np.frombuffer(told["d"], "<i8")[order], (np.cumsum(decisions) - decisions)[order], decisions[order]
+        rows, cuts = [], _dealt(hashes, 64, buckets)
+        for b, (h, n, f, d) in enumerate(zip(*(np.split(v, cuts) for v in (hashes, c, first, decisions)))):
+            if len(h):
+                rows.append((b, -1, _coded(h), zlib.compress(n.tobytes(), 1), zlib.compress(d.astype("<u4").tobytes(), 1), zlib.compress(flat[_spans(f, d)].tobytes(), 1)))
+        return pd.DataFrame(rows, columns=_COLUMNS)
+
+    asked = words.mapInPandas(ask, ROW).groupBy("bucket").applyInPandas(chances, ROW)
+    return asked.groupBy("block").applyInPandas(gather, ROW)
+
+
+_HEAD = np.dtype([("doc_id", "<i8"), ("none", "?"), ("held_out", "?"), ("size", "<i8")])
+
+
+def scores(docs: DataFrame, learn_from: DataFrame | None = None) -> DataFrame:
+    """One row per row of docs: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits (the total by the model, of the
+    text and its end), bits_per_byte (bits over the text's bytes, over 1 for an empty text).
 
     A null or empty text is its end alone. Rows without doc_id are learnt from and scored; repeated rows count as often as they
     occur. Without any training text every count is 0 and all chances are even. An empty table gives an empty
-    result. Only doc_id and text are read of docs. Tokens are told apart by 56-bit hashes, contexts by CONTEXT_BITS bits. Without a
-    model the contexts of all training texts are the model's, however many.
+    result. Only doc_id and text are read of docs, whatever the others' names. Words are told apart by 64-bit hashes, their
+    beginnings by CONTEXT_BITS bits. learn_from: documents (doc_id, text) to learn from, all of them, instead of docs' own that aren't held out.
     """
-    from xxhash import xxh3_64_intdigest
-
     spark = docs.sparkSession
-    held = spark.sparkContext.broadcast(model or alphabet(docs))
-    buckets = max(64, slices(spark))
+    source, every = (docs, False) if learn_from is None else (learn_from, True)
+    model, texts, size = alphabet(source, every)
+    learn_tables(source, model, every)
+    held = spark.sparkContext.broadcast(model)
+    buckets = max(64, slices(spark), -(-size // BUCKET_BYTES))
+    words = vocabulary(docs, None if learn_from is None else False)
+    if learn_from is not None:
+        words = words.unionByName(vocabulary(learn_from, True)).groupBy("key").agg(F.sum("n").alias("n"))
+    words, tokens, types = with_base_counts(words)
+    n, v = tokens + texts, types + (texts > 0)
 
     def send(parts):
         from pyspark import TaskContext
 
-        part, block = TaskContext.get().partitionId(), 0
-        number: dict[bytes, int] = defaultdict()
-        number.default_factory = number.__len__
-        heads, kinds, counts, learnt, whole, weight = [], [], [], [], [], 0
+        part, block, heads, whole, keys, weight = TaskContext.get().partitionId(), 0, [], [], set(), 0
 
         def flush():
-            # \n: the end, which no token can be
-            words = np.fromiter(map(xxh3_64_intdigest, number), np.uint64, len(number)) >> np.uint64(8)
-            order = np.argsort(words, kind="stable")
-            back = np.empty(len(order), np.int64)
-            back[order] = np.arange(len(order))
-            words = words[order]
-            flat_kinds, flat_counts = np.concatenate(kinds), np.concatenate(counts)
-            trained = np.repeat(learnt, [len(k) for k in kinds])
-            sums = np.bincount(flat_kinds[trained], weights=flat_counts[trained], minlength=len(number)).astype(np.int64)[order]
-            head = zlib.compress(np.array(heads, _HEAD).tobytes(), 1)
-            body = zlib.compress(back[flat_kinds].astype("<u4").tobytes(), 1) , zlib.compress(flat_counts.astype("<u4").tobytes(), 1)
             name = part << 20 | block
-            rows = [(-1 - name, name, 0, head, *body, zlib.compress(b"".join(whole), 1))]
-            cuts = np.searchsorted(words, np.array([-(-(b << 56) // buckets) for b in range(1, buckets)], np.uint64))
-            for b, (w, s, at) in enumerate(zip(np.split(words, cuts), np.split(sums, cuts), np.concatenate([[0], cuts]))):
-                if len(w):
-                    rows.append((b, name, at, None, _coded(w), zlib.compress(s.astype("<u4").tobytes(), 1), None))
-            if held.value.tables is None:
-                rows += asked(name)
-            for x in (heads, kinds, counts, learnt, whole):
-                x.clear()
-            number.clear()
-            return pd.DataFrame(rows, columns=["bucket", "block", "at", "head", "a", "b", "c"])
-
-        def asked(name: int) -> list[tuple]:
-            """The block's distinct pairs: contexts, how many symbols each has less one and which, counts in training texts."""
-            parts, rows = [], []
-            for a, b in batches(whole, 150_000):
-                trained = np.repeat(learnt[a:b], [len(t) + 1 for t in whole[a:b]])
-                parts.append(held.value.pairs(whole[a:b]) << 1 | trained)
-            for k in range(len(FIRST_WEIGHT)):
-                keys = np.concatenate([x[k] for x in parts])
-                keys.sort()
-                first = np.flatnonzero(np.concatenate([[True], keys[1:] >> 1 != keys[:-1] >> 1]))
-                times = np.add.reduceat(keys & 1, first)
-                pairs = keys[first] >> 1
-                own = pairs // SYMBOLS
-                cuts = np.searchsorted(own, [-(-(b << CONTEXT_BITS) // buckets) for b in range(1, buckets)])
-                for b, (o, p, n) in enumerate(zip(np.split(own, cuts), np.split(pairs, cuts), np.split(times, cuts))):
-                    if len(o):
-                        fresh = np.flatnonzero(np.diff(o, prepend=-1))
-                        per = np.diff(np.append(fresh, len(o))) - 1
-                        told = per.astype(np.uint8).tobytes() + (p % SYMBOLS).astype(np.uint8).tobytes()
-                        rows.append((b, name, k * buckets + b, None, _coded(o[fresh].astype(np.uint64)), zlib.compress(n.astype("<u4").tobytes(), 1), zlib.compress(told, 1)))
-            return rows
+            rows = [(-1, name, np.array(heads, _HEAD).tobytes(), zlib.compress(b"".join(whole), 1), None, None)]
+            hashes = np.sort(_key_hashes(keys))
+            rows += [(b, name, _coded(h), None, None, None) for b, h in enumerate(np.split(hashes, _dealt(hashes, 64, buckets))) if len(h)]
+            return pd.DataFrame(rows, columns=_COLUMNS)
 
         for pdf in parts:
-            for doc_id, text in zip(pdf["doc_id"].astype("Int64").tolist(), pdf["text"]):
-                raw = text.encode()
-                own = raw.lower().split()
-                own.append(b"\n")
-                learn = trains(doc_id)
-                at = np.fromiter(map(number.__getitem__, own), np.int64, len(own))
-                kind, count = np.unique(at, return_counts=True)
-                heads.append((_NO_ID if doc_id is pd.NA else doc_id, not learn, len(own), len(raw), len(kind)))
-                kinds.append(kind)
-                counts.append(count)
-                learnt.append(learn)
+            for doc_id, text in zip(pdf["doc_id"].tolist(), pdf["text"]):
+                raw, none = text.encode(), doc_id is pd.NA
+                heads.append((0 if none else doc_id, none, not trains(doc_id), len(raw)))
                 whole.append(raw)
+                keys.update(keys_of(raw))
                 weight += len(raw) + 1
                 if len(heads) == BLOCK_DOCS or weight >= BLOCK_BYTES:
                     yield flush()
-                    block, weight = block + 1, 0
+                    block, heads, whole, keys, weight = block + 1, [], [], set(), 0
         if heads:
             yield flush()
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
-        if pdf["bucket"].iloc[0] < 0:
-            return pdf[["block", "at", "head", "a", "b", "c"]].assign(tokens=0, types=0)
-        of_tokens = pdf["c"].isna()
-        out = []
-        if not of_tokens.all():
-            out.append(chances(pdf[~of_tokens]))
-        if of_tokens.any():
-            out.append(totals(pdf[of_tokens]))
-        return pd.concat(out)
-
-    def chances(pdf: pd.DataFrame) -> pd.DataFrame:
-        own = held.value
-        keys = []
-        counts = [np.frombuffer(zlib.decompress(b), "<u4") for b in pdf["b"]]
-        for a, b, c in zip(pdf["a"], counts, pdf["c"]):
-            told = np.frombuffer(zlib.decompress(c), np.uint8).astype(np.int64)
-            n = len(told) - len(b)
-            keys.append(np.repeat(_decoded(a).astype(np.int64), told[:n] + 1) * SYMBOLS + told[n:])
-        pairs, place = np.unique(np.concatenate(keys), return_inverse=True)
-        levels = own.path_levels(pairs, np.bincount(place, weights=np.concatenate(counts), minlength=len(pairs)))
-        length = own.length[pairs % SYMBOLS]
-        starts = np.cumsum(length) - length
-        back, at = [], 0
-        for k in keys:
-            mine = place[at : at + len(k)]
-            at += len(k)
-            back.append(zlib.compress(levels[_spans(starts[mine], length[mine])].tobytes(), 1))
-        return pd.DataFrame({"block": pdf["block"], "at": pdf["at"], "head": None, "a": None, "b": None, "c": back, "tokens": 0, "types": 0})
-
-    def totals(pdf: pd.DataFrame) -> pd.DataFrame:
-        words = [_decoded(a) for a in pdf["a"]]
-        every = np.concatenate(words)
-        counts = np.concatenate([np.frombuffer(zlib.decompress(b), "<u4") for b in pdf["b"]]).astype(np.int64)
-        kinds, place = np.unique(every, return_inverse=True)
-        sums = np.bincount(place, weights=counts, minlength=len(kinds)).astype(np.int64)
-        back = np.split(sums[place].astype("<i8"), np.cumsum([len(w) for w in words])[:-1])
-        out = pd.DataFrame({"block": pdf["block"], "at": pdf["at"], "head": None, "a": None, "b": [zlib.compress(x.tobytes(), 1) for x in back], "c": None, "tokens": 0, "types": 0})
-        # the bucket's totals ride on its first row
-        out.loc[out.index[0], ["tokens", "types"]] = [int(sums.sum()), int((sums > 0).sum())]
-        return out
-
-    def cost(whole: bytes, sizes: np.ndarray, answers: pd.DataFrame) -> np.ndarray:
-        own, ends = held.value, np.cumsum(sizes).tolist()
-        texts = [whole[e - n : e] for e, n in zip(ends, sizes.tolist())]
-        cuts = list(batches(texts, 150_000))
-        if own.tables is not None:
-            return np.concatenate([own.bits(texts[a:b]) for a, b in cuts])
-        levels = np.frombuffer(b"".join([*map(zlib.decompress, answers["c"]), bytes(LANE)]), np.int8)
-        keys, base = [own.pairs(texts[a:b]) for a, b in cuts], 0
-        for k in range(len(FIRST_WEIGHT)):
-            pairs, place = np.unique(np.concatenate([x[k] for x in keys]), return_inverse=True)
-            length = own.length[pairs % SYMBOLS]
-            at = base + (np.cumsum(length, dtype=np.int64) - length)
-            base += int(length.sum())
-            # from here on the predictor's row says where its chances start
-            for x, part in zip(keys, np.split(at[place], np.cumsum([x.shape[1] for x in keys])[:-1])):
-                x[k] = part
-        return np.concatenate([own.bits(texts[a:b], levels, x) for (a, b), x in zip(cuts, keys)])
+        known, asks = pdf[pdf["block"] < 0], pdf[pdf["block"] >= 0]
+        hashes = np.concatenate([np.zeros(0, np.uint64), *map(_decoded, known["a"])])
+        c, lengths = (np.frombuffer(b"".join(map(zlib.decompress, known[x])), t).astype(np.int64) for x, t in (("b", "<i8"), ("c", "<u4")))
+        levels = np.frombuffer(b"".join(map(zlib.decompress, known["d"])), np.int8)
+        starts = np.cumsum(lengths) - lengths
+        order = np.argsort(hashes, kind="stable")
+        hashes = hashes[order]
+        rows = []
+        for bucket, block, a in zip(asks["bucket"], asks["block"], asks["a"]):
+            at = order[np.searchsorted(hashes, _decoded(a))]
+            rows.append((bucket, block, None, zlib.compress(c[at].astype("<i8").tobytes(), 1), zlib.compress(lengths[at].astype("<u4").tobytes(), 1), zlib.compress(levels[_spans(starts[at], lengths[at])].tobytes(), 1)))
+        return pd.DataFrame(rows, columns=_COLUMNS)
 
     def gather(pdf: pd.DataFrame) -> pd.DataFrame:
-        told = pdf[pdf["head"].notna()].iloc[0]
-        heads = np.frombuffer(zlib.decompress(told["head"]), _HEAD)
-        kinds = np.frombuffer(zlib.decompress(told["a"]), "<u4").astype(np.int64)
-        counts = np.frombuffer(zlib.decompress(told["b"]), "<u4").astype(np.int64)
-        answers = pdf[pdf["head"].isna() & pdf["c"].isna()].sort_values("at")
-        c = np.concatenate([np.frombuffer(zlib.decompress(b), "<i8") for b in answers["b"]])[kinds]
-        owner = np.repeat(np.arange(len(heads)), heads["kinds"])
-        logs = np.bincount(owner, weights=np.log10(c + 0.5) * counts, minlength=len(heads))
-        known = np.bincount(owner, weights=(c > 0) * counts, minlength=len(heads)).astype(np.int64)
-        bits = cost(zlib.decompress(told["c"]), heads["size"], pdf[pdf["head"].isna() & pdf["c"].notna()].sort_values("at"))
-        ids = pd.array(heads["doc_id"].copy(), "Int64")
-        ids[heads["doc_id"] == _NO_ID] = pd.NA
-        out = pd.DataFrame({"doc_id": ids, "held_out": heads["held_out"], "n_tokens": heads["tokens"], "n_known": known, "logs": logs, "bits": bits, "tokens": 0, "types": 0})
-        out.loc[0, ["tokens", "types"]] = [int(pdf["tokens"].sum()), int(pdf["types"].sum())]
-        return out
-
-    shape = "block long, at long, head binary, a binary, b binary, c binary"
-    sent = keyed_texts(docs).mapInPandas(send, f"bucket long, {shape}")
-    told = sent.groupBy("bucket").applyInPandas(answer, f"{shape}, tokens long, types long")
-    rows = written(told.groupBy("block").applyInPandas(gather, "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, bits double, tokens long, types long"), "scores")
-    total = rows.agg(F.sum("tokens").alias("n"), F.sum("types").alias("v")).first()
-    n, v = total["n"] or 0, total["v"] or 0
+        told, back = pdf[pdf["bucket"] < 0].iloc[0], pdf[pdf["bucket"] >= 0].sort_values("bucket")
+        heads = np.frombuffer(told["a"], _HEAD)
+        ends, blob = np.cumsum(heads["size"]).tolist(), zlib.decompress(told["b"])
+        whole = [blob[e - n : e] for e, n in zip(ends, heads["size"].tolist())]
+        c, lengths = (np.frombuffer(b"".join(map(zlib.decompress, back[x])), t).astype(np.int64) for x, t in (("b", "<i8"), ("c", "<u4")))
+        levels = np.frombuffer(b"".join(map(zlib.decompress, back["d"])), np.int8)
+        starts = np.cumsum(lengths) - lengths
+        number: dict[bytes, int] = defaultdict()
+        number.default_factory = number.__len__
+        placed = [np.fromiter(map(number.__getitem__, keys_of(t)), np.int32) for t in whole]
+        # answers stand in order of hashes
+        place = np.empty(len(number), np.int64)
+        place[np.argsort(_key_hashes(list(number)), kind="stable")] = np.arange(len(number))
+        real = np.fromiter(map(is_word, number), bool, len(number))
+        logs = np.where(real, np.log10(c[place] + 0.5), 0)
+        known = real & (c[place] > 0)
+        rows = [(int(real[p].sum()) + 1, int(known[p].sum()) + (texts > 0), float(logs[p].sum()) + np.log10(texts + 0.5)) for p in placed]
+        bits = np.zeros(len(whole))
+        by_size = np.argsort(heads["size"], kind="stable")
+        for a, b in batches([whole[i] for i in by_size], MIXED_BYTES):
+            own = by_size[a:b]
+            at = place[np.concatenate([placed[i] for i in own])]
+            bits[own] = held.value.bits([whole[i] for i in own], levels[_spans(starts[at], lengths[at])])
+        out = pd.DataFrame(rows, columns=["n_tokens", "n_known", "logs"])
+        return out.assign(doc_id=pd.arrays.IntegerArray(heads["doc_id"].copy(), heads["none"].copy()), held_out=heads["held_out"], bits=bits, n_bytes=heads["size"])[names]
+
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, bits double, n_bytes long"
+    names = [x.split()[0] for x in schema.split(", ")]
+    sent = written(mapped(keyed_texts(docs), send, ROW), "blocks")
+    answers = sent.where("bucket >= 0").unionByName(word_levels(words, held, buckets)).groupBy("bucket").applyInPandas(answer, ROW)
+    rows = sent.where("bucket < 0").unionByName(answers).groupBy("block").applyInPandas(gather, schema)
     return rows.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
         (F.col("logs") - F.col("n_tokens") * float(np.log10(n + 0.5 * (v + 1)))).alias("base_score"),
-        (F.col("bits") * float(-np.log10(2))).alias("score"), "bits",
+        (F.col("bits") * float(-np.log10(2))).alias("score"), "bits", (F.col("bits") / F.greatest("n_bytes", F.lit(1))).alias("bits_per_byte"),
     )
 
 
 def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """scores() of all documents; nulls, empty texts, repeated rows, empty tables and clashing columns as said there."""
     return scores(documents(spark, sf_dir))

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, keyed_texts, written
+from .common import documents, keyed_texts, mapped, written
 
 WIDTH = 64
 ROWS = 1024  # of a frame, so larger payloads have several
@@ -282,7 +282,7 @@ def texts_as_gifs(docs: DataFrame) -> DataFrame:
             media = [encode_gif(r + bytes(-len(r) % WIDTH if r else WIDTH)) for r in raw]
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_bytes": [len(r) for r in raw], "media": media})
 
-    return keyed_texts(docs).mapInPandas(encode, "doc_id long, n_bytes long, media binary")
+    return mapped(keyed_texts(docs), encode, "doc_id long, n_bytes long, media binary")
 
 
 def payload_of(frames: list[GifFrame]) -> bytes:
@@ -306,8 +306,8 @@ def op6_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
                 frames = decode_gif(media)
                 payload = payload_of(frames)
                 rows.append((doc_id, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]), len(media), hashlib.sha256(media).hexdigest(), feature_of(frames)))
-            yield pd.DataFrame(rows, columns=names)
+            yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
 
     schema = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
     names = [x.split()[0] for x in schema.split(", ")]
-    return stored.mapInPandas(read, schema)
+    return mapped(stored, read, schema)

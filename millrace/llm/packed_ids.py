@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, keyed_texts, new_path, slices, written
+from .common import documents, keyed_texts, mapped, new_path, slices, written
 from .fast_encode import batches, encoder, gathered
 
 BLOCK = 512
@@ -153,7 +153,7 @@ def write_token_files(docs: DataFrame, path: str, uri: str, end_id: int | None =
     """Encode every text, append end_id, write files under uri in ascending doc_id order; the manifest as a written table.
 
     Manifest: part, file (their order is that of doc_ids), name, n_docs, n_tokens, n_bytes. A null text has no ids
-    but the end; null doc_ids come first; rows of one doc_id follow each other by text. An empty table writes no file. Only
+    but the end; null doc_ids come first; rows of one doc_id follow each other by a hash of their texts. An empty table writes no file. Only
     doc_id and text are read of docs. Memory: one batch of texts and one file of ids.
     """
     spark = docs.sparkSession
@@ -177,7 +177,7 @@ def write_token_files(docs: DataFrame, path: str, uri: str, end_id: int | None =
 
         for pdf in gathered(parts):
             texts = pdf["text"].tolist()
-            doc_ids = pdf["doc_id"].fillna(NO_ID).to_numpy(np.int64) if pdf["doc_id"].isna().any() else pdf["doc_id"].to_numpy(np.int64)
+            doc_ids = pdf["doc_id"].fillna(NO_ID).to_numpy(np.int64)
             for a, b in batches(texts):
                 ids, ends = own.encode(texts[a:b])
                 sizes = np.diff(ends)
@@ -190,8 +190,10 @@ def write_token_files(docs: DataFrame, path: str, uri: str, end_id: int | None =
             flush()
         yield pd.DataFrame(rows, columns=["part", "file", "name", "n_docs", "n_tokens", "n_bytes"])
 
-    ordered = keyed_texts(docs).repartitionByRange(slices(spark), "doc_id").sortWithinPartitions("doc_id", "text")
-    return written(ordered.mapInPandas(write, "part long, file long, name string, n_docs long, n_tokens long, n_bytes long"), "manifest")
+    # rows without doc_id, or many of one doc_id, are dealt out by their texts
+    order = ["doc_id", F.xxhash64("text"), "text"]
+    ordered = keyed_texts(docs).repartitionByRange(slices(spark), *order[:2]).sortWithinPartitions(*order)
+    return written(mapped(ordered, write, "part long, file long, name string, n_docs long, n_tokens long, n_bytes long"), "manifest")
 
 
 def read_token_files(manifest: DataFrame, uri: str, schema: str, row) -> DataFrame:

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, keyed_texts, written
+from .common import documents, fresh, keyed_texts, mapped, written
 from .fast_encode import batches, encoder, gathered
 
 CAPACITY = 2048
@@ -50,9 +50,9 @@ def cut_into_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id
                 at = (np.cumsum(sizes) - sizes)[doc] + start
                 raw = memoryview(ids.tobytes())
                 crc = [zlib.crc32(raw[4 * x : 4 * (x + n)]) for x, n in zip(at.tolist(), length.tolist())]
-                yield pd.DataFrame({"doc_id": pdf["doc_id"].iloc[a:b].to_numpy()[doc], "piece": piece, "start": start, "length": length, "ids_crc32": crc})
+                yield pd.DataFrame({"doc_id": pdf["doc_id"].array[a:b][doc], "piece": piece, "start": start, "length": length, "ids_crc32": crc})
 
-    return keyed_texts(docs).mapInPandas(cut, PIECES)
+    return mapped(keyed_texts(docs), cut, PIECES)
 
 
 def best_fit(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[list[tuple[int, int, int, int, int]], int]:

@@ -47,56 +47,98 @@ def test_base_scores_without_training_rows(docs_of):
     assert lm_score.scores(docs_of([])).collect() == []
 
 
-def reference_bits(model, text):
-    """The same model, one decision after another."""
-    raw = np.frombuffer(text + b"\0", np.uint8)
-    slots = lm_score.contexts(raw, np.array([0]))
-    decisions, bits = [], 0.0
-    for k, b in enumerate(raw):
-        s = lm_score.END if k == len(text) else model.symbol[b]
-        if k < len(text) and s == lm_score.ESCAPE:
-            bits += model.escape_bits[b]
-        start = model.path_start[s]
-        for step in model.steps[start : start + model.length[s]].tolist():
-            decisions.append((step & 63, step >> 6 & 3, step >> 8 & 1, [float(t[slot[k] * lm_score.SYMBOLS + (step & 63)]) / lm_score.STEP for t, slot in zip(model.tables, slots)]))
-    for lane in range(0, len(decisions), lm_score.LANE):
+def plain_model(rows):
+    """bits(text) of the same model by plain loops: tables by dictionaries, one decision after another, learning at the ends of groups."""
+    learnt = [(t or "").encode() for i, t in rows if lm_score.trains(i)]
+    pairs = np.zeros((256, 256))
+    for t in learnt:
+        for a, b in zip(b"\0" + t, t):
+            pairs[a, b] += 1
+    model = lm_score.Model(pairs, len(learnt))
+    paths = {s: model.steps[model.path_start[s] : model.path_start[s] + model.length[s]].tolist() for s in range(64)}
+
+    def places(text):
+        """For each place its symbol, byte and contexts."""
+        before, word, last = [lm_score.END] * 3, b"", 0
+        for k in range(len(text) + 1):
+            s = int(model.symbol[text[k]]) if k < len(text) else lm_score.END
+            yield s, last, text[k] if k < len(text) else None, [("two", *before[:2]), ("three", *before), ("word", word)]
+            if k < len(text):
+                # an end is no symbol within a text
+                before, last = [s, *before[:2]], text[k]
+                word = b"" if text[k] in b" \t\n\x0b\x0c\r" else word + text[k : k + 1]
+
+    counts = {}
+    for t in learnt:
+        for s, _, _, told in places(t):
+            for c in told:
+                counts.setdefault(c, Counter())[s] += 1
+    rare = model.symbol == lm_score.ESCAPE
+    share = np.where(rare, pairs.sum(axis=0) + 1, 0)
+
+    def stretched(context, node):
+        ones = every = 0
+        for s, n in counts.get(context, {}).items():
+            for step in paths[s]:
+                if step & 63 == node:
+                    every, ones = every + n, ones + n * (step >> 8 & 1)
+        p = (ones + 0.2) / (every + 0.4)
+        return max(-127, min(127, round(math.log(p / (1 - p)) * lm_score.STEP))) / lm_score.STEP
+
+    def bits(text):
+        decisions, total = [], 0.0
+        for s, last, byte, told in places(text):
+            if s == lm_score.ESCAPE:
+                own = np.where(rare, pairs[last] + share / share.sum(), 0)
+                total -= math.log2(own[byte] / own.sum())
+            decisions += [(step >> 6 & 3, step >> 8 & 1, [stretched(c, step & 63) for c in told]) for step in paths[s]]
         w = [list(lm_score.FIRST_WEIGHT) for _ in range(lm_score.GATES)]
         refined = [1 / (1 + math.exp(-(i - lm_score.BUCKETS / 2 + 0.5))) for i in range(lm_score.BUCKETS)]
-        own = decisions[lane : lane + lm_score.LANE]
-        for a in range(0, len(own), lm_score.GROUP):
+        for a, n in lm_score.groups_of(len(decisions)):
             dw, dr = np.zeros((lm_score.GATES, 3)), np.zeros(lm_score.BUCKETS)
-            for _, gate, bit, x in own[a : a + lm_score.GROUP]:
+            for gate, bit, x in decisions[a : a + n]:
                 dot = max(-7.9, min(7.9, sum(wi * xi for wi, xi in zip(w[gate], x))))
                 p, bucket = 1 / (1 + math.exp(-dot)), int(dot + lm_score.BUCKETS / 2)
-                mixed = 0.5 * (p + refined[bucket])
-                bits -= math.log2(mixed if bit else 1 - mixed)
-                dw[gate] += (bit - p) * lm_score.RATE * np.array(x)
-                dr[bucket] += bit - refined[bucket]
+                final = 0.5 * (p + refined[bucket])
+                total -= math.log2(final if bit else 1 - final)
+                dw[gate] += (bit - p) * lm_score.RATE * lm_score.GROUP / n * np.array(x)
+                dr[bucket] += (bit - refined[bucket]) * lm_score.GROUP / n
             w = [[wi + d for wi, d in zip(ws, ds)] for ws, ds in zip(w, dw)]
             refined = [max(0.001, min(0.999, r + lm_score.REFINE / 4 * d)) for r, d in zip(refined, dr)]
-    return bits
+        return total
 
+    return model, bits
 
-def test_mixing_against_a_plain_loop(docs_of, real):
-    model = lm_score.train(docs_of(real))
-    texts = [b"", b"the quick brown fox", "naïve \x00 字".encode(), real[3][1].encode()[:3000], b"aaaa" * 400]
-    assert np.allclose(model.bits(texts), [reference_bits(model, t) for t in texts], rtol=2e-3, atol=0.05)
+
+def test_scores_against_a_plain_loop(docs_of, real, monkeypatch):
+    monkeypatch.setattr(lm_score, "BLOCK_DOCS", 7)
+    monkeypatch.setattr(lm_score, "WORD_BYTES", 600)
+    monkeypatch.setattr(lm_score, "COUNTED", 100)
+    rows = [(i, t and t[:1500]) for i, t in real[:25]] + [(5000, None), (5001, "naïve \x00 字 " * 30), (5002, "aaaa" * 900 + " tail"), (5003, " \n lead"), (None, "x y"), (2**53 + 1, "x y "), (5004, "The THE the\tThe\n")]
+    got = {r["doc_id"]: r for r in lm_score.scores(docs_of(rows).repartition(3)).collect()}
+    model, bits = plain_model(rows)
+    assert got.keys() == dict(rows).keys()
+    for i, t in rows:
+        raw = (t or "").encode()
+        assert math.isclose(got[i]["bits"], bits(raw), rel_tol=2e-3, abs_tol=0.05), (i, got[i]["bits"], bits(raw))
+        assert math.isclose(got[i]["bits_per_byte"], got[i]["bits"] / max(1, len(raw)))
+        assert got[i]["held_out"] == (i is not None and zlib.crc32(str(i).encode()) % 5 == 1)
+    check_base(got.values(), rows)
     assert abs(sum(2.0 ** -model.length) - 1) < 1e-9  # a full code
 
 
-def test_every_context_has_counts_of_its_own(docs_of, real):
-    text = b"".join(b"%d-%d " % (i, i * i) for i in range(40_000))
-    raw = np.frombuffer(text + b"\0", np.uint8)
-    told = lm_score.contexts(raw, np.array([0]))
-    words = text.split(b" ")
-    exact = [{text[max(0, k - 2) : k] for k in range(len(raw))}, {text[max(0, k - 4) : k] for k in range(len(raw))}, {w[:k] for w in words for k in range(len(w) + 1)}]
-    assert [len(set(t.tolist())) for t in told] == [len(e) for e in exact]
-    # contexts dealt to buckets score as the model that keeps them together
-    rows = real[:60] + [(5000, None), (5001, "naïve 字 " * 50)]
-    model = lm_score.train(docs_of(rows))
-    assert sum(len(t.known) - 1 for t in model.tables) == len({(k, c) for i, t in rows if lm_score.trains(i) for k, own in enumerate(lm_score.contexts(np.frombuffer((t or "").encode() + b"\0", np.uint8), np.array([0]))) for c in own.tolist()})
-    dealt, kept = ({r["doc_id"]: r["bits"] for r in lm_score.scores(docs_of(rows).repartition(3), m).collect()} for m in (None, model))
-    assert dealt.keys() == kept.keys() and np.allclose([dealt[i] for i in kept], list(kept.values()), rtol=1e-4)
+def test_learning_from_other_documents(docs_of, real):
+    own, other = [(i, t) for i, t in real[:40]], [(i, t) for i, t in real[40:90]]
+    got = {r["doc_id"]: r["bits"] for r in lm_score.scores(docs_of(own), docs_of(other)).collect()}
+    _, bits = plain_model([(None, t) for _, t in other])
+    some = [i for i, t in own if len(t or "") < 1500][:6]
+    assert np.allclose([got[i] for i in some], [bits((dict(own)[i] or "").encode()) for i in some], rtol=2e-3, atol=0.05)
+
+
+def test_words_add_up_to_texts():
+    for raw in (b"", b" ", b"a", b"a b", b"a  b\n", b"\x1ca\x00 b"):
+        keys = lm_score.keys_of(raw)
+        assert b"".join(keys) == raw and sum(map(lm_score.is_word, keys)) == len(raw.split(None) if b"\x1c" not in raw else [1, 2])
 
 
 def test_quality_held_out(spark):
