@@ -5,16 +5,18 @@ the end and an escape; each symbol is a leaf of a Huffman tree over them, and a
 behind the escape costs its share among such bytes after the byte before it.) Three predictors give each node a chance of 1: by
 the last two symbols, by the last three (tables with a place for each context there can be), and by the word so far. The
 last has counts for every beginning of every word of the training texts, however many: they grow with the texts, stay dealt to
-buckets by hash of the context, and a word's row of chances is worked out once, for the vocabulary, not for each place.
+buckets, and a word's row of chances is worked out once, for the vocabulary, not for each place. Beginnings that training texts
+have fewer than LEAST times give even chances.
 
 A mixer adds up the stretched chances with weights from the set that the node's depth selects, learns those weights online
 while it reads, and a final table of corrections by stretched chance, learnt online too, refines the result. Weights and corrections
 last from a text's first decision to its last. They learn from a group of decisions at a step, of GROUP decisions at first and
 of a share of what has been read later on, at a rate that falls alike; texts are mixed side by side.
 
-A word is what lies between white space, with the white space (or the end) that closes it. Tasks count words by blocks; the
-vocabulary has one row for each word, with the base's count of it in lower case. Each block of texts then asks for its distinct
-words by hash, and buckets answer with counts and chances.
+A word is what lies between white space, with the white space (or the end) that closes it. Each block of texts sends its distinct words
+with their counts; words are dealt to buckets by ranges of their order in lower case, so that a bucket sees all ways to write a
+word, and all words with a beginning unless a bound between buckets has that beginning too. Counts of those few beginnings are added up over
+buckets first. Then buckets answer each block with the base's counts and the chances along its words.
 """
 
 from __future__ import annotations
@@ -22,21 +24,21 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
+from bisect import bisect_left
 from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import added_up, documents, keyed_texts, mapped, slices, written
+from .common import added_up, documents, drop, keyed_texts, mapped, slices, written
 from .fast_encode import batches
-from .jaccard_join import _coded, _decoded
 
 SYMBOLS = 64
 END, ESCAPE = 62, 63
-#: Beginnings of words are told apart by so many bits of hash.
-CONTEXT_BITS = 56
 #: Contexts whose chances a bucket works out at a time.
 CHUNK = 4096
 #: Decisions of the first groups; a later group has 1 / SHARE of the decisions before it.
@@ -44,12 +46,16 @@ GROUP, SHARE = 32, 64
 GATES, BUCKETS = 4, 16
 RATE, REFINE = 0.02, 0.08
 FIRST_WEIGHT = (0.35, 0.45, 0.35)
-STEP = 16  # stretched chances are kept in steps of 1 / STEP
+STEP = 8  # stretched chances are kept in steps of 1 / STEP
+#: A beginning of words counts from so many occurrences on.
+LEAST = 4
 HOLD_OUT = 5
-#: A block of texts ends with so many documents or bytes, one of the vocabulary with so many bytes of words; words that a task counts together.
-BLOCK_DOCS, BLOCK_BYTES, WORD_BYTES, COUNTED = 16384, 6_000_000, 1_000_000, 300_000
-#: Bytes of text for each bucket: about as many bytes of what is asked and answered.
-BUCKET_BYTES = 48_000_000
+#: A block of texts ends with so many documents or bytes.
+BLOCK_DOCS, BLOCK_BYTES = 16384, 6_000_000
+#: Bytes of text for each bucket of words, whose number ends at MOST_BUCKETS: the bounds between them are broadcast.
+BUCKET_BYTES, MOST_BUCKETS = 32_000_000, 8192
+#: Of so many texts one gives words to choose the bounds from, of which so many with the smallest hashes are taken for each bucket.
+SAMPLED_TEXTS, SAMPLED_WORDS = 40, 32
 #: Bytes of texts that are mixed side by side.
 MIXED_BYTES = 1_000_000
 _K = np.uint64(0x9E3779B97F4A7C15)
@@ -74,9 +80,60 @@ def keys_of(raw: bytes) -> list[bytes]:
     return found
 
 
-def is_word(key: bytes) -> bool:
-    """Whether there is more than the white space that closes it."""
-    return len(key) > 1 or (len(key) == 1 and key[0] not in _SPACES)
+def _small(data: bytes, level: int = 1) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdCompressor(level).compress(data)
+
+
+def _large(data: bytes) -> bytes:
+    import zstandard
+
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
+def _array(data: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(_large(data), kind)
+
+
+def _told(keys: pa.Array) -> tuple[bytes, bytes]:
+    """Lengths and bytes of keys."""
+    offsets = np.frombuffer(keys.buffers()[1], "<i4", len(keys) + 1, 4 * keys.offset)
+    data = keys.buffers()[2]
+    return _small(np.diff(offsets).astype("<u4").tobytes()), _small(data.to_pybytes()[offsets[0] : offsets[-1]] if data else b"")
+
+
+def _keys(lengths: bytes, data: bytes) -> pa.Array:
+    sizes = _array(lengths, "<u4")
+    offsets = np.zeros(len(sizes) + 1, "<i4")
+    np.cumsum(sizes, out=offsets[1:])
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(_large(data))])
+
+
+def lowered(keys: pa.Array) -> pa.Array:
+    """The words without what closes them, in lower case."""
+    return pc.ascii_rtrim(pc.ascii_lower(keys.view(pa.string())), " \t\n\x0b\x0c\r")
+
+
+def _ordered(keys: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """The order of keys by word in lower case, then as they are, and what they are ordered by."""
+    by = pc.binary_join_element_wise(lowered(keys), keys.view(pa.string()), "\0").view(pa.binary())
+    order = pc.sort_indices(by)
+    return order.to_numpy(), by.take(order)
+
+
+class _Bounds:
+    """Where an order of words is cut into buckets. No bound has a byte 0, so all ways to write a word fall on one side of it."""
+
+    def __init__(self, bounds: list[bytes]):
+        self.bounds = bounds
+
+    def cuts(self, by: pa.Array) -> list[int]:
+        class At:
+            __len__ = lambda _: len(by)
+            __getitem__ = lambda _, i: by[i].as_py()
+
+        return [bisect_left(At(), b) for b in self.bounds]
 
 
 def trains(doc_id) -> bool:
@@ -91,6 +148,19 @@ def _spans(begins: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.repeat(shift, length) + np.arange(ends[-1] if len(ends) else 0)
 
 
+def beginnings(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """For each byte the hash of those since its word's start. starts: where each byte's word starts."""
+    with np.errstate(over="ignore"):
+        # differences of running sums of bytes times powers
+        powers, inverse = _powers(len(raw))
+        sums = np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers, dtype=np.uint64)
+        before = np.concatenate([np.zeros(1, np.uint64), sums[:-1]]) if len(sums) else sums
+        so_far = (before - before[starts]) * inverse[starts]
+        so_far = ((so_far ^ so_far >> np.uint64(29)) + np.uint64(7)) * _K
+        so_far = (so_far ^ so_far >> np.uint64(32)) * _K
+        return so_far ^ so_far >> np.uint64(29)
+
+
 def groups_of(decisions: int):
     """(first, number) of the groups in which a text of so many decisions is learnt from."""
     at = 0
@@ -171,49 +241,52 @@ class Model:
     @staticmethod
     def last_three(symbols: np.ndarray) -> np.ndarray:
         """The three symbols before each place as a number, the nearest one lowest; before a text stand ends."""
-        out = np.zeros(len(symbols), np.int64)
         # what stands before a text is the end of the one before; behind that everything counts as an end
-        padded = np.concatenate([[END, END, END], symbols])
+        padded = np.concatenate([[END, END, END], symbols]).astype(np.int32)
         first, second, third = padded[2:-1], padded[1:-2], padded[:-3]
         second = np.where(first == END, END, second)
         third = np.where(second == END, END, third)
-        np.add(first, second << 6, out=out)
-        return out + (third << 12)
-
-    def words(self, keys: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of words end to end: context * SYMBOLS + symbol for each place, steps of each place, places of each word."""
-        closed = [k if k and k[-1] in _SPACES else k + b"\0" for k in keys]
-        sizes = np.fromiter(map(len, closed), np.int64, len(closed))
-        raw = np.frombuffer(b"".join(closed), np.uint8)
-        ends = np.cumsum(sizes) - 1
-        symbols = self.symbol[raw]
-        open_ = np.fromiter((not k or k[-1] not in _SPACES for k in keys), bool, len(keys))
-        symbols[ends[open_]] = END
-        starts = np.repeat(ends + 1 - sizes, sizes)
-        with np.errstate(over="ignore"):
-            # hash of the word so far: differences of running sums of bytes times powers
-            powers, inverse = _powers(len(raw))
-            sums = np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers, dtype=np.uint64)
-            before = np.concatenate([np.zeros(1, np.uint64), sums[:-1]]) if len(sums) else sums
-            so_far = (before - before[starts]) * inverse[starts]
-            so_far = ((so_far ^ so_far >> np.uint64(29)) + np.uint64(7)) * _K
-            so_far = (so_far ^ so_far >> np.uint64(32)) * _K >> np.uint64(64 - CONTEXT_BITS)
-        return so_far.astype(np.int64) * SYMBOLS + symbols, self.length[symbols], sizes
-
-    def path_levels(self, pairs: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """Stretched chances along the paths of sorted distinct pairs, end to end; counts: of training texts."""
-        own, symbols = pairs // SYMBOLS, pairs % SYMBOLS
-        fresh = np.flatnonzero(np.diff(own, prepend=-1))
-        number = np.cumsum(np.diff(own, prepend=-1) != 0) - 1
-        cuts, out = [*fresh[::CHUNK].tolist(), len(pairs)], [np.zeros(0, np.int8)]
-        for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
-            there = number[a:b] - k * CHUNK
+        return first + (second << 6) + (third << 12)
+
+    def words(self, keys: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of words end to end: the hash of each place's beginning, the symbol there, places of each word."""
+        offsets = np.frombuffer(keys.buffers()[1], "<i4", len(keys) + 1, 4 * keys.offset).astype(np.int64)
+        data = keys.buffers()[2]
+        raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data else np.zeros(0, np.uint8)
+        sizes, ends = np.diff(offsets), offsets[1:] - offsets[0]
+        last = np.where(sizes > 0, raw[np.maximum(ends - 1, 0)] if len(raw) else 0, 65)
+        open_ = ~((last == 32) | ((last >= 9) & (last <= 13)))
+        # an end stands behind the words that nothing closes
+        symbols = np.insert(self.symbol[raw], ends[open_], END)
+        raw = np.insert(raw, ends[open_], 0)
+        sizes = sizes + open_
+        starts = np.repeat(np.cumsum(sizes) - sizes, sizes)
+        return beginnings(raw, starts), symbols, sizes
+
+    def path_levels(self, contexts: np.ndarray, symbols: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Stretched chances along the paths of distinct pairs, sorted by context, end to end; counts: of training texts."""
+        fresh = np.flatnonzero(np.diff(contexts, prepend=contexts[:1] - np.uint64(1)))
+        number = np.zeros(len(contexts), np.int64)
+        number[fresh[1:]] = 1
+        number = np.cumsum(number)
+        length = self.length[symbols]
+        out = np.zeros(int(length.sum()), np.int8)
+        often = np.add.reduceat(counts, fresh) >= LEAST if len(fresh) else np.zeros(0, bool)
+        own = np.flatnonzero(often[number])
+        starts = (np.cumsum(length) - length)[own]
+        rank = np.cumsum(often) - 1
+        there_all, cuts = rank[number[own]], np.arange(0, int(often.sum()) + CHUNK, CHUNK)
+        edges = np.searchsorted(there_all, cuts)
+        for k, (a, b) in enumerate(zip(edges, edges[1:])):
+            if a == b:
+                continue
+            there, some = there_all[a:b] - k * CHUNK, symbols[own[a:b]]
             dense = np.zeros((int(there[-1]) + 1, SYMBOLS))
-            dense[there, symbols[a:b]] = counts[a:b]
-            length = self.length[symbols[a:b]]
-            node = self.steps[_spans(self.path_start[symbols[a:b]], length)] & 63
-            out.append(self.stretched(dense).ravel()[np.repeat(there * SYMBOLS, length) + node])
-        return np.concatenate(out)
+            dense[there, some] = counts[own[a:b]]
+            n = self.length[some]
+            node = self.steps[_spans(self.path_start[some], n)] & 63
+            out[_spans(starts[a:b], n)] = self.stretched(dense).ravel()[np.repeat(there * SYMBOLS, n) + node]
+        return out
 
     def bits(self, texts: list[bytes], by_word: np.ndarray) -> np.ndarray:
         """Bits that each text and its end take. by_word: the word predictor's chances for all decisions, end to end."""
@@ -291,11 +364,13 @@ def _learnt(pdf: pd.DataFrame, every: bool) -> list[bytes]:
     return [t.encode() for d, t in zip(pdf["doc_id"].tolist(), pdf["text"]) if every or trains(d)]
 
 
-def alphabet(docs: DataFrame, every: bool = False) -> tuple[Model, int, int]:
-    """The symbols' codes from the training texts (every: all texts), how many these are, and the bytes of all texts. At most 65,538 numbers are collected."""
+def alphabet(docs: DataFrame, every: bool = False) -> tuple[Model, int, int, list[bytes]]:
+    """The symbols' codes from the training texts (every: all texts), how many these are, the bytes of all texts, and bounds between buckets
+    of words. At most 65,538 numbers and SAMPLED_WORDS words for each bucket are collected."""
 
     def count(parts):
-        total, texts, size = np.zeros(1 << 16, np.int64), 0, 0
+        total, texts, size, seen, sample = np.zeros(1 << 16, np.int64), 0, 0, 0, {}
+        most = SAMPLED_WORDS * 64
         for pdf in parts:
             size += sum(map(len, pdf["text"]))
             own = _learnt(pdf, every)
@@ -306,174 +381,145 @@ def alphabet(docs: DataFrame, every: bool = False) -> tuple[Model, int, int]:
                 starts = np.cumsum(np.fromiter(map(len, own[a:b]), np.int64, b - a) + 1)[:-1]
                 codes = np.delete(raw[:-1] << 8 | raw[1:], starts - 1)
                 total += np.bincount(codes, minlength=1 << 16)
+            for text in pdf["text"].iloc[-seen % SAMPLED_TEXTS :: SAMPLED_TEXTS]:
+                words = {w for w in text.encode().lower().split() if 0 not in w}
+                sample |= {zlib.crc32(w): w for w in words}
+            seen += len(pdf)
+            if len(sample) > 4 * most:
+                sample = {h: sample[h] for h in sorted(sample)[:most]}
         at = np.flatnonzero(total)
-        yield pd.DataFrame({"code": [*at, 1 << 16, 1 + (1 << 16)], "n": [*total[at], texts, size]})
+        yield pd.DataFrame({"code": [*at, 1 << 16, 1 + (1 << 16)], "n": [*total[at], texts, size], "word": None})
+        own = sorted(sample)[:most]
+        yield pd.DataFrame({"code": -1, "n": own, "word": [sample[h] for h in own]})
 
-    found = dict(mapped(keyed_texts(docs), count, "code int, n long").groupBy("code").agg(F.sum("n").alias("n")).collect())
+    told = written(mapped(keyed_texts(docs), count, "code int, n long, word binary"), "alphabet")
+    found = dict(told.where("code >= 0").groupBy("code").agg(F.sum("n").alias("n")).collect())
     pairs = np.array([found.get(c, 0) for c in range(1 << 16)], np.float64).reshape(256, 256)
-    return Model(pairs, found.get(1 << 16, 0)), found.get(1 << 16, 0), found.get(1 + (1 << 16), 0)
-
-
-def learn_tables(docs: DataFrame, model: Model, every: bool = False) -> None:
-    """Fills the model's tables by the last two and three symbols from the training texts. SYMBOLS + 1 rows of 256 KB at most are collected."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
-    part = SYMBOLS**3
-
-    def count(parts):
-        total = np.zeros(SYMBOLS**4, np.int32)
-        for pdf in parts:
-            own = _learnt(pdf, every)
-            for a, b in batches(own, 2_000_000):
-                _, symbols, _, _ = held.value.symbols(own[a:b])
-                np.add.at(total, held.value.last_three(symbols) * SYMBOLS + symbols, 1)
-        by_last = total.reshape(SYMBOLS, part)
-        for i, own in enumerate([*by_last, by_last.sum(axis=0)]):
-            at = np.flatnonzero(own)
-            if len(at):
-                yield pd.DataFrame({"part": [i], "places": [at.astype("<u4").tobytes()], "counts": [own[at].astype("<u8").tobytes()]})
-
-    def levels(places: np.ndarray, counts: np.ndarray) -> bytes:
-        dense = np.bincount(places, weights=counts, minlength=part).reshape(-1, SYMBOLS)
-        return zlib.compress(held.value.stretched(dense).tobytes(), 1)
-
-    for r in added_up(mapped(keyed_texts(docs), count, "part long, places binary, counts binary"), levels).collect():
-        own = np.frombuffer(zlib.decompress(r["told"]), np.int8)
-        if r["part"] == SYMBOLS:
-            model.two[:] = own
-        else:
-            model.three[r["part"] * part : (r["part"] + 1) * part] = own
-    held.unpersist()
-
-
-def vocabulary(docs: DataFrame, every: bool | None = None) -> DataFrame:
-    """key, n: every word of docs as keys_of() gives them, and how often training texts have it (every: True: all are such, False: none)."""
-
-    def count(parts):
-        learnt, others = Counter(), set()
-
-        def told():
-            others.difference_update(learnt)
-            return pd.DataFrame({"key": [*learnt, *others], "n": [*learnt.values(), *[0] * len(others)]})
-
-        for pdf in parts:
-            for doc_id, text in zip(pdf["doc_id"].tolist(), pdf["text"]):
-                (learnt if (trains(doc_id) if every is None else every) else others).update(keys_of(text.encode()))
-                if len(learnt) + len(others) > COUNTED:
-                    yield told()
-                    learnt, others = Counter(), set()
-        if learnt or others:
-            yield told()
-
-    return mapped(keyed_texts(docs), count, "key binary, n long").groupBy("key").agg(F.sum("n").alias("n"))
-
-
-def with_base_counts(words: DataFrame) -> tuple[DataFrame, int, int]:
-    """key, n, c: how often training texts have the word in any case; all words there, distinct ones (ends not counted)."""
-    capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    low = F.translate(F.regexp_replace(F.decode("key", "ISO-8859-1"), r"[\x20\x09-\x0D]$", ""), capitals, capitals.lower())
-    # of one word at most the ways to write it in capitals, each with six kinds of white space or none
-    out = written(words.withColumn("low", low).withColumn("c", F.sum("n").over(Window.partitionBy("low"))).withColumn("first", F.row_number().over(Window.partitionBy("low").orderBy("key")) == 1), "vocabulary")
-    total = out.where("low <> ''").agg(F.sum("n").alias("n"), F.count_if(F.col("first") & (F.col("c") > 0)).alias("v")).first()
-    return out.select("key", "n", "c"), total["n"] or 0, total["v"] or 0
-
-
-def _key_hashes(keys) -> np.ndarray:
-    from xxhash import xxh3_64_intdigest
-
-    return np.fromiter(map(xxh3_64_intdigest, keys), np.uint64, len(keys))
-
-
-def _dealt(values: np.ndarray, bits: int, buckets: int) -> list[int]:
-    """Where sorted values of so many bits are cut into buckets."""
-    return np.searchsorted(values, np.array([-(-(b << bits) // buckets) for b in range(1, buckets)], values.dtype)).tolist()
+    size = found.get(1 + (1 << 16), 0)
+    buckets = min(MOST_BUCKETS, max(64, slices(docs.sparkSession), -(-size // BUCKET_BYTES)))
+    words = sorted(bytes(r["word"]) for r in told.where("code < 0").select("n", "word").distinct().orderBy("n").limit(SAMPLED_WORDS * buckets).collect())
+    drop(told)
+    bounds = sorted({words[len(words) * i // buckets] for i in range(1, buckets)}) if words else []
+    return Model(pairs, found.get(1 << 16, 0)), found.get(1 << 16, 0), size, bounds
 
 
 ROW = "bucket long, block long, a binary, b binary, c binary, d binary"
 _COLUMNS = ["bucket", "block", "a", "b", "c", "d"]
+_HEAD = np.dtype([("doc_id", "<i8"), ("none", "?"), ("held_out", "?"), ("size", "<i8")])
+#: Kinds of rows: a block's texts; from TABLES down parts of the tables. Blocks of rows that a bucket has of its own.
+TEXTS, TABLES = -1, -2
+WORDS, TOTALS, ACROSS = -1, -2, -3
 
 
-def word_levels(words: DataFrame, held, buckets: int) -> DataFrame:
-    """Rows (ROW, block -1) for each bucket of words' hashes: hashes, counts c, decisions of each word, chances along them.
-
-    Each block of words asks for the distinct pairs of beginning and next symbol in it, telling how often training texts have them; the
-    bucket of a beginning adds these up over all blocks and answers with chances.
-    """
+def _blocks(docs: DataFrame, held, bounds: _Bounds, learn: bool | None, tables: bool) -> DataFrame:
+    """Rows (ROW): each block's texts; its distinct words with how often training texts have them, dealt to buckets; and where tables is
+    True, each task's counts for the tables by the last two and three symbols. learn: all texts train, or none; None: those that trains() says."""
 
-    def ask(parts):
+    def send(parts):
         from pyspark import TaskContext
 
-        part, block, keys, n, c, size = TaskContext.get().partitionId(), 0, [], [], [], 0
+        part, block, heads, whole, learnt, counts, others, weight = TaskContext.get().partitionId(), 0, [], [], [], Counter(), set(), 0
+        total = np.zeros(SYMBOLS**4 if tables else 0, np.int32)
 
         def flush():
             name = part << 20 | block
-            pairs, _, sizes = held.value.words(keys)
-            order = np.argsort(pairs, kind="stable")
-            ranked = pairs[order]
-            fresh = np.flatnonzero(np.diff(ranked, prepend=-1))
-            sums = np.add.reduceat(np.repeat(n, sizes)[order], fresh)
-            ranked = ranked[fresh]
-            head = np.fromiter(map(len, keys), "<u4", len(keys)).tobytes()
-            rows = [(-1 - name, name, head, zlib.compress(b"".join(keys), 1), None, np.array(c, "<i8").tobytes())]
-            own = ranked // SYMBOLS
-            cuts = _dealt(own, CONTEXT_BITS, buckets)
-            for b, (p, s) in enumerate(zip(np.split(ranked, cuts), np.split(sums, cuts))):
-                if len(p):
-                    rows.append((b, name, _coded(p.astype(np.uint64)), zlib.compress(s.astype("<i8").tobytes(), 1), None, None))
+            for a, b in batches(learnt if tables else [], 2_000_000):
+                _, symbols, _, _ = held.value.symbols(learnt[a:b])
+                np.add.at(total, held.value.last_three(symbols) * np.int32(SYMBOLS) + symbols.astype(np.int32), np.int32(1))
+            others.difference_update(counts)
+            keys = pa.array([*counts, *others], pa.binary())
+            n = np.concatenate([np.fromiter(counts.values(), "<u4", len(counts)), np.zeros(len(others), "<u4")])
+            order, by = _ordered(keys)
+            keys, n = keys.take(pa.array(order)), n[order]
+            cuts = [0, *bounds.cuts(by), len(keys)]
+            rows = [(TEXTS, name, np.array(heads, _HEAD).tobytes(), _small(b"".join(whole), 3), None, None)]
+            rows += [(b, name, *_told(keys[x:y]), _small(n[x:y].tobytes()), None) for b, (x, y) in enumerate(zip(cuts, cuts[1:])) if y > x]
             return pd.DataFrame(rows, columns=_COLUMNS)
 
         for pdf in parts:
-            for key, many, count in zip(pdf["key"], pdf["n"], pdf["c"]):
-                keys.append(bytes(key))
-                n.append(many)
-                c.append(count)
-                size += len(keys[-1]) + 1
-                if size >= WORD_BYTES:
+            for doc_id, text in zip(pdf["doc_id"].tolist(), pdf["text"]):
+                raw, none, trained = text.encode(), doc_id is pd.NA, trains(doc_id)
+                heads.append((0 if none else doc_id, none, not trained, len(raw)))
+                whole.append(raw)
+                if trained if learn is None else learn:
+                    learnt.append(raw)
+                    counts.update(keys_of(raw))
+                else:
+                    others.update(keys_of(raw))
+                weight += len(raw) + 1
+                if len(heads) == BLOCK_DOCS or weight >= BLOCK_BYTES:
                     yield flush()
-                    block, keys, n, c, size = block + 1, [], [], [], 0
-        if keys:
+                    block, heads, whole, learnt, counts, others, weight = block + 1, [], [], [], Counter(), set(), 0
+        if heads:
             yield flush()
+        by_last = total.reshape(SYMBOLS, -1)
+        for i, own in enumerate([*by_last, by_last.sum(axis=0)] if tables else []):
+            at = np.flatnonzero(own)
+            if len(at):
+                yield pd.DataFrame([(TABLES - i, 0, at.astype("<u4").tobytes(), own[at].astype("<u8").tobytes(), None, None)], columns=_COLUMNS)
 
-    def chances(pdf: pd.DataFrame) -> pd.DataFrame:
-        if pdf["bucket"].iloc[0] < 0:
-            return pdf
-        keys = [_decoded(a).astype(np.int64) for a in pdf["a"]]
-        counts = np.concatenate([np.frombuffer(zlib.decompress(b), "<i8") for b in pdf["b"]])
-        pairs, place = np.unique(np.concatenate(keys), return_inverse=True)
-        levels = held.value.path_levels(pairs, np.bincount(place, weights=counts, minlength=len(pairs)))
-        length = held.value.length[pairs % SYMBOLS]
-        starts, back, at = np.cumsum(length) - length, [], 0
-        for k in keys:
-            mine = place[at : at + len(k)]
-            at += len(k)
-            back.append(zlib.compress(levels[_spans(starts[mine], length[mine])].tobytes(), 1))
-        return pd.DataFrame({"bucket": pdf["bucket"], "block": pdf["block"], "a": None, "b": None, "c": back, "d": None})
+    return written(mapped(keyed_texts(docs), send, ROW), "blocks")
 
-    def gather(pdf: pd.DataFrame) -> pd.DataFrame:
-        told = pdf[pdf["bucket"] < 0].iloc[0]
-        ends = np.cumsum(np.frombuffer(told["a"], "<u4").astype(np.int64))
-        blob = zlib.decompress(told["b"])
-        keys = [blob[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
-        levels = np.frombuffer(b"".join(map(zlib.decompress, pdf[pdf["bucket"] >= 0].sort_values("bucket")["c"])), np.int8)
-        pairs, length, sizes = held.value.words(keys)
-        known, place = np.unique(pairs, return_inverse=True)
-        own = held.value.length[known % SYMBOLS]
-        starts = np.cumsum(own) - own
-        flat = levels[_spans(starts[place], length)]
-        decisions = np.add.reduceat(length, np.cumsum(sizes) - sizes)
-        hashes = _key_hashes(keys)
-        order = np.argsort(hashes, kind="stable")
-        hashes, c, first, decisions = hashes[order], np.frombuffer(told["d"], "<i8")[order], (np.cumsum(decisions) - decisions)[order], decisions[order]
-        rows, cuts = [], _dealt(hashes, 64, buckets)
-        for b, (h, n, f, d) in enumerate(zip(*(np.split(v, cuts) for v in (hashes, c, first, decisions)))):
-            if len(h):
-                rows.append((b, -1, _coded(h), zlib.compress(n.tobytes(), 1), zlib.compress(d.astype("<u4").tobytes(), 1), zlib.compress(flat[_spans(f, d)].tobytes(), 1)))
-        return pd.DataFrame(rows, columns=_COLUMNS)
 
-    asked = words.mapInPandas(ask, ROW).groupBy("bucket").applyInPandas(chances, ROW)
-    return asked.groupBy("block").applyInPandas(gather, ROW)
+def _learn_tables(sent: DataFrame, model: Model) -> None:
+    """Fills the model's tables by the last two and three symbols. SYMBOLS + 1 rows of 256 KB at most are collected."""
+    part, stretched = SYMBOLS**3, model.stretched
 
+    def levels(places: np.ndarray, counts: np.ndarray) -> bytes:
+        return _small(stretched(np.bincount(places, weights=counts, minlength=part).reshape(-1, SYMBOLS)).tobytes())
 
-_HEAD = np.dtype([("doc_id", "<i8"), ("none", "?"), ("held_out", "?"), ("size", "<i8")])
+    parts = sent.where(F.col("bucket") <= TABLES).select((TABLES - F.col("bucket")).alias("part"), F.col("a").alias("places"), F.col("b").alias("counts"))
+    for r in added_up(parts, levels).collect():
+        own = _array(r["told"], np.int8)
+        if r["part"] == SYMBOLS:
+            model.two[:] = own
+        else:
+            model.three[r["part"] * part : (r["part"] + 1) * part] = own
+
+
+def _across(keys: pa.Array, known: np.ndarray) -> np.ndarray:
+    """For each place of words whether what it begins, in lower case, is one of known (sorted hashes)."""
+    sizes = pc.binary_length(keys).to_numpy(zero_copy_only=False).astype(np.int64)
+    low = pc.ascii_lower(keys.view(pa.string())).view(pa.binary())
+    data = low.buffers()[2]
+    offsets = np.frombuffer(low.buffers()[1], "<i4", len(low) + 1, 4 * low.offset)
+    raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data else np.zeros(0, np.uint8)
+    last = np.where(sizes > 0, raw[np.maximum(np.cumsum(sizes) - 1, 0)] if len(raw) else 0, 65)
+    open_ = ~((last == 32) | ((last >= 9) & (last <= 13)))
+    raw = np.insert(raw, np.cumsum(sizes)[open_], 0)
+    sizes = sizes + open_
+    hashes = beginnings(raw, np.repeat(np.cumsum(sizes) - sizes, sizes))
+    at = np.minimum(np.searchsorted(known, hashes), max(len(known) - 1, 0))
+    return known[at] == hashes if len(known) else np.zeros(len(hashes), bool)
+
+
+def _vocabulary(asked: DataFrame, held, bounds: _Bounds) -> DataFrame:
+    """Rows (ROW) for each bucket: its distinct words with their counts and the base's counts (WORDS); all words of training texts and
+    distinct ones, ends not counted (TOTALS); and what follows, how often, beginnings that a bound has too (ACROSS)."""
+    known = {b""} | {b[:k] for b in bounds.bounds for k in range(1, len(b) + 1)}
+    raws = [np.frombuffer(k + b"\0", np.uint8) for k in known]
+    known = np.sort(np.array([beginnings(r, np.zeros(len(r), np.int64))[-1] for r in raws], np.uint64))
+
+    def add_up(pdf: pd.DataFrame) -> pd.DataFrame:
+        chunks = [_keys(a, b) for a, b in zip(pdf["a"], pdf["b"])]
+        n = pa.chunked_array([pa.array(_array(c, "<u4").astype(np.int64)) for c in pdf["c"]])
+        summed = pa.table({"k": pa.chunked_array(chunks), "n": n}).group_by("k").aggregate([("n", "sum")])
+        keys, n = summed["k"].combine_chunks(), summed["n_sum"].to_numpy()
+        low = lowered(keys).dictionary_encode()
+        sums = np.bincount(low.indices.to_numpy(), weights=n).astype(np.int64)
+        real = pc.not_equal(low.dictionary, "").to_numpy(zero_copy_only=False)
+        contexts, symbols, sizes = held.value.words(keys)
+        across = np.flatnonzero(_across(keys, known))
+        pairs, place = np.unique(np.stack([contexts[across], symbols[across].astype(np.uint64)]), axis=1, return_inverse=True)
+        follow = np.bincount(place.ravel(), weights=np.repeat(n, sizes)[across], minlength=pairs.shape[1]).astype("<i8")
+        rows = [
+            (WORDS, *_told(keys), _small(n.astype("<i8").tobytes()), _small(sums[low.indices.to_numpy()].astype("<i8").tobytes())),
+            (TOTALS, np.array([sums[real].sum(), (sums[real] > 0).sum()], "<i8").tobytes(), None, None, None),
+            (ACROSS, pairs[0].astype("<u8").tobytes(), pairs[1].astype("<u8").tobytes(), follow.tobytes(), None),
+        ]
+        return pd.DataFrame([(pdf["bucket"].iloc[0], *r) for r in rows], columns=_COLUMNS)
+
+    return written(asked.groupBy("bucket").applyInPandas(add_up, ROW), "vocabulary")
 
 
 def scores(docs: DataFrame, learn_from: DataFrame | None = None) -> DataFrame:
@@ -482,75 +528,84 @@ def scores(docs: DataFrame, learn_from: DataFrame | None = None) -> DataFrame:
 
     A null or empty text is its end alone. Rows without doc_id are learnt from and scored; repeated rows count as often as they
     occur. Without any training text every count is 0 and all chances are even. An empty table gives an empty
-    result. Only doc_id and text are read of docs, whatever the others' names. Words are told apart by 64-bit hashes, their
-    beginnings by CONTEXT_BITS bits. learn_from: documents (doc_id, text) to learn from, all of them, instead of docs' own that aren't held out.
+    result. Only doc_id and text are read of docs, whatever the others' names. Beginnings of words are told apart by 64-bit hashes, words
+    as they are. learn_from: documents (doc_id, text) to learn from, all of them, instead of docs' own that aren't held out.
     """
     spark = docs.sparkSession
     source, every = (docs, False) if learn_from is None else (learn_from, True)
-    model, texts, size = alphabet(source, every)
-    learn_tables(source, model, every)
+    model, texts, _, cut = alphabet(source, every)
+    bounds, held = _Bounds(cut), spark.sparkContext.broadcast(model)
+    sent = _blocks(docs, held, bounds, None if learn_from is None else False, learn_from is None)
+    asked = sent.where("bucket >= 0")
+    learnt = sent if learn_from is None else _blocks(learn_from, held, bounds, True, True)
+    words = _vocabulary(asked if learn_from is None else asked.unionByName(learnt.where("bucket >= 0")), held, bounds)
+    _learn_tables(learnt, model)
+    held.unpersist()
     held = spark.sparkContext.broadcast(model)
-    buckets = max(64, slices(spark), -(-size // BUCKET_BYTES))
-    words = vocabulary(docs, None if learn_from is None else False)
-    if learn_from is not None:
-        words = words.unionByName(vocabulary(learn_from, True)).groupBy("key").agg(F.sum("n").alias("n"))
-    words, tokens, types = with_base_counts(words)
-    n, v = tokens + texts, types + (texts > 0)
-
-    def send(parts):
-        from pyspark import TaskContext
-
-        part, block, heads, whole, keys, weight = TaskContext.get().partitionId(), 0, [], [], set(), 0
-
-        def flush():
-            name = part << 20 | block
-            rows = [(-1, name, np.array(heads, _HEAD).tobytes(), zlib.compress(b"".join(whole), 1), None, None)]
-            hashes = np.sort(_key_hashes(keys))
-            rows += [(b, name, _coded(h), None, None, None) for b, h in enumerate(np.split(hashes, _dealt(hashes, 64, buckets))) if len(h)]
-            return pd.DataFrame(rows, columns=_COLUMNS)
-
-        for pdf in parts:
-            for doc_id, text in zip(pdf["doc_id"].tolist(), pdf["text"]):
-                raw, none = text.encode(), doc_id is pd.NA
-                heads.append((0 if none else doc_id, none, not trains(doc_id), len(raw)))
-                whole.append(raw)
-                keys.update(keys_of(raw))
-                weight += len(raw) + 1
-                if len(heads) == BLOCK_DOCS or weight >= BLOCK_BYTES:
-                    yield flush()
-                    block, heads, whole, keys, weight = block + 1, [], [], set(), 0
-        if heads:
-            yield flush()
+    totals = [np.frombuffer(r["a"], "<i8") for r in words.where(F.col("block") == TOTALS).collect()]
+    n, v = (int(x) for x in np.sum([np.array([texts, texts > 0]), *totals], axis=0))
+    # bounded by the bounds between buckets: a few hundred numbers for each
+    found = words.where(F.col("block") == ACROSS).collect()
+    pairs, place = np.unique(np.concatenate([np.zeros((2, 0), np.uint64), *(np.stack([np.frombuffer(r[x], "<u8") for x in "ab"]) for r in found)], axis=1), axis=1, return_inverse=True)
+    follow = np.bincount(place.ravel(), weights=np.concatenate([np.zeros(0), *(np.frombuffer(r["c"], "<i8") for r in found)]), minlength=pairs.shape[1])
+    across = spark.sparkContext.broadcast((pairs, follow))
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
-        known, asks = pdf[pdf["block"] < 0], pdf[pdf["block"] >= 0]
-        hashes = np.concatenate([np.zeros(0, np.uint64), *map(_decoded, known["a"])])
-        c, lengths = (np.frombuffer(b"".join(map(zlib.decompress, known[x])), t).astype(np.int64) for x, t in (("b", "<i8"), ("c", "<u4")))
-        levels = np.frombuffer(b"".join(map(zlib.decompress, known["d"])), np.int8)
-        starts = np.cumsum(lengths) - lengths
-        order = np.argsort(hashes, kind="stable")
-        hashes = hashes[order]
+        own, asks = pdf[pdf["block"] == WORDS].iloc[0], pdf[pdf["block"] >= 0]
+        keys, c, many = _keys(own["a"], own["b"]), _array(own["d"], "<i8"), _array(own["c"], "<i8")
+        contexts, symbols, sizes = held.value.words(keys)
+        there, sums = across.value
+        # pairs of this bucket, in order; those across buckets have their counts from all of them
+        order = np.lexsort((symbols, contexts))
+        ranked, marks = contexts[order], symbols[order]
+        fresh = np.concatenate([[True], (ranked[1:] != ranked[:-1]) | (marks[1:] != marks[:-1])]) if len(order) else np.zeros(0, bool)
+        first = np.flatnonzero(fresh)
+        counts = np.add.reduceat(np.repeat(many, sizes)[order], first).astype(np.float64) if len(first) else np.zeros(0)
+        at = np.cumsum(fresh) - 1
+        ranked, marks = ranked[first], marks[first]
+        shared = np.isin(ranked, there[0])
+        all_c, all_s = np.concatenate([ranked[~shared], there[0]]), np.concatenate([marks[~shared], there[1].astype(np.int64)])
+        all_n = np.concatenate([counts[~shared], sums])
+        again = np.lexsort((all_s, all_c))
+        levels = held.value.path_levels(all_c[again], all_s[again], all_n[again])
+        length = held.value.length[all_s[again]]
+        starts = np.cumsum(length) - length
+        # where each pair of this bucket stands among all
+        place = np.empty(len(ranked), np.int64)
+        back = np.empty(len(again), np.int64)
+        back[again] = np.arange(len(again))
+        place[~shared] = back[: int((~shared).sum())]
+        named = {p: back[i] for i, p in enumerate(zip(there[0].tolist(), there[1].tolist()), int((~shared).sum()))}
+        place[shared] = [named[p] for p in zip(ranked[shared].tolist(), marks[shared].tolist())]
+        of_place = np.empty(len(order), np.int64)
+        of_place[order] = place[at]
+        per_place = held.value.length[symbols]
+        flat = levels[_spans(starts[of_place], per_place)]
+        ends = np.cumsum(sizes)
+        steps = np.concatenate([[0], np.cumsum(per_place)])
+        begin, many_steps = steps[ends - sizes], steps[ends] - steps[ends - sizes]
         rows = []
-        for bucket, block, a in zip(asks["bucket"], asks["block"], asks["a"]):
-            at = order[np.searchsorted(hashes, _decoded(a))]
-            rows.append((bucket, block, None, zlib.compress(c[at].astype("<i8").tobytes(), 1), zlib.compress(lengths[at].astype("<u4").tobytes(), 1), zlib.compress(levels[_spans(starts[at], lengths[at])].tobytes(), 1)))
+        for bucket, block, a, b in zip(asks["bucket"], asks["block"], asks["a"], asks["b"]):
+            i = pc.index_in(_keys(a, b), keys).to_numpy()
+            rows.append((bucket, block, None, _small(c[i].astype("<i8").tobytes()), _small(many_steps[i].astype("<u4").tobytes()), _small(flat[_spans(begin[i], many_steps[i])].tobytes())))
         return pd.DataFrame(rows, columns=_COLUMNS)
 
     def gather(pdf: pd.DataFrame) -> pd.DataFrame:
         told, back = pdf[pdf["bucket"] < 0].iloc[0], pdf[pdf["bucket"] >= 0].sort_values("bucket")
         heads = np.frombuffer(told["a"], _HEAD)
-        ends, blob = np.cumsum(heads["size"]).tolist(), zlib.decompress(told["b"])
+        ends, blob = np.cumsum(heads["size"]).tolist(), _large(told["b"])
         whole = [blob[e - n : e] for e, n in zip(ends, heads["size"].tolist())]
-        c, lengths = (np.frombuffer(b"".join(map(zlib.decompress, back[x])), t).astype(np.int64) for x, t in (("b", "<i8"), ("c", "<u4")))
-        levels = np.frombuffer(b"".join(map(zlib.decompress, back["d"])), np.int8)
+        c, lengths, levels = (np.frombuffer(b"".join(map(_large, back[x])), t) for x, t in (("b", "<i8"), ("c", "<u4"), ("d", np.int8)))
+        lengths = lengths.astype(np.int64)
         starts = np.cumsum(lengths) - lengths
         number: dict[bytes, int] = defaultdict()
         number.default_factory = number.__len__
         placed = [np.fromiter(map(number.__getitem__, keys_of(t)), np.int32) for t in whole]
-        # answers stand in order of hashes
+        # answers stand in the order in which words were sent
+        keys = pa.array(list(number), pa.binary())
         place = np.empty(len(number), np.int64)
-        place[np.argsort(_key_hashes(list(number)), kind="stable")] = np.arange(len(number))
-        real = np.fromiter(map(is_word, number), bool, len(number))
+        place[_ordered(keys)[0]] = np.arange(len(number))
+        real = pc.not_equal(lowered(keys), "").to_numpy(zero_copy_only=False)
         logs = np.where(real, np.log10(c[place] + 0.5), 0)
         known = real & (c[place] > 0)
         rows = [(int(real[p].sum()) + 1, int(known[p].sum()) + (texts > 0), float(logs[p].sum()) + np.log10(texts + 0.5)) for p in placed]
@@ -565,9 +620,8 @@ def scores(docs: DataFrame, learn_from: DataFrame | None = None) -> DataFrame:
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, bits double, n_bytes long"
     names = [x.split()[0] for x in schema.split(", ")]
-    sent = written(mapped(keyed_texts(docs), send, ROW), "blocks")
-    answers = sent.where("bucket >= 0").unionByName(word_levels(words, held, buckets)).groupBy("bucket").applyInPandas(answer, ROW)
-    rows = sent.where("bucket < 0").unionByName(answers).groupBy("block").applyInPandas(gather, schema)
+    answers = asked.drop("c").withColumn("c", F.lit(None).cast("binary")).unionByName(words.where(F.col("block") == WORDS)).groupBy("bucket").applyInPandas(answer, ROW)
+    rows = sent.where(F.col("bucket") == TEXTS).unionByName(answers).groupBy("block").applyInPandas(gather, schema)
     return rows.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
         (F.col("logs") - F.col("n_tokens") * float(np.log10(n + 0.5 * (v + 1)))).alias("base_score"),
