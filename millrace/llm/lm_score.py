@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import added_up, documents, drop, keyed_texts, mapped, slices, written
-from .fast_encode import batches
+from .fast_encode import batches, forget
 
 SYMBOLS = 64
 END, ESCAPE = 62, 63
@@ -43,7 +43,8 @@ END, ESCAPE = 62, 63
 CHUNK = 4096
 #: Decisions of the first groups; a later group has 1 / SHARE of the decisions before it.
 GROUP, SHARE = 32, 64
-GATES, BUCKETS = 4, 16
+#: A mixer has a set of weights for the first DEEP decisions of a symbol and one for the others.
+GATES, DEEP, BUCKETS = 2, 2, 16
 RATE, REFINE = 0.02, 0.08
 FIRST_WEIGHT = (0.35, 0.45, 0.35)
 STEP = 8  # stretched chances are kept in steps of 1 / STEP
@@ -57,7 +58,7 @@ BUCKET_BYTES, MOST_BUCKETS = 32_000_000, 8192
 #: Of so many texts one gives words to choose the bounds from, of which so many with the smallest hashes are taken for each bucket.
 SAMPLED_TEXTS, SAMPLED_WORDS = 40, 32
 #: Bytes of texts that are mixed side by side.
-MIXED_BYTES = 1_000_000
+MIXED_BYTES = 700_000
 _K = np.uint64(0x9E3779B97F4A7C15)
 _SPACES = frozenset(b" \t\n\x0b\x0c\r")
 _KEYS = re.compile(rb"[^ \t-\r]*[ \t-\r]?").findall
@@ -177,7 +178,7 @@ class Model:
         """pairs: how often a byte (column) comes after another (row; at a text's start after byte 0); texts: how many."""
         counts = pairs.sum(axis=0)
         order = np.argsort(-counts, kind="stable")
-        self.symbol = np.full(256, ESCAPE, np.int64)
+        self.symbol = np.full(256, ESCAPE, np.uint8)
         self.symbol[order[:END]] = np.arange(END)
         rare = self.symbol == ESCAPE
         share = np.where(rare, counts + 1.0, 0)
@@ -215,7 +216,7 @@ class Model:
         self.length = np.array([len(paths[s]) for s in range(SYMBOLS)], np.int64)
         self.path_start = np.cumsum(self.length) - self.length
         # each step of the paths, end to end: node, gate and bit
-        self.steps = np.array([n | min(d, GATES - 1) << 6 | bit << 8 for s in range(SYMBOLS) for d, (n, bit) in enumerate(paths[s])], np.int16)
+        self.steps = np.array([n | (d >= DEEP) << 6 | bit << 8 for s in range(SYMBOLS) for d, (n, bit) in enumerate(paths[s])], np.int16)
         self.ones = np.zeros((SYMBOLS, SYMBOLS))  # symbols that go right at a node
         self.all = np.zeros((SYMBOLS, SYMBOLS))
         for s in range(SYMBOLS):
@@ -242,14 +243,18 @@ class Model:
     def last_three(symbols: np.ndarray) -> np.ndarray:
         """The three symbols before each place as a number, the nearest one lowest; before a text stand ends."""
         # what stands before a text is the end of the one before; behind that everything counts as an end
-        padded = np.concatenate([[END, END, END], symbols]).astype(np.int32)
-        first, second, third = padded[2:-1], padded[1:-2], padded[:-3]
-        second = np.where(first == END, END, second)
-        third = np.where(second == END, END, third)
-        return first + (second << 6) + (third << 12)
+        padded = np.concatenate([np.full(3, END, np.uint8), symbols])
+        first, second, third = padded[2:-1], padded[1:-2].copy(), padded[:-3].copy()
+        second[first == END] = END
+        third[second == END] = END
+        out = third.astype(np.int32)
+        for nearer in (second, first):
+            out <<= 6
+            out |= nearer
+        return out
 
     def words(self, keys: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of words end to end: the hash of each place's beginning, the symbol there, places of each word."""
+        """Of words end to end: for each place a hash of what it begins and the symbol there (the lowest bits); the symbol; places of each word."""
         offsets = np.frombuffer(keys.buffers()[1], "<i4", len(keys) + 1, 4 * keys.offset).astype(np.int64)
         data = keys.buffers()[2]
         raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data else np.zeros(0, np.uint8)
@@ -261,11 +266,12 @@ class Model:
         raw = np.insert(raw, ends[open_], 0)
         sizes = sizes + open_
         starts = np.repeat(np.cumsum(sizes) - sizes, sizes)
-        return beginnings(raw, starts), symbols, sizes
+        return beginnings(raw, starts) & ~np.uint64(SYMBOLS - 1) | symbols, symbols, sizes
 
-    def path_levels(self, contexts: np.ndarray, symbols: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """Stretched chances along the paths of distinct pairs, sorted by context, end to end; counts: of training texts."""
-        fresh = np.flatnonzero(np.diff(contexts, prepend=contexts[:1] - np.uint64(1)))
+    def path_levels(self, pairs: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Stretched chances along the paths of sorted distinct pairs, as words() gives them, end to end; counts: of training texts."""
+        contexts, symbols = pairs >> np.uint64(6), (pairs & np.uint64(SYMBOLS - 1)).astype(np.int64)
+        fresh = np.flatnonzero(np.concatenate([[True], contexts[1:] != contexts[:-1]])) if len(pairs) else np.zeros(0, np.int64)
         number = np.zeros(len(contexts), np.int64)
         number[fresh[1:]] = 1
         number = np.cumsum(number)
@@ -292,11 +298,15 @@ class Model:
         """Bits that each text and its end take. by_word: the word predictor's chances for all decisions, end to end."""
         raw, symbols, starts, ends = self.symbols(texts)
         length = self.length[symbols]
-        step = self.steps[_spans(self.path_start[symbols], length)]
+        step = self.steps.take(_spans(self.path_start[symbols], length))
         sizes = np.add.reduceat(length, starts)
         last = self.last_three(symbols)
-        node = (step & 63).astype(np.int32)
-        x = [table[np.repeat((c * SYMBOLS).astype(np.int32), length) + node] for table, c in ((self.two, last & 4095), (self.three, last))]
+        node = (step & np.int16(63)).astype(np.int32)
+        x = []
+        for table, c in ((self.two, last & 4095), (self.three, last)):
+            at = np.repeat(c << 6, length)
+            at += node
+            x.append(table.take(at))
         out = mixed([*x, by_word], step, sizes)
         rare = np.flatnonzero(symbols == ESCAPE)
         before = np.where(np.isin(rare, starts), 0, raw[rare - 1])
@@ -304,35 +314,45 @@ class Model:
         return out + np.bincount(owner, weights=self.escape_bits[before, raw[rare]], minlength=len(texts))
 
 
+def _side_by_side(flat: list[np.ndarray], begins: list[int], sizes: list[int], spare: int) -> np.ndarray:
+    """texts x arrays x places of what stands end to end in some arrays; room for spare more behind the longest text."""
+    out = np.zeros((len(sizes), len(flat), max(sizes) + spare), flat[0].dtype)
+    for row, a, n in zip(out, begins, sizes):
+        for to, own in zip(row, flat):
+            to[:n] = own[a : a + n]
+    return out
+
+
 def mixed(x: list[np.ndarray], step: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Bits of texts whose decisions (so many of each) stand end to end in x and step."""
     order = np.argsort(-sizes, kind="stable")
     begins, left, rows, k = (np.cumsum(sizes) - sizes)[order], sizes[order], len(sizes), len(x)
     longest = int(left[0]) if rows else 0
     spare = max((n for _, n in groups_of(longest)), default=0)
-    x, step = [np.concatenate([v, np.zeros(spare, np.int8)]) for v in x], np.concatenate([step, np.zeros(spare, np.int16)])
-    weights = np.empty((k, rows * GATES), np.float32)
-    # weights of inputs in steps, which saves scaling the inputs
-    weights[:] = np.array(FIRST_WEIGHT, np.float32)[:, None] / STEP
+    x, step = _side_by_side(x, begins.tolist(), left.tolist(), spare), _side_by_side([step], begins.tolist(), left.tolist(), spare)[:, 0]
+    # of weights: texts x gates x inputs; for inputs in steps, which saves scaling the inputs
+    weights = np.empty((rows, GATES, k), np.float32)
+    weights[:] = np.array(FIRST_WEIGHT, np.float32) / STEP
     refined = np.tile((1 / (1 + np.exp(-(np.arange(BUCKETS) - BUCKETS / 2 + 0.5)))).astype(np.float32), rows)
     cost = np.zeros(rows)
-    cells, buckets = np.arange(rows, dtype=np.int32)[:, None] * np.int32(GATES), np.arange(rows, dtype=np.int32)[:, None] * np.int32(BUCKETS)
+    # whole numbers below 2**24 are exact as float32, and so many texts aren't mixed at once
+    buckets = np.arange(rows, dtype=np.float32)[:, None] * BUCKETS + np.float32(BUCKETS / 2)
     half, one, down = np.float32(0.5), np.float32(1), -left
     for a, n in groups_of(longest):
         active = int(np.searchsorted(down, -a))  # texts that go on beyond a
-        at = begins[:active, None] + np.arange(a, a + n)
-        told = step.take(at)
-        s = [v.take(at).astype(np.float32) for v in x]
-        y = (told >> 8 & 1).astype(np.float32)
+        told = step[:active, a : a + n]
+        s = x[:active, :, a : a + n].astype(np.float32)
+        y, gate = (told >> 8).astype(np.float32), (told >> 6 & 1).astype(np.float32)
         real = None if left[active - 1] >= a + n else (np.arange(a, a + n) < left[:active, None]).astype(np.float32)
-        cell = cells[:active] + (told >> 6 & 3)
-        dot = weights[0].take(cell)
-        dot *= s[0]
-        for i in range(1, k):
-            dot += weights[i].take(cell) * s[i]
-        np.clip(dot, -7.9, 7.9, out=dot)
-        p = one / (one + np.exp(-dot))
-        bucket = buckets[:active] + (dot + np.float32(BUCKETS / 2)).astype(np.int32)
+        first, second = np.moveaxis(weights[:active] @ s, 1, 0)
+        dot = second - first
+        dot *= gate
+        dot += first
+        np.clip(dot, np.float32(-7.9), np.float32(7.9), out=dot)
+        bucket = (buckets[:active] + dot).astype(np.int64)
+        p = np.exp(np.negative(dot, out=dot), out=dot)
+        p += one
+        np.reciprocal(p, out=p)
         q = refined.take(bucket)
         # the chance of what came: of 1, or what is left of 1
         final = p + q
@@ -341,7 +361,7 @@ def mixed(x: list[np.ndarray], step: np.ndarray, sizes: np.ndarray) -> np.ndarra
         final -= one
         np.abs(final, out=final)
         np.log2(final, out=final)
-        wrong, off = y - p, y - q
+        wrong, off = np.subtract(y, p, out=p), np.subtract(y, q, out=q)
         if real is not None:
             final *= real
             wrong *= real
@@ -349,9 +369,10 @@ def mixed(x: list[np.ndarray], step: np.ndarray, sizes: np.ndarray) -> np.ndarra
         cost[:active] -= final.sum(axis=1, dtype=np.float64)
         slower = GROUP / n
         wrong *= np.float32(RATE / STEP**2 * slower)
-        flat = cell.ravel()
-        for i in range(k):
-            weights[i, : active * GATES] += np.bincount(flat, weights=(wrong * s[i]).ravel(), minlength=active * GATES)
+        by_gate = np.empty((active, GATES, n), np.float32)
+        np.multiply(wrong, gate, out=by_gate[:, 1])
+        np.subtract(wrong, by_gate[:, 1], out=by_gate[:, 0])
+        weights[:active] += by_gate @ s.transpose(0, 2, 1)
         drift = np.bincount(bucket.ravel(), weights=off.ravel(), minlength=active * BUCKETS)
         refined[: active * BUCKETS] += (np.float32(REFINE / 4 * slower) * drift).astype(np.float32)
         np.clip(refined, 0.001, 0.999, out=refined)
@@ -419,13 +440,14 @@ def _blocks(docs: DataFrame, held, bounds: _Bounds, learn: bool | None, tables:
         from pyspark import TaskContext
 
         part, block, heads, whole, learnt, counts, others, weight = TaskContext.get().partitionId(), 0, [], [], [], Counter(), set(), 0
+        forget()
         total = np.zeros(SYMBOLS**4 if tables else 0, np.int32)
 
         def flush():
             name = part << 20 | block
             for a, b in batches(learnt if tables else [], 2_000_000):
                 _, symbols, _, _ = held.value.symbols(learnt[a:b])
-                np.add.at(total, held.value.last_three(symbols) * np.int32(SYMBOLS) + symbols.astype(np.int32), np.int32(1))
+                np.add.at(total, held.value.last_three(symbols) << 6 | symbols, np.int32(1))
             others.difference_update(counts)
             keys = pa.array([*counts, *others], pa.binary())
             n = np.concatenate([np.fromiter(counts.values(), "<u4", len(counts)), np.zeros(len(others), "<u4")])
@@ -508,14 +530,14 @@ def _vocabulary(asked: DataFrame, held, bounds: _Bounds) -> DataFrame:
         low = lowered(keys).dictionary_encode()
         sums = np.bincount(low.indices.to_numpy(), weights=n).astype(np.int64)
         real = pc.not_equal(low.dictionary, "").to_numpy(zero_copy_only=False)
-        contexts, symbols, sizes = held.value.words(keys)
+        pairs, _, sizes = held.value.words(keys)
         across = np.flatnonzero(_across(keys, known))
-        pairs, place = np.unique(np.stack([contexts[across], symbols[across].astype(np.uint64)]), axis=1, return_inverse=True)
-        follow = np.bincount(place.ravel(), weights=np.repeat(n, sizes)[across], minlength=pairs.shape[1]).astype("<i8")
+        found, place = np.unique(pairs[across], return_inverse=True)
+        follow = np.bincount(place, weights=np.repeat(n, sizes)[across], minlength=len(found)).astype("<i8")
         rows = [
             (WORDS, *_told(keys), _small(n.astype("<i8").tobytes()), _small(sums[low.indices.to_numpy()].astype("<i8").tobytes())),
             (TOTALS, np.array([sums[real].sum(), (sums[real] > 0).sum()], "<i8").tobytes(), None, None, None),
-            (ACROSS, pairs[0].astype("<u8").tobytes(), pairs[1].astype("<u8").tobytes(), follow.tobytes(), None),
+            (ACROSS, found.astype("<u8").tobytes(), follow.tobytes(), None, None),
         ]
         return pd.DataFrame([(pdf["bucket"].iloc[0], *r) for r in rows], columns=_COLUMNS)
 
@@ -546,39 +568,32 @@ def scores(docs: DataFrame, learn_from: DataFrame | None = None) -> DataFrame:
     n, v = (int(x) for x in np.sum([np.array([texts, texts > 0]), *totals], axis=0))
     # bounded by the bounds between buckets: a few hundred numbers for each
     found = words.where(F.col("block") == ACROSS).collect()
-    pairs, place = np.unique(np.concatenate([np.zeros((2, 0), np.uint64), *(np.stack([np.frombuffer(r[x], "<u8") for x in "ab"]) for r in found)], axis=1), axis=1, return_inverse=True)
-    follow = np.bincount(place.ravel(), weights=np.concatenate([np.zeros(0), *(np.frombuffer(r["c"], "<i8") for r in found)]), minlength=pairs.shape[1])
+    pairs, place = np.unique(np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(r["a"], "<u8") for r in found)]), return_inverse=True)
+    follow = np.bincount(place, weights=np.concatenate([np.zeros(0), *(np.frombuffer(r["b"], "<i8") for r in found)]), minlength=len(pairs))
     across = spark.sparkContext.broadcast((pairs, follow))
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
+        forget()
         own, asks = pdf[pdf["block"] == WORDS].iloc[0], pdf[pdf["block"] >= 0]
         keys, c, many = _keys(own["a"], own["b"]), _array(own["d"], "<i8"), _array(own["c"], "<i8")
-        contexts, symbols, sizes = held.value.words(keys)
+        pairs, symbols, sizes = held.value.words(keys)
         there, sums = across.value
-        # pairs of this bucket, in order; those across buckets have their counts from all of them
-        order = np.lexsort((symbols, contexts))
-        ranked, marks = contexts[order], symbols[order]
-        fresh = np.concatenate([[True], (ranked[1:] != ranked[:-1]) | (marks[1:] != marks[:-1])]) if len(order) else np.zeros(0, bool)
+        order = np.argsort(pairs)
+        ranked = pairs[order]
+        fresh = np.concatenate([[True], ranked[1:] != ranked[:-1]]) if len(order) else np.zeros(0, bool)
         first = np.flatnonzero(fresh)
         counts = np.add.reduceat(np.repeat(many, sizes)[order], first).astype(np.float64) if len(first) else np.zeros(0)
-        at = np.cumsum(fresh) - 1
-        ranked, marks = ranked[first], marks[first]
-        shared = np.isin(ranked, there[0])
-        all_c, all_s = np.concatenate([ranked[~shared], there[0]]), np.concatenate([marks[~shared], there[1].astype(np.int64)])
-        all_n = np.concatenate([counts[~shared], sums])
-        again = np.lexsort((all_s, all_c))
-        levels = held.value.path_levels(all_c[again], all_s[again], all_n[again])
-        length = held.value.length[all_s[again]]
+        # beginnings that other buckets have too: what follows them is counted over all buckets
+        own = ranked[first]
+        alone = ~np.isin(own >> np.uint64(6), there >> np.uint64(6))
+        every = np.concatenate([own[alone], there])
+        again = np.argsort(every)
+        every = every[again]
+        levels = held.value.path_levels(every, np.concatenate([counts[alone], sums])[again])
+        length = held.value.length[(every & np.uint64(SYMBOLS - 1)).astype(np.int64)]
         starts = np.cumsum(length) - length
-        # where each pair of this bucket stands among all
-        place = np.empty(len(ranked), np.int64)
-        back = np.empty(len(again), np.int64)
-        back[again] = np.arange(len(again))
-        place[~shared] = back[: int((~shared).sum())]
-        named = {p: back[i] for i, p in enumerate(zip(there[0].tolist(), there[1].tolist()), int((~shared).sum()))}
-        place[shared] = [named[p] for p in zip(ranked[shared].tolist(), marks[shared].tolist())]
         of_place = np.empty(len(order), np.int64)
-        of_place[order] = place[at]
+        of_place[order] = np.searchsorted(every, own)[np.cumsum(fresh) - 1]
         per_place = held.value.length[symbols]
         flat = levels[_spans(starts[of_place], per_place)]
         ends = np.cumsum(sizes)
@@ -591,6 +606,7 @@ def scores(docs: DataFrame, learn_from: DataFrame | None = None) -> DataFrame:
         return pd.DataFrame(rows, columns=_COLUMNS)
 
     def gather(pdf: pd.DataFrame) -> pd.DataFrame:
+        forget()
         told, back = pdf[pdf["bucket"] < 0].iloc[0], pdf[pdf["bucket"] >= 0].sort_values("bucket")
         heads = np.frombuffer(told["a"], _HEAD)
         ends, blob = np.cumsum(heads["size"]).tolist(), _large(told["b"])

@@ -93,7 +93,7 @@ def plain_model(rows):
             if s == lm_score.ESCAPE:
                 own = np.where(rare, pairs[last] + share / share.sum(), 0)
                 total -= math.log2(own[byte] / own.sum())
-            decisions += [(step >> 6 & 3, step >> 8 & 1, [stretched(c, step & 63) for c in told]) for step in paths[s]]
+            decisions += [(step >> 6 & 1, step >> 8 & 1, [stretched(c, step & 63) for c in told]) for step in paths[s]]
         w = [list(lm_score.FIRST_WEIGHT) for _ in range(lm_score.GATES)]
         refined = [1 / (1 + math.exp(-(i - lm_score.BUCKETS / 2 + 0.5))) for i in range(lm_score.BUCKETS)]
         for a, n in lm_score.groups_of(len(decisions)):
