@@ -66,9 +66,19 @@ def ingest_bindings(spark, a) -> int:
 
 def ingest_answers(spark, a) -> int:
     rows = profiles.parsed_answers(profiles.read_cache(spark, a.cache)).withColumn("ordinal", F.monotonically_increasing_id())
-    rows = rows.withColumn("status", F.when(F.coalesce("answer.name", "answer.employee_band", "answer.industry").isNotNull() | F.col("answer.employee_count").isNotNull(), "ok").otherwise("not_found"))
-    rows.groupBy("status").count().show()
-    return _ingested(spark, a, profiles.records(rows), "linkedin")
+    known = [r["country"] for r in export.known_countries(load(spark, a.state)["companies"]).collect()]
+    found = profiles.results(rows, known)
+    if a.out:
+        print(export.write_csv(found.select(*profiles.RESULT), a.out), "rows")
+    for r in profiles.summary(found).orderBy("status").collect():
+        print(r["status"], r["n"])
+    return _ingested(spark, a, profiles.records(found), "linkedin")
+
+
+def lookup_work(spark, a) -> int:
+    rows = profiles.lookup_work(load(spark, a.state)["companies"], a.country, a.sector, a.missing_industry)
+    print(export.write_csv(rows.select("name", "linkedin_url", "website", "country"), a.out), "rows")
+    return 0
 
 
 def discover(spark, a) -> int:
@@ -82,9 +92,15 @@ def discover(spark, a) -> int:
 
 
 def tell_report(spark, a) -> int:
-    rows = [r.asDict() for r in report.report(load(spark, a.state)).collect()]
-    print(json.dumps(rows, indent=1) if a.json else "\n".join(f"{'ok' if r['ok'] else 'PROBLEM'}  {r['check']}: {r['detail']}" for r in rows))
-    return int(not all(r["ok"] for r in rows))
+    state = load(spark, a.state)
+    rows = [r.asDict() for r in report.report(state).collect()]
+    told = report.summary(state) | {"checks": rows, "problems": [f"{r['check']}: {r['detail']}" for r in rows if not r["ok"]]}
+    if a.json:
+        print(json.dumps(told, indent=1))
+    else:
+        print(told["total"], "companies", *(f"{s}={n}" for s, n in told["by_status"].items()))
+        print("\n".join(f"{'ok' if r['ok'] else 'PROBLEM'}  {r['check']}: {r['detail']}" for r in rows))
+    return int(bool(told["problems"]))
 
 
 def write_export(spark, a) -> int:
@@ -114,7 +130,8 @@ def parser() -> argparse.ArgumentParser:
     many, least = {"action": "append"}, ("--min-employees", {"type": int, "default": MIN_EMPLOYEES})
     command("ingest-dump", ingest_dump, ("file", {}), ("--country", many), least)
     command("ingest-bindings", ingest_bindings, ("--list", {"required": True}), ("--details", {"required": True}), least)
-    command("ingest-answers", ingest_answers, ("--cache", {"required": True}), least)
+    command("ingest-answers", ingest_answers, ("--cache", {"required": True}), ("--out", {}), least)
+    command("lookup-work", lookup_work, ("--out", {"required": True}), ("--country", many), ("--sector", many), ("--missing-industry", {"action": "store_true"}))
     command("discover", discover, ("--fetches", {"required": True}), ("--status", many), ("--all", {"action": "store_true"}), ("--limit", {"type": int, "default": 0}), ("--company-id", many | {"type": int}), ("--country", many))
     command("report", tell_report, ("--json", {"action": "store_true"}))
     command("export", write_export, ("--out", {"required": True}), ("--country", many), ("--type", many), ("--sector", many), ("--per-company", {"action": "store_true"}))

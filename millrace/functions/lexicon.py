@@ -74,19 +74,21 @@ TRACKING_NAMES = _listed("_ga, _gl, gclid, fbclid, msclkid, mc_cid, mc_eid, igsh
 LANGUAGE_NAMES = _listed("locale, lang, language, hl, userlocation")
 
 # parts of host, path and query of pages that are no portal: accounts, single adverts, fraud notices, news, advice, legal
-NOT_PORTAL_PARTS = """
-    log-?in  sign-?in  sign-?up  register  logout  /account  my-?account  myprofile  my-profile  /profile  userhome  dashboard
-    saved-?jobs  saved-?searches  /applications  /applicant  /user/  passport\\.  mon-compte  navbarlevel=my_profile
-    jobalert  job-alert  talentcommunity  talent-community  jobid=  job_id=  jobdetails  job-details  /job/[^/]+  /jobs/\\d
-    requisition  /req/  /vacancy/  /stelle/  /offre/  /viewausschreibung/  applyonline  jobposting  /vacancies/\\d
-    fraud  scam  phishing  recruitment-notice  [/-]blogs?/  /news[/-]  newsflash  /press/  press-releases?  communiques
-    /magazine/  /articles?/  ^stories\\.  \\.stories\\.  /stories/  /meet-  (?:^|[/_-])(?:eoe|eeo)
-    career-(?:resources|advice|coaching|tips)  toolkit  right-to-work
-    privacy  datenschutz  cookie  impressum  imprint  terms-of-use  terms-and-conditions
-""".split()
+NOT_PORTAL = (
+    r"log-?in|sign-?in|sign-?up|register|logout|/account|my-?account|myprofile|my-profile|/profile|userhome|"
+    r"dashboard|saved-?jobs|saved-?searches|/applications|/applicant|/user/|passport\.|mon-compte|"
+    r"navbarlevel=my_profile|jobalert|job-alert|talentcommunity|talent-community|jobid=|job_id=|jobdetails|"
+    r"job-details|/job/[^/]+|/jobs/\d|requisition|/req/|/vacancy/|/stelle/|/offre/|/viewausschreibung/|applyonline|"
+    r"jobposting|/vacancies/\d|fraud|scam|phishing|recruitment-notice|[/-]blogs?/|/news[/-]|newsflash|/press/|"
+    r"press-releases?|communiques|/magazine/|/articles?/|^stories\.|\.stories\.|/stories/|/meet-|"
+    r"(?:^|[/_-])(?:eoe|eeo)|career-(?:resources|advice|coaching|tips)|toolkit|right-to-work|privacy|datenschutz|"
+    r"cookie|impressum|imprint|terms-of-use|terms-and-conditions"
+)
 ARTICLE_WORDS = 7
 
-SANDBOX_PARTS = _listed(r"sandbox, staging, [-.]uat[-.], [-.]test[-.], preprod")
+SANDBOX = (
+    r"sandbox|staging|[-.]uat[-.]|[-.]test[-.]|preprod"
+)
 
 CAREER_PHRASES = _listed(r"""
     careers?, jobs?, job search, search jobs, join us, join our team, work with us, work for us, working (?:at|here|with us),
@@ -118,7 +120,9 @@ GRADUATE_PHRASES = _listed(r"""
     high ?schools?, nachwuchs, absolventen, praktik(?:um|a), ausbildung, duales studium, studierende, sch[uü]ler,
     werkstudent(?:en)?, stagiaires?, alternance, becarios?, pr[aá]cticas, estagi[aá]rios?, 新卒, 校园招聘, 校招
 """)
-GRADUATE_URL_PARTS = _listed("college, graduate, campus, internship, student, early-?careers?, apprentic, high-?school")
+GRADUATE_URL = (
+    r"college|graduate|campus|internship|student|early-?careers?|apprentic|high-?school"
+)
 
 REGIONS = _listed("""
     Europe, EMEA, APAC, Asia Pacific, Asia, Americas, North America, Latin America, LATAM, Middle East, Africa, Nordics, Benelux,
@@ -140,11 +144,11 @@ NAME_SUFFIXES = _listed("""
     holding, sa, ag, se, nv, bv, gmbh, spa, ab, asa, oyj, as, kk, the, and, of, de, international, global
 """)
 
-JOB_CONTENT_PHRASES = _listed(r"""
-    search (?:all )?jobs, job search, view (?:all )?jobs, see (?:all )?jobs, explore (?:all )?jobs, find (?:a )?jobs?,
-    browse jobs, open positions, open roles, current openings, job openings, job opportunities, apply now, vacancies,
-    stellenangebote, offres d.emploi, ofertas de empleo, vagas abertas, posizioni aperte, vacatures
-""")
+JOB_CONTENT = (
+    r"search (?:all )?jobs|job search|view (?:all )?jobs|see (?:all )?jobs|explore (?:all )?jobs|find (?:a )?jobs?|"
+    r"browse jobs|open positions|open roles|current openings|job openings|job opportunities|apply now|vacancies|"
+    r"stellenangebote|offres d.emploi|ofertas de empleo|vagas abertas|posizioni aperte|vacatures"
+)
 
 # organisation type | pattern of names | industries that only it has; the first that fits wins
 ORGANISATIONS = [
@@ -154,13 +158,13 @@ ORGANISATIONS = [
 ]
 ORGANISATION_TYPES = ["company", "education", "healthcare", "public body"]
 
-IT_INDUSTRY_PARTS = [
-    r"software", r"information technology", r"^it\b", r"technology, information", r"data infrastructure", r"computer(?! simulation| science)",
-    r"computing", r"^internet(?: industry)?$", r"cloud", r"web (?:hosting|service)", r"data (?:processing|analytics)", r"cyber",
-    r"information security", r"semiconductor", r"microelectronics", r"video game", r"artificial intelligence", r"networking hardware",
-    r"information and communication", r"^technology(?: industry| company)?$", r"outsourcing", r"digital transformation", r"supercomputer",
-    r"quaternary sector",
-]
+IT_INDUSTRY = (
+    r"software|information technology|^it\b|technology, information|data infrastructure|"
+    r"computer(?! simulation| science)|computing|^internet(?: industry)?$|cloud|web (?:hosting|service)|"
+    r"data (?:processing|analytics)|cyber|information security|semiconductor|microelectronics|video game|"
+    r"artificial intelligence|networking hardware|information and communication|^technology(?: industry| company)?$|"
+    r"outsourcing|digital transformation|supercomputer|quaternary sector"
+)
 
 SIZE_BANDS = _listed("1-10, 11-50, 51-200, 201-500, 501-1000, 1001-5000, 5001-10000, 10001+")
 UPPER_WORDS = _listed("it, ai, hr, llp, llc, plc, ag, se, sa, nv, bv, usa, uk, ibm, hcl, tcs, sap, bpo, kpo")

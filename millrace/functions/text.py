@@ -14,8 +14,8 @@ def _words(phrases: list[str]) -> str:
 
 
 CAREER_TEXT, GRADUATE = _words(lx.CAREER_PHRASES), _words(lx.GRADUATE_PHRASES)
-GRADUATE_URL = "(?i)" + "|".join(lx.GRADUATE_URL_PARTS)
-JOB_CONTENT = "(?iu)(" + "|".join(lx.JOB_CONTENT_PHRASES) + ")"
+GRADUATE_URL = "(?i)" + lx.GRADUATE_URL
+JOB_CONTENT = "(?iu)(" + lx.JOB_CONTENT + ")"
 REGION_NAMES = sorted(lx.REGIONS + lx.COUNTRIES, key=len, reverse=True)
 REGION_TEXT = r"(?U)(?<![\w])(" + "|".join(REGION_NAMES) + r")(?![\w])"
 
@@ -80,7 +80,7 @@ def organization_type(name: Column, industry: Column) -> Column:
 
 def sector(industry: Column) -> Column:
     """it, or empty."""
-    pattern = "(?iuU)" + "|".join(lx.IT_INDUSTRY_PARTS)
+    pattern = "(?iuU)" + lx.IT_INDUSTRY
     return F.when(F.exists(_industries(industry), lambda i: (i != "") & i.rlike(pattern)), "it").otherwise("")
 
 

@@ -122,7 +122,7 @@ def is_asset(url: Column) -> Column:
     return path(url).rlike(r"(?i)\.(" + "|".join(lx.ASSET_ENDINGS) + ")$")
 
 
-NOT_PORTAL = "(?i)(" + "|".join(lx.NOT_PORTAL_PARTS) + ")"
+NOT_PORTAL = "(?i)(" + lx.NOT_PORTAL + ")"
 
 
 def is_article(url: Column) -> Column:
@@ -134,7 +134,7 @@ def is_not_portal(url: Column) -> Column:
 
 
 def is_sandbox(url: Column) -> Column:
-    return url.rlike("(?i)" + "|".join(lx.SANDBOX_PARTS))
+    return url.rlike("(?i)" + lx.SANDBOX)
 
 
 def segments(url: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import lexicon as lx
@@ -61,12 +61,11 @@ def per_company(rows: DataFrame) -> DataFrame:
 
 
 def write_csv(rows: DataFrame, path: str) -> int:
-    """One CSV file with a header in the folder path; returns the number of rows."""
-    seen = rows.cache()
-    n = seen.count()
-    seen.coalesce(1).write.csv(path, header=True, mode="overwrite", escape='"', emptyValue="")
-    seen.unpersist()
-    return n
+    """One CSV file with a header in the folder path; returns the number of rows, counted while they are written."""
+    seen = Observation()
+    counted = rows.observe(seen, F.count(F.lit(1)).alias("n"))
+    counted.coalesce(1).write.csv(path, header=True, mode="overwrite", escape='"', emptyValue="")
+    return seen.get["n"]
 
 
 def countries(companies: DataFrame) -> DataFrame:
@@ -75,6 +74,10 @@ def countries(companies: DataFrame) -> DataFrame:
     return known.orderBy(F.desc("n"), "country")
 
 
+def known_countries(companies: DataFrame) -> DataFrame:
+    return companies.where("country IS NOT NULL AND country <> ''").select("country").distinct()
+
+
 def selected(companies: DataFrame, statuses: list[str] = ["pending"], limit: int | None = None, ids: list[int] | None = None, names: list[str] | None = None) -> DataFrame:  # noqa: B006
     """Companies to work on, the largest first. No ids, no names or no limit: all."""
     _checked(statuses, lx.COMPANY_STATUSES, "statuses")

@@ -26,16 +26,24 @@ def run_checks(runs: DataFrame, events: DataFrame) -> DataFrame:
     return out.withColumn("faults", faults)
 
 
+def status_counts(companies: DataFrame) -> DataFrame:
+    return companies.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
+def unknown_statuses(companies: DataFrame) -> DataFrame:
+    return status_counts(companies.where(~F.col("status").isin(lx.COMPANY_STATUSES)))
+
+
 def report(state: dict) -> DataFrame:
     """check, ok, detail: a row for each check that a sound state passes."""
     c = state["companies"]
-    by_status = c.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+    by_status = status_counts(c)
     count = lambda df: df.agg(F.count(F.lit(1)).alias("n"))
     none = lambda df, check: count(df).select(F.lit(check).alias("check"), (F.col("n") == 0).alias("ok"), F.col("n").cast("string").alias("detail"))
     sums = by_status.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("s")).crossJoin(count(c))  # one row each
     parts = [
         sums.select(F.lit("status_counts").alias("check"), (F.col("s") == F.col("n")).alias("ok"), F.col("n").cast("string").alias("detail")),
-        none(by_status.where(~F.col("status").isin(lx.COMPANY_STATUSES)), "unknown_statuses"),
+        none(unknown_statuses(c), "unknown_statuses"),
         none(c.where(F.col("status").isin(NEEDS_REASON) & (F.coalesce("status_reason", F.lit("")) == "")), "missing_reasons"),
         none(orphans(c, state["sources"]), "orphans"),
         none(portal_less(c, state["portals"]), "portal_less"),
@@ -45,3 +53,10 @@ def report(state: dict) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def summary(state: dict) -> dict:
+    """total, by_status (by name), runs (by id, with accounted, logged and faults). Statuses are a handful; a row for each run is collected."""
+    by_status = {r["status"]: r["n"] for r in status_counts(state["companies"]).orderBy("status").collect()}
+    runs = [r.asDict() for r in run_checks(state["runs"], state["events"]).orderBy("id").collect()]
+    return {"total": sum(by_status.values()), "by_status": by_status, "runs": runs}

@@ -9,6 +9,7 @@ components, nothing in one component affects another, and each is folded in orde
 from __future__ import annotations
 
 import json
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -23,8 +24,12 @@ from millrace.plans.storage import numbered, written
 
 FIELDS = ["name", "employee_count", "linkedin_url", "website", "country", "industry", "website_domain"]
 COMPANY = ["id", "name", "employee_count", "linkedin_url", "website", "website_domain", "country", "industry", "status", "status_reason"]
-FOLDED = """kind string, ordinal long, outcome string, matched_on string, id long, name string, employee_count long, linkedin_url string,
- website string, website_domain string, country string, industry string, status string, status_reason string"""
+#: What a component's fold gives: records with their outcomes, companies as they are afterwards, and domains: from when (since) to when
+#: (until; null: still) a company had one. A new company is named by the ordinal of the record that made it.
+FOLDED = """kind string, ordinal long, outcome string, matched_on string, id long, is_new boolean, since long, until long, name string, employee_count long,
+ linkedin_url string, website string, website_domain string, country string, industry string, status string, status_reason string"""
+#: Before every ordinal.
+EVER = -(1 << 63)
 
 
 def reject_reason(min_employees: int = MIN_EMPLOYEES) -> Column:
@@ -46,7 +51,8 @@ def prepared(records: DataFrame, min_employees: int) -> DataFrame:
 
 def is_simple(batch: DataFrame, state: dict, merge_on_domain: bool) -> bool:
     """Whether no record of the batch can meet another: each key occurs once in it, and none is a key that a matched company may take on."""
-    keys = batch.select(F.explode(_keys(merge_on_domain)).alias("key"))
+    # with a domain in any case: records of one domain are possible duplicates of each other
+    keys = batch.select(F.explode(_keys(True)).alias("key"))
     if not keys.groupBy("key").count().where("count > 1").isEmpty():
         return False
     # a record that changes or excludes a known company could alter what another one matches
@@ -63,8 +69,8 @@ def is_simple(batch: DataFrame, state: dict, merge_on_domain: bool) -> bool:
 
 def _keys(merge_on_domain: bool) -> Column:
     keyed = [F.concat_ws("\x1f", F.lit("s"), "source", "source_id"), F.when(F.col("linkedin_url").isNotNull(), F.concat(F.lit("l\x1f"), "linkedin_url"))]
-    # a domain counts in any case: records with one are looked up as possible duplicates of each other
-    keyed.append(F.when(F.col("website_domain").isNotNull(), F.concat(F.lit("d\x1f"), "website_domain")))
+    if merge_on_domain:
+        keyed.append(F.when(F.col("website_domain").isNotNull(), F.concat(F.lit("d\x1f"), "website_domain")))
     return F.array_compact(F.array(*keyed))
 
 
@@ -85,8 +91,8 @@ def match(batch: DataFrame, state: dict, merge_on_domain: bool) -> DataFrame:
     return out.withColumns({"outcome": outcome, "matched_on": matched, "company_id": company}).drop("_by_source", "_by_url", "_by_domain")
 
 
-def _relational(batch: DataFrame, state: dict, merge_on_domain: bool) -> tuple[DataFrame, DataFrame]:
-    """(records with outcome, matched_on and company_id), (companies afterwards)."""
+def _relational(batch: DataFrame, state: dict, merge_on_domain: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(records with outcome, matched_on and company_id), (companies afterwards), (domains that companies had: other, domain, since, until)."""
     companies = state["companies"]
     top = companies.agg(F.max("id")).first()[0] or 0
     placed = written(match(batch, state, merge_on_domain), "placed")
@@ -103,65 +109,95 @@ def _relational(batch: DataFrame, state: dict, merge_on_domain: bool) -> tuple[D
     values["status_reason"] = F.when(F.col("outcome") == "rejected", F.col("reason")).otherwise(F.col("status_reason"))
     old = old.select("id", *(v.alias(n) for n, v in values.items()))
     new = placed.where("outcome = 'inserted'").select(F.col("company_id").alias("id"), *FIELDS, F.lit("pending").alias("status"), F.lit(None).cast("string").alias("status_reason"))
-    return placed, old.unionByName(new).select(*COMPANY)
+    # no record changes a domain that another one looks for
+    return placed, old.unionByName(new).select(*COMPANY), _domains(companies)
+
+
+def _domains(companies: DataFrame) -> DataFrame:
+    return companies.select(F.col("id").alias("other"), F.col("website_domain").alias("domain"), F.lit(EVER).alias("since"), F.lit(None).cast("long").alias("until")).where("domain IS NOT NULL")
+
+
+class _Companies:
+    """The companies of one component: looked up by URL and by domain. A company is (is_new, id): known ones come first, by id, then new ones as they came."""
+
+    def __init__(self):
+        self.rows: dict[tuple, dict] = {}
+        self.by: dict[str, dict[str, set]] = {"linkedin_url": {}, "website_domain": {}}
+        self.spells: list[dict] = []
+
+    def put(self, company: tuple, row: dict, at: int) -> None:
+        """Sets what a company is from ordinal at on."""
+        had = self.rows.get(company, {})
+        for field, index in self.by.items():
+            if had.get(field) != row[field]:
+                index.get(had.get(field), set()).discard(company)
+                if row[field] is not None:
+                    index.setdefault(row[field], set()).add(company)
+        if had.get("website_domain") != row["website_domain"]:
+            for spell in self.spells:
+                if spell["company"] == company and spell["until"] is None:
+                    spell["until"] = at
+            if row["website_domain"] is not None:
+                self.spells.append({"company": company, "website_domain": row["website_domain"], "since": at, "until": None})
+        self.rows[company] = row
+
+    def with_url(self, url: str | None) -> tuple | None:
+        return min(self.by["linkedin_url"].get(url, ()), default=None) if url else None
+
+    def only_open_one(self, domain: str | None, url: str | None) -> tuple | None:
+        """The one company of a domain that isn't excluded and has no other profile URL."""
+        fits = (c for c in self.by["website_domain"].get(domain, ()) if self.rows[c]["status"] != "excluded" and self.rows[c]["linkedin_url"] in (None, url))
+        some = list(islice(fits, 2))
+        return some[0] if len(some) == 1 else None
 
 
 def _fold(rows: pd.DataFrame, merge_on_domain: bool) -> pd.DataFrame:
-    """One component in order: rows of kinds company, source and record -> rows of kinds company and record."""
-    known: dict[int, dict] = {}
-    by_source: dict[tuple, int] = {}
-    for r in rows[rows["kind"] == "company"].sort_values("id").to_dict("records"):
-        known[int(r["id"])] = {f: _none(r[f]) for f in COMPANY} | {"id": int(r["id"])}
-    for r in rows[rows["kind"] == "source"].to_dict("records"):
-        by_source[r["source"], r["source_id"]] = int(r["id"])
-    out = []
-    for r in rows[rows["kind"] == "record"].sort_values("ordinal").to_dict("records"):
-        r = {k: _none(v) for k, v in r.items()}
-        key, matched = (r["source"], r["source_id"]), None
-        company = by_source.get(key)
-        if r["reason"]:
+    """One component in order: rows of kinds company, source and record -> rows of kinds company, record and domain (schema FOLDED)."""
+    told = rows.astype(object).where(rows.notna(), None).to_dict("records")
+    for r in told:
+        r["employee_count"] = None if r["employee_count"] is None else int(r["employee_count"])
+    companies, by_source, out = _Companies(), {}, []
+    for r in told:
+        if r["kind"] == "company":
+            companies.put((False, r["id"]), {f: r[f] for f in COMPANY if f != "id"}, EVER)
+        elif r["kind"] == "source":
+            by_source[r["source"], r["source_id"]] = (False, r["id"])
+    for r in sorted((r for r in told if r["kind"] == "record"), key=lambda r: r["ordinal"]):
+        key, at, matched = (r["source"], r["source_id"]), r["ordinal"], None
+        company, new = by_source.get(key), {f: r[f] for f in FIELDS}
+        if r["reason"] is not None:
             outcome = "rejected"
-            if company is not None:
-                known[company] |= {"status": "excluded", "status_reason": r["reason"]}
-        elif company is not None:
+            if company:
+                companies.put(company, companies.rows[company] | {"status": "excluded", "status_reason": r["reason"]}, at)
+        elif company:
             outcome = "updated"
-            known[company] |= {f: r[f] for f in FIELDS if r[f] is not None}
+            companies.put(company, companies.rows[company] | {f: v for f, v in new.items() if v is not None}, at)
         else:
-            if r["linkedin_url"]:
-                company = min((i for i, c in known.items() if c["linkedin_url"] == r["linkedin_url"]), key=_arrival, default=None)
-                matched = "linkedin_url" if company is not None else None
-            if company is None and merge_on_domain and r["website_domain"]:
-                fits = [i for i, c in known.items() if c["website_domain"] == r["website_domain"] and c["status"] != "excluded" and c["linkedin_url"] in (None, r["linkedin_url"])]
-                if len(fits) == 1:
-                    company, matched = fits[0], "website_domain"
-            if company is not None:
-                outcome, had = "merged", known[company]
-                most = max(had["employee_count"] or 0, r["employee_count"])
-                known[company] = had | {f: r[f] for f in FIELDS if had[f] is None} | {"employee_count": most}
+            for by, found in (("linkedin_url", companies.with_url(new["linkedin_url"])), ("website_domain", companies.only_open_one(new["website_domain"], new["linkedin_url"]) if merge_on_domain else None)):
+                if found and not company:
+                    company, matched = found, by
+            if company:
+                outcome, had = "merged", companies.rows[company]
+                gaps = {f: v for f, v in new.items() if had[f] is None} | {"employee_count": max(had["employee_count"] or 0, new["employee_count"])}
+                companies.put(company, had | gaps, at)
             else:
-                # a new company is named by the record that makes it until ids are given
-                outcome, company = "inserted", -1 - int(r["ordinal"])
-                known[company] = {f: r[f] for f in FIELDS} | {"id": company, "status": "pending", "status_reason": None}
-        if not r["reason"]:
-            by_source.setdefault(key, company)
-        out.append({"kind": "record", "ordinal": r["ordinal"], "id": company, "outcome": outcome, "matched_on": matched})
-    return typed(out + [{"kind": "company"} | c for c in known.values()], FOLDED)
-
-
-def _arrival(company: int) -> tuple:
-    """Known companies by id, then new ones in the order in which they came."""
-    return (company < 0, abs(company))
-
+                outcome, company = "inserted", (True, at)
+                companies.put(company, new | {"status": "pending", "status_reason": None}, at)
+            by_source[key] = company
+        out.append({"kind": "record", "ordinal": at, "is_new": company and company[0], "id": company and company[1], "outcome": outcome, "matched_on": matched})
+    out += [{"kind": "company", "is_new": c[0], "id": c[1]} | row for c, row in companies.rows.items()]
+    out += [{"kind": "domain", "is_new": x["company"][0], "id": x["company"][1], "website_domain": x["website_domain"], "since": x["since"], "until": x["until"]} for x in companies.spells]
+    return typed(out, FOLDED)
 
-def _none(value):
-    return None if value is None or (not isinstance(value, (list, dict)) and pd.isna(value)) else value
 
-
-def _folded(batch: DataFrame, state: dict, merge_on_domain: bool) -> tuple[DataFrame, DataFrame]:
+def _folded(batch: DataFrame, state: dict, merge_on_domain: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """As _relational(), component by component."""
     companies, sources = state["companies"], state["sources"]
     node = lambda key: F.xxhash64(key)
     own = batch.select(node(F.concat(F.lit("r\x1f"), "ordinal")).alias("a"), F.explode(_keys(merge_on_domain)).alias("key"))
-    company_keys = companies.select("id", F.explode(F.array_compact(F.array(F.when(F.col("linkedin_url").isNotNull(), F.concat(F.lit("l\x1f"), "linkedin_url")), F.when(F.col("website_domain").isNotNull(), F.concat(F.lit("d\x1f"), "website_domain"))))).alias("key"))
+    named = [F.when(F.col("linkedin_url").isNotNull(), F.concat(F.lit("l\x1f"), "linkedin_url"))]
+    named += [F.when(F.col("website_domain").isNotNull(), F.concat(F.lit("d\x1f"), "website_domain"))] if merge_on_domain else []
+    company_keys = companies.select("id", F.explode(F.array_compact(F.array(*named))).alias("key"))
     company_keys = company_keys.unionByName(sources.select(F.col("company_id").alias("id"), F.concat_ws("\x1f", F.lit("s"), "source", "source_id").alias("key")))
     edges = own.unionByName(company_keys.select(node(F.concat(F.lit("c\x1f"), "id")).alias("a"), "key")).select("a", node(F.col("key")).alias("b"))
     label = components(edges)
@@ -170,24 +206,29 @@ def _folded(batch: DataFrame, state: dict, merge_on_domain: bool) -> tuple[DataF
     touched = records.select("part").distinct()
     old = of(companies, F.concat(F.lit("c\x1f"), F.col("id"))).withColumn("kind", F.lit("company")).join(touched, "part", "left_semi")
     keys = of(sources.select(F.col("company_id").alias("id"), "source", "source_id"), F.concat(F.lit("c\x1f"), F.col("id"))).withColumn("kind", F.lit("source")).join(touched, "part", "left_semi")
-    columns = ["kind", "part", "ordinal", "source", "source_id", "reason", *COMPANY]
-    rows = records.unionByName(old, allowMissingColumns=True).unionByName(keys, allowMissingColumns=True).select(*columns)
+    rows = records.unionByName(old, allowMissingColumns=True).unionByName(keys, allowMissingColumns=True).select("kind", "part", "ordinal", "source", "source_id", "reason", *COMPANY)
+    # whole numbers that may be null would reach pandas as floats
+    rows = rows.withColumns({"ordinal": F.coalesce("ordinal", F.lit(0)), "id": F.coalesce("id", F.lit(0)), "employee_count": F.col("employee_count").cast("string")})
     done = written(rows.groupBy("part").applyInPandas(lambda pdf: _fold(pdf, merge_on_domain), FOLDED), "folded")
     top = companies.agg(F.max("id")).first()[0] or 0
-    fresh = done.where("kind = 'company' AND id < 0").select(F.col("id").alias("_temp"), (-1 - F.col("id")).alias("_order"))
-    fresh = written(numbered(fresh, "_order", top + 1, "_id").select("_temp", "_id"), "ids")
-    done = done.join(fresh, F.col("id") == F.col("_temp"), "left").withColumn("id", F.coalesce("_id", "id"))
+    fresh = written(numbered(done.where("kind = 'company' AND is_new").select(F.col("id").alias("_made_by")), "_made_by", top + 1, "_id").select("_made_by", "_id"), "ids")
+    done = done.join(fresh, F.col("is_new") & (F.col("id") == F.col("_made_by")), "left").withColumn("id", F.when(F.col("is_new"), F.col("_id")).otherwise(F.col("id")))
     placed = batch.join(done.where("kind = 'record'").select("ordinal", "outcome", "matched_on", F.col("id").alias("company_id")), "ordinal")
     after = done.where("kind = 'company'").select(*COMPANY)
     kept = companies.join(after.select("id"), "id", "left_anti").select(*COMPANY)
-    return written(placed, "placed"), kept.unionByName(after)
+    spells = done.where("kind = 'domain'").select(F.col("id").alias("other"), F.col("website_domain").alias("domain"), "since", "until")
+    return written(placed, "placed"), kept.unionByName(after), _domains(kept).unionByName(spells)
+
 
+def possible_duplicates(placed: DataFrame, domains: DataFrame) -> DataFrame:
+    """For each new company with a domain that another one has when it comes: company_id, domain, other_company_ids.
 
-def possible_duplicates(placed: DataFrame, companies: DataFrame) -> DataFrame:
-    """For each new company with a domain that an earlier one has: company_id, domain, other_company_ids."""
-    new = placed.where("outcome = 'inserted' AND website_domain IS NOT NULL").select("company_id", F.col("website_domain").alias("domain"))
-    others = companies.select(F.col("id").alias("other"), F.col("website_domain").alias("domain"))
-    return new.join(others, "domain").where("other < company_id").groupBy("company_id", "domain").agg(F.sort_array(F.collect_list("other")).alias("other_company_ids"))
+    placed: records with ordinal, outcome, company_id and website_domain; domains: other, domain, since and until which ordinal. The lists are
+    the result, so their size grows with the square of a domain's companies; earlier_companies() counts without them.
+    """
+    new = placed.where("outcome = 'inserted' AND website_domain IS NOT NULL").select("company_id", F.col("website_domain").alias("domain"), "ordinal")
+    met = new.join(domains, "domain").where("other <> company_id AND since < ordinal AND (until IS NULL OR ordinal <= until)")
+    return met.groupBy("company_id", "domain").agg(F.sort_array(F.collect_set("other")).alias("other_company_ids"))
 
 
 def earlier_companies(companies: DataFrame) -> DataFrame:
@@ -225,12 +266,12 @@ def ingest(state: dict, records: DataFrame, source: str, min_employees: int = MI
     batch = written(prepared(records, min_employees), "batch")
     if path is None:
         path = "relational" if is_simple(batch, state, merge_on_domain) else "fold"
-    placed, companies = (_relational if path == "relational" else _folded)(batch, state, merge_on_domain)
+    placed, companies, domains = (_relational if path == "relational" else _folded)(batch, state, merge_on_domain)
     companies = written(companies, "companies")
     run = (state["runs"].agg(F.max("id")).first()[0] or 0) + 1
     good = placed.where("outcome <> 'rejected'")
     sources = upserted(state["sources"], good.select("company_id", "source", "source_id", "raw", "ordinal"), ["source", "source_id"], keep=["company_id"])
-    parents = good.select("company_id", "source", "ordinal", F.explode("parents").alias("p")).select(F.col("company_id").alias("child_company_id"), F.lit(None).cast("long").alias("parent_company_id"), F.col("source").alias("parent_source"), F.col("p.source_id").alias("parent_source_id"), F.col("p.name").alias("parent_name"), "ordinal")
+    parents = good.select("company_id", "source", "ordinal", F.posexplode("parents").alias("pos", "p")).select(F.col("company_id").alias("child_company_id"), F.lit(None).cast("long").alias("parent_company_id"), F.col("source").alias("parent_source"), F.col("p.source_id").alias("parent_source_id"), F.col("p.name").alias("parent_name"), F.struct("ordinal", "pos").alias("ordinal"))
     sources = written(sources, "sources")
     relations = link_parents(upserted(state["relationships"], parents, ["child_company_id", "parent_source", "parent_source_id"]), sources)
     excluded = placed.where("outcome = 'rejected' AND company_id IS NOT NULL").select("company_id").distinct()
@@ -244,7 +285,7 @@ def ingest(state: dict, records: DataFrame, source: str, min_employees: int = MI
     event = lambda df, name, detail: df.select(F.lit(run).cast("long").alias("run_id"), "company_id", F.lit("ingest").alias("stage"), F.lit(name).alias("event"), F.to_json(F.struct(*detail)).alias("detail"))
     events = state["events"].unionByName(event(placed.where("outcome = 'rejected'"), "rejected", ["reason", "source", "source_id", F.col("raw_name").alias("name"), "employee_count", "dissolved"]))
     events = events.unionByName(event(placed.where("outcome = 'merged'"), "merged", ["matched_on", "source", "source_id"]))
-    doubles = possible_duplicates(placed, companies)
+    doubles = possible_duplicates(placed, domains)
     events = events.unionByName(event(doubles, "possible_duplicate", [F.lit("website_domain").alias("matched_on"), "domain", "other_company_ids"]))
     after = {"companies": companies, "sources": sources, "relationships": written(relations, "relationships"), "portals": written(portals, "portals"), "runs": written(runs, "runs"), "events": written(events, "events")}
     if sum(counts.values()) != seen:

@@ -113,7 +113,7 @@ _ATS = "CASE " + " ".join(f"WHEN {_rule(h, p)} THEN '{n}'" for n, h, p in lx.PRO
 _FOUND = f"(SELECT *, {_ATS} AS provider FROM (SELECT *, {_HOST} AS h FROM {_URLS}))"
 _SEGMENTS = "list_filter(string_split(pth, '/'), lambda s: s <> '')"
 _SHARED = "(" + ", ".join(f"'{p}'" for p in lx.SHARED_HOST_PROVIDERS) + ")"
-_NOT_PORTAL = ("(?i)(" + "|".join(lx.NOT_PORTAL_PARTS) + ")").replace("'", "''")
+_NOT_PORTAL = ("(?i)(" + lx.NOT_PORTAL + ")").replace("'", "''")
 _IS_NOT_PORTAL = f"(regexp_matches(net || pth || '?' || qry, '{_NOT_PORTAL}') OR len(list_filter(string_split(pth, '/'), lambda s: len(regexp_split_to_array(s, '[-_]')) >= {lx.ARTICLE_WORDS})) > 0)"
 _PARAM = lambda n: f"regexp_extract(qry, '(?:^|&){n}=([^&]+)', 1)"
 _CLEAN = f"""CASE
@@ -248,19 +248,24 @@ def scope_caps(spark, d):
     return export.capped(rows, ["l_orderkey"], "o", {"A": 1, "N": 2, "R": 3}, "l_returnflag").select("l_orderkey", "l_linenumber", "l_returnflag")
 
 
-@query("scope_overflow", """SELECT l_returnflag AS scope, count(*) AS over FROM (SELECT l_returnflag, row_number() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY l_linenumber) AS r FROM lineitem)
-WHERE r > CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END GROUP BY 1""")
+@query("scope_overflow", f"""WITH n AS (SELECT l_suppkey, CASE l_returnflag WHEN 'A' THEN 'graduate' WHEN 'N' THEN 'affiliate' ELSE 'regional' END AS scope, count(*) AS n FROM lineitem GROUP BY 1, 2)
+SELECT scope, sum(least(n, cap)) AS kept, sum(greatest(n - cap, 0)) AS over FROM (SELECT *, CASE scope WHEN 'graduate' THEN {lx.SCOPE_CAPS["graduate"]} WHEN 'affiliate' THEN {lx.SCOPE_CAPS["affiliate"]} ELSE {lx.SCOPE_CAPS["regional"]} END AS cap FROM n) GROUP BY 1""")
 def scope_overflow(spark, d):
-    # counted, so no ranks are needed
-    n = table(spark, d, "lineitem").groupBy("l_orderkey", "l_returnflag").agg(F.count(F.lit(1)).alias("n"))
-    cap = F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2).otherwise(3)
-    return n.groupBy(F.col("l_returnflag").alias("scope")).agg(F.sum(F.greatest(F.col("n") - cap, F.lit(0))).alias("over")).where("over > 0")
+    """Lines as careers links of their supplier: admitted in order, up to the caps of their scopes."""
+    none = "CAST(NULL AS STRING)"
+    links = derived(spark, d, "lineitem", f"l_suppkey AS company_id, 0 AS origin, struct(l_orderkey, l_linenumber, l_partkey) AS at, concat('h/', monotonically_increasing_id()) AS key, 'u' AS url, 't' AS text, {none} AS tenant, {none} AS provider, false AS government, CASE l_returnflag WHEN 'A' THEN 'graduate' WHEN 'N' THEN 'affiliate' ELSE 'regional' END AS scope, {none} AS region")
+    empty = F.array().cast("array<string>")
+    found = discovery.admitted(links, links.select("company_id").distinct().select("company_id", empty.alias("keys"), empty.alias("tenants")))
+    kept = found.select(F.explode("kept.scope").alias("scope"), F.lit(1).alias("k"), F.lit(0).alias("o"))
+    rows = kept.unionByName(found.select(F.explode("over").alias("scope"), F.lit(0).alias("k"), F.lit(1).alias("o")))
+    return rows.groupBy("scope").agg(F.sum("k").alias("kept"), F.sum("o").alias("over"))
 
 
 @query("best_ats_link", """SELECT l_orderkey, l_partkey AS best FROM (SELECT l_orderkey, l_partkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_returnflag = 'R', l_linestatus = 'O', l_quantity > 25, l_discount > 0.05, l_tax > 0.04, l_linenumber, l_partkey) AS r FROM lineitem) WHERE r = 1""")
 def best_ats_link(spark, d):
-    key = F.struct(F.col("l_returnflag") == "R", F.col("l_linestatus") == "O", F.col("l_quantity") > 25, F.col("l_discount") > 0.05, F.col("l_tax") > 0.04, "l_linenumber", "l_partkey")
-    return table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.min_by("l_partkey", key).alias("best"))
+    links = derived(spark, d, "lineitem", """l_orderkey, l_partkey, true AS is_board, false AS is_script, true AS plain_board, CAST(NULL AS STRING) AS tenant, struct(l_returnflag = 'R' AS no, l_linestatus = 'O' AS grad, l_quantity > 25 AS inner) AS rank,
+     l_discount <= 0.05 AS named, l_tax <= 0.04 AS job_text, struct(l_linenumber, l_partkey) AS at""")
+    return discovery.chosen_links(links, ["l_orderkey"], F.struct("l_partkey"), F.col("named")).select("l_orderkey", F.col("_board.l_partkey").alias("best"))
 
 
 # --- names and texts ----------------------------------------------------------------------------------------
@@ -335,11 +340,6 @@ def employee_band(spark, d):
     return derived(spark, d, "supplier", v).select("id", tx.employee_band(F.col("t")).alias("b")).select("id", "b.band", "b.least")
 
 
-@query("props_json", "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
-def props_json(spark, d):
-    return table(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").cast("bigint").alias("k"))
-
-
 @query("confidence_score", """SELECT l_returnflag, l_linestatus, count(*) AS n, max(least(100, CASE WHEN l_returnflag = 'A' THEN 30 ELSE 0 END + CASE WHEN l_returnflag = 'R' THEN 20 ELSE 0 END + CASE WHEN l_linestatus = 'F' THEN 20 ELSE 0 END + CASE WHEN l_discount > 0.05 THEN 20 ELSE 0 END + CASE WHEN l_tax > 0.04 THEN 15 ELSE 0 END + CASE WHEN l_quantity > 25 THEN 15 ELSE 0 END)) AS best,
  sum(least(100, CASE WHEN l_returnflag = 'A' THEN 30 ELSE 0 END + CASE WHEN l_returnflag = 'R' THEN 20 ELSE 0 END + CASE WHEN l_linestatus = 'F' THEN 20 ELSE 0 END + CASE WHEN l_discount > 0.05 THEN 20 ELSE 0 END + CASE WHEN l_tax > 0.04 THEN 15 ELSE 0 END + CASE WHEN l_quantity > 25 THEN 15 ELSE 0 END)) AS total FROM lineitem GROUP BY 1, 2""")
 def confidence_score(spark, d):
@@ -414,11 +414,34 @@ def collect_distinct_first(spark, d):
     return bindings.grouped_details(rows).select("source_id", "country", "industry")
 
 
-@query("complete_batch_left", "SELECT c_custkey AS id, count(o_orderkey) AS details, count(o_orderkey) = 0 AS missing FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1")
+@query("complete_batch_left", "SELECT CAST(c_custkey AS VARCHAR) AS item, count(o_orderkey) AS details, count(o_orderkey) = 0 AS missing FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1")
 def complete_batch_left(spark, d):
-    found = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("id")).agg(F.count(F.lit(1)).alias("details"))
-    out = table(spark, d, "customer").select(F.col("c_custkey").alias("id")).join(found, "id", "left")
-    return out.select("id", F.coalesce("details", F.lit(0)).alias("details"), F.col("details").isNull().alias("missing"))
+    return bindings.missing(derived(spark, d, "customer", "CAST(c_custkey AS STRING) AS item"), derived(spark, d, "orders", "CAST(o_custkey AS STRING) AS source_id"))
+
+
+# a class is a number, its parent what is left when it is halved; 1 is the top; odd customers' classes hang below 3
+@query("class_members", """WITH RECURSIVE up(c, a) AS (SELECT c_custkey, c_custkey FROM customer WHERE c_custkey > 0 UNION ALL SELECT c, a // 2 FROM up WHERE a > 1)
+SELECT 'Q' || c AS item FROM up WHERE a IN (5, 6) GROUP BY 1""")
+def class_members(spark, d):
+    customers = derived(spark, d, "customer", "concat('Q', c_custkey) AS item, CAST(c_custkey AS STRING) AS class, CAST(c_custkey DIV 2 AS STRING) AS parent")
+    # a loop must end too
+    loop = customers.select("class", "parent").unionByName(spark.createDataFrame([("2", "5")], "class string, parent string"))
+    found = bindings.of_class(customers.select("item"), customers.select("item", "class"), loop.where("class <> '2' OR parent <> '5'"), ["5", "6"])
+    return found.where("item <> 'Q0'")
+
+
+@query("ingest_bindings", r"""WITH c AS (SELECT 'Q' || c_custkey AS item, c_custkey, CASE WHEN c_custkey % 5 > 0 THEN c_name END AS name, CAST(max(trunc(c_acctbal)) AS BIGINT) AS employee_count FROM customer GROUP BY 1, 2, 3)
+SELECT row_number() OVER (ORDER BY item) AS id, item AS source_id, name, employee_count, 'Nation ' || c_custkey % 7 AS country FROM c WHERE name IS NOT NULL AND employee_count > 1000""")
+def ingest_bindings(spark, d):
+    """Items and details of a query result to companies, folded in order of ids."""
+    cell = lambda c: F.struct(F.col(c).cast("string").alias("value"))
+    rows = derived(spark, d, "customer", "c_custkey, concat('http://e/Q', c_custkey) AS item, c_acctbal, c_name, concat('Nation ', c_custkey % 7) AS country, CASE WHEN c_custkey % 5 > 0 THEN concat('http://e/Q', c_custkey) ELSE 'http://e/other' END AS detail")
+    items = bindings.listed(rows.select(cell("item").alias("item"), cell("c_acctbal").alias("employees")))
+    none = F.struct(F.lit(None).cast("string").alias("value"))
+    details = rows.select(F.col("c_custkey").alias("pos"), cell("detail").alias("item"), cell("c_name").alias("itemLabel"), cell("country").alias("countryLabel"), *(none.alias(n) for n in ("website", "industryLabel", "linkedin", "parent", "parentLabel", "dissolved")))
+    batch = bindings.records(items, bindings.grouped_details(details))
+    after = resolve.ingest({k: written(v, k) for k, v in schemas.empty_state(spark).items()}, batch, "wikidata", 1000, path="fold")
+    return after["companies"].join(after["sources"].select(F.col("company_id").alias("id"), "source_id"), "id").select("id", "source_id", "name", "employee_count", "country")
 
 
 # known companies from customers, a batch of records from suppliers
@@ -464,11 +487,26 @@ def resolve_unique_domain(spark, d):
     return resolve.match(_batch(spark, d), _state(spark, d), True).where("matched_on = 'website_domain'").select("source_id", "company_id")
 
 
-@query("possible_duplicates", "SELECT c_custkey AS company_id, 'n' || c_nationkey AS domain, (SELECT count(*) FROM customer o WHERE o.c_nationkey = c.c_nationkey AND o.c_custkey < c.c_custkey) AS others FROM customer c WHERE c_custkey % 10 = 0 AND others > 0")
+@query("possible_duplicates", "SELECT * FROM (SELECT c_custkey AS company_id, 'n' || c_nationkey AS domain, count(*) OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS others FROM customer) WHERE others > 0")
 def possible_duplicates(spark, d):
-    c = derived(spark, d, "customer", "c_custkey AS id, concat('n', c_nationkey) AS website_domain")
-    new = c.where("id % 10 = 0").select(F.col("id").alias("company_id"), "website_domain", F.lit("inserted").alias("outcome"))
-    return resolve.possible_duplicates(new, c).select("company_id", "domain", F.size("other_company_ids").cast("long").alias("others"))
+    """Every customer taken as new, one after another."""
+    c = derived(spark, d, "customer", "c_custkey AS company_id, concat('n', c_nationkey) AS website_domain, 'inserted' AS outcome, c_custkey AS ordinal")
+    domains = c.select(F.col("company_id").alias("other"), F.col("website_domain").alias("domain"), F.col("ordinal").alias("since"), F.lit(None).cast("long").alias("until"))
+    return resolve.possible_duplicates(c, domains).select("company_id", "domain", F.size("other_company_ids").cast("long").alias("others"))
+
+
+@query("possible_duplicates_batch", """SELECT s_name AS name, (SELECT count(*) FROM customer WHERE c_custkey % 50 = s.s_suppkey % 60) + (SELECT count(*) FROM supplier o WHERE o.s_suppkey < s.s_suppkey AND o.s_suppkey % 2 = 0 AND o.s_suppkey % 60 = s.s_suppkey % 60) AS others
+FROM supplier s WHERE others > 0""")
+def possible_duplicates_batch(spark, d):
+    """Suppliers come one after another, and every other one moves to another domain before the next comes."""
+    state = schemas.empty_state(spark)
+    state["companies"] = state["companies"].unionByName(derived(spark, d, "customer", "c_custkey + 1 AS id, c_name AS name, concat('d', c_custkey % 50, '.com') AS website_domain, 'pending' AS status"), allowMissingColumns=True)
+    rows = derived(spark, d, "supplier", """'b' AS source, concat('k', s_suppkey) AS source_id, s_name AS name, CAST(2000 AS BIGINT) AS employee_count,
+     explode(array(struct(2 * s_suppkey AS ordinal, concat('https://d', s_suppkey % 60, '.com') AS website), struct(2 * s_suppkey + 1 AS ordinal, concat('https://', CASE WHEN s_suppkey % 2 = 0 THEN 'd' ELSE 'moved' END, s_suppkey % 60, '.com') AS website))) AS r""")
+    rows = spark.createDataFrame([], schemas.RECORD).unionByName(rows.select("*", "r.*").drop("r"), allowMissingColumns=True)
+    after = resolve.ingest({k: written(v, k) for k, v in state.items()}, rows, "b", 1000)
+    found = after["events"].where("event = 'possible_duplicate'").select("company_id", F.size(F.from_json(F.get_json_object("detail", "$.other_company_ids"), "array<long>")).cast("long").alias("others"))
+    return found.join(after["companies"].select(F.col("id").alias("company_id"), "name"), "company_id").select("name", "others")
 
 
 @query("possible_duplicates_every", "SELECT company_id, domain, others FROM (SELECT c_custkey AS company_id, 'n' || c_nationkey AS domain, count(*) OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS others FROM customer) WHERE others > 0")
@@ -480,24 +518,58 @@ def possible_duplicates_every(spark, d):
 @query("parent_link", "SELECT s_suppkey AS child_company_id, CASE WHEN s_nationkey % 3 <> 0 THEN s_nationkey + 1000 END AS parent_company_id FROM supplier")
 def parent_link(spark, d):
     rel = derived(spark, d, "supplier", "s_suppkey AS child_company_id, CAST(5 AS BIGINT) AS parent_company_id, 'n' AS parent_source, concat('n', s_nationkey) AS parent_source_id, 'x' AS parent_name")
-    known = derived(spark, d, "nation", "n_nationkey + 1000 AS company_id, 'n' AS source, concat('n', n_nationkey) AS source_id", "n_nationkey % 3 <> 0")
+    known = derived(spark, d, "nation", "n_nationkey + 1000 AS company_id, 'n' AS source, concat(CASE WHEN n_nationkey % 3 <> 0 THEN 'n' ELSE 'other' END, n_nationkey) AS source_id")
     return resolve.link_parents(rel, known).select("child_company_id", "parent_company_id")
 
 
 @query("upsert_last_wins", """WITH o AS (SELECT o_custkey AS k, max(o_orderkey) AS last FROM orders GROUP BY 1)
-SELECT CASE WHEN k IS NULL THEN c_custkey ELSE k END AS source_id, CASE WHEN k IS NULL THEN 'old' ELSE 'new' || last END AS raw FROM (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0) c FULL JOIN o ON k = c_custkey""")
+SELECT CASE WHEN k IS NULL THEN 2 * c_custkey ELSE k END AS source_id, CASE WHEN k IS NULL THEN 'old' ELSE 'new' || last END AS raw FROM customer FULL JOIN o ON k = 2 * c_custkey""")
 def upsert_last_wins(spark, d):
-    old = derived(spark, d, "customer", "c_custkey AS source_id, 'old' AS raw", "c_custkey % 2 = 0")
+    old = derived(spark, d, "customer", "2 * c_custkey AS source_id, 'old' AS raw")
     new = derived(spark, d, "orders", "o_custkey AS source_id, concat('new', o_orderkey) AS raw, o_orderkey AS ordinal")
     return resolve.upserted(old, new, ["source_id"])
 
 
-@query("delete_non_manual_insert", """SELECT o_orderkey AS id, o_orderstatus AS via FROM orders WHERE o_orderstatus = 'P' OR o_custkey % 2 = 1 UNION ALL SELECT 1000000 + c_custkey, 'new' FROM customer WHERE c_custkey % 2 = 0""")
-def delete_non_manual_insert(spark, d):
-    old = derived(spark, d, "orders", "o_orderkey AS id, o_custkey, o_orderstatus AS via")
-    new = derived(spark, d, "customer", "1000000 + c_custkey AS id, c_custkey AS o_custkey, 'new' AS via", "c_custkey % 2 = 0")
-    gone = old.where("via <> 'P'").join(new.select("o_custkey"), "o_custkey", "left_semi").select("id")
-    return old.join(gone, "id", "left_anti").select("id", "via").unionByName(new.select("id", "via"))
+@query("parents_upsert", """WITH r AS (SELECT o_custkey AS child, o_orderkey AS k, unnest([0, 1, 2]) AS pos FROM orders), p AS (SELECT child, 'p' || (k + pos) % 3 AS parent, k, pos, 'name' || k || '-' || pos AS name FROM r),
+l AS (SELECT child, parent, arg_max(name, k * 10 + pos) AS name FROM p GROUP BY 1, 2)
+SELECT child AS child_company_id, parent AS parent_source_id, name AS parent_name FROM l UNION ALL SELECT c_custkey, 'p' || c_custkey % 5, 'old' FROM customer WHERE NOT EXISTS (SELECT 1 FROM l WHERE child = c_custkey AND parent = 'p' || c_custkey % 5)""")
+def parents_upsert(spark, d):
+    """Parents of records, several times the same one: the last of the last record names it."""
+    old = derived(spark, d, "customer", "c_custkey AS child_company_id, concat('p', c_custkey % 5) AS parent_source_id, 'old' AS parent_name")
+    new = derived(spark, d, "orders", "o_custkey AS child_company_id, o_orderkey AS ordinal, posexplode(array(0, 1, 2)) AS (pos, j)")
+    new = new.select("child_company_id", F.concat(F.lit("p"), F.expr("(ordinal + pos) % 3")).alias("parent_source_id"), F.concat(F.lit("name"), "ordinal", F.lit("-"), "pos").alias("parent_name"), F.struct("ordinal", "pos").alias("ordinal"))
+    return resolve.upserted(old, new, ["child_company_id", "parent_source_id"])
+
+
+@query("rejected_events", f"SELECT source_id, {_REASON} AS reason, c_custkey % 2 = 0 AS known FROM (SELECT c_custkey, {RECORDS} FROM customer) WHERE reason IS NOT NULL")
+def rejected_events(spark, d):
+    """What a batch rejects, and whether it takes a known company out."""
+    state = schemas.empty_state(spark)
+    known = derived(spark, d, "customer", "CASE WHEN c_custkey % 2 = 0 THEN c_custkey ELSE -c_custkey END AS id, c_name AS name, 'pending' AS status")
+    state["companies"] = state["companies"].unionByName(known, allowMissingColumns=True)
+    state["sources"] = state["sources"].unionByName(derived(spark, d, "customer", "CASE WHEN c_custkey % 2 = 0 THEN c_custkey ELSE -c_custkey END AS company_id, 'src' AS source, concat('id', CASE WHEN c_custkey % 2 = 0 THEN c_custkey ELSE -c_custkey END) AS source_id, '{}' AS raw"))
+    rows = spark.createDataFrame([], schemas.RECORD).unionByName(derived(spark, d, "customer", RECORDS), allowMissingColumns=True)
+    after = resolve.ingest({k: written(v, k) for k, v in state.items()}, rows, "src", 1000, path="relational")
+    told = after["events"].where("event = 'rejected'").select(F.get_json_object("detail", "$.source_id").alias("source_id"), F.get_json_object("detail", "$.reason").alias("reason"), F.col("company_id").alias("id"))
+    out = after["companies"].where("status = 'excluded'").select("id", F.col("status_reason").alias("why"))
+    return told.join(out, "id", "left").select("source_id", "reason", F.coalesce(F.col("why") == F.col("reason"), F.lit(False)).alias("known"))
+
+
+SAVED_PORTALS = "o_orderkey AS id, o_custkey AS company_id, concat('https://p', o_orderkey, '.com') AS career_page_url, CASE o_orderstatus WHEN 'P' THEN 'manual' WHEN 'O' THEN 'sitemap' END AS discovered_via, 'verified' AS verification_status, 'global' AS scope"
+
+
+@query("save_discovery", f"""WITH p AS (SELECT {SAVED_PORTALS} FROM orders), o AS (SELECT 2 * c_custkey AS company_id FROM customer), t AS (SELECT max(id) AS top FROM p)
+SELECT id, company_id, career_page_url, verification_status FROM p WHERE discovered_via IS NULL OR discovered_via = 'manual' OR company_id NOT IN (SELECT company_id FROM o)
+UNION ALL SELECT top + row_number() OVER (ORDER BY company_id), company_id, 'https://new' || company_id || '.com', 'unverified' FROM o, t""")
+def save_discovery(spark, d):
+    """New portals take the place of those that weren't added by hand."""
+    state = schemas.empty_state(spark)
+    state["portals"] = state["portals"].unionByName(derived(spark, d, "orders", SAVED_PORTALS), allowMissingColumns=True)
+    outcomes = derived(spark, d, "customer", "2 * c_custkey AS company_id, 'discovered' AS status, CAST(NULL AS STRING) AS reason, '{}' AS detail")
+    none = "CAST(NULL AS STRING)"
+    new = derived(spark, d, "customer", f"2 * c_custkey AS company_id, 0 AS pos, concat('https://new', 2 * c_custkey, '.com') AS career_page_url, {none} AS final_ats_url, {none} AS ats_provider, 'global' AS scope, {none} AS region, 0.5D AS confidence, 'sitemap' AS discovered_via, {none} AS page_title, 200 AS http_status, '{{}}' AS evidence")
+    after = discovery.save_discovery({k: written(v, k) for k, v in state.items()}, outcomes, new)
+    return after["portals"].select("id", "company_id", "career_page_url", "verification_status")
 
 
 # --- export and report --------------------------------------------------------------------------------------
@@ -507,8 +579,8 @@ EXPORT_COMPANIES = """c_custkey AS id, c_name AS name, CAST(floor(c_acctbal) AS
 EXPORT_PORTALS = """o_orderkey AS id, o_custkey AS company_id, concat('https://p', o_orderkey, '.com') AS career_page_url, CASE WHEN o_orderkey % 4 = 0 THEN concat('https://ats', o_orderkey, '.com') END AS final_ats_url,
  CAST(NULL AS VARCHAR(9)) AS ats_provider, CASE WHEN o_orderstatus = 'F' THEN 'global' ELSE 'regional' END AS scope, CAST(NULL AS VARCHAR(9)) AS region, 'unverified' AS verification_status, CAST(0.5 AS DOUBLE) AS confidence,
  CASE o_orderkey % 5 WHEN 0 THEN 'manual' WHEN 1 THEN NULL ELSE 'homepage_link' END AS discovered_via"""
-EXPORT_PARENTS = "c_custkey AS child_company_id, CASE WHEN c_custkey % 2 = 0 THEN c_custkey + 1 END AS parent_company_id, 's' AS parent_source, concat('p', c_custkey) AS parent_source_id, CASE WHEN c_custkey % 4 = 1 THEN 'Named' END AS parent_name"
-_EXPORT = f"""WITH c AS (SELECT {EXPORT_COMPANIES} FROM customer), p AS (SELECT {EXPORT_PORTALS} FROM orders), r AS (SELECT {EXPORT_PARENTS} FROM customer WHERE c_custkey % 3 = 0),
+EXPORT_PARENTS = "CASE WHEN c_custkey % 3 = 0 THEN c_custkey ELSE -c_custkey END AS child_company_id, CASE WHEN c_custkey % 2 = 0 THEN c_custkey + 1 END AS parent_company_id, 's' AS parent_source, concat('p', c_custkey) AS parent_source_id, CASE WHEN c_custkey % 4 = 1 THEN 'Named' END AS parent_name"
+_EXPORT = f"""WITH c AS (SELECT {EXPORT_COMPANIES} FROM customer), p AS (SELECT {EXPORT_PORTALS} FROM orders), r AS (SELECT {EXPORT_PARENTS} FROM customer),
 n AS (SELECT r.child_company_id AS id, string_agg(coalesce(o.name, r.parent_name, r.parent_source_id), '; ' ORDER BY r.parent_source_id) AS parents FROM r LEFT JOIN c o ON o.id = r.parent_company_id GROUP BY 1),
 e AS (SELECT c.id AS company_id, c.name AS company_name, c.employee_count, c.country, c.industry, CASE WHEN c.industry = 'computer hardware' THEN 'it' ELSE '' END AS sector, n.parents AS parent_companies, c.status AS pipeline_status, p.id AS portal_id, p.career_page_url, p.scope AS portal_scope, p.final_ats_url, p.discovered_via
  FROM c LEFT JOIN p ON p.company_id = c.id AND (c.status <> 'excluded' OR p.discovered_via = 'manual') LEFT JOIN n ON n.id = c.id)"""
@@ -517,7 +589,7 @@ e AS (SELECT c.id AS company_id, c.name AS company_name, c.employee_count, c.cou
 def _export_state(spark, d):
     state = schemas.empty_state(spark)
     like = lambda df, name: state[name].unionByName(df, allowMissingColumns=True)
-    return state | {"companies": like(derived(spark, d, "customer", EXPORT_COMPANIES), "companies"), "portals": like(derived(spark, d, "orders", EXPORT_PORTALS), "portals"), "relationships": like(derived(spark, d, "customer", EXPORT_PARENTS, "c_custkey % 3 = 0"), "relationships")}
+    return state | {"companies": like(derived(spark, d, "customer", EXPORT_COMPANIES), "companies"), "portals": like(derived(spark, d, "orders", EXPORT_PORTALS), "portals"), "relationships": like(derived(spark, d, "customer", EXPORT_PARENTS), "relationships")}
 
 
 @query("export_portals", f"{_EXPORT} SELECT company_id, company_name, employee_count, country, industry, sector, parent_companies, pipeline_status, career_page_url, portal_scope, final_ats_url, discovered_via FROM e ORDER BY employee_count DESC, company_id, portal_id")
@@ -544,11 +616,9 @@ def countries_count(spark, d):
     return export.countries(_export_state(spark, d)["companies"])
 
 
-@query("distinct_countries", "SELECT DISTINCT r_name AS country FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name IS NOT NULL")
+@query("distinct_countries", f"SELECT DISTINCT country FROM (SELECT {EXPORT_COMPANIES} FROM customer)")
 def distinct_countries(spark, d):
-    # a region is a row of a table of fixed size, so it may be broadcast
-    named = table(spark, d, "nation").join(F.broadcast(table(spark, d, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
-    return named.where("r_name IS NOT NULL").select(F.col("r_name").alias("country")).distinct()
+    return export.known_countries(_export_state(spark, d)["companies"])
 
 
 @query("work_selection_topk", f"SELECT id, employee_count FROM (SELECT {EXPORT_COMPANIES} FROM customer) WHERE status IN ('discovered') AND lower(country) IN ('nation 1', 'nation 2') ORDER BY employee_count DESC, id LIMIT 25")
@@ -558,13 +628,13 @@ def work_selection_topk(spark, d):
 
 @query("orphans_anti", "SELECT c_custkey AS id FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_custkey % 4 <> 0)")
 def orphans_anti(spark, d):
-    return report.orphans(_export_state(spark, d)["companies"], derived(spark, d, "orders", "o_custkey AS company_id", "o_custkey % 4 <> 0")).select("id")
+    return report.orphans(_export_state(spark, d)["companies"], derived(spark, d, "orders", "CASE WHEN o_custkey % 4 <> 0 THEN o_custkey ELSE -1 END AS company_id")).select("id")
 
 
 @query("portal_less_anti", f"SELECT id FROM (SELECT {EXPORT_COMPANIES} FROM customer) c WHERE status IN ('discovered', 'verified') AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.id AND o.o_orderkey % 8 = 0)")
 def portal_less_anti(spark, d):
     state = _export_state(spark, d)
-    return report.portal_less(state["companies"], state["portals"].where("id % 8 = 0")).select("id")
+    return report.portal_less(state["companies"], state["portals"].withColumn("company_id", F.expr("CASE WHEN id % 8 = 0 THEN company_id ELSE -1 END"))).select("id")
 
 
 RUN_EVENTS = "user_id AS run_id, event_id AS company_id, 'ingest' AS stage, CASE WHEN event_type = 'error' THEN 'rejected' ELSE event_type END AS event, props AS detail"
@@ -579,18 +649,18 @@ def run_reconciliation(spark, d):
     return report.run_checks(runs, events).select("id", "accounted", "logged", F.array_join("faults", " ").alias("fault"))
 
 
-@query("status_unknown_diff", "SELECT o_orderstatus AS status, count(*) AS n FROM orders WHERE o_orderstatus NOT IN ('O', 'F') GROUP BY 1")
+@query("status_unknown_diff", "SELECT o_orderstatus AS status, count(*) AS n FROM orders WHERE o_orderstatus <> 'O' GROUP BY 1")
 def status_unknown_diff(spark, d):
-    by = table(spark, d, "orders").groupBy(F.col("o_orderstatus").alias("status")).agg(F.count(F.lit(1)).alias("n"))
-    return by.where(~F.col("status").isin("O", "F"))
+    rows = derived(spark, d, "orders", "CASE WHEN o_orderstatus = 'O' THEN 'pending' ELSE o_orderstatus END AS status")
+    return report.unknown_statuses(rows)
 
 
 @query("status_counts", f"SELECT status, count(*) AS n FROM (SELECT {EXPORT_COMPANIES} FROM customer) GROUP BY 1")
 def status_counts(spark, d):
-    return _export_state(spark, d)["companies"].groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+    return report.status_counts(_export_state(spark, d)["companies"])
 
 
-# --- what SQL can't say: sequential or recursive ------------------------------------------------------------
+# --- whole runs --------------------------------------------------------------------------------------------
 
 
 @query("resolve_ingest", f"""{_OUTCOME} SELECT CASE WHEN by_source IS NOT NULL THEN 'updated' WHEN by_url IS NOT NULL THEN 'merged' WHEN by_domain IS NOT NULL THEN 'merged' ELSE 'inserted' END AS outcome, count(*) AS n FROM m GROUP BY 1""")
@@ -604,7 +674,15 @@ def resolve_ingest(spark, d):
     return after["runs"].select(counts).where("n > 0")
 
 
-@query("resolve_fold")
+@query("resolve_fold", f"""{_OUTCOME},
+o AS (SELECT *, CASE WHEN by_source IS NOT NULL THEN by_source WHEN by_url IS NOT NULL THEN by_url ELSE by_domain END AS hit FROM (SELECT m.*, (SELECT count(*) FROM c WHERE c.website_domain = m.dom AND c.status <> 'excluded' AND c.linkedin_url IS NULL) AS open_ones FROM m)),
+-- the second time a record has no source that is known: it finds what it found or made, unless its domain has several open companies, or it has no key at all
+made AS (SELECT ordinal AS turn, s.* FROM o s WHERE hit IS NULL
+  UNION ALL SELECT ordinal + 1000000, s.* FROM o s WHERE (by_source IS NOT NULL AND lurl IS NULL AND dom IS NULL) OR (hit IS NULL AND lurl IS NULL AND dom IS NOT NULL AND open_ones > 0)),
+k AS (SELECT c.id, coalesce(any_value(CASE WHEN by_source IS NOT NULL THEN o.name END), c.name) AS name, greatest(coalesce(max(CASE WHEN by_source IS NOT NULL THEN o.employee_count END), c.employee_count), coalesce(max(CASE WHEN by_source IS NULL THEN o.employee_count END), 0)) AS employee_count, c.linkedin_url, c.website_domain, c.status
+      FROM c LEFT JOIN o ON o.hit = c.id GROUP BY c.id, c.name, c.employee_count, c.linkedin_url, c.website_domain, c.status)
+SELECT id, name, employee_count, linkedin_url, website_domain, status FROM k
+UNION ALL SELECT (SELECT max(id) FROM c) + row_number() OVER (ORDER BY turn), name, employee_count, lurl, dom, 'pending' FROM made""")
 def resolve_fold(spark, d):
     """The same batch, and each record once more under another id, folded in order."""
     rows = derived(spark, d, "supplier", BATCH)
@@ -614,25 +692,136 @@ def resolve_fold(spark, d):
     return resolve.ingest(state, rows, "b", 1000, True, path="fold")["companies"].select("id", "name", "employee_count", "linkedin_url", "website_domain", "status")
 
 
-def page_fetches(spark, d):
-    """The pages table as a snapshot of fetches."""
-    return table(spark, d, "pages").select(F.regexp_replace("url", "#.*$", "").alias("requested_url"), F.regexp_replace("url", "#.*$", "").alias("final_url"), F.lit(200).alias("status"), F.lit("text/html").alias("content_type"), F.col("html").alias("body"), F.lit(None).cast("string").alias("error_reason")).dropDuplicates(["requested_url"])
-
-
-@query("discovery_outcomes")
+_SHOP = "<ul>" + "".join(f"<li><a href='/shop/{i}'>Shop {i}</a></li>" for i in range(6)) + "</ul>"
+#: Sites of ten kinds: kind, URL, the URL that it lands on, status, content type, body, error. # stands for the supplier's number.
+SITES = [
+    (0, "https://www.s#.com/", None, 200, "text/html", f"<html>{_SHOP}<a href='/careers'>Careers</a></html>", None),
+    (0, "https://www.s#.com/careers", None, 200, "text/html", "<html><title>Work</title><a href='https://jobs.lever.co/s#'>Open jobs</a><a href='/careers/norway'>Careers in Norway</a><a href='/graduates'>Graduate jobs</a></html>", None),
+    (0, "https://www.s#.com/careers/norway", None, 200, "text/html", "<html>Norge</html>", None),
+    (0, "https://www.s#.com/graduates", "https://www.s#.com/careers", 200, "text/html", "<html></html>", None),
+    (0, "https://jobs.lever.co/s#", None, 200, "text/html", "<html></html>", None),
+    (1, "https://www.s#.com/", None, 200, "text/html", f"<html>{_SHOP}</html>", None),
+    (1, "https://www.s#.com/jobs", None, 200, "text/html", "<html><body>Open roles</body></html>", None),
+    (2, "https://www.s#.com/", None, 200, "text/html", f"<html>{_SHOP}</html>", None),
+    (4, "https://www.s#.com/", None, 200, "text/html", "<html><a href='/one'>One</a><a href='/two'>Two</a></html>", None),
+    (5, "https://www.s#.com/", None, 200, "text/html", f"<html>{_SHOP}<a href='/careers'>Careers</a></html>", None),
+    (5, "https://www.s#.com/careers", None, 403, "text/html", "<html></html>", None),
+    (7, "https://www.s#.com/", None, 200, "text/html", f"<html>{_SHOP}</html>", None),
+    (7, "https://www.s#.com/robots.txt", None, 200, "text/plain", "User-agent: *\nSitemap: https://www.s#.com/maps/a.xml", None),
+    (7, "https://www.s#.com/maps/a.xml", None, 200, "text/xml", "<sitemapindex><loc>https://www.s#.com/maps/b.xml</loc></sitemapindex>", None),
+    (7, "https://www.s#.com/maps/b.xml", None, 200, "text/xml", "<urlset><loc>https://www.s#.com/a/b/careers</loc><loc>https://www.s#.com/team/careers</loc></urlset>", None),
+    (7, "https://www.s#.com/team/careers", None, 200, "text/html", "<html><body>Apply now</body></html>", None),
+    (8, "https://www.s#.com/", None, 200, "text/html", f"<html>{_SHOP}<a href='/careers'>Careers</a></html>", None),
+    (8, "https://www.s#.com/careers", None, 200, "text/html", "<html><script src='https://cdn.phenompeople.com/x.js'></script></html>", None),
+    (9, "https://www.s#.com/", None, None, None, None, "timeout"),
+    (9, "https://careers.s#.com/", None, 200, "text/html", "<html><title>Jobs</title></html>", None),
+]
+_AT = "'https://www.s' || k || '.com"
+
+
+@query("discovery_outcomes", f"""SELECT k AS company_id, CASE WHEN kind = 3 THEN 'failed' WHEN kind = 5 THEN 'needs_review' WHEN kind IN (2, 4, 6) THEN 'no_portal_found' ELSE 'discovered' END AS status,
+ CASE kind WHEN 2 THEN 'no_careers_link' WHEN 3 THEN 'site_unreachable' WHEN 4 THEN 'no_links_in_html' WHEN 5 THEN 'careers_page_unreachable' WHEN 6 THEN 'no_website' END AS reason,
+ CASE WHEN kind IN (0, 5, 8) THEN {_AT}/careers' WHEN kind = 1 THEN {_AT}/jobs' WHEN kind = 7 THEN {_AT}/team/careers' WHEN kind = 9 THEN 'https://careers.s' || k || '.com/' END AS page,
+ CASE WHEN kind IN (0, 5, 8) THEN 'homepage_link' WHEN kind IN (1, 9) THEN 'path_probe' WHEN kind = 7 THEN 'sitemap' END AS via, CASE kind WHEN 0 THEN 'Lever' WHEN 8 THEN 'Phenom' END AS provider,
+ CASE kind WHEN 0 THEN 'https://jobs.lever.co/s' || k WHEN 1 THEN {_AT}/jobs' WHEN 7 THEN {_AT}/team/careers' WHEN 8 THEN {_AT}/careers' WHEN 9 THEN 'https://careers.s' || k || '.com/' END AS final,
+ CASE kind WHEN 0 THEN 'global regional' WHEN 1 THEN 'global' WHEN 5 THEN 'global' WHEN 7 THEN 'global' WHEN 8 THEN 'global' WHEN 9 THEN 'global' ELSE '' END AS scopes FROM (SELECT s_suppkey AS k, s_suppkey % 10 AS kind FROM supplier)""")
 def discovery_outcomes(spark, d):
-    sites = page_fetches(spark, d)
+    """Every supplier has a site of one of ten kinds, one for each way that discovery may end."""
+    own = derived(spark, d, "supplier", "s_suppkey AS id, s_name AS name, CASE WHEN s_suppkey % 10 <> 6 THEN concat('https://www.s', s_suppkey, '.com/') END AS website")
+    sites = F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), *(F.lit(v).cast(t).alias(n) for n, v, t in zip(["requested_url", "final_url", "status", "content_type", "body", "error_reason"], row, ["string", "string", "int", "string", "string", "string"]))) for k, *row in SITES)))
+    fetches = own.select("id", sites.alias("p")).where(F.col("p.kind") == F.col("id") % 10)
+    told = lambda c: F.replace(F.col(f"p.{c}"), F.lit("#"), F.col("id").cast("string")).alias(c)
+    fetches = fetches.select(told("requested_url"), told("final_url"), "p.status", "p.content_type", told("body"), "p.error_reason")
+    outcomes, portals = discovery.discover(own, fetches)
+    found = portals.groupBy("company_id").agg(F.min_by(F.struct("career_page_url", "discovered_via", "ats_provider", "final_ats_url"), "pos").alias("m"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "scope"))), lambda x: x["scope"]), " ").alias("scopes"))
+    return outcomes.join(found, "company_id", "left").select("company_id", "status", "reason", F.col("m.career_page_url").alias("page"), F.col("m.discovered_via").alias("via"), F.col("m.ats_provider").alias("provider"), F.col("m.final_ats_url").alias("final"), F.coalesce("scopes", F.lit("")).alias("scopes"))
+
+
+@query("discovery_of_pages")
+def discovery_of_pages(spark, d):
+    """The given pages as the homepages of as many companies: how they end, counted."""
+    pages_ = table(spark, d, "pages").select(F.regexp_replace("url", "#.*$", "").alias("requested_url"), F.col("html").alias("body")).dropDuplicates(["requested_url"])
+    none = F.lit(None).cast("string")
+    sites = pages_.select("requested_url", F.col("requested_url").alias("final_url"), F.lit(200).alias("status"), F.lit("text/html").alias("content_type"), "body", none.alias("error_reason"))
     companies = sites.select(F.xxhash64("requested_url").alias("id"), ux.website_domain(F.col("requested_url")).alias("name"), F.col("requested_url").alias("website"))
     outcomes, _ = discovery.discover(companies, sites)
     return outcomes.groupBy("status", "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("parse_company_text")
+@query("parse_company_text", """SELECT k AS id, CASE k % 3 WHEN 2 THEN 'C' END AS name, CASE k % 3 WHEN 1 THEN 'https://c' || k || '.com' END AS website, CASE k % 3 WHEN 0 THEN 'IT Services' WHEN 1 THEN 'Banking' END AS industry, CAST(NULL AS VARCHAR) AS headquarters, CAST(NULL AS VARCHAR) AS founded,
+ CASE k % 3 WHEN 0 THEN 'https://www.linkedin.com/company/c' || k END AS linkedin_url, CASE k % 3 WHEN 0 THEN '1,001-5,000' WHEN 1 THEN '10,001+' END AS employee_band, CASE k % 3 WHEN 0 THEN 1001 WHEN 1 THEN 10001 ELSE nullif(k, 0) END AS employee_count FROM (SELECT s_suppkey AS k FROM supplier)""")
 def parse_company_text(spark, d):
     text = "CASE s_suppkey % 3 WHEN 0 THEN concat('{\"url\": \"https://www.linkedin.com/company/c', s_suppkey, '\", \"sections\": {\"about\": \"Industry\\\\nIT Services\\\\nCompany size\\\\n1,001-5,000 employees\"}}') WHEN 1 THEN concat('Website\nhttps://c', s_suppkey, '.com\nIndustry\nBanking\nSize: 10,001+') ELSE concat('{\"staffCount\": ', s_suppkey, ', \"name\": \"C\"}') END AS text"
     return profiles.parsed_answers(derived(spark, d, "supplier", f"s_suppkey AS id, {text}")).select("id", "answer.*")
 
 
-@query("report_checks")
+@query("report_checks", f"""WITH c AS (SELECT {EXPORT_COMPANIES} FROM customer), p AS (SELECT {EXPORT_PORTALS} FROM orders), n AS (SELECT count(*) AS n FROM c)
+SELECT 'status_counts' AS "check", true AS ok, CAST(n AS VARCHAR) AS detail FROM n UNION ALL SELECT 'unknown_statuses', true, '0' UNION ALL SELECT 'runs', true, '0' UNION ALL SELECT 'orphans', n = 0, CAST(n AS VARCHAR) FROM n
+UNION ALL SELECT 'missing_reasons', count(*) = 0, CAST(count(*) AS VARCHAR) FROM c WHERE status = 'excluded' UNION ALL SELECT 'portal_less', count(*) = 0, CAST(count(*) AS VARCHAR) FROM c WHERE status = 'discovered' AND id NOT IN (SELECT company_id FROM p)""")
 def report_checks(spark, d):
     return report.report(_export_state(spark, d))
+
+
+# --- what pages, links and texts say by themselves ----------------------------------------------------------
+
+FETCHED = """s_suppkey AS id, CASE WHEN s_suppkey % 7 = 0 THEN NULL WHEN s_suppkey % 7 = 1 THEN 404 ELSE 200 END AS status, CASE WHEN s_suppkey % 7 = 0 THEN 'timeout' END AS error_reason,
+ CASE s_suppkey % 7 WHEN 2 THEN 'Text/HTML; charset=x' WHEN 3 THEN 'application/pdf' WHEN 4 THEN NULL WHEN 5 THEN 'text/plain' ELSE 'application/xhtml+xml' END AS content_type, CASE WHEN s_suppkey % 2 = 0 THEN '  <!DOCTYPE html><p>' ELSE 'plain' END AS body"""
+
+
+@query("page_errors", "SELECT id, CASE id % 7 WHEN 0 THEN 'timeout' WHEN 1 THEN 'http_404' WHEN 3 THEN 'not_html' WHEN 4 THEN CASE WHEN id % 2 = 1 THEN 'not_html' END WHEN 5 THEN CASE WHEN id % 2 = 1 THEN 'not_html' END END AS error FROM (SELECT s_suppkey AS id FROM supplier)")
+def page_errors(spark, d):
+    return derived(spark, d, "supplier", FETCHED).select("id", pages.page_error().alias("error"))
+
+
+LINKS = """s_suppkey AS id, 0 AS pos, CASE s_suppkey % 3 WHEN 2 THEN 'iframe' ELSE 'a' END AS kind, CASE s_suppkey % 8 WHEN 0 THEN 'Our jobs' WHEN 4 THEN 'Join us' ELSE 'More' END AS text,
+ concat(CASE s_suppkey % 8 WHEN 1 THEN 'https://www.indeed.com/' WHEN 2 THEN 'https://jobs.lever.co/firm' WHEN 3 THEN 'https://a-sandbox.firm.com/careers/' WHEN 4 THEN 'https://firm.com.au/login/' WHEN 5 THEN 'https://careers.firm.com/' WHEN 6 THEN 'https://firm.org/jobs.pdf?' WHEN 7 THEN 'http://intranet/careers/' ELSE 'https://firm.org/' END, s_suppkey) AS url"""
+
+
+@query("careers_links", "SELECT id, id % 3 <> 2 AND id % 8 IN (0, 2, 5) AS careers, id % 8 = 3 AS sandbox FROM (SELECT s_suppkey AS id FROM supplier)")
+def careers_links(spark, d):
+    rows = derived(spark, d, "supplier", LINKS)
+    return rows.join(pages.url_facts(rows.select("url").distinct()), "url").select("id", pages.is_careers_link().alias("careers"), "sandbox")
+
+
+@query("careers_scopes", """SELECT s_suppkey AS id, CASE s_suppkey % 5 WHEN 0 THEN 'graduate' WHEN 1 THEN 'regional' WHEN 2 THEN 'affiliate' ELSE 'other' END AS scope FROM supplier""")
+def careers_scopes(spark, d):
+    rows = derived(spark, d, "supplier", """s_suppkey AS id, 'a' AS kind, CASE s_suppkey % 5 WHEN 0 THEN 'Jobs for students in India' WHEN 1 THEN 'Jobs in Spain' ELSE 'Jobs' END AS text,
+     concat(CASE s_suppkey % 5 WHEN 2 THEN 'https://other.org/' WHEN 3 THEN 'https://jobs.lever.co/x' ELSE 'https://own.com/jobs' END, s_suppkey) AS url, array('own.com') AS domains""")
+    links = rows.join(pages.url_facts(rows.select("url").distinct()), "url").withColumns({"graduate": tx.is_graduate(F.col("text")) | F.col("graduate_path"), "region": tx.region_of(F.col("text"), F.col("url_path"))})
+    return links.select("id", discovery.scope().alias("scope"))
+
+
+@query("text_tests", """SELECT s_suppkey AS id, s_suppkey % 6 IN (0, 3, 5) AS career, s_suppkey % 6 IN (1, 3) AS graduate, s_suppkey % 6 IN (2, 3, 5) AS jobs, 'ab' || s_suppkey AS seen FROM supplier""")
+def text_tests(spark, d):
+    v = "s_suppkey AS id, CASE s_suppkey % 6 WHEN 0 THEN 'KARRIERE bei uns' WHEN 1 THEN 'Campus life' WHEN 2 THEN 'Please apply now!' WHEN 3 THEN 'Internships and vacancies' WHEN 4 THEN 'Careersmith' ELSE '採用 - view all jobs' END AS t, concat('a', decode(unhex('C2AD'), 'UTF-8'), 'b', decode(unhex('E2808B'), 'UTF-8'), s_suppkey) AS raw"
+    return derived(spark, d, "supplier", v).select("id", tx.has_career_text(F.col("t")).alias("career"), tx.is_graduate(F.col("t")).alias("graduate"), tx.has_job_content(F.col("t")).alias("jobs"), discovery.visible(F.col("raw")).alias("seen"))
+
+
+@query("normalized_urls", rf"""SELECT page_id, lower(sch) || '://' || lower(net) || CASE WHEN regexp_replace(pth, '/+$', '') = '' THEN '/' ELSE regexp_replace(pth, '/+$', '') END || CASE WHEN qry <> '' THEN '?' || qry ELSE '' END AS norm FROM (SELECT page_id, {_SPLIT} FROM pages)""")
+def normalized_urls(spark, d):
+    return table(spark, d, "pages").select("page_id", ux.normalize_url(F.col("url")).alias("norm"))
+
+
+@query("places_slugs_keys", """SELECT n_nationkey AS id, CASE n_nationkey % 3 WHEN 0 THEN 'Isle of ' || upper(x[1]) || x[2:] WHEN 1 THEN upper(x[1]) || x[2:] || ' & Co' ELSE NULL END AS place, CASE n_nationkey % 3 WHEN 0 THEN 'acme-' || x ELSE NULL END AS slug,
+ CASE n_nationkey % 3 WHEN 0 THEN 'acme-' || x WHEN 1 THEN 'the_' || x || '_co.' ELSE 'unnamed' END AS key FROM (SELECT n_nationkey, replace(lower(n_name), ' ', '-') AS x FROM nation)""")
+def places_slugs_keys(spark, d):
+    v = "n_nationkey AS id, replace(lower(n_name), ' ', '-') AS x, CASE n_nationkey % 3 WHEN 0 THEN concat('isle  of ', replace(lower(n_name), ' ', '-')) WHEN 1 THEN concat(replace(lower(n_name), ' ', '-'), ' & co ') ELSE '  ' END AS place, CASE WHEN n_nationkey % 3 = 0 THEN concat('https://linkedin.com/company/ACME-', replace(n_name, ' ', '-'), '/jobs') END AS url, CASE n_nationkey % 3 WHEN 1 THEN concat('The ', replace(lower(n_name), ' ', '-'), ' & Co.!') WHEN 2 THEN ' ?' END AS name"
+    rows = derived(spark, d, "nation", v).withColumn("slug", ux.linkedin_slug(F.col("url")))
+    return rows.select("id", tx.nice_place(F.col("place")).alias("place"), "slug", tx.cache_key(F.col("slug"), F.col("name")).alias("key"))
+
+
+@query("sitemap_locs", """SELECT s_suppkey AS id, CASE WHEN s_suppkey % 2 = 0 THEN 'https://x.com/a' || s_suppkey || ' https://x.com/b' ELSE '' END AS locs FROM supplier""")
+def sitemap_locs(spark, d):
+    v = "concat('https://m', s_suppkey, '.com/map.xml') AS requested_url, CAST(NULL AS STRING) AS final_url, CASE WHEN s_suppkey % 2 = 0 THEN 200 ELSE 204 END AS status, 'text/xml' AS content_type, concat('<urlset><LOC> https://x.com/a', s_suppkey, ' </LOC><loc>https://x.com/b</loc><loc></loc></urlset>') AS body, CAST(NULL AS STRING) AS error_reason"
+    web = discovery.read_snapshot(derived(spark, d, "supplier", v))
+    locs = web.locs.groupBy("requested_url").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "url"))), lambda x: x["url"]), " ").alias("locs"))
+    return web.pages.join(locs, "requested_url", "left").select(F.regexp_extract("requested_url", r"m(\d+)", 1).cast("long").alias("id"), F.coalesce("locs", F.lit("")).alias("locs"))
+
+
+@query("lookup_results", """SELECT s_suppkey AS ordinal, CASE WHEN s_suppkey % 3 = 2 THEN 'not_found' ELSE 'ok' END AS status, CASE s_suppkey % 3 WHEN 0 THEN 'Firm ' || s_suppkey ELSE 'Input ' || s_suppkey END AS name, CASE s_suppkey % 3 WHEN 0 THEN 'https://www.linkedin.com/company/f' || s_suppkey ELSE '' END AS linkedin_url,
+ CASE s_suppkey % 3 WHEN 0 THEN 'United States' ELSE 'Chile' END AS country, CASE s_suppkey % 3 WHEN 0 THEN '12' WHEN 1 THEN '51' ELSE '' END AS employee_count FROM supplier""")
+def lookup_results(spark, d):
+    v = """s_suppkey AS ordinal, named_struct('name', concat('Input ', s_suppkey), 'linkedin_url', CAST(NULL AS STRING), 'website', CAST(NULL AS STRING), 'country', CASE WHEN s_suppkey % 3 <> 0 THEN 'Chile' END) AS input,
+     CASE s_suppkey % 3 WHEN 0 THEN concat('{"name": "Firm ', s_suppkey, '", "url": "https://linkedin.com/company/F', s_suppkey, '/", "headcount": 12, "hq": {"city": "Austin", "region": "Texas"}}') WHEN 1 THEN 'Company size\\n51-200 employees' ELSE 'try later' END AS text"""
+    found = profiles.results(profiles.parsed_answers(derived(spark, d, "supplier", v)), ["Chile"])
+    return found.select("ordinal", "status", "name", "linkedin_url", "country", "employee_count")

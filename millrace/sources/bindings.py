@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import lexicon as lx
 from millrace.functions.url import linkedin_company_url
+from millrace.plans.storage import numbered, written
 
 
 def employee_bands(min_employees: int) -> list[tuple[int, int | None]]:
@@ -51,11 +52,34 @@ def grouped_details(bindings: DataFrame, source: str = "wikidata") -> DataFrame:
     )
 
 
+def missing(items: DataFrame, details: DataFrame) -> DataFrame:
+    """item, details (how many rows of details there are), missing: whether there is none."""
+    found = details.groupBy(F.col("source_id").alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
+    return items.join(found, F.col("item") == F.col("_id"), "left").select("item", F.coalesce("_n", F.lit(0)).alias("details"), F.col("_n").isNull().alias("missing"))
+
+
+def of_class(items: DataFrame, instances: DataFrame, subclasses: DataFrame, classes: list[str], depth: int = 32) -> DataFrame:
+    """items (column item) that are instances (item, class) of one of classes or of what is below them by subclasses (class, parent).
+
+    Classes below are reached level by level, at most depth of them, each looked at once, so loops end. A class table is joined, never collected.
+    """
+    spark = items.sparkSession
+    reached = written(spark.createDataFrame([(c,) for c in classes], "class string"), "classes")
+    newest = reached
+    for _ in range(depth):
+        below = subclasses.join(newest.withColumnRenamed("class", "parent"), "parent").select("class").distinct().join(reached, "class", "left_anti")
+        newest = written(below, "classes")
+        if newest.isEmpty():
+            break
+        reached = written(reached.unionByName(newest), "classes")
+    return items.join(instances.join(reached, "class", "left_semi").select("item"), "item", "left_semi")
+
+
 def records(items: DataFrame, details: DataFrame) -> DataFrame:
     """One record (schema RECORD) for each listed item, in order of ids; items without details have no name."""
     found = details.drop("source").withColumnRenamed("source_id", "_id")
-    out = items.join(found, F.col("item") == F.col("_id"), "left")
+    out = numbered(items, "item", 0, "ordinal").join(found, F.col("item") == F.col("_id"), "left")
     return out.select(
-        F.xxhash64("item").alias("ordinal"), F.lit("wikidata").alias("source"), F.col("item").alias("source_id"), "name", F.col("employees").alias("employee_count"), "linkedin_url", "website", "country",
+        "ordinal", F.lit("wikidata").alias("source"), F.col("item").alias("source_id"), "name", F.col("employees").alias("employee_count"), "linkedin_url", "website", "country",
         "industry", F.coalesce("parents", F.array().cast("array<struct<source_id:string,name:string>>")).alias("parents"), "dissolved", F.coalesce("raw", F.lit('{"error": "no details returned"}')).alias("raw"),
     )

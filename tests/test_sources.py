@@ -51,6 +51,37 @@ def test_layouts(spark, tmp_path, kind):
     assert {(r["country"], r["rows"]) for r in dump.scan_summary(rows, dump.kept(rows, [" INDIA "])).collect()} == {("india", 1), (None, 4)}
 
 
+@pytest.mark.parametrize("kind", ["csv", "zip"])
+def test_quoted_cells_may_hold_newlines_and_quotes(spark, tmp_path, kind):
+    text = 'name,locality,size\r\n"Oak, ""Old"" Mill","Two\nlines",10001+\r\nshort\r\n\r\nlong,x,1-10,more\r\n'
+    path = tmp_path / f"d.{kind}"
+    if kind == "zip":
+        with zipfile.ZipFile(path, "w") as z:
+            z.writestr("d.csv", text)
+    else:
+        path.write_text(text)
+    got = sorted((tuple(r) for r in dump.read_rows(spark, str(path)).collect()), key=str)
+    assert [(n, loc, size) for n, loc, size in got] == [("Oak, \"Old\" Mill", "Two\nlines", "10001+"), ("long", "x", "1-10"), ("short", None, None)]
+
+
+def test_plain_lines_are_split_over_tasks(spark, tmp_path):
+    (tmp_path / "d.csv").write_text("name,size\n" + "".join(f"n{i},{i}\n" for i in range(50_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+    try:
+        rows = dump.read_rows(spark, str(tmp_path / "d.csv"))
+        assert rows.rdd.getNumPartitions() > 3 and rows.count() == 50_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_classes_below_classes(spark):
+    items = spark.createDataFrame([(f"Q{i}",) for i in range(6)], "item string")
+    instances = spark.createDataFrame([("Q0", "firm"), ("Q1", "bank"), ("Q2", "river"), ("Q3", "a"), ("Q3", "bank"), ("Q5", None)], "item string, class string")
+    below = spark.createDataFrame([("bank", "finance"), ("finance", "firm"), ("firm", "bank"), ("a", "b"), ("b", "a")], "class string, parent string")
+    assert sorted(r["item"] for r in bindings.of_class(items, instances, below, ["firm"]).collect()) == ["Q0", "Q1", "Q3"]
+    assert bindings.of_class(items, instances, below, ["none"]).count() == 0
+
+
 def test_older_layout(spark):
     cells = [("1", "ibm", "ibm.com", "1911.0", "it", "10001+", "new york, us", "united states", "linkedin.com/company/ibm", "274047", "716906"), ("2", "mid", "mid.com", "", "x", "1001 - 5000", "", "india", "", "1,234", "")]
     names = ["", "name", "domain", "year founded", "industry", "size range", "locality", "country", "linkedin url", "current employee estimate", "total employee estimate"]
@@ -84,25 +115,48 @@ def test_bindings(spark):
     assert got["Q2"]["name"] is None and "no details" in got["Q9"]["raw"]
 
 
+PAGE = "Header\nIndustry: \n\nDairy products\n  Company size\n5,001 to 10,000 employees\nHEADQUARTERS : Aarhus, Denmark\nFounded 1931\nWebsite"
+
+
+def answers_of(spark, texts):
+    rows = profiles.parsed_answers(spark.createDataFrame(list(enumerate(texts)), "id int, text string"))
+    return [r["answer"].asDict() for r in rows.orderBy("id").collect()]
+
+
 def test_answers(spark):
-    page = "Overview\nAcme\nWebsite\nhttps://acme.com\nIndustry\nBanking\nCompany size\n1,001-5,000 employees\nHeadquarters\nPune, Maharashtra\nFounded\n1990"
-    answer = profiles.read_answer(page)
-    assert (answer["website"], answer["industry"], answer["employee_band"], answer["employee_count"], answer["headquarters"]) == ("https://acme.com", "Banking", "1,001-5,000", 1001, "Pune, Maharashtra")
-    nested = profiles.read_answer(json.dumps({"company": {"name": "Inner"}, "name": "Outer", "staffCount": 4321, "size": "1001-5000", "headquarters": {"city": "Oslo", "country": "Norway"}}))
-    assert (nested["name"], nested["employee_count"], nested["headquarters"]) == ("Outer", 4321, "Oslo, Norway")
-    sections = profiles.read_answer(json.dumps({"url": "https://l", "sections": {"about": page}}))
-    assert (sections["linkedin_url"], sections["industry"], sections["employee_count"]) == ("https://l", "Banking", 1001)
-    assert profiles.read_answer("rate limited")["employee_count"] is None
-    df = profiles.parsed_answers(spark.createDataFrame([(1, page), (2, None)], "id int, text string"))
-    assert [r["n"] for r in df.select(F.col("answer.employee_count").alias("n")).orderBy("id").collect()] == [1001, None]
-
-
-def test_lookup_lists_and_cache(spark, tmp_path):
-    (tmp_path / "in.csv").write_text("﻿Company, LinkedIn ,url\nAcme,,https://l/acme\n,,\nBeta,beta,x\n")
+    inner_first = json.dumps({"firm": {"name": "Inner", "Size": "11-50"}, "NAME": "Outer", "staffCount": "1.234 people", "location": [{"city": "Oslo", "country": "Norway"}, {"code": 7}], "industries": ["Milk", ["Cheese"]], "website": ""})
+    wrapped = json.dumps([{"url": "https://www.linkedin.com/company/Dairy"}, {"sections": {"about": PAGE, "n": 3}}])
+    lines = "log line\n" + json.dumps({"headcount": 0, "size": "10,001+"}) + "\n{broken\n" + json.dumps({"name": "Second"})
+    page, outer, inside, by_line, none, empty = answers_of(spark, [PAGE, inner_first, wrapped, lines, "no such page", None])
+    assert page == {"name": None, "website": None, "industry": "Dairy products", "headquarters": "Aarhus, Denmark", "founded": "1931", "linkedin_url": None, "employee_band": "5,001-10,000", "employee_count": 5001}
+    assert (outer["name"], outer["employee_band"], outer["employee_count"], outer["headquarters"], outer["industry"]) == ("Outer", "11-50", 1234, 'Oslo, Norway; {"code": 7}', "Milk; Cheese")
+    assert (inside["linkedin_url"], inside["industry"], inside["employee_count"]) == ("https://www.linkedin.com/company/Dairy", "Dairy products", 5001)
+    assert (by_line["name"], by_line["employee_band"], by_line["employee_count"]) == ("Second", "10,001+", 10001)
+    assert set(none.values()) == set(empty.values()) == {None}
+
+
+def test_results_and_records(spark):
+    texts = [json.dumps({"name": "Acme Ltd", "staffCount": 7, "headquarters": "Pune, Maharashtra, India"}), "rate limited", json.dumps({"url": "https://www.linkedin.com/company/Beta-Co/", "industry": "Tools", "website": "https://b.org", "employees": "many"}), ""]
+    inputs = [("Acme", None, "https://acme.in", None), ("Lost", "lost-co", None, "Chile"), ("Beta", "https://linkedin.com/company/old/", None, "norway"), (None, None, None, None)]
+    rows = spark.createDataFrame([(i, x, t, "kept") for i, (x, t) in enumerate(zip(inputs, texts))], "ordinal long, input struct<name:string,linkedin_url:string,website:string,country:string>, text string, mark string")
+    found = profiles.results(profiles.parsed_answers(rows), ["India", "Norway"])
+    got = {r["ordinal"]: [r[c] for c in profiles.RESULT] for r in found.collect()}
+    assert got[0] == ["Acme", "ok", "", "Acme Ltd", "", "https://acme.in", "", "", "7", "Pune, Maharashtra, India", "India", ""]
+    assert got[1][:7] == ["Lost", "not_found", "rate limited", "Lost", "https://www.linkedin.com/company/lost-co", "", ""] and got[1][10] == "Chile"
+    assert got[2][3:6] + got[2][10:11] == ["Beta", "https://www.linkedin.com/company/beta-co", "https://b.org", "norway"] and got[3][2] == "empty answer"
+    assert {r["status"]: r["n"] for r in profiles.summary(found).collect()} == {"ok": 2, "not_found": 2}
+    told = {r["ordinal"]: (r["source_id"], r["name"], r["employee_count"], r["country"], r["linkedin_url"]) for r in profiles.records(found).collect()}
+    assert told == {0: ("acme ltd", "Acme Ltd", 7, "India", None), 2: ("beta-co", "Beta", None, "norway", "https://www.linkedin.com/company/beta-co")}
+
+
+def test_lookup_lists_work_and_cache(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("\ufeffCompany, LinkedIn ,url\nAcme,,https://l/acme\n,,\nBeta,beta,x\n")
     assert [tuple(r) for r in profiles.read_companies(spark, str(tmp_path / "in.csv")).collect()] == [("Acme", "https://l/acme", "", ""), ("Beta", "beta", "", "")]
     cache = tmp_path / "cache"
     cache.mkdir()
     (cache / "acme.json").write_text(json.dumps({"input": {"name": "Acme", "country": "India"}, "text": json.dumps({"staffCount": 7, "website": "https://a.com"})}))
-    rows = profiles.parsed_answers(profiles.read_cache(spark, str(cache))).withColumns({"status": F.lit("ok"), "ordinal": F.lit(1).cast("long")})
-    (r,) = profiles.records(rows).collect()
+    (r,) = profiles.records(profiles.results(profiles.parsed_answers(profiles.read_cache(spark, str(cache)))).withColumn("ordinal", F.lit(1).cast("long"))).collect()
     assert (r["name"], r["employee_count"], r["website"], r["country"]) == ("Acme", 7, "https://a.com", "India")
+    known = spark.createDataFrame([(1, "u", "pending", "India", None), (2, None, "pending", "India", None), (3, "u", "excluded", "India", ""), (4, "u", "failed", "Norway", "Computer Software"), (5, "u", "failed", "india", "Tools")], "id int, linkedin_url string, status string, country string, industry string")
+    ids = lambda **o: sorted(r["id"] for r in profiles.lookup_work(known, **o).collect())
+    assert ids() == [1, 4, 5] and ids(countries=[" INDIA"]) == [1, 5] and ids(sectors=["IT"]) == [4] and ids(missing_industry=True) == [1]
