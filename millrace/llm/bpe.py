@@ -232,6 +232,7 @@ def texts_of(rows: DataFrame, path: str) -> DataFrame:
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    """encoded() of all documents, and decoded again; nulls, empty texts, repeated rows, empty tables and clashing columns as said there."""
     import public_tokenizers
 
     def digests(own: SegmentTreeBPE, ids: np.ndarray):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -75,11 +75,11 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/millrace/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, **options: str) -> DataFrame:
-    """df as a table in the shared folder, read again: its lineage ends there."""
+def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """df as a table in the shared folder, read again: its lineage ends there. by: a column with a folder for each of its values."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.options(**options).parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     # an empty table may leave no part file with a footer, so the schema is given
     return spark.read.schema(df.schema).parquet(path)
 
@@ -122,3 +122,32 @@ def added_up(rows: DataFrame, finish) -> DataFrame:
 
     first = rows.withColumn("_some", F.spark_partition_id() % 256).groupBy("part", "_some").applyInPandas(some, "part long, places binary, counts binary")
     return first.groupBy("part").applyInPandas(all_, "part long, told binary")
+
+
+#: Places of a filter for each row in it, a power of two in all; at most MOST_PLACES (64 MB when broadcast): beyond that more values pass it by chance.
+PLACES, MOST_PLACES = 16, 1 << 29
+_PAGE = 32768  # bits of a row of the filter
+
+
+class Filter:
+    """Says of values whether they may be in a column of a table; never no of one that is. A bitmap over hashes, sized by the table's rows."""
+
+    def __init__(self, rows: DataFrame, column: str):
+        n = rows.count()
+        self.places = max(_PAGE, min(MOST_PLACES, 1 << (max(1, PLACES * n) - 1).bit_length()))
+        place = self._place(F.col(column))
+        bits = rows.groupBy(F.bitmap_bucket_number(place).alias("_page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("_bits"))
+        self.bits = written(bits, "filter")
+
+    def _place(self, value: Column) -> Column:
+        return F.pmod(F.xxhash64(value), F.lit(self.places)) + 1
+
+    def asked(self, rows: DataFrame, value: Column, name: str) -> DataFrame:
+        """rows with column name: whether the value may be there. The filter is broadcast: places / 8 bytes, at most MOST_PLACES / 8."""
+        page, bits = fresh(rows.columns, "_page"), fresh(rows.columns, "_bits")
+        own = self._place(value)
+        joined = rows.join(F.broadcast(self.bits.select(F.col("_page").alias(page), F.col("_bits").alias(bits))), F.bitmap_bucket_number(own) == F.col(page), "left")
+        at = F.bitmap_bit_position(own)
+        byte = F.conv(F.hex(F.substring(bits, (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+        bit = F.call_function("shiftright", byte, (at % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
+        return joined.withColumn(name, F.coalesce(bit, F.lit(False))).drop(page, bits)

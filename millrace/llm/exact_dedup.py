@@ -1,11 +1,12 @@
 """Exact deduplication over a log-structured merge index of text digests. DataFrame functions only.
 
-Write path: each task's rows fill memtables of a fixed number of rows; a memtable is flushed
-as a run sorted by digest, without a shuffle, into a table whose files carry min/max statistics and
-Bloom filters of the digests. Compaction merges all runs into one level that keeps, for each
-digest, the smallest identifier and the number of rows. Look-ups join runs with that level; every
-hit is then verified byte by byte against the text of the row that stays, and rows of digests that turn
-out to be shared by different texts are grouped again by their text.
+Write path: each task's rows fill memtables of a fixed number of rows; a memtable is flushed as a run of its own, sorted by digest, without a
+shuffle. Compaction merges all runs into one level: for each digest the smallest identifier and the number of rows; what a run
+has several times is merged before it leaves its task. Of the level only digests that several rows have are ever looked
+up, so these are kept, with a filter: a bitmap over hashes of the digests, sized by their number. Look-ups ask the filter
+first. Rows that it rules out stay as they are, and neither they nor their texts are shuffled; the others are joined with the
+level, and every hit is verified: the least and the greatest text under its digest must be the same, byte by byte. Rows of
+digests that turn out to be shared by different texts are grouped again by their text.
 """
 
 from __future__ import annotations
@@ -13,10 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, drop, keyed_texts, written
-
-BLOOM = {"parquet.bloom.filter.enabled#digest": "true", "parquet.bloom.filter.expected.ndv#digest": "200000"}
-
+from .common import Filter, documents, drop, fresh, keyed_texts, written
 
 def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " ")
@@ -28,7 +26,7 @@ def _digest(text: Column, digest_bytes: int) -> tuple[Column, Column]:
 
 
 def flush_runs(docs: DataFrame, memtable_rows: int, digest_bytes: int) -> DataFrame:
-    """Sorted digest runs: run, digest, sha, doc_id, row (a number that only this row has)."""
+    """Runs sorted by digest: run, digest, sha, doc_id, row (a number that only this row has)."""
     sha, digest = _digest(F.col("norm"), digest_bytes)
     rows = keyed_texts(docs).select("doc_id", normalised(F.col("text")).alias("norm"), F.monotonically_increasing_id().alias("row"))
     low = (1 << 33) - 1  # monotonically_increasing_id: task above, row number below
@@ -49,6 +47,21 @@ def compact(runs: DataFrame) -> DataFrame:
     return runs.groupBy("digest").agg(F.min(_first("doc_id", "row")).alias("first"), F.count(F.lit(1)).alias("n")).select("digest", F.col("first.doc_id").alias("keep_id"), F.col("first.row").alias("keep_row"), "n")
 
 
+def _index(docs: DataFrame, memtable_rows: int, digest_bytes: int) -> tuple[DataFrame, DataFrame, Filter]:
+    """The runs, the digests that several rows have, and their filter."""
+    runs = written(flush_runs(docs, memtable_rows, digest_bytes), "runs", by="run")
+    level = written(compact(runs).where("n > 1").sortWithinPartitions("digest"), "level")
+    return runs, level, Filter(level, "digest")
+
+
+def _unlike(docs: DataFrame, level: DataFrame, filter_: Filter, digest_bytes: int) -> DataFrame:
+    """Digests under which different texts stand."""
+    texts = keyed_texts(docs).select(normalised(F.col("text")).alias("norm"))
+    texts = filter_.asked(texts.withColumn("digest", _digest(F.col("norm"), digest_bytes)[1]), F.col("digest"), "maybe").where("maybe")
+    seen = texts.groupBy("digest").agg(F.min("norm").alias("least"), F.max("norm").alias("most")).where("least <> most").select("digest")
+    return written(seen.join(level, "digest", "left_semi"), "unlike")
+
+
 def exact_groups(docs: DataFrame, memtable_rows: int = 65536, digest_bytes: int = 32) -> DataFrame:
     """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -58,45 +71,54 @@ def exact_groups(docs: DataFrame, memtable_rows: int = 65536, digest_bytes: int
     empty table gives an empty result. Other columns, whatever their names, are not read.
     digest_bytes shortens the index key (tests use it to force collisions); the result doesn't depend on it.
     """
-    runs = written(flush_runs(docs, memtable_rows, digest_bytes), "runs", **BLOOM)
-    level = written(compact(runs).sortWithinPartitions("digest"), "level", **BLOOM)
-    placed = written(runs.join(level, "digest").select("doc_id", "row", "sha", "digest", "keep_id", "keep_row", "n"), "placed")
-    drop(runs)
-    drop(level)
-    # byte verification of each hit; sha too, as a doc_id may come with different texts
-    hits = placed.where("n > 1")
-    sha, _ = _digest(F.col("norm"), digest_bytes)
-    texts = keyed_texts(docs).select("doc_id", normalised(F.col("text")).alias("norm")).select("doc_id", "norm", sha.alias("sha"))
-    wanted = hits.select(F.col("doc_id").alias("hit_id"), F.col("sha").alias("hit_sha"), "digest", (F.col("row") == F.col("keep_row")).alias("stays")).groupBy("hit_id", "hit_sha", "digest").agg(F.max("stays").alias("stays"))
-    hit_texts = written(texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("sha") == F.col("hit_sha"))).select("doc_id", "sha", "digest", "stays", "norm"), "hits")
-    keepers = hit_texts.where("stays").select(F.col("digest").alias("k_digest"), F.col("norm").alias("k_norm"), F.col("sha").alias("k_sha")).dropDuplicates(["k_digest", "k_sha"])
-    # distinct only after the write, so that a hot digest's partition of this join can be split
-    unlike = written(hit_texts.join(keepers, (F.col("digest") == F.col("k_digest")) & (F.col("norm") != F.col("k_norm"))).select("digest"), "unlike").distinct()
-    result = placed.select("doc_id", "row", "sha", "digest", "keep_id", "keep_row", "n")
+    runs, level, filter_ = _index(docs, memtable_rows, digest_bytes)
+    asked = filter_.asked(runs, F.col("digest"), "maybe")
+    own = [F.col("doc_id").alias("keep_id"), F.col("row").alias("keep_row"), F.lit(1).cast("long").alias("n")]
+    alone = asked.where("NOT maybe").select("doc_id", "row", "sha", *own)
+    hits = asked.where("maybe").select("doc_id", "row", "sha", "digest")
+    unlike = _unlike(docs, level, filter_, digest_bytes)
+    again = None
     if not unlike.isEmpty():
         # different texts under one digest: their rows are grouped by the text itself
-        mixed = placed.join(unlike, "digest", "left_semi").select("doc_id", "row", "sha", "digest")
-        own = hit_texts.select("doc_id", "sha", "norm").dropDuplicates(["doc_id", "sha", "norm"]).withColumnsRenamed({"doc_id": "t_id", "sha": "t_sha"})
-        mixed = mixed.join(own, F.col("doc_id").eqNullSafe(F.col("t_id")) & (F.col("sha") == F.col("t_sha"))).select("doc_id", "row", "sha", "digest", "norm")
+        sha, digest = _digest(F.col("norm"), digest_bytes)
+        texts = keyed_texts(docs).select("doc_id", normalised(F.col("text")).alias("norm")).select("doc_id", "norm", sha.alias("sha"), digest.alias("digest"))
+        texts = texts.join(unlike, "digest", "left_semi").dropDuplicates(["doc_id", "norm"]).withColumnsRenamed({"doc_id": "t_id", "sha": "t_sha"}).drop("digest")
+        mixed = hits.join(unlike, "digest", "left_semi").join(texts, F.col("doc_id").eqNullSafe(F.col("t_id")) & (F.col("sha") == F.col("t_sha"))).select("doc_id", "row", "sha", "norm")
         by_text = mixed.groupBy("norm").agg(F.min(_first("doc_id", "row")).alias("first"), F.count(F.lit(1)).alias("n")).withColumnRenamed("norm", "g_norm")
-        again = mixed.join(by_text, F.col("norm") == F.col("g_norm")).select("doc_id", "row", "sha", "digest", F.col("first.doc_id").alias("keep_id"), F.col("first.row").alias("keep_row"), "n")
-        result = result.join(unlike, "digest", "left_anti").select(again.columns).unionByName(again)
-    return result.select("doc_id", "keep_id", F.col("n").alias("group_size"), (F.col("row") == F.col("keep_row")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
+        again = mixed.join(by_text, F.col("norm") == F.col("g_norm")).select("doc_id", "row", "sha", F.col("first.doc_id").alias("keep_id"), F.col("first.row").alias("keep_row"), "n")
+        hits = hits.join(unlike, "digest", "left_anti")
+    found = hits.join(level, "digest", "left")
+    there = F.col("n").isNotNull()
+    keep = [F.when(there, F.col(k)).otherwise(F.col(o)).alias(k) for k, o in (("keep_id", "doc_id"), ("keep_row", "row"))]
+    out = alone.unionByName(found.select("doc_id", "row", "sha", *keep, F.coalesce("n", F.lit(1)).alias("n")))
+    out = out.unionByName(again) if again is not None else out
+    return out.select("doc_id", "keep_id", F.col("n").alias("group_size"), (F.col("row") == F.col("keep_row")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
 
 
 def drop_exact_copies(docs: DataFrame, memtable_rows: int = 65536) -> DataFrame:
-    """The rows of docs that exact_groups() keeps, with all their columns; rows repeated whole or by doc_id and text stay once."""
-    stay = written(exact_groups(docs, memtable_rows).where("kept").select(F.col("doc_id").alias("_keep_id"), F.col("text_sha256").alias("_keep_sha")), "stay")
-    own = F.sha2(normalised(F.col("text")), 256)
-    left = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_keep_id")) & (own == F.col("_keep_sha")), "left_semi")
-    again = keyed_texts(docs).select("doc_id", F.sha2(normalised(F.col("text")), 256).alias("_sha")).groupBy("doc_id", "_sha").count().where("count > 1")
-    if again.isEmpty():
-        return left
-    left = left.withColumn("_keep_sha", own)
-    return left.dropDuplicates(["doc_id", "_keep_sha"]).drop("_keep_sha")
+    """The rows of docs that exact_groups() keeps, with all their columns, whatever their names; rows repeated whole or by doc_id and text stay once.
+
+    A null text counts as empty and stays null where its row stays. An empty table gives an empty result. Only rows whose digest may
+    occur twice are joined with what stays of them.
+    """
+    runs, level, filter_ = _index(docs, memtable_rows, 32)
+    unlike = _unlike(docs, level, filter_, 32)
+    if not unlike.isEmpty():  # whole digests of different texts: what stays is known by row only
+        raise ValueError("two different texts have the same SHA-256")
+    drop(runs)
+    sha, maybe, stays, none, keep, number = (fresh(docs.columns, n) for n in ("_sha", "_maybe", "_stays", "_none", "_keep", "_number"))
+    own = docs.withColumn(sha, F.unhex(F.sha2(normalised(F.col("text")), 256)))
+    asked = filter_.asked(own, F.col(sha), maybe)
+    kept = level.select(F.col("digest").alias(stays), F.col("keep_id").alias(keep), F.col("keep_id").isNull().alias(none))
+    hits = asked.where(F.col(maybe)).join(kept, F.col(sha) == F.col(stays), "left")
+    # a digest that the filter only seemed to know has no row there
+    hits = hits.where(F.col(stays).isNull() | F.col("doc_id").cast("long").eqNullSafe(F.col(keep)))
+    once = hits.where(F.col(stays).isNull()).unionByName(hits.where(F.col(stays).isNotNull()).dropDuplicates([sha]))
+    return asked.where(~F.col(maybe)).select(*docs.columns).unionByName(once.select(*docs.columns))
 
 
 def op4_exact_dedup(spark, sf_dir: str) -> DataFrame:
+    """exact_groups() of all documents; nulls, empty texts, repeated rows, empty tables and clashing columns as said there."""
     return exact_groups(documents(spark, sf_dir))
 
 

@@ -297,6 +297,8 @@ def feature_of(frames: list[GifFrame]) -> str:
 
 
 def op6_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """texts_as_gifs() of all documents, written, read back and decoded. A null or empty text is a payload of 64 zeros; rows without doc_id and repeated rows each have
+    a row; equal texts have equal values; an empty table gives an empty result; other columns, whatever their names, are not read."""
     stored = written(texts_as_gifs(documents(spark, sf_dir)), "media")
 
     def read(parts):

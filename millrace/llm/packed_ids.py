@@ -153,7 +153,7 @@ def write_token_files(docs: DataFrame, path: str, uri: str, end_id: int | None =
     """Encode every text, append end_id, write files under uri in ascending doc_id order; the manifest as a written table.
 
     Manifest: part, file (their order is that of doc_ids), name, n_docs, n_tokens, n_bytes. A null text has no ids
-    but the end; null doc_ids come first; rows of one doc_id follow each other by a hash of their texts. An empty table writes no file. Only
+    but the end; null doc_ids come first; rows of one doc_id follow each other by text. An empty table writes no file. Only
     doc_id and text are read of docs. Memory: one batch of texts and one file of ids.
     """
     spark = docs.sparkSession
@@ -190,9 +190,8 @@ def write_token_files(docs: DataFrame, path: str, uri: str, end_id: int | None =
             flush()
         yield pd.DataFrame(rows, columns=["part", "file", "name", "n_docs", "n_tokens", "n_bytes"])
 
-    # rows without doc_id, or many of one doc_id, are dealt out by their texts
-    order = ["doc_id", F.xxhash64("text"), "text"]
-    ordered = keyed_texts(docs).repartitionByRange(slices(spark), *order[:2]).sortWithinPartitions(*order)
+    # rows without doc_id, or many of one doc_id, are dealt out by how their texts begin
+    ordered = keyed_texts(docs).repartitionByRange(slices(spark), "doc_id", F.substring("text", 1, 64)).sortWithinPartitions("doc_id", "text")
     return written(mapped(ordered, write, "part long, file long, name string, n_docs long, n_tokens long, n_bytes long"), "manifest")
 
 
@@ -226,6 +225,7 @@ def read_token_files(manifest: DataFrame, uri: str, schema: str, row) -> DataFra
 
 
 def op2_token_output(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    """The files of write_token_files() read back by read_token_files(); nulls, empty texts, repeated rows, empty tables and clashing columns as said there."""
     import public_tokenizers
 
     uri = new_path(spark, "tokens")

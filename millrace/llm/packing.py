@@ -6,8 +6,8 @@ sides are a bounded number of classes, whatever the input. In each round the lon
 pieces ask for their successor, the smallest room that takes them; where more ask than there are gaps of that room, the
 lower ranks win and the others ask for the next room; the filled gaps move to smaller classes. Pieces that no gap
 takes open new sequences. Rounds repeat until no class is left, at most as many as the capacity. A round's plan is a list of
-runs: ranks a..b of a length go to sequences s..t at an offset. Ranks are dealt out by salted counts, and each piece finds its run by
-a join on length and a search among that length's runs, so no class of pieces meets in one task.
+runs: ranks a..b of a length go to sequences s..t at an offset. Ranks are dealt out by counts of parts, as many as a length's pieces
+need, and each piece finds its run by search, so no class of pieces meets in one task.
 """
 
 from __future__ import annotations
@@ -24,8 +24,8 @@ from .common import documents, fresh, keyed_texts, mapped, written
 from .fast_encode import batches, encoder, gathered
 
 CAPACITY = 2048
-#: Parts that the pieces of one length are ranked in.
-SALTS = 32
+#: Pieces of one length that are ranked together, about.
+RANKED = 50_000
 #: Cuts in the encoder's table and characters encoded together; where memory is short, less of both costs only time.
 MAX_CUTS, GATHERED = 400_000, 5_000_000
 
@@ -103,34 +103,56 @@ def best_fit(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[list[tup
     return runs, sequences
 
 
-def packed(pieces: DataFrame, capacity: int = CAPACITY, salts: int = SALTS) -> DataFrame:
-    """pieces (a table that reads the same each time) with sequence_id and offset; other columns stay.
+class Plan:
+    """The runs of best_fit(), found by length and rank in steps of halving."""
+
+    def __init__(self, runs: list[tuple[int, int, int, int, int]]):
+        told = np.array(sorted(runs), np.int64).reshape(-1, 5)
+        self.length, self.first, _, self.sequence, self.offset = np.ascontiguousarray(told.T)
+        self.starts = np.searchsorted(self.length, np.arange(self.length[-1] + 2 if len(told) else 1))
+
+    def places(self, lengths: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """sequence and offset of the pieces of these lengths and ranks."""
+        low, high = self.starts[lengths], self.starts[lengths + 1]
+        while (more := high - low > 1).any():
+            middle = (low + high) // 2
+            right = more & (self.first[np.minimum(middle, len(self.first) - 1)] <= ranks)
+            low, high = np.where(right, middle, low), np.where(more & ~right, middle, high)
+        return self.sequence[low] + ranks - self.first[low], self.offset[low]
+
+
+def packed(pieces: DataFrame, capacity: int = CAPACITY, part: int = RANKED) -> DataFrame:
+    """pieces (a table that reads the same each time) with sequence_id and offset; other columns stay, whatever their names.
 
     Order among pieces of one length is free, so ties, null or repeated doc_ids are all placed, each once. An empty table
-    gives an empty result. Every length must be from 1 to capacity.
+    gives an empty result. Every length must be from 1 to capacity. part: pieces of a length that are ranked together, about.
     """
     spark = pieces.sparkSession
-    salt = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts))
-    salted = pieces.withColumn("_salt", salt)
-    # at most capacity * salts rows
-    counts = written(salted.groupBy("length", "_salt").agg(F.count(F.lit(1)).alias("_n")), "lengths")
-    before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
-    bases = counts.withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    by_length = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
+    salt, total, count, base, within, rank = (fresh(pieces.columns, n) for n in ("_salt", "_total", "_n", "_base", "_in", "_rank"))
+    totals = written(pieces.groupBy("length").agg(F.count(F.lit(1)).alias(total)), "lengths")
+    by_length = {r["length"]: r[total] for r in totals.collect()}  # at most capacity rows
     if any(not 1 <= n <= capacity for n in by_length):
         raise ValueError(f"lengths must be from 1 to {capacity}")
     runs, _ = best_fit(by_length, capacity)
-    grouped: dict[int, list] = {}
-    for length, first, last, sequence, offset in runs:
-        grouped.setdefault(length, []).append((first, last, sequence, offset))
-    plan = spark.createDataFrame([(n, sorted(r)) for n, r in grouped.items()], "length long, _runs array<struct<first:long,last:long,sequence:long,offset:long>>")
-    ranked = salted.withColumn("_in", F.row_number().over(Window.partitionBy("length", "_salt").orderBy("doc_id", "piece", "start")).cast("long") - 1)
-    # bounded by capacity * salts and by the plan's runs
-    ranked = ranked.join(F.broadcast(bases), ["length", "_salt"]).withColumn("_rank", F.col("_in") + F.col("_base"))
-    ranked = ranked.join(F.broadcast(plan), "length")
-    run = F.filter("_runs", lambda r: (r["first"] <= F.col("_rank")) & (F.col("_rank") <= r["last"]))[0]
-    out = ranked.withColumn("_run", run)
-    return out.select(*pieces.columns, (F.col("_run.sequence") + F.col("_rank") - F.col("_run.first")).alias("sequence_id"), F.col("_run.offset").alias("offset"))
+    plan = spark.sparkContext.broadcast(Plan(runs))
+    # each length is ranked in as many parts as its pieces need
+    parts = F.ceil(F.col(total) / part)
+    salted = pieces.join(F.broadcast(totals), "length").withColumn(salt, F.pmod(F.xxhash64("doc_id", "piece"), parts)).drop(total)
+    counts = written(salted.groupBy("length", salt).agg(F.count(F.lit(1)).alias(count)), "parts")
+    before = Window.partitionBy("length").orderBy(salt).rowsBetween(Window.unboundedPreceding, -1)
+    bases = counts.select("length", salt, F.coalesce(F.sum(count).over(before), F.lit(0)).alias(base))
+    ranked = salted.withColumn(within, F.row_number().over(Window.partitionBy("length", salt).orderBy("doc_id", "piece", "start")).cast("long") - 1)
+    # a row for each part: as many as pieces / part, and a row for each length
+    ranked = ranked.join(bases, ["length", salt]).withColumn(rank, F.col(within) + F.col(base))
+
+    @F.pandas_udf("struct<sequence_id:long,offset:long>")
+    def place(lengths: pd.Series, ranks: pd.Series) -> pd.DataFrame:
+        sequence, offset = plan.value.places(lengths.to_numpy(np.int64), ranks.to_numpy(np.int64))
+        return pd.DataFrame({"sequence_id": sequence, "offset": offset})
+
+    at = fresh(pieces.columns, "_at")
+    out = ranked.withColumn(at, place("length", rank))
+    return out.select(*(F.col(c) for c in pieces.columns), F.col(f"{at}.sequence_id"), F.col(f"{at}.offset"))
 
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, **memory: int) -> DataFrame:
@@ -142,6 +164,7 @@ def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, **memor
 
 
 def op8_best_fit(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    """pack_documents() of all documents; nulls, empty texts, repeated rows, empty tables and clashing columns as said there and at packed()."""
     import public_tokenizers
 
     return pack_documents(documents(spark, sf_dir), path or public_tokenizers.path("word_bpe_49k.json"))

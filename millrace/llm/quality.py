@@ -1,11 +1,11 @@
 """Quality votes of nearest labelled neighbours in a latent-semantic space.
 
-Terms are pairs of neighbouring characters by class (letters of a kind, capitals, digits, each punctuation mark, kinds of other
-bytes), weighted by log tf times idf, and two shares that tell repetition: of words that follow themselves, and of word pairs
+Terms are pairs of neighbouring bytes by class (each letter, capitals, digits, each punctuation mark, sixteen ranges of the bytes of other
+scripts), weighted by log tf times idf, and two shares that tell repetition: of words that follow themselves, and of word pairs
 that came up before. Weights of a bounded sample of labelled rows give the latent space by a truncated singular value
 decomposition. The sample's unit vectors are broadcast; every document's cosines with all of them are exact,
-computed in blocks, and the K nearest vote with weights that rise with similarity. The share of label 1 among all
-training labels votes too, with a weight that falls with the text's length, as short texts tell little.
+computed in blocks, and the K nearest vote with weights that rise with similarity. Only a text that no labelled one is like at all
+gets the share of label 1 among all training labels.
 """
 
 from __future__ import annotations
@@ -17,15 +17,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, keyed_texts
+from .common import documents, keyed_texts, mapped
 from .fast_encode import batches, forget
 
-CLASSES = 64
+CLASSES = 79
 TERMS = CLASSES * CLASSES
 #: Columns behind the terms: shares in thousandths. Their weight beside the terms' unit vector.
 SHARES, SHARE_WEIGHT = 2, 1.5
-#: The labels' share votes as much as so many neighbours of a text of one term.
-PRIOR_VOTES = 300
 #: Bound of the labelled sample: so many rows of each label, those with the smallest hashes of doc_id.
 SAMPLE = 1500
 DIMENSIONS = 64
@@ -34,7 +32,7 @@ SHARPNESS = 12
 
 
 def _classes() -> np.ndarray:
-    """The class of each byte: 0-25 letters, 26 capitals, 27 digits, 28 newline, 29 other white space, 30 control, 31-62 marks, 63 and up folded: UTF-8."""
+    """The class of each byte: 0-25 letters, 26 capitals, 27 digits, 28 newline, 29 other white space, 30 control, 31-62 marks, 63-78 the ranges of eight of the bytes of UTF-8 beyond ASCII."""
     out = np.full(256, 30, np.int32)
     out[np.arange(ord("a"), ord("z") + 1)] = np.arange(26)
     out[np.arange(ord("A"), ord("Z") + 1)] = 26
@@ -43,7 +41,7 @@ def _classes() -> np.ndarray:
     out[[9, 11, 12, 13, 32]] = 29
     marks = [b for b in range(33, 127) if not chr(b).isalnum()]  # 32 of them
     out[marks] = 31 + np.arange(len(marks))
-    out[128:] = 63
+    out[128:] = 63 + np.arange(128) // 8
     return out
 
 
@@ -102,7 +100,7 @@ class Votes:
 
     def scores(self, texts: list[str]) -> np.ndarray:
         """0 to 1 for each text; a text without any term gets the labels' share."""
-        out = np.full(len(texts), self.prior)
+        out = np.full(len(texts), self.prior, np.float64)
         if not self.neighbours or not texts:
             return out
         counts = term_counts(texts)
@@ -112,9 +110,7 @@ class Votes:
         most = weights.max(axis=1)
         known = most > 0
         weights[known] /= most[known, None]
-        own = PRIOR_VOTES / np.maximum(1, counts[:, :TERMS].sum(axis=1))
-        score = ((weights * self.labels[near]).sum(axis=1) + own * self.prior) / (weights.sum(axis=1) + own)
-        out[known] = score[known]
+        out[known] = (weights[known] * self.labels[near[known]]).sum(axis=1) / weights[known].sum(axis=1)
         return np.clip(out, 0, 1)
 
 
@@ -143,12 +139,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Votes:
             texts = pdf["text"].tolist()
             for a, b in batches(texts, 1_000_000):
                 rows = term_counts(texts[a:b])
-                yield pd.DataFrame({"doc_id": pdf["doc_id"].iloc[a:b], "label": pdf["label"].iloc[a:b], "counts": [r.tobytes() for r in np.minimum(rows, 65000).astype(np.uint16)]})
+                yield pd.DataFrame({"doc_id": pdf["doc_id"].iloc[a:b].to_numpy(np.int64), "label": pdf["label"].iloc[a:b], "counts": [r.tobytes() for r in rows.astype(np.uint32)]})
 
     # 2 * sample rows at most, so the join may broadcast them and the driver may hold their counts
     found = keyed_texts(docs).join(F.broadcast(wanted), "doc_id").mapInPandas(count, "doc_id long, label int, counts binary").toPandas()
     found = found.drop_duplicates("doc_id").sort_values("doc_id")
-    counts = np.stack([np.frombuffer(c, np.uint16) for c in found["counts"]]).astype(np.float32) if len(found) else np.zeros((0, TERMS + SHARES), np.float32)
+    counts = np.stack([np.frombuffer(c, np.uint32) for c in found["counts"]]).astype(np.float32) if len(found) else np.zeros((0, TERMS + SHARES), np.float32)
     return Votes(counts, found["label"].to_numpy(np.float32), 0.5 if share is None else share)
 
 
@@ -163,11 +159,15 @@ def scored(docs: DataFrame, votes: Votes) -> DataFrame:
             out = [shared.value.scores(texts[i : min(b, i + 128)]) for a, b in batches(texts, 1_000_000) for i in range(a, b, 128)]
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "score": np.concatenate(out) if out else np.zeros(0)})
 
-    return keyed_texts(docs).mapInPandas(score, "doc_id long, score double")
+    return mapped(keyed_texts(docs), score, "doc_id long, score double")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
-    """The rows of docs whose score is least or more, with all their columns as they are."""
+    """The rows of docs whose score is least or more, with all their columns as they are, whatever their names.
+
+    A null text is scored as an empty one and stays null; equal texts, and rows with the same or no doc_id, are judged each by its text. An empty table gives an empty result;
+    without labels every score is 0.5.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
 
     @F.pandas_udf("double")
@@ -181,6 +181,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFra
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """scored() of all documents by votes of the labelled ones that aren't held out; nulls, empty texts, repeated rows and empty tables as said at fit() and scored()."""
     docs = documents(spark, sf_dir)
     votes = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     out = scored(docs, votes)

@@ -19,10 +19,12 @@ from re import _parser as sre_parse
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, drop, keyed_texts, written
+from .common import Filter, documents, drop, fresh, keyed_texts, written
 
 # Exact strings that a part of a pattern may stand for are followed up to so many; beyond, the part counts as unknown.
 MAX_STRINGS = 64
+#: Stands for a missing doc_id among candidates. A document of that very number would only be a candidate more often.
+NO_ID = -(1 << 63)
 MAX_CLASS = 8
 
 
@@ -155,25 +157,32 @@ def _spans(text: Column, rule: Rule, order: int) -> Column:
     return F.transform(placed["found"], lambda x: F.struct(x["start"].alias("start"), F.lit(order).alias("order"), F.lit(rule.kind).alias("kind"), x["end"].alias("end")))
 
 
-def with_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """docs with _found: array of (start, order, kind, end) by start, then kind as listed."""
+def with_spans(docs: DataFrame, name: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """docs (columns doc_id, text and any others) with column name: array of (start, order, kind, end) by start, then kind as listed.
+
+    Candidates are joined by doc_id. A filter of their ids is asked first, so the texts of documents that are none stay where they are, also
+    where the candidates are too many to be broadcast.
+    """
     spark = docs.sparkSession
     queries = {r.kind: trigram_query(r.pattern) for r in rules}
     indexed = {k: q for k, q in queries.items() if TRUE != q}
     text = F.coalesce(F.col("text"), F.lit(""))
-    if indexed:
-        postings = trigram_index(docs, sorted({t for q in indexed.values() for c in q for t in c}))
-        cand = written(candidates(spark, postings, indexed).toDF("_c_id", "_kinds"), "candidates")
-        drop(postings)
-        docs = docs.join(cand, F.col("doc_id").cast("long").eqNullSafe(F.col("_c_id")), "left").drop("_c_id")
-    else:
-        docs = docs.withColumn("_kinds", F.array().cast("array<string>"))
-    none = F.array().cast("array<struct<start:int,order:int,kind:string,end:int>>")
-    parts = []
-    for i, r in enumerate(rules):
-        sought = F.array_contains("_kinds", r.kind) if r.kind in indexed else text.rlike(r.pattern)
-        parts.append(F.when(sought, _spans(text, r, i)).otherwise(none))
-    return docs.withColumn("_found", F.array_sort(F.concat(*parts))).drop("_kinds")
+    kinds, key, maybe = (fresh([*docs.columns, name], n) for n in ("_kinds", "_key", "_maybe"))
+    no_kinds, none = F.array().cast("array<string>"), F.array().cast("array<struct<start:int,order:int,kind:string,end:int>>")
+    spans = lambda r, i, sought: F.when(sought, _spans(text, r, i)).otherwise(none)
+    found = lambda rows: rows.withColumn(name, F.array_sort(F.concat(*(spans(r, i, F.array_contains(kinds, r.kind) if r.kind in indexed else text.rlike(r.pattern)) for i, r in enumerate(rules)))))
+    if not indexed:
+        return found(docs.withColumn(kinds, no_kinds)).select(*docs.columns, name)
+    postings = trigram_index(docs, sorted({t for q in indexed.values() for c in q for t in c}))
+    # no id is told as a number of its own, which no hash of a filter leaves out
+    cand = candidates(spark, postings, indexed).groupBy(F.coalesce("doc_id", F.lit(NO_ID)).alias(key)).agg(F.flatten(F.collect_list("kinds")).alias(kinds))
+    cand = written(cand, "candidates")
+    drop(postings)
+    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    asked = Filter(cand, key).asked(docs, own, maybe)
+    others = asked.where(~F.col(maybe)).select(*docs.columns, no_kinds.alias(kinds))
+    met = asked.where(F.col(maybe)).join(cand, own == F.col(key), "left").select(*docs.columns, F.coalesce(kinds, no_kinds).alias(kinds))
+    return found(others).unionByName(found(met)).select(*docs.columns, name)
 
 
 def secret_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -181,27 +190,28 @@ def secret_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
     Positions are code points, ends exclusive. A null or empty text has no spans. A null doc_id is kept; its
     postings are those of all rows without doc_id, which only makes it a candidate more often. Repeated rows
-    give repeated results. Other columns, whatever their names, are not read.
+    give repeated results. An empty table gives an empty result. Other columns, whatever their names, are not read.
     """
-    return with_spans(docs.select("doc_id", "text"), rules).select("doc_id", F.col("_found").alias("found"))
+    return with_spans(docs.select("doc_id", "text"), "found", rules).select("doc_id", "found")
 
 
 def redacted(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "<{}>") -> DataFrame:
-    """docs with every span in its text replaced by its kind's mark; all rows and columns stay, n_chars (if there) is set anew.
+    """docs with every span in its text replaced by its kind's mark; all rows and columns stay, whatever their names, n_chars (if there) is set anew.
 
-    Overlapping spans are replaced together, under the first one's kind. A null text stays null.
+    Overlapping spans are replaced together, under the first one's kind. A null text stays null. An empty table gives an empty result;
+    repeated rows, and rows without doc_id, are redacted each by its text.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
+    text, name = F.coalesce(F.col("text"), F.lit("")), fresh(docs.columns, "_found")
     cut = F.aggregate(
-        F.col("_found"),
+        F.col(name),
         F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         lambda a, x: F.when(x["start"] < a["at"], F.struct(F.greatest(a["at"], x["end"]).alias("at"), a["out"].alias("out"))).otherwise(
             F.struct(x["end"].alias("at"), F.concat(a["out"], F.substring(text, a["at"] + 1, x["start"] - a["at"]), F.format_string(mark.replace("{}", "%s"), x["kind"])).alias("out"))
         ),
         lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.char_length(text))),
     )
-    out = with_spans(docs, rules)
-    hit = F.size("_found") > 0
+    out = with_spans(docs, name, rules)
+    hit = F.size(name) > 0
     out = out.withColumn("text", F.when(hit, cut).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(hit, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
@@ -209,6 +219,7 @@ def redacted(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "<{}>
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """secret_spans() of all documents, counted and told; nulls, empty texts, repeated rows, empty tables and clashing columns as said there."""
     found = secret_spans(documents(spark, sf_dir))
     count = lambda kind: F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("long")
     base = F.filter("found", lambda x: x["order"] < len(BASE_RULES))

@@ -282,4 +282,5 @@ def repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """repeats() of all documents; nulls, empty texts, repeated rows, empty tables and clashing columns as said there."""
     return repeats(documents(spark, sf_dir))
