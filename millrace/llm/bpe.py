@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import documents, keyed_texts, mapped
-from .fast_encode import Encoder, batches, byte_letters, gathered
+from .fast_encode import Encoder, batches, byte_letters, gathered, kind_of
 
 NONE = np.int64(1) << 60
 #: Pieces of up to so many bytes share arrays of trees.
@@ -30,6 +30,8 @@ class SegmentTreeBPE(Encoder):
     def _open(self, path: str) -> None:
         import regex
 
+        if kind_of(path) != "keeping":
+            raise ValueError("the file's split rules aren't those of a byte-level vocabulary")
         # fixed value: the pattern by which byte-level vocabularies split texts
         self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+").findall
         with open(path, encoding="utf-8") as f:
@@ -50,7 +52,7 @@ class SegmentTreeBPE(Encoder):
         order = np.argsort(keys, kind="stable")
         self.pair_keys, self.pair_ranks = keys[order], order.astype(np.int64)
         self.made = np.array([vocabulary[a + b] for a, b in merges], np.int64)
-        self.keeps_space = True
+        self.cuts = self.keeps_space = True
         self.pieces: dict[str, tuple[int, ...]] = {}
 
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:

@@ -10,6 +10,7 @@ space or control characters, or with what may be a special token go to the libra
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from itertools import chain, repeat
@@ -36,6 +37,29 @@ def byte_letters() -> dict[str, int]:
     return letters
 
 
+# fixed values: what files of the two kinds say of their rules
+_BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True}
+_KINDS = {
+    "keeping": (None, _BYTE_LEVEL | {"use_regex": True}),
+    "dropping": (
+        {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+        {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}, _BYTE_LEVEL | {"use_regex": False}]},
+    ),
+}
+
+
+def kind_of(path: str) -> str | None:
+    """keeping or dropping: the file's rules are those that this module knows; None: they aren't, and texts go to the library whole."""
+    with open(path, encoding="utf-8") as f:
+        told = json.load(f)
+    model, added = told["model"], told["added_tokens"]
+    # a text with a special token is told by how all of them begin
+    plain = all("<|" in t["content"] and not (t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]) for t in added)
+    if model.get("type") != "BPE" or model.get("dropout") or model.get("continuing_subword_prefix") or model.get("byte_fallback") or model.get("ignore_merges") or not plain:
+        return None
+    return next((k for k, rules in _KINDS.items() if rules == (told["normalizer"], told["pre_tokenizer"])), None)
+
+
 class Encoder:
     """encode(texts) -> ids as uint32, offsets (one more than texts): as tokenizer.encode(text, add_special_tokens=False)."""
 
@@ -51,7 +75,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.keeps_space = bool(self._whole(["\n"])[0])
+        kind = kind_of(path)
+        self.cuts, self.keeps_space = kind is not None, kind == "keeping"
         self.letters = {b: c for c, b in byte_letters().items()}
         self.model = self.tokenizer.model
         self.pieces: dict[str, tuple[int, ...]] = {}
@@ -132,6 +157,8 @@ class Encoder:
 
     def _marked(self, text: str) -> str | None:
         """The text so that cuts stand between spaces. None: the library must see the text whole."""
+        if not self.cuts:
+            return None
         flat = text.replace("\n", " ")
         if not flat or "  " in flat or flat[0] == " " or flat[-1] == " " or "<|" in flat or not flat.isprintable():
             return None

@@ -42,7 +42,7 @@ END, ESCAPE = 62, 63
 #: Contexts whose chances a bucket works out at a time.
 CHUNK = 4096
 #: Decisions of the first groups; a later group has 1 / SHARE of the decisions before it.
-GROUP, SHARE = 32, 64
+GROUP, SHARE = 32, 32
 #: A mixer has a set of weights for the first DEEP decisions of a symbol and one for the others.
 GATES, DEEP, BUCKETS = 2, 2, 16
 RATE, REFINE = 0.02, 0.08

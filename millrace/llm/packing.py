@@ -25,7 +25,7 @@ from .fast_encode import batches, encoder, gathered
 
 CAPACITY = 2048
 #: Pieces of one length that are ranked together, about.
-RANKED = 50_000
+RANKED = 1_000
 #: Cuts in the encoder's table and characters encoded together; where memory is short, less of both costs only time.
 MAX_CUTS, GATHERED = 400_000, 5_000_000
 

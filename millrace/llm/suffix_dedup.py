@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, keyed_texts, mapped, slices, written
+from .common import documents, drop, keyed_texts, mapped, slices, written
 from .jaccard_join import _M3, BITS, _mixed, shared_members
 
 LEAST = 50
@@ -128,8 +128,8 @@ def _shared(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return left, right, ~same | other
 
 
-def _in_order(rows: DataFrame, keys: list[str], schema: str) -> DataFrame:
-    """rows sorted by anchor and keys over all tasks, each with what it shares with its neighbours: the last six columns before part.
+def _in_order(rows: DataFrame, keys: list[str], schema: str, finish) -> DataFrame:
+    """rows sorted by anchor and keys over all tasks, each with what it shares with its neighbours: the last six columns before part; then finish(rows), as a table.
 
     Frames overlap by a row, so every row has its neighbours but at the ends of a task's run: there the rows of all tasks
     that stand at ends (two of each task) are compared once more, in order of tasks.
@@ -179,11 +179,14 @@ def _in_order(rows: DataFrame, keys: list[str], schema: str) -> DataFrame:
 
     ends = found.where("edge > 0").select("anchor", "kind", "after", "before", "lo", "hi", "part", "edge")
     patches = ends.repartition(1).sortWithinPartitions("part", "edge").mapInPandas(meet, "anchor long, kind long, side int, _l int, _r int, _t boolean")
-    patches = written(patches, "ends")
+    patches, told = written(patches, "ends"), found
     for side, own in enumerate((prev, next_)):
         patch = patches.where(F.col("side") == side).drop("side").withColumnsRenamed({"anchor": "_a", "kind": "_k"})
-        found = found.join(patch, (F.col("anchor") == F.col("_a")) & (F.col("kind") == F.col("_k")), "left").withColumns({c: F.coalesce(p, c) for c, p in zip(own, ("_l", "_r", "_t"))}).select(*names)
-    return found
+        told = told.join(patch, (F.col("anchor") == F.col("_a")) & (F.col("kind") == F.col("_k")), "left").withColumns({c: F.coalesce(p, c) for c, p in zip(own, ("_l", "_r", "_t"))}).select(*names)
+    out = written(finish(told.drop("part", "edge")), "neighbours")
+    for done in (found, patches, rows):
+        drop(done)
+    return out
 
 
 def _open(judged: DataFrame) -> DataFrame:
@@ -226,8 +229,8 @@ def repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
     # equal suffixes of however many documents are one row from here on
     kinds = found.groupBy("anchor", "after", "before").agg(F.min(_key("doc_id")).alias("lo"), F.max(_key("doc_id")).alias("hi"))
     kinds = written(kinds.select("anchor", F.xxhash64("after", "before").alias("kind"), "after", "before", "lo", "hi"), "kinds")
-    ranked = written(_in_order(kinds, ["after", "before"], RIGHT).drop("part", "edge"), "right")
-    judged = written(_open(_in_order(ranked, ["before", "after"], LEFT)), "judged")
+    ranked = _in_order(kinds, ["after", "before"], RIGHT, lambda told: told)
+    judged = _in_order(ranked, ["before", "after"], LEFT, _open)
     pairs = F.array(*(F.struct(F.col(f"l{i}").alias("l"), F.col(f"r{i}").alias("r")) for i in range(5)))
     spans = judged.select("anchor", "kind", F.explode(F.array_distinct(F.filter(pairs, lambda p: p["l"] + p["r"] >= LEAST))).alias("s")).select("anchor", "kind", "s.l", "s.r")
     # what is open for one kind is looked up for all of its minimiser that may share it
@@ -256,6 +259,8 @@ def repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
     twice = twice.select(F.col("window").alias("_w"))
     by_window = asked.where("asks").join(twice, F.col("window") == F.col("_w")).select("anchor", "kind", "l", (LEAST - F.col("l")).alias("r"))
     spans = written(spans.unionByName(by_window).groupBy("anchor", "kind").agg(F.collect_set(F.struct("l", "r")).alias("spans")).withColumnsRenamed({"anchor": "_a", "kind": "_k"}), "spans")
+    for done in (judged, open_, asked):
+        drop(done)
     run = F.transform(F.sequence(F.lit(0), (F.size("runs") / 2 - 1).cast("int")), lambda i: F.struct(F.element_at("runs", 2 * i + 1).alias("first"), F.element_at("runs", 2 * i + 2).alias("last")))
     placed = found.select("doc_id", "anchor", "kind", "runs").join(spans, (F.col("anchor") == F.col("_a")) & (F.col("kind") == F.col("_k"))).select("doc_id", "spans", F.explode(run).alias("p")).select("doc_id", "p", F.explode("spans").alias("s"))
     every = placed.select("doc_id", (F.col("p.first") - F.col("s.l")).alias("start"), (F.col("p.last") + F.col("s.r")).alias("stop"))

@@ -147,3 +147,24 @@ def test_best_fit_plans(seed):
     assert placed == counts and max(filled.values()) <= 2048 and len(filled) == sequences
     # never worse than filling each to more than half on average
     assert sequences <= 2 * sum(n * c for n, c in counts.items()) / 2048 + 1
+
+
+def test_other_rules_go_to_the_library(tmp_path, real):
+    """A vocabulary whose rules aren't the known ones is encoded as the library does, and not by segment trees."""
+    import json
+
+    from millrace.llm.fast_encode import Encoder, kind_of
+
+    assert (kind_of(BYTE), kind_of(WORD)) == ("keeping", "dropping")
+    with open(BYTE, encoding="utf-8") as f:
+        told = json.load(f)
+    other = tmp_path / "other.json"
+    for change in ({"pre_tokenizer": told["pre_tokenizer"] | {"add_prefix_space": True}}, {"normalizer": {"type": "Lowercase"}}, {"added_tokens": [{**told["added_tokens"][0], "id": 11, "content": ","}]}):
+        other.write_text(json.dumps(told | change))
+        assert kind_of(str(other)) is None
+        own, library = Encoder(str(other)), Tokenizer.from_file(str(other))
+        texts = [t or "" for _, t in real[:30]] + ["a, b", " A"]
+        flat, ends = own.encode(texts)
+        assert [flat[a:b].tolist() for a, b in zip(ends, ends[1:])] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+        with pytest.raises(ValueError, match="split rules"):
+            bpe.coder(str(other))
