@@ -85,7 +85,8 @@ def discover(spark, a) -> int:
     statuses = [s for s in lx.COMPANY_STATUSES if s != "excluded"] if a.all else a.status or ["pending"]
     state = load(spark, a.state)
     work = export.selected(state["companies"], statuses, a.limit or None, a.company_id, a.country)
-    outcomes, portals = discovery.discover(work, spark.read.schema(schemas.FETCHES).parquet(a.fetches))
+    rules = spark.read.text(a.suffixes).where("value <> '' AND value NOT LIKE '//%'").withColumnRenamed("value", "rule") if a.suffixes else None
+    outcomes, portals = discovery.discover(work, spark.read.schema(schemas.FETCHES).parquet(a.fetches), rules)
     save(spark, a.state, discovery.save_discovery(state, outcomes, portals))
     outcomes.groupBy("status").count().orderBy("status").show()
     return 0
@@ -132,7 +133,7 @@ def parser() -> argparse.ArgumentParser:
     command("ingest-bindings", ingest_bindings, ("--list", {"required": True}), ("--details", {"required": True}), least)
     command("ingest-answers", ingest_answers, ("--cache", {"required": True}), ("--out", {}), least)
     command("lookup-work", lookup_work, ("--out", {"required": True}), ("--country", many), ("--sector", many), ("--missing-industry", {"action": "store_true"}))
-    command("discover", discover, ("--fetches", {"required": True}), ("--status", many), ("--all", {"action": "store_true"}), ("--limit", {"type": int, "default": 0}), ("--company-id", many | {"type": int}), ("--country", many))
+    command("discover", discover, ("--fetches", {"required": True}), ("--suffixes", {"help": "a public suffix list, one rule in a line"}), ("--status", many), ("--all", {"action": "store_true"}), ("--limit", {"type": int, "default": 0}), ("--company-id", many | {"type": int}), ("--country", many))
     command("report", tell_report, ("--json", {"action": "store_true"}))
     command("export", write_export, ("--out", {"required": True}), ("--country", many), ("--type", many), ("--sector", many), ("--per-company", {"action": "store_true"}))
     command("countries", tell_countries)

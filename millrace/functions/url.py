@@ -197,21 +197,28 @@ def public_suffix(host_: Column) -> Column:
     return F.when(~F.contains(host_, F.lit(".")) | F.startswith(host_, F.lit(".")) | F.endswith(host_, F.lit(".")), "").when(two.isin(lx.TWO_LABEL_SUFFIXES), two).otherwise(F.substring_index(host_, ".", -1))
 
 
+def label_before(host_: Column, suffix: Column) -> Column:
+    """The suffix with one label more; the host itself where it has no more, or no suffix."""
+    rest = F.split(F.substring(host_, F.lit(1), F.length(host_) - F.length(suffix) - 1), "[.]")
+    return F.when((suffix == "") | (host_ == suffix), host_).otherwise(F.concat(F.element_at(rest, -1), F.lit("."), suffix))
+
+
 def registrable_domain(host_: Column) -> Column:
     """One label more than the public suffix; the host itself where it has no more."""
     two = F.substring_index(host_, ".", -2)
     return F.when(two.isin(lx.TWO_LABEL_SUFFIXES), F.substring_index(host_, ".", -3)).otherwise(two)
 
 
-def is_third_party(url: Column) -> Column:
-    """Job boards, social sites and app stores."""
+def is_third_party(url: Column, domain: Column | None = None) -> Column:
+    """Job boards, social sites and app stores. domain: the registrable one, where it is known already."""
     h = host(url)
-    return h.isin(lx.THIRD_PARTY_HOSTS) | F.substring_index(registrable_domain(h), ".", 1).isin(lx.THIRD_PARTY_NAMES)
+    return h.isin(lx.THIRD_PARTY_HOSTS) | F.substring_index(registrable_domain(h) if domain is None else domain, ".", 1).isin(lx.THIRD_PARTY_NAMES)
 
 
-def is_government(url: Column) -> Column:
+def is_government(url: Column, suffix: Column | None = None, domain: Column | None = None) -> Column:
     h = host(url)
-    return F.substring_index(public_suffix(h), ".", 1).isin("gov", "mil", "gob", "gouv") | (F.substring_index(registrable_domain(h), ".", 1) == "gov")
+    suffix, domain = public_suffix(h) if suffix is None else suffix, registrable_domain(h) if domain is None else domain
+    return F.substring_index(suffix, ".", 1).isin("gov", "mil", "gob", "gouv") | (F.substring_index(domain, ".", 1) == "gov")
 
 
 def has_valid_host(url: Column) -> Column:

@@ -122,15 +122,41 @@ def page_error() -> Column:
     return F.when(F.col("error_reason").isNotNull(), F.col("error_reason")).when((F.col("status") < 200) | (F.col("status") >= 300), F.concat(F.lit("http_"), "status")).when(~html, "not_html")
 
 
-def url_facts(urls: DataFrame) -> DataFrame:
-    """urls (column url, distinct) with what each says by itself. The provider table is looked through once for each URL."""
+def public_suffixes(hosts: DataFrame, rules: DataFrame) -> DataFrame:
+    """host, suffix of hosts (column host, distinct) by a public suffix list: rules (column rule) such as "com", "co.uk", "*.ck", "!www.ck".
+
+    Each host is joined with the rules by the ends it has; an exception wins, then the longest rule; without any the host has no known suffix (empty).
+    """
+    labels = F.split("host", "[.]")
+    ends = hosts.select("host", F.explode(F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.slice(labels, i, F.size(labels)))).alias("end"))
+    told = F.array_join("end", ".")
+    above = F.array_join(F.slice("end", 2, 1 << 20), ".")
+    keys = ends.select("host", F.size("end").alias("n"), F.explode(F.array(F.struct(told.alias("rule"), told.alias("suffix"), F.lit(0).alias("first")), F.struct(F.concat(F.lit("*."), above).alias("rule"), told.alias("suffix"), F.lit(0).alias("first")), F.struct(F.concat(F.lit("!"), told).alias("rule"), above.alias("suffix"), F.lit(1).alias("first")))).alias("k")).select("host", "n", "k.*")
+    met = keys.join(rules.select(F.lower(ux.stripped(F.col("rule"))).alias("rule")).distinct(), "rule").groupBy("host").agg(F.max_by("suffix", F.struct("first", "n")).alias("suffix"))
+    return hosts.join(met, "host", "left").select("host", F.coalesce("suffix", F.lit("")).alias("suffix"))
+
+
+def url_facts(urls: DataFrame, suffixes: DataFrame | None = None) -> DataFrame:
+    """urls (column url, distinct) with what each says by itself. The provider table is looked through once for each URL.
+
+    suffixes: the rules of a public suffix list; without them a short table of suffixes of two labels is taken, else the last label.
+    """
+    if suffixes is None:
+        return _url_facts(urls.withColumns({"suffix": ux.public_suffix(ux.host(F.col("url"))), "domain": ux.registrable_domain(ux.host(F.col("url")))}))
+    named = urls.withColumn("host", ux.host(F.col("url")))
+    known = public_suffixes(named.select("host").distinct(), suffixes)
+    return _url_facts(named.join(known, "host").withColumn("domain", ux.label_before(F.col("host"), F.col("suffix"))).drop("host"))
+
+
+def _url_facts(urls: DataFrame) -> DataFrame:
+    """urls with suffix and domain."""
     u = F.col("url")
     out = urls.withColumn("provider", ux.detect_ats(u))
     out = out.withColumn("clean", ux.clean_ats_url(u, F.col("provider")))
     out = out.withColumns({
         "tenant": ux.ats_tenant(u, F.col("provider")), "key": ux.page_key(u, F.col("provider")), "clean_provider": ux.detect_ats(F.col("clean")),
         "stripped": ux.strip_tracking(u), "norm": ux.normalize_url(u), "asset": ux.is_asset(u), "not_portal": ux.is_not_portal(u), "sandbox": ux.is_sandbox(u),
-        "third_party": ux.is_third_party(u), "government": ux.is_government(u), "valid": ux.has_valid_host(u), "domain": ux.registrable_domain(ux.host(u)),
+        "third_party": ux.is_third_party(u, F.col("domain")), "government": ux.is_government(u, F.col("suffix"), F.col("domain")), "valid": F.col("suffix") != "",
         "career_url": ux.has_career_url(ux.host(u), ux.path(u)), "graduate_path": tx.is_graduate(F.replace(ux.path(u), F.lit("-"), F.lit(" "))),
         "graduate_url": u.rlike(tx.GRADUATE_URL), "compact": F.regexp_replace(F.lower(u), "[^a-z0-9]+", ""), "depth": F.size(ux.segments(u)),
         "label": F.substring_index(ux.host(u), ".", 1), "url_path": ux.path(u),

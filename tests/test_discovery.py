@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import lexicon as lx
+from millrace.functions import url as ux
 from millrace.operators import discovery, pages
 from millrace.plans import schemas
 
@@ -172,3 +173,19 @@ def test_read_html():
     title, text, links = pages.read_html("https://k.org/a/b/", html)
     assert title == "A  b" and text == "x z go there call"
     assert links == [(0, "https://k.org/a/q?r=1", "go there", "a"), (1, "https://h.org", "T", "a"), (2, "https://k.org/a/b/s.js", "", "script"), (3, "https://k.org/f", "", "form")]
+
+
+def test_public_suffix_lists(spark):
+    rules = spark.createDataFrame([(r,) for r in ("com", "uk", "co.uk", "gov.uk", "*.island", "!city.island", "Jobs ")], "rule string")
+    hosts = ["a.b.co.uk", "uk", "x.gov.uk", "shop.far.island", "city.island", "www.city.island", "intranet", "box.lan", "mill.jobs", "", "com"]
+    known = pages.public_suffixes(spark.createDataFrame([(h,) for h in hosts], "host string"), rules)
+    told = {r["host"]: (r["suffix"], r["domain"]) for r in known.withColumn("domain", ux.label_before(F.col("host"), F.col("suffix"))).collect()}
+    assert told == {
+        "a.b.co.uk": ("co.uk", "b.co.uk"), "uk": ("uk", "uk"), "x.gov.uk": ("gov.uk", "x.gov.uk"), "shop.far.island": ("far.island", "shop.far.island"), "city.island": ("island", "city.island"),
+        "www.city.island": ("island", "city.island"), "intranet": ("", "intranet"), "box.lan": ("", "box.lan"), "mill.jobs": ("jobs", "mill.jobs"), "": ("", ""), "com": ("com", "com"),
+    }
+    facts = {r["url"]: r for r in pages.url_facts(spark.createDataFrame([("https://a.x.gov.uk/jobs",), ("https://box.lan/careers",)], "url string"), rules).collect()}
+    assert facts["https://a.x.gov.uk/jobs"]["government"] and facts["https://a.x.gov.uk/jobs"]["valid"] and not facts["https://box.lan/careers"]["valid"]
+    w = Web().company("Mill", "https://old.mill.island/", "discovered").put("https://old.mill.island/", "Careers > https://box.lan/careers", "Jobs > /jobs", plain=5).put("https://old.mill.island/jobs", title="Jobs")
+    _, portals = discovery.discover(*w.tables(spark), rules)
+    assert [r["career_page_url"] for r in portals.collect()] == ["https://old.mill.island/jobs"]
