@@ -97,6 +97,11 @@ def slices(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def partitions(spark: SparkSession, size: int, each: int) -> int:
+    """Partitions for what so many bytes of text give, each for so many of them; 100,000 at most."""
+    return max(slices(spark), min(100_000, -(-size // each)))
+
+
 def added_up(rows: DataFrame, finish) -> DataFrame:
     """rows (part, places: sorted distinct uint32, counts: uint64; one for each task and part, none of them empty) -> part, told: finish(places, counts) of all rows of a part.
 

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import added_up, documents, drop, fresh, keyed_texts, mapped, slices, text_bytes, written
+from .common import added_up, documents, drop, fresh, keyed_texts, mapped, partitions, slices, text_bytes, written
 from .fast_encode import forget
 from .graph import components
 
@@ -37,7 +37,7 @@ BITS = 48
 BLOCK_DOCS, BLOCK_SHINGLES = 2048, 1_000_000
 MANY = 0xFFFF
 #: Bytes of text for each bucket of shingles: about twice as many bytes reach it, however much text there is.
-BUCKET_BYTES = 16_000_000
+BUCKET_BYTES = 8_000_000
 #: Counters of the frequency sketch: 4 MB when broadcast, whatever the input.
 SKETCH_BITS = 22
 #: Sets beyond this are always heavy.
@@ -95,7 +95,8 @@ def shared_members(docs: DataFrame, members_of, percent: int) -> DataFrame:
     values: those, sorted, where shared is at least percent of n, and not 0, else null. key: a digest of the set where all of it
     is shared.
     """
-    buckets = max(64, 2 * slices(docs.sparkSession), -(-text_bytes(docs) // BUCKET_BYTES))
+    size = text_bytes(docs)
+    buckets, tasks = max(64, 2 * slices(docs.sparkSession), -(-size // BUCKET_BYTES)), partitions(docs.sparkSession, size, BUCKET_BYTES)
 
     def send(parts):
         from pyspark import TaskContext
@@ -178,8 +179,8 @@ def shared_members(docs: DataFrame, members_of, percent: int) -> DataFrame:
         return pd.DataFrame({"row": row, "doc_id": doc_id, "n": sizes, "shared": counts, "values": own, "key": key})
 
     sent = mapped(keyed_texts(docs), send, "bucket long, block long, docs long, first long, head binary, values binary, local binary")
-    told = sent.groupBy("bucket").applyInPandas(answer, "block long, docs long, first long, head binary, values binary, local binary")
-    return written(told.groupBy("block").applyInPandas(gather, "row long, doc_id long, n long, shared long, values binary, key string"), "sets")
+    told = sent.repartition(tasks, "bucket").groupBy("bucket").applyInPandas(answer, "block long, docs long, first long, head binary, values binary, local binary")
+    return written(told.repartition(tasks, "block").groupBy("block").applyInPandas(gather, "row long, doc_id long, n long, shared long, values binary, key string"), "sets")
 
 
 _NO_ID = -(1 << 63)

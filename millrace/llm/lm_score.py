@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import added_up, documents, drop, keyed_texts, mapped, slices, written
+from .common import added_up, documents, drop, keyed_texts, mapped, partitions, slices, written
 from .fast_encode import batches, forget
 
 SYMBOLS = 64
@@ -54,7 +54,7 @@ HOLD_OUT = 5
 #: A block of texts ends with so many documents or bytes.
 BLOCK_DOCS, BLOCK_BYTES = 16384, 6_000_000
 #: Bytes of text for each bucket of words, whose number ends at MOST_BUCKETS: the bounds between them are broadcast.
-BUCKET_BYTES, MOST_BUCKETS = 32_000_000, 8192
+BUCKET_BYTES, MOST_BUCKETS = 16_000_000, 8192
 #: Of so many texts one gives words to choose the bounds from, of which so many with the smallest hashes are taken for each bucket.
 SAMPLED_TEXTS, SAMPLED_WORDS = 40, 32
 #: Bytes of texts that are mixed side by side.
@@ -515,7 +515,7 @@ def _across(keys: pa.Array, known: np.ndarray) -> np.ndarray:
     return known[at] == hashes if len(known) else np.zeros(len(hashes), bool)
 
 
-def _vocabulary(asked: DataFrame, held, bounds: _Bounds) -> DataFrame:
+def _vocabulary(asked: DataFrame, held, bounds: _Bounds, tasks: int) -> DataFrame:
     """Rows (ROW) for each bucket: its distinct words with their counts and the base's counts (WORDS); all words of training texts and
     distinct ones, ends not counted (TOTALS); and what follows, how often, beginnings that a bound has too (ACROSS)."""
     known = {b""} | {b[:k] for b in bounds.bounds for k in range(1, len(b) + 1)}
@@ -541,7 +541,7 @@ def _vocabulary(asked: DataFrame, held, bounds: _Bounds) -> DataFrame:
         ]
         return pd.DataFrame([(pdf["bucket"].iloc[0], *r) for r in rows], columns=_COLUMNS)
 
-    return written(asked.groupBy("bucket").applyInPandas(add_up, ROW), "vocabulary")
+    return written(asked.repartition(tasks, "bucket").groupBy("bucket").applyInPandas(add_up, ROW), "vocabulary")
 
 
 def scores(docs: DataFrame, learn_from: DataFrame | None = None) -> DataFrame:
@@ -555,12 +555,13 @@ def scores(docs: DataFrame, learn_from: DataFrame | None = None) -> DataFrame:
     """
     spark = docs.sparkSession
     source, every = (docs, False) if learn_from is None else (learn_from, True)
-    model, texts, _, cut = alphabet(source, every)
+    model, texts, size, cut = alphabet(source, every)
+    tasks = partitions(spark, size, BUCKET_BYTES)
     bounds, held = _Bounds(cut), spark.sparkContext.broadcast(model)
     sent = _blocks(docs, held, bounds, None if learn_from is None else False, learn_from is None)
     asked = sent.where("bucket >= 0")
     learnt = sent if learn_from is None else _blocks(learn_from, held, bounds, True, True)
-    words = _vocabulary(asked if learn_from is None else asked.unionByName(learnt.where("bucket >= 0")), held, bounds)
+    words = _vocabulary(asked if learn_from is None else asked.unionByName(learnt.where("bucket >= 0")), held, bounds, tasks)
     _learn_tables(learnt, model)
     held.unpersist()
     held = spark.sparkContext.broadcast(model)
@@ -636,8 +637,8 @@ def scores(docs: DataFrame, learn_from: DataFrame | None = None) -> DataFrame:
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, bits double, n_bytes long"
     names = [x.split()[0] for x in schema.split(", ")]
-    answers = asked.drop("c").withColumn("c", F.lit(None).cast("binary")).unionByName(words.where(F.col("block") == WORDS)).groupBy("bucket").applyInPandas(answer, ROW)
-    rows = sent.where(F.col("bucket") == TEXTS).unionByName(answers).groupBy("block").applyInPandas(gather, schema)
+    answers = asked.drop("c").withColumn("c", F.lit(None).cast("binary")).unionByName(words.where(F.col("block") == WORDS)).repartition(tasks, "bucket").groupBy("bucket").applyInPandas(answer, ROW)
+    rows = sent.where(F.col("bucket") == TEXTS).unionByName(answers).repartition(partitions(spark, size, BLOCK_BYTES), "block").groupBy("block").applyInPandas(gather, schema)
     return rows.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
         (F.col("logs") - F.col("n_tokens") * float(np.log10(n + 0.5 * (v + 1)))).alias("base_score"),

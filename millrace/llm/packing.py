@@ -27,7 +27,7 @@ CAPACITY = 2048
 #: Pieces of one length that are ranked together, about.
 RANKED = 1_000
 #: Cuts in the encoder's table and characters encoded together; where memory is short, less of both costs only time.
-MAX_CUTS, GATHERED = 400_000, 5_000_000
+MAX_CUTS, GATHERED = 700_000, 8_000_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 

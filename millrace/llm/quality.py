@@ -10,6 +10,7 @@ gets the share of label 1 among all training labels.
 
 from __future__ import annotations
 
+import zlib
 from operator import eq
 
 import numpy as np
@@ -95,8 +96,14 @@ class Votes:
         self.vectors = _unit(weighted @ self.axes)
 
     def _weighted(self, counts: np.ndarray) -> np.ndarray:
-        terms = _unit(np.log1p(counts[:, :TERMS]) * self.idf)
-        return np.concatenate([terms, counts[:, TERMS:] * np.float32(SHARE_WEIGHT / 1000)], axis=1)
+        out = np.empty_like(counts)
+        terms = out[:, :TERMS]
+        np.log1p(counts[:, :TERMS], out=terms)
+        terms *= self.idf
+        norms = np.linalg.norm(terms, axis=1, keepdims=True)
+        terms /= np.where(norms > 0, norms, 1)
+        out[:, TERMS:] = counts[:, TERMS:] * np.float32(SHARE_WEIGHT / 1000)
+        return out
 
     def scores(self, texts: list[str]) -> np.ndarray:
         """0 to 1 for each text; a text without any term gets the labels' share."""
@@ -139,12 +146,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Votes:
             texts = pdf["text"].tolist()
             for a, b in batches(texts, 1_000_000):
                 rows = term_counts(texts[a:b])
-                yield pd.DataFrame({"doc_id": pdf["doc_id"].iloc[a:b].to_numpy(np.int64), "label": pdf["label"].iloc[a:b], "counts": [r.tobytes() for r in rows.astype(np.uint32)]})
+                yield pd.DataFrame({"doc_id": pdf["doc_id"].iloc[a:b].to_numpy(np.int64), "label": pdf["label"].iloc[a:b], "counts": [zlib.compress(r.tobytes(), 1) for r in rows.astype(np.uint32)]})
 
     # 2 * sample rows at most, so the join may broadcast them and the driver may hold their counts
     found = keyed_texts(docs).join(F.broadcast(wanted), "doc_id").mapInPandas(count, "doc_id long, label int, counts binary").toPandas()
     found = found.drop_duplicates("doc_id").sort_values("doc_id")
-    counts = np.stack([np.frombuffer(c, np.uint32) for c in found["counts"]]).astype(np.float32) if len(found) else np.zeros((0, TERMS + SHARES), np.float32)
+    counts = np.zeros((len(found), TERMS + SHARES), np.float32)
+    for row, c in zip(counts, found["counts"]):
+        row[:] = np.frombuffer(zlib.decompress(c), np.uint32)
     return Votes(counts, found["label"].to_numpy(np.float32), 0.5 if share is None else share)
 
 
