@@ -22,6 +22,8 @@ from .fast_encode import Encoder, batches, byte_letters, gathered, kind_of
 NONE = np.int64(1) << 60
 #: Pieces of up to so many bytes share arrays of trees.
 SHARED = 128
+#: Cuts in a worker's table, half as many pieces beside them, and characters encoded together: where memory is short, less of them costs only time.
+MAX_CUTS, GATHERED = 400_000, 5_000_000
 
 
 class SegmentTreeBPE(Encoder):
@@ -165,7 +167,7 @@ class SegmentTreeBPE(Encoder):
             self.pieces[pieces[i]] = self._merge_long(raw[i])
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
-        if len(self.pieces) > self.max_cuts:
+        if len(self.pieces) > self.max_cuts // 2:
             self.pieces.clear()
         split = [[([], p) if p in self.special else (self.split(p), None) for p in self.parts(t)] if "<|" in t else [(self.split(t), None)] for t in texts]
         new = {p for t in split for own, _ in t for p in own if p not in self.pieces}
@@ -192,7 +194,7 @@ _CODERS: dict[str, SegmentTreeBPE] = {}
 
 def coder(path: str) -> SegmentTreeBPE:
     if path not in _CODERS:
-        _CODERS[path] = SegmentTreeBPE(path)
+        _CODERS[path] = SegmentTreeBPE(path, MAX_CUTS)
     return _CODERS[path]
 
 
@@ -205,7 +207,7 @@ def encoded(docs: DataFrame, path: str, schema: str, row) -> DataFrame:
 
     def encode(parts):
         own = coder(path)
-        for pdf in gathered(parts):
+        for pdf in gathered(parts, GATHERED):
             texts = pdf["text"].tolist()
             out = []
             for a, b in batches(texts):
