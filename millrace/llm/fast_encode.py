@@ -19,8 +19,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Distinct cuts kept by a worker, about 250 MB; then those that came up once are forgotten, and more where that isn't enough.
-MAX_CUTS = 1_000_000
+#: Distinct cuts kept by a worker, about 200 MB; then those that came up once are forgotten, and more where that isn't enough.
+MAX_CUTS = 850_000
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+").fullmatch
 _WORD = r"[A-Za-zÀ-ÖØ-öø-ÿ]+"
 _MARKS = r"[^\sA-Za-z0-9À-ÖØ-öø-ÿ]+"
@@ -196,7 +196,7 @@ class Encoder:
         return ids, np.concatenate([[0], np.cumsum(sizes)])
 
 
-def gathered(parts, most: int = 12_000_000):
+def gathered(parts, most: int = 10_000_000):
     """The pandas frames of parts put together until they hold so many characters of text: the more texts, the more cuts are alike."""
     import pandas as pd
 
