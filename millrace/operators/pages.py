@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from html.entities import html5
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
@@ -20,6 +21,7 @@ LINK = "struct<pos:int,url:string,text:string,kind:string>"
 SOURCES = {"a": "href", "iframe": "src", "script": "src", "form": "action"}
 _SKIPPED = ("#", "mailto:", "tel:", "javascript:", "data:")
 _HOST = re.compile(r"https?://([^/?#]*)", re.I)
+_AMPERSAND = re.compile(r"&(?!#[0-9]+;|#[xX][0-9a-fA-F]+;)(?:([a-zA-Z][a-zA-Z0-9]*;))?")
 
 
 class _Reader(HTMLParser):
@@ -85,8 +87,17 @@ def _absolute(base: str, raw: str) -> str | None:
     return url if host and not re.search(r"[\s<>\[\]{}|\\^`]", host[1]) else None
 
 
-def read_html(base: str, html: str) -> tuple[str, str, list[tuple]]:
-    """title, text, links (pos, url, text, kind): all anchors, then iframes, scripts and forms. A page that can't be read is cut off there."""
+def _closed(html: str) -> str:
+    """html where an ampersand stands for itself but in a reference that a semicolon ends."""
+    return _AMPERSAND.sub(lambda m: m[0] if m[1] in html5 else f"&amp;{m[1] or ''}", html)
+
+
+def read_html(base: str, html: str, closed_references: bool = False) -> tuple[str, str, list[tuple]]:
+    """title, text, links (pos, url, text, kind): all anchors, then iframes, scripts and forms. A page that can't be read is cut off there.
+
+    HTML also reads some references that no semicolon ends (&amp, &copy); with closed_references these stay as they are.
+    """
+    html = _closed(html) if closed_references else html
     reader = _Reader()
     try:
         reader.feed(html)
@@ -103,12 +114,12 @@ def read_html(base: str, html: str) -> tuple[str, str, list[tuple]]:
     return (reader.title or "").strip(), " ".join(reader.body)[:BODY_TEXT], links
 
 
-def parsed(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """pages with title, text and links."""
+def parsed(pages: DataFrame, url_col: str = "url", html_col: str = "html", closed_references: bool = False) -> DataFrame:
+    """pages with title, text and links, as read_html() has them."""
 
     @F.pandas_udf(f"struct<title:string,text:string,links:array<{LINK}>>")
     def read(urls: pd.Series, bodies: pd.Series) -> pd.DataFrame:
-        rows = [read_html(u or "", b or "") for u, b in zip(urls, bodies)]
+        rows = [read_html(u or "", b or "", closed_references) for u, b in zip(urls, bodies)]
         return pd.DataFrame({"title": [r[0] for r in rows], "text": [r[1] for r in rows], "links": [[dict(zip(("pos", "url", "text", "kind"), x)) for x in r[2]] for r in rows]})
 
     return pages.withColumn("_page", read(F.col(url_col), F.col(html_col))).select(*pages.columns, "_page.title", "_page.text", "_page.links")

@@ -47,3 +47,12 @@ def test_bands_and_countries(spark):
     known = F.create_map(F.lit("norway"), F.lit("Norway"), F.lit("germany"), F.lit("Germany"))
     column(spark, [("Bengaluru, Karnataka", "India"), ("Austin, Texas, US", "United States"), ("Oslo, Norway", "Norway"), ("Berlin, DE", "United States"), ("Atlantis", None), (None, None)], lambda c: tx.country_from(c, known))
     assert values(spark, [("acme-inc", None), (None, "Acme & Co."), (None, "  ")], tx.cache_key(F.col("a"), F.col("b"))) == [("acme-inc",), ("acme_co.",), ("unnamed",)]
+
+
+def test_references_without_a_semicolon_can_stay():
+    from millrace.operators import pages
+
+    html = "<title>A&amp;B &quot;C&quot; &#65;&#x42; R&D &notit; &amp</title><body><a href='/x?a=1&copy=2&amp;b=3'>&lt;go&gt</a>"
+    title, _, links = pages.read_html("https://e.com", html, closed_references=True)
+    assert title == 'A&B "C" AB R&D &notit; &amp' and [x[1:3] for x in links] == [("https://e.com/x?a=1&copy=2&b=3", "<go&gt")]
+    assert pages.read_html("https://e.com", html)[0].endswith("&")
